@@ -86,13 +86,16 @@ def _field_splitter(d: str, q: str):
 
 def parse_fields(lines: Column, delimiter: Column, quotechar: Column) -> Column:
     """ARRAY<ARRAY<STRING>>: raw fields of every record (header first)."""
-    out = F.lit(None).cast("array<array<string>>")
-    for d in SNIFF_DELIMITERS:
-        for q in QUOTE_CHARS:
-            records = F.when(F.exists(lines, _contains(q)), _join_records(lines, d, q)).otherwise(lines)
-            parsed = F.transform(records, _field_splitter(d, q))
-            out = F.when((delimiter == d) & (quotechar == q), parsed).otherwise(out)
-    return out
+    def body(ls):
+        out = F.lit(None).cast("array<array<string>>")
+        for d in SNIFF_DELIMITERS:
+            for q in QUOTE_CHARS:
+                records = F.when(F.exists(ls, _contains(q)), _join_records(ls, d, q)).otherwise(ls)
+                parsed = F.transform(records, _field_splitter(d, q))
+                out = F.when((delimiter == d) & (quotechar == q), parsed).otherwise(out)
+        return out
+
+    return let(lines, body)
 
 
 HEADER_ERRORS = {

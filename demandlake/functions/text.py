@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from demandlake.constants import DEFAULT_SLUG, SLUG_MAX_CHARS
+from demandlake.functions.hof import let
 
 # Python's str.isspace() set == Unicode White_Space plus the four ASCII
 # information separators.  Java's \s is ASCII-only, hence the explicit class.
@@ -54,8 +55,11 @@ def fold_newlines(col: Column) -> Column:
 
 def split_lines(col: Column) -> Column:
     """``str.splitlines()``: no trailing empty element, empty text -> []."""
-    body = F.regexp_replace(col, LINE_BREAK + r"\z", "")
-    return F.when(col == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+    def split(t):
+        body = F.regexp_replace(t, LINE_BREAK + r"\z", "")
+        return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+
+    return let(col, split)
 
 
 def decode_bytes(content: Column) -> tuple[Column, Column]:

@@ -8,12 +8,13 @@ parallelises across files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.constants import CSV_FORMAT
 from demandlake.functions.dialect import combine_dialect, consistency_guess, quote_guess, sample_of
 from demandlake.functions.records import header_error, header_message, normalise_rows, parse_fields
+from demandlake.functions.hof import let
 from demandlake.functions.text import decode_bytes, split_lines, strip
 
 
@@ -23,62 +24,89 @@ def decode_exports(df: DataFrame, content: str = "content") -> DataFrame:
     return df.withColumn("text", text).withColumn("encoding", encoding)
 
 
-def parse_exports(df: DataFrame, content: str = "content", name: str = "file_name", keep_text: bool = False) -> DataFrame:
+def parse_struct(content: Column, name: Column) -> Column:
+    """The whole S2-S6/F1 chain for one export as a single expression.
+
+    Every stage is bound once (``let``), so the expression grows linearly with
+    the number of stages; a filter pushed down onto it stays small.
+    Returns STRUCT<encoding, delimiter, quotechar, dialect_method, headers,
+    rows, row_count, error_code, error_reason, error_message>.
+    """
+    text_c, encoding_c = decode_bytes(content)
+
+    def with_decoded(dec):
+        text = dec["text"]
+
+        def with_lines(ls):
+            lines = ls["lines"]
+
+            def with_dialect(dia):
+                def with_records(recs):
+                    raw_header = F.try_element_at(recs, F.lit(1))
+
+                    def with_headers(hs):
+                        reason = F.when(text.isNull(), F.lit("undecodable")).otherwise(
+                            header_error(raw_header, hs)
+                        )
+
+                        def finish(rsn):
+                            ok = rsn.isNull()
+                            rows = F.when(ok, normalise_rows(recs, F.size(hs)))
+                            message = F.when(
+                                rsn == "undecodable",
+                                F.concat(F.lit("Cannot decode CSV "), name,
+                                         F.lit(": not UTF-8, and not cp1251 (byte 0x98)")),
+                            ).otherwise(header_message(rsn, name))
+
+                            def out(rw):
+                                return F.struct(
+                                    dec["encoding"].alias("encoding"),
+                                    dia["delimiter"].alias("delimiter"),
+                                    dia["quotechar"].alias("quotechar"),
+                                    dia["method"].alias("dialect_method"),
+                                    F.when(ok, hs).alias("headers"),
+                                    rw.alias("rows"),
+                                    F.when(ok, F.size(rw).cast("bigint")).alias("row_count"),
+                                    F.when(~ok, F.lit(CSV_FORMAT)).alias("error_code"),
+                                    rsn.alias("error_reason"),
+                                    message.alias("error_message"),
+                                )
+
+                            return let(rows, out)
+
+                        return let(reason, finish)
+
+                    return let(F.transform(raw_header, lambda h: strip(F.coalesce(h, F.lit("")))), with_headers)
+
+                return let(parse_fields(lines, dia["delimiter"], dia["quotechar"]), with_records)
+
+            guesses = F.struct(quote_guess(ls["sample"]).alias("q"), consistency_guess(ls["sample"]).alias("c"))
+            dialect = lambda g: F.when(
+                text.isNotNull(),
+                combine_dialect(F.size(lines), F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("")), g["q"], g["c"]),
+            )
+            return let(let(guesses, dialect), with_dialect)
+
+        return let(F.struct(split_lines(text).alias("lines"), sample_of(text).alias("sample")), with_lines)
+
+    return let(F.struct(text_c.alias("text"), encoding_c.alias("encoding")), with_decoded)
+
+
+PARSE_FIELDS = ("encoding", "delimiter", "quotechar", "dialect_method", "headers", "rows", "row_count",
+                "error_code", "error_reason", "error_message")
+
+
+def parse_exports(df: DataFrame, content: str = "content", name: str = "file_name") -> DataFrame:
     """Parse every export of ``df`` into headers and rows.
 
     Adds: encoding, delimiter, quotechar, dialect_method, headers ARRAY<STRING>,
     rows ARRAY<ARRAY<STRING>>, row_count, error_code, error_reason, error_message.
     Rows are in file order; cells are trimmed, blank rows dropped.
     """
-    if name not in df.columns:
-        df = df.withColumn(name, F.lit("export.csv"))
-    decoded = decode_exports(df, content)
-    staged = (
-        decoded.withColumn("_lines", split_lines(F.col("text")))
-        .withColumn("_sample", sample_of(F.col("text")))
-        .withColumn("_quote", quote_guess(F.col("_sample")))
-        .withColumn("_consistency", consistency_guess(F.col("_sample")))
-        .withColumn(
-            "_dialect",
-            F.when(
-                F.col("text").isNotNull(),
-                combine_dialect(
-                    F.size("_lines"),
-                    F.coalesce(F.try_element_at(F.col("_lines"), F.lit(1)), F.lit("")),
-                    F.col("_quote"),
-                    F.col("_consistency"),
-                ),
-            ),
-        )
-        .withColumn("_records", parse_fields(F.col("_lines"), F.col("_dialect.delimiter"), F.col("_dialect.quotechar")))
-        .withColumn("_raw_header", F.try_element_at(F.col("_records"), F.lit(1)))
-        .withColumn("_headers", F.transform("_raw_header", lambda h: strip(F.coalesce(h, F.lit("")))))
-        .withColumn(
-            "error_reason",
-            F.when(F.col("text").isNull(), F.lit("undecodable")).otherwise(
-                header_error(F.col("_raw_header"), F.col("_headers"))
-            ),
-        )
-    )
-    reason = F.col("error_reason")
-    message = F.when(
-        reason == "undecodable",
-        F.concat(F.lit("Cannot decode CSV "), F.col(name), F.lit(": not UTF-8, and not cp1251 (byte 0x98)")),
-    ).otherwise(header_message(reason, F.col(name)))
-    out = (
-        staged.withColumn("headers", F.when(reason.isNull(), F.col("_headers")))
-        .withColumn("delimiter", F.col("_dialect.delimiter"))
-        .withColumn("quotechar", F.col("_dialect.quotechar"))
-        .withColumn("dialect_method", F.col("_dialect.method"))
-        .withColumn("rows", F.when(reason.isNull(), normalise_rows(F.col("_records"), F.size(F.col("headers")))))
-        .withColumn("row_count", F.when(reason.isNull(), F.size(F.col("rows")).cast("bigint")))
-        .withColumn("error_code", F.when(reason.isNotNull(), F.lit(CSV_FORMAT)))
-        .withColumn("error_message", message)
-    )
-    drop = ["_lines", "_sample", "_quote", "_consistency", "_dialect", "_records", "_raw_header", "_headers"]
-    if not keep_text:
-        drop.append("text")
-    return out.drop(*drop)
+    name_c = F.col(name) if name in df.columns else F.lit("export.csv")
+    keep = [c for c in df.columns if c not in PARSE_FIELDS]
+    staged = df.withColumn("_p", parse_struct(F.col(content), name_c))
+    return staged.select(*keep, *[F.col("_p")[f].alias(f) for f in PARSE_FIELDS])
 
 
 def export_rows(parsed: DataFrame, keys: list[str]) -> DataFrame:

@@ -239,7 +239,7 @@ def series_exports(events: DataFrame, granularity: str, by_user: bool = False) -
         "export_id",
         "series_key",
         F.lit(granularity).alias("granularity"),
-        F.date_add("win_start", k).alias("date_from"),
+        F.date_add("win_start", k.cast("int")).alias("date_from"),
         F.col("win_end").alias("date_to"),
         F.concat(F.replace(F.col("export_id"), F.lit("|"), F.lit("_")), F.lit(".csv")).alias("file_name"),
         encode_text(text, enc).alias("content"),
