@@ -168,6 +168,310 @@ def actual_period_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+
+# ------------------------------------------------------------------ F2, P5, P11, P12, F3
+from demandlake.functions import dates as D  # noqa: E402
+from demandlake.operators import batch as B  # noqa: E402
+from demandlake.operators import landing as L  # noqa: E402
+from demandlake.operators import manifest as M  # noqa: E402
+from demandlake.operators import requests as R  # noqa: E402
+from demandlake.constants import MONTHS_GENITIVE  # noqa: E402
+
+
+def _requests(spark, sf):
+    return derive.order_requests(table(spark, sf, "orders"))
+
+
+def validate_period(spark: SparkSession, sf: str) -> DataFrame:
+    v = R.validate_periods(_requests(spark, sf), derive.TODAY)
+    return v.select(
+        "o_orderkey", "granularity",
+        D.iso_text(F.col("date_from")).alias("date_from"), D.iso_text(F.col("date_to")).alias("date_to"),
+        F.col("period_reason").alias("reason"), F.col("error_message").alias("message"),
+    )
+
+
+def _iso_texts(spark, sf):
+    r = _requests(spark, sf)
+    k = F.col("o_orderkey") % 4
+    d = F.col("date_from")
+    text = (
+        F.when(k == 0, D.iso_text(d))
+        .when(k == 1, F.concat_ws("-", F.year(d).cast("string"), F.month(d).cast("string"), F.dayofmonth(d).cast("string")))
+        .when(k == 2, F.concat(F.date_format(d, "yyyy-MM"), F.lit("-31")))
+        .otherwise(F.date_format(d, "dd.MM.yyyy"))
+    )
+    return r.select("o_orderkey", F.when(d.isNotNull(), text).alias("text"))
+
+
+def parse_iso_date(spark: SparkSession, sf: str) -> DataFrame:
+    t = _iso_texts(spark, sf)
+    return t.select("o_orderkey", "text", D.iso_text(D.parse_iso_date(F.col("text"))).alias("parsed"),
+                    D.iso_date_error(F.col("text")).alias("error_message"))
+
+
+def requested_period(spark: SparkSession, sf: str) -> DataFrame:
+    r = _requests(spark, sf)
+    p = D.requested_period(F.col("date_from"), F.col("date_to"))
+    return r.select("o_orderkey", p["from"].alias("req_from"), p["to"].alias("req_to"),
+                    D.iso_text(D.min_monthly_end(F.col("date_from"))).alias("min_monthly_end"))
+
+
+def validate_batch(spark: SparkSession, sf: str) -> DataFrame:
+    r = _requests(spark, sf)
+    req = r.select(
+        F.col("o_custkey").alias("batch_id"),
+        F.col("o_orderkey").alias("phrase_ord"),
+        F.when(F.col("o_orderkey") % 23 == 0, F.lit("  ")).otherwise(F.col("o_orderpriority")).alias("phrase"),
+        F.when(F.col("o_custkey") % 29 == 0, F.lit(" ")).otherwise(F.lit("Россия")).alias("region"),
+        "granularity", "date_from", "date_to",
+        F.when(F.col("o_custkey") % 31 == 0, F.lit("run-x")).alias("resume_run"),
+    )
+    v = R.validate_batches(req, derive.TODAY)
+    return v.select("batch_id", "n_phrases", "reason", "error_code", "error_message")
+
+
+# ------------------------------------------------------------------ P4, S12, W3, P8, P9, P10, S11
+from demandlake.functions.text import slugify as _slugify  # noqa: E402
+
+
+def slugify_query(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", _slugify(F.col("text")).alias("slug"))
+
+
+def run_key(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", F.to_timestamp(F.lit("2026-08-21 10:00:00")).alias("now"))
+    return R.run_keys(docs, order="doc_id", now="now", phrase="text").select("doc_id", "run_key")
+
+
+def period_label(spark: SparkSession, sf: str) -> DataFrame:
+    r = _requests(spark, sf).filter(F.col("date_from").isNotNull())
+    return r.select("o_orderkey", "granularity", D.period_label(F.col("granularity"), F.col("date_from")).alias("label"))
+
+
+def label_granularity(spark: SparkSession, sf: str) -> DataFrame:
+    r = _requests(spark, sf).filter(F.col("date_from").isNotNull())
+    d = F.col("date_from")
+    gen = F.array(*[F.lit(m) for m in MONTHS_GENITIVE])
+    mon = D.week_monday(d)
+    sun = F.date_add(mon, 6)
+
+    def day_gen_year(x):
+        return F.concat_ws(" ", F.dayofmonth(x).cast("string"), F.element_at(gen, F.month(x)), F.year(x).cast("string"))
+
+    k = F.col("o_orderkey") % 4
+    label = (
+        F.when(k == 0, D.period_label(F.lit("daily"), d))
+        .when(k == 1, F.concat(day_gen_year(mon), F.lit(" – "), day_gen_year(sun)))
+        .when(k == 2, D.period_label(F.lit("monthly"), d))
+        .otherwise(F.date_format(d, "dd.MM.yyyy"))
+    )
+    return r.select("o_orderkey", label.alias("label")).select(
+        "o_orderkey", "label", D.label_granularity(F.col("label")).alias("granularity"))
+
+
+def dataset_name(spark: SparkSession, sf: str) -> DataFrame:
+    from demandlake.constants import VIEWS
+
+    r = _requests(spark, sf)
+    view = F.element_at(F.array(*[F.lit(v) for v in VIEWS]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    keep_raw = F.col("o_orderkey") % 2 == 0
+    return r.select(
+        "o_orderkey", view.alias("view"), "granularity",
+    ).select(
+        "o_orderkey", "view", "granularity",
+        derive.dataset_file(F.col("view"), F.col("granularity")).alias("file"),
+        F.when(keep_raw, F.concat(F.col("view"), F.lit(".csv"))).alias("raw_file"),
+    )
+
+
+# ------------------------------------------------------------------ manifests
+def _runs(spark, sf):
+    return derive.customer_runs(table(spark, sf, "customer"), table(spark, sf, "nation"))
+
+
+def _log(spark, sf):
+    return derive.export_log(_runs(spark, sf))
+
+
+def _merged(spark, sf):
+    log = _log(spark, sf).drop("c_custkey", "view_ord")
+    return M.merge_exports(log)
+
+
+def merge_exports_query(spark: SparkSession, sf: str) -> DataFrame:
+    return _merged(spark, sf).select("run_id", "view", "view_ord", "seq", "row_count", "file", "n_writes")
+
+
+def missing_views_query(spark: SparkSession, sf: str) -> DataFrame:
+    return M.missing_views(_runs(spark, sf), _merged(spark, sf)).select("run_id", "view", F.col("view_ord").cast("int"))
+
+
+def _files(merged):
+    return merged.filter(F.col("file_present")).select("run_id", "file")
+
+
+def pending_views_query(spark: SparkSession, sf: str) -> DataFrame:
+    merged = _merged(spark, sf)
+    return M.pending_views(_runs(spark, sf), merged, _files(merged)).select(
+        "run_id", "view", F.col("view_ord").cast("int"))
+
+
+def prune_stale_query(spark: SparkSession, sf: str) -> DataFrame:
+    runs = _runs(spark, sf)
+    merged = _merged(spark, sf)
+    pending = M.pending_views(runs, merged, _files(merged))
+    kept, stale = M.prune_stale(merged, pending)
+    nb = merged.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_before"))
+    na = kept.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_after"))
+    out = runs.select("run_id").join(nb, "run_id", "left").join(na, "run_id", "left")
+    return out.select(
+        "run_id",
+        F.coalesce("n_before", F.lit(0)).alias("n_before"),
+        F.coalesce("n_after", F.lit(0)).alias("n_after"),
+        (F.coalesce("n_after", F.lit(0)) < F.coalesce("n_before", F.lit(0))).alias("bumped"),
+    )
+
+
+def _manifests(spark, sf):
+    runs = _runs(spark, sf)
+    entries = M.manifest_entries(_merged(spark, sf).select("run_id", "view_ord", "view", "file", "row_count"))
+    return runs.join(entries, "run_id", "left").withColumn(
+        "exports", F.coalesce(F.col("exports"), F.array().cast(entries.schema["exports"].dataType)))
+
+
+def run_status_query(spark: SparkSession, sf: str) -> DataFrame:
+    st = M.run_status(_manifests(spark, sf))
+    return st.select(
+        "run_id",
+        F.size("missing_views").alias("n_missing"),
+        F.size("empty_views").alias("n_empty"),
+        "status",
+        F.array_join("missing_views", ",").alias("missing"),
+        F.array_join("empty_views", ",").alias("empty"),
+    )
+
+
+def duplicate_views_query(spark: SparkSession, sf: str) -> DataFrame:
+    d = M.duplicate_views(_log(spark, sf).select("run_id", "view"))
+    return d.select("run_id", "duplicate", F.array_join("dup_views", ",").alias("dup_views"))
+
+
+def manifest_timestamps_query(spark: SparkSession, sf: str) -> DataFrame:
+    t = M.manifest_timestamps(_log(spark, sf))
+    return t.select("run_id", F.unix_seconds("created_at").alias("created_at"),
+                    F.unix_seconds("updated_at").alias("updated_at"), "source_url")
+
+
+def resume_match_query(spark: SparkSession, sf: str) -> DataFrame:
+    runs = _runs(spark, sf)
+    k = F.col("c_custkey")
+    other_g = F.when(F.col("granularity") == "daily", F.lit("weekly")).otherwise(F.lit("daily"))
+    req = runs.select(
+        F.when(k % 13 == 6, F.concat(F.lit("run-"), (k + 1000000).cast("string"))).otherwise(F.col("run_id")).alias("run_id"),
+        F.when(k % 5 == 1, F.concat(F.lit("  "), F.col("phrase"), F.lit(" ")))
+        .when(k % 5 == 2, F.concat(F.col("phrase"), F.lit("x"))).otherwise(F.col("phrase")).alias("phrase"),
+        F.when(k % 7 == 3, F.lit("Other")).otherwise(F.col("region")).alias("region"),
+        F.when(k % 11 == 4, other_g).otherwise(F.col("granularity")).alias("granularity"),
+        "requested_period",
+    )
+    return M.resume_match(req, runs).select("run_id", "match")
+
+
+# ------------------------------------------------------------------ batches
+def _attempts(spark, sf):
+    return derive.conversation_attempts(table(spark, sf, "conversations"))
+
+
+def auth_abort_cut_query(spark: SparkSession, sf: str) -> DataFrame:
+    a = B.auth_abort_cut(_attempts(spark, sf).filter(F.col("view_ord") == 0))
+    return a.select("batch_id", "phrase_ord", "phrase_state")
+
+
+def first_failure_cut_query(spark: SparkSession, sf: str) -> DataFrame:
+    return B.first_failure_cut(_attempts(spark, sf)).select("run_id", "view", "outcome", "view_error")
+
+
+def phrase_outcome_query(spark: SparkSession, sf: str) -> DataFrame:
+    o = B.phrase_outcome(B.first_failure_cut(_attempts(spark, sf)))
+    return o.select("run_id", "outcome", "error_code", "partial")
+
+
+def batch_summary_query(spark: SparkSession, sf: str) -> DataFrame:
+    o = B.phrase_outcome(B.first_failure_cut(_attempts(spark, sf)))
+    return B.batch_summary(o).select("batch_id", "total", "collected", "failed", "partial", "skipped", "exit_code")
+
+
+def incomplete_report_query(spark: SparkSession, sf: str) -> DataFrame:
+    cut = B.first_failure_cut(_attempts(spark, sf))
+    return B.incomplete_report(cut, B.phrase_outcome(cut)).select("run_id", "view", "reason")
+
+
+def phrase_list(spark: SparkSession, sf: str) -> DataFrame:
+    dec = decode_exports(derive.document_exports(table(spark, sf, "documents")))
+    lines = dec.select("doc_id", F.posexplode_outer(split_lines(F.col("text"))).alias("line_ord", "phrase")).filter(
+        F.col("line_ord").isNotNull())
+    from demandlake.functions.text import strip as _strip
+
+    kept = lines.filter(_strip(F.col("phrase")) != "")
+    w = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("doc_id").orderBy("line_ord"))
+    return kept.select("doc_id", (w - 1).cast("int").alias("phrase_ord"), "phrase")
+
+
+# ------------------------------------------------------------------ landing
+def _page_files(spark, sf):
+    return derive.page_files(table(spark, sf, "pages"))
+
+
+def _roots():
+    return F.array(*[F.lit(r) for r in derive.LANDING_ROOTS])
+
+
+def landing_scan(spark: SparkSession, sf: str) -> DataFrame:
+    f = _page_files(spark, sf)
+    return f.select("page_id", "path", L.is_csv(F.col("path")).alias("is_csv"),
+                    L.accepted(F.col("path"), F.col("length")).alias("accepted"))
+
+
+def path_containment(spark: SparkSession, sf: str) -> DataFrame:
+    f = _page_files(spark, sf)
+    return f.select("page_id", L.normalise_path(F.col("path")).alias("norm_path"),
+                    L.contained(F.col("path"), _roots()).alias("contained"))
+
+
+def new_files_query(spark: SparkSession, sf: str) -> DataFrame:
+    f = _page_files(spark, sf).withColumn("norm_path", L.normalise_path(F.col("path")))
+    before = f.filter(F.col("page_id") % 5 == 0)
+    return L.new_files(before, f).select("page_id", "norm_path")
+
+
+def download_verdict_query(spark: SparkSession, sf: str) -> DataFrame:
+    f = _page_files(spark, sf).select(
+        (F.col("page_id") / 3).cast("bigint").alias("run_id"), F.lit("dynamics").alias("view"), F.lit(1).alias("tick"),
+        "path", "length", L.contained(F.col("path"), _roots()).alias("inside"))
+    v = L.download_verdict(f)
+    return v.select(F.col("run_id").alias("tick_id"), "n_csv", "n_escaped", "verdict", "warning")
+
+
+def untrusted_empty_query(spark: SparkSession, sf: str) -> DataFrame:
+    from demandlake.constants import VIEWS
+
+    p = table(spark, sf, "pages").select(
+        "page_id",
+        F.element_at(F.array(*[F.lit(v) for v in VIEWS]), (F.col("page_id") % 4 + 1).cast("int")).alias("view"),
+        F.when(F.length("html") % 4 == 0, F.lit(0)).otherwise((F.length("html") / 100).cast("bigint")).alias("row_count"),
+        F.lit(None).cast("string").alias("error_code"),
+    )
+    return L.untrusted_empty(p).select("page_id", "view", "row_count", "untrusted")
+
+
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    ex = derive.supplier_exports(table(spark, sf, "supplier"), table(spark, sf, "nation"))
+    _, bad = L.split_quarantine(parse_exports(ex))
+    return bad.select("export_id", "file_name", "error_code", "error_message")
+
+
 QUERIES = {
     "parse_localized_number": parse_localized_number,
     "infer_column_types": infer_column_types,
@@ -182,4 +486,33 @@ QUERIES = {
     "series_contiguity": series_contiguity,
     "series_containment": series_containment,
     "actual_period": actual_period_query,
+    "validate_period": validate_period,
+    "parse_iso_date": parse_iso_date,
+    "requested_period": requested_period,
+    "validate_batch": validate_batch,
+    "slugify": slugify_query,
+    "run_key": run_key,
+    "period_label": period_label,
+    "label_granularity": label_granularity,
+    "dataset_name": dataset_name,
+    "merge_exports": merge_exports_query,
+    "missing_views": missing_views_query,
+    "pending_views": pending_views_query,
+    "prune_stale": prune_stale_query,
+    "run_status": run_status_query,
+    "duplicate_views": duplicate_views_query,
+    "manifest_timestamps": manifest_timestamps_query,
+    "resume_match": resume_match_query,
+    "auth_abort_cut": auth_abort_cut_query,
+    "first_failure_cut": first_failure_cut_query,
+    "phrase_outcome": phrase_outcome_query,
+    "batch_summary": batch_summary_query,
+    "incomplete_report": incomplete_report_query,
+    "phrase_list": phrase_list,
+    "landing_scan": landing_scan,
+    "path_containment": path_containment,
+    "new_files": new_files_query,
+    "download_verdict": download_verdict_query,
+    "untrusted_empty": untrusted_empty_query,
+    "quarantine": quarantine,
 }

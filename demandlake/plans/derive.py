@@ -244,3 +244,113 @@ def series_exports(events: DataFrame, granularity: str, by_user: bool = False) -
         F.concat(F.replace(F.col("export_id"), F.lit("|"), F.lit("_")), F.lit(".csv")).alias("file_name"),
         encode_text(text, enc).alias("content"),
     )
+
+
+# ------------------------------------------------------------------ requests
+TODAY = "2026-08-21"
+
+
+def order_requests(orders: DataFrame) -> DataFrame:
+    """orders -> period requests: dates shifted into 2020-2026 (every 13th
+    key shifted less, so before 2018), granularity by key % 3, length
+    key % 120 - 10 days, date_to null every 17th key, both null every 19th."""
+    d0 = F.to_date("o_orderdate")
+    k = F.col("o_orderkey")
+    start = F.when(k % 13 == 0, F.date_add(d0, 8000)).otherwise(F.date_add(d0, 9131))
+    end = F.date_add(start, (k % 120 - 10).cast("int"))
+    g = F.element_at(F.array(F.lit("monthly"), F.lit("weekly"), F.lit("daily")), (k % 3 + 1).cast("int"))
+    return orders.select(
+        "o_orderkey", "o_custkey", "o_orderpriority",
+        g.alias("granularity"),
+        F.when(k % 19 == 0, F.lit(None).cast("date")).otherwise(start).alias("date_from"),
+        F.when((k % 19 == 0) | (k % 17 == 0), F.lit(None).cast("date")).otherwise(end).alias("date_to"),
+    )
+
+
+# ------------------------------------------------------------------ manifests
+def customer_runs(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    c = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+    g = F.element_at(F.array(*[F.lit(x) for x in ("monthly", "weekly", "daily")]),
+                     (F.col("c_custkey") % 3 + 1).cast("int"))
+    period = F.when(g != "monthly", F.struct(F.lit("2026-06-01").alias("from"), F.lit("2026-07-31").alias("to")))
+    return c.select(
+        F.concat(F.lit("run-"), F.col("c_custkey").cast("string")).alias("run_id"),
+        "c_custkey",
+        F.col("c_name").alias("phrase"),
+        F.coalesce(F.col("n_name"), F.lit("")).alias("region"),
+        g.alias("granularity"),
+        period.alias("requested_period"),
+    )
+
+
+def dataset_file(view: Column, granularity: Column) -> Column:
+    """P10: dynamics.parquet (monthly) / dynamics_<g>.parquet; <view>.parquet otherwise."""
+    return (
+        F.when((view == "dynamics") & (granularity == "monthly"), F.lit("dynamics.parquet"))
+        .when(view == "dynamics", F.concat(F.lit("dynamics_"), granularity, F.lit(".parquet")))
+        .otherwise(F.concat(view, F.lit(".parquet")))
+    )
+
+
+def export_log(runs: DataFrame) -> DataFrame:
+    """Every manifest write: (c_custkey + view_ord) % 3 writes per (run, view)."""
+    from demandlake.constants import VIEWS
+
+    views = F.array(*[F.lit(v) for v in VIEWS])
+    rv = runs.select("*", F.posexplode(views).alias("view_ord", "view"))
+    n = (F.col("c_custkey") + F.col("view_ord")) % 3
+    w = rv.withColumn("n_writes_planned", n).filter(F.col("n_writes_planned") > 0).select(
+        "*", F.explode(F.sequence(F.lit(1), F.col("n_writes_planned").cast("int"))).alias("seq")
+    )
+    return w.select(
+        "run_id", "c_custkey", "view", "view_ord", F.col("seq").cast("bigint").alias("seq"),
+        F.timestamp_seconds(F.lit(1787270400) + F.col("c_custkey") * 60 + F.col("view_ord") * 10 + F.col("seq")).alias("ts"),
+        (((F.col("c_custkey") * 7 + F.col("view_ord") * 3 + F.col("seq")) % 5) * 10).cast("bigint").alias("row_count"),
+        dataset_file(F.col("view"), F.col("granularity")).alias("file"),
+        F.concat(F.lit("https://wordstat.example/?run="), F.col("c_custkey").cast("string"), F.lit("&v="),
+                 F.col("view_ord").cast("string"), F.lit("&s="), F.col("seq").cast("string")).alias("source_url"),
+        ((F.col("c_custkey") + F.col("view_ord")) % 7 != 0).alias("file_present"),
+    )
+
+
+# ------------------------------------------------------------------ batches
+def conversation_attempts(conversations: DataFrame) -> DataFrame:
+    from demandlake.constants import VIEWS
+
+    views = F.array(*[F.lit(v) for v in VIEWS])
+    n = F.length("text")
+    c = conversations.select(
+        F.col("conv_id").alias("batch_id"),
+        F.col("turn").alias("phrase_ord"),
+        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("run_id"),
+        n.alias("len"),
+        F.posexplode(views).alias("view_ord", "view"),
+    )
+    L = F.col("len")
+    timeout = (L % 11 == 0) & (F.col("view_ord") == L % 4)
+    iface = (L % 13 == 0) & (F.col("view_ord") == F.expr("(len div 13) % 4"))
+    return c.select(
+        "batch_id", "phrase_ord", "run_id", "view", "view_ord",
+        F.when(timeout, F.lit("DOWNLOAD_TIMEOUT")).when(iface, F.lit("INTERFACE_CHANGED")).alias("fail_code"),
+        F.when(timeout, F.lit("Wordstat did not produce a CSV before the download timeout"))
+        .when(iface, F.lit("Wordstat returned an unexpected daily dynamics date format")).alias("fail_message"),
+        (L % 17 == 0).alias("auth_lost"),
+    )
+
+
+# ------------------------------------------------------------------ landing
+LANDING_ROOTS = ("/data/out/.downloads-a", "/data/out/runs/r1")
+
+
+def page_files(pages: DataFrame) -> DataFrame:
+    k = F.col("page_id")
+    root = F.element_at(F.array(F.lit("/data/out/.downloads-a"), F.lit("/data/out/runs/r1"), F.lit("/home/user/Downloads")),
+                        (k % 3 + 1).cast("int"))
+    ext = F.element_at(F.array(F.lit(".csv"), F.lit(".CSV"), F.lit(".html"), F.lit(".csv.crdownload")), (k % 4 + 1).cast("int"))
+    name = F.concat(F.lit("page-"), k.cast("string"), ext)
+    path = F.when(k % 10 == 7, F.concat(F.lit("/data/out/.downloads-a/../../../home/user/"), name)).otherwise(
+        F.concat(root, F.lit("/"), name))
+    return pages.select(
+        "page_id", path.alias("path"),
+        F.when(k % 9 == 0, F.lit(0)).otherwise(F.length("html")).cast("bigint").alias("length"),
+    )

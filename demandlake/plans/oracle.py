@@ -242,3 +242,392 @@ ORACLE["actual_period"] = _SERIES_ALL + r"""
 SELECT export_id, field, first_label AS period_from, last_label AS period_to, n AS row_count
 FROM v
 """
+
+
+# ------------------------------------------------------------------ requests
+_REQ = r"""
+WITH r AS (
+  SELECT o_orderkey, o_custkey, o_orderpriority,
+    CASE o_orderkey % 3 WHEN 0 THEN 'monthly' WHEN 1 THEN 'weekly' ELSE 'daily' END AS granularity,
+    CASE WHEN o_orderkey % 19 = 0 THEN NULL
+         WHEN o_orderkey % 13 = 0 THEN CAST(o_orderdate AS DATE) + 8000 ELSE CAST(o_orderdate AS DATE) + 9131 END AS date_from,
+    CASE WHEN o_orderkey % 19 = 0 OR o_orderkey % 17 = 0 THEN NULL
+         ELSE (CASE WHEN o_orderkey % 13 = 0 THEN CAST(o_orderdate AS DATE) + 8000 ELSE CAST(o_orderdate AS DATE) + 9131 END)
+              + CAST(o_orderkey % 120 - 10 AS INTEGER) END AS date_to
+  FROM orders)
+"""
+
+
+def _period_reason(g: str, df: str, dt: str) -> str:
+    return f"""CASE WHEN ({df} IS NULL) <> ({dt} IS NULL) THEN 'together'
+      WHEN {df} IS NULL THEN NULL
+      WHEN {df} < DATE '2018-01-01' OR {dt} < DATE '2018-01-01' THEN 'too_early'
+      WHEN {dt} < {df} THEN 'reversed'
+      WHEN {g} = 'daily' AND {dt} > DATE '2026-08-21' THEN 'daily_future'
+      WHEN {g} = 'daily' AND date_diff('day', {df}, {dt}) >= 60 THEN 'daily_span'
+      WHEN {g} = 'daily' AND date_diff('day', {df}, DATE '2026-08-21') > 60 THEN 'daily_age'
+      WHEN {g} = 'weekly' AND date_diff('day', {df}, {dt}) < 20 THEN 'weekly_span'
+      WHEN {g} NOT IN ('daily', 'weekly')
+           AND {dt} < CAST(last_day(date_trunc('month', {df}) + INTERVAL 2 MONTH) AS DATE) THEN 'monthly_span'
+    END"""
+
+
+_PERIOD_MSG = """CASE {r}
+      WHEN 'together' THEN '--date-from and --date-to must be provided together'
+      WHEN 'too_early' THEN 'The requested period cannot include dates before January 2018'
+      WHEN 'reversed' THEN 'The period end date must not be earlier than its start date'
+      WHEN 'daily_future' THEN 'Daily statistics cannot be requested after today'
+      WHEN 'daily_span' THEN 'Daily statistics support at most 60 calendar days'
+      WHEN 'daily_age' THEN 'Daily statistics cannot start more than 60 days in the past'
+      WHEN 'weekly_span' THEN 'Weekly statistics require at least three calendar weeks'
+      WHEN 'monthly_span' THEN 'Monthly statistics require at least three calendar months'
+      WHEN 'no_phrases' THEN 'At least one search phrase is required'
+      WHEN 'blank_region' THEN 'The region must not be empty'
+      WHEN 'blank_phrase' THEN 'The search phrase must not be empty'
+      WHEN 'resume_needs_one' THEN '--resume-dir requires exactly one phrase'
+    END"""
+
+ORACLE["validate_period"] = _REQ + f"""
+, v AS (SELECT *, {_period_reason('granularity', 'date_from', 'date_to')} AS reason FROM r)
+SELECT o_orderkey, granularity, strftime(date_from, '%Y-%m-%d') AS date_from, strftime(date_to, '%Y-%m-%d') AS date_to,
+       reason, {_PERIOD_MSG.format(r='reason')} AS message
+FROM v
+"""
+
+ORACLE["parse_iso_date"] = _REQ + r"""
+, t AS (
+  SELECT o_orderkey, date_from, o_orderkey % 4 AS k,
+    CASE o_orderkey % 4
+      WHEN 0 THEN strftime(date_from, '%Y-%m-%d')
+      WHEN 1 THEN CAST(year(date_from) AS VARCHAR) || '-' || CAST(month(date_from) AS VARCHAR) || '-' || CAST(day(date_from) AS VARCHAR)
+      WHEN 2 THEN strftime(date_from, '%Y-%m') || '-31'
+      ELSE strftime(date_from, '%d.%m.%Y') END AS text
+  FROM r),
+p AS (
+  SELECT o_orderkey, text,
+    CASE WHEN k IN (0, 1) THEN strftime(date_from, '%Y-%m-%d')
+         WHEN k = 2 AND day(last_day(date_from)) = 31 THEN strftime(date_from, '%Y-%m') || '-31' END AS parsed
+  FROM t)
+SELECT o_orderkey, text, parsed,
+       CASE WHEN text IS NOT NULL AND parsed IS NULL THEN 'Invalid date ''' || text || '''; expected YYYY-MM-DD' END
+         AS error_message
+FROM p
+"""
+
+ORACLE["requested_period"] = _REQ + r"""
+SELECT o_orderkey,
+  CASE WHEN date_from IS NOT NULL AND date_to IS NOT NULL THEN strftime(date_from, '%Y-%m-%d') END AS req_from,
+  CASE WHEN date_from IS NOT NULL AND date_to IS NOT NULL THEN strftime(date_to, '%Y-%m-%d') END AS req_to,
+  strftime(CAST(last_day(date_trunc('month', date_from) + INTERVAL 2 MONTH) AS DATE), '%Y-%m-%d') AS min_monthly_end
+FROM r
+"""
+
+ORACLE["validate_batch"] = _REQ + f"""
+, b AS (
+  SELECT o_custkey AS batch_id, count(*) AS n_phrases,
+    bool_or(o_orderkey % 23 = 0) AS any_blank,
+    arg_min(struct_pack(g := granularity, df := date_from, dt := date_to), o_orderkey) AS first_req,
+    o_custkey % 29 = 0 AS blank_region, o_custkey % 31 = 0 AS resume
+  FROM r GROUP BY o_custkey),
+b2 AS (SELECT *, first_req.g AS g, first_req.df AS df, first_req.dt AS dt FROM b),
+p AS (SELECT *, {_period_reason('g', 'df', 'dt')} AS period_reason FROM b2),
+q AS (
+  SELECT *, CASE WHEN period_reason IS NOT NULL THEN period_reason
+                 WHEN n_phrases = 0 THEN 'no_phrases'
+                 WHEN blank_region THEN 'blank_region'
+                 WHEN any_blank THEN 'blank_phrase'
+                 WHEN resume AND n_phrases <> 1 THEN 'resume_needs_one' END AS reason
+  FROM p)
+SELECT batch_id, n_phrases, reason,
+  CASE WHEN period_reason IS NOT NULL THEN 'INVALID_PERIOD' WHEN reason IS NOT NULL THEN 'INVALID_REQUEST' END AS error_code,
+  {_PERIOD_MSG.format(r='reason')} AS error_message
+FROM q
+"""
+
+# ------------------------------------------------------------------ naming
+_SLUG = r"""coalesce(nullif(substring(lower(regexp_replace(regexp_replace(text, '[^0-9A-Za-zА-Яа-я]+', '-', 'g'),
+                  '^-+|-+$', '', 'g')), 1, 64), ''), 'query')"""
+
+ORACLE["slugify"] = f"SELECT doc_id, {_SLUG} AS slug FROM documents"
+
+ORACLE["run_key"] = f"""
+WITH b AS (SELECT doc_id, '20260821T100000Z-' || {_SLUG} AS base FROM documents),
+n AS (SELECT doc_id, base, row_number() OVER (PARTITION BY base ORDER BY doc_id) AS n FROM b)
+SELECT doc_id, CASE WHEN n = 1 THEN base ELSE base || '-' || CAST(n AS VARCHAR) END AS run_key FROM n
+"""
+
+_GEN = ["января", "февраля", "марта", "апреля", "мая", "июня", "июля", "августа", "сентября", "октября", "ноября",
+        "декабря"]
+_NOM = ["январь", "февраль", "март", "апрель", "май", "июнь", "июль", "август", "сентябрь", "октябрь", "ноябрь",
+        "декабрь"]
+
+
+def _month(names, d):
+    return f"(CASE month({d}) " + " ".join(f"WHEN {i + 1} THEN '{m}'" for i, m in enumerate(names)) + " END)"
+
+
+def _day_gen(d):
+    return f"CAST(day({d}) AS VARCHAR) || ' ' || {_month(_GEN, d)}"
+
+
+_MON = "CAST(date_trunc('week', date_from) AS DATE)"
+
+ORACLE["period_label"] = _REQ + f"""
+SELECT o_orderkey, granularity,
+  CASE granularity
+    WHEN 'monthly' THEN {_month(_NOM, 'date_from')} || ' ' || CAST(year(date_from) AS VARCHAR)
+    WHEN 'daily' THEN {_day_gen('date_from')}
+    ELSE {_day_gen(_MON)} || ' ' || CAST(year({_MON}) AS VARCHAR) END AS label
+FROM r WHERE date_from IS NOT NULL
+"""
+
+_SUN = f"({_MON} + 6)"
+
+ORACLE["label_granularity"] = _REQ + f"""
+SELECT o_orderkey,
+  CASE o_orderkey % 4
+    WHEN 0 THEN {_day_gen('date_from')}
+    WHEN 1 THEN {_day_gen(_MON)} || ' ' || CAST(year({_MON}) AS VARCHAR) || ' – ' || {_day_gen(_SUN)} || ' '
+                || CAST(year({_SUN}) AS VARCHAR)
+    WHEN 2 THEN {_month(_NOM, 'date_from')} || ' ' || CAST(year(date_from) AS VARCHAR)
+    ELSE strftime(date_from, '%d.%m.%Y') END AS label,
+  CASE o_orderkey % 4 WHEN 0 THEN 'daily' WHEN 1 THEN 'weekly' WHEN 2 THEN 'monthly' END AS granularity
+FROM r WHERE date_from IS NOT NULL
+"""
+
+_VIEWS_CASE = "CASE {x} WHEN 0 THEN 'top_popular' WHEN 1 THEN 'top_related' WHEN 2 THEN 'dynamics' ELSE 'regions' END"
+
+
+def _file(view, g):
+    return (f"CASE WHEN {view} = 'dynamics' AND {g} = 'monthly' THEN 'dynamics.parquet' "
+            f"WHEN {view} = 'dynamics' THEN 'dynamics_' || {g} || '.parquet' ELSE {view} || '.parquet' END")
+
+
+ORACLE["dataset_name"] = _REQ + f"""
+, v AS (SELECT o_orderkey, {_VIEWS_CASE.format(x='o_orderkey % 4')} AS view, granularity FROM r)
+SELECT o_orderkey, view, granularity, {_file('view', 'granularity')} AS file,
+       CASE WHEN o_orderkey % 2 = 0 THEN view || '.csv' END AS raw_file
+FROM v
+"""
+
+# ------------------------------------------------------------------ manifests
+_LOG = f"""
+WITH runs AS (
+  SELECT 'run-' || CAST(c_custkey AS VARCHAR) AS run_id, c_custkey, c_name AS phrase, coalesce(n.n_name, '') AS region,
+         CASE c_custkey % 3 WHEN 0 THEN 'monthly' WHEN 1 THEN 'weekly' ELSE 'daily' END AS granularity
+  FROM customer LEFT JOIN nation n ON c_nationkey = n.n_nationkey),
+rv AS (
+  SELECT runs.*, v.view_ord, {_VIEWS_CASE.format(x='v.view_ord')} AS view
+  FROM runs, (VALUES (0), (1), (2), (3)) v(view_ord)),
+log AS (
+  SELECT run_id, c_custkey, view, view_ord, CAST(s.seq AS BIGINT) AS seq,
+         1787270400 + c_custkey * 60 + view_ord * 10 + s.seq AS ts,
+         CAST(((c_custkey * 7 + view_ord * 3 + s.seq) % 5) * 10 AS BIGINT) AS row_count,
+         {_file('view', 'granularity')} AS file,
+         'https://wordstat.example/?run=' || CAST(c_custkey AS VARCHAR) || '&v=' || CAST(view_ord AS VARCHAR)
+           || '&s=' || CAST(s.seq AS VARCHAR) AS source_url,
+         (c_custkey + view_ord) % 7 <> 0 AS file_present
+  FROM rv, generate_series(1, (c_custkey + view_ord) % 3) s(seq)
+  WHERE (c_custkey + view_ord) % 3 > 0),
+merged AS (
+  SELECT run_id, view, any_value(view_ord) AS view_ord, max(seq) AS seq, arg_max(row_count, seq) AS row_count,
+         arg_max(file, seq) AS file, count(*) AS n_writes, arg_max(file_present, seq) AS file_present
+  FROM log GROUP BY run_id, view)
+"""
+
+ORACLE["merge_exports"] = _LOG + """
+SELECT run_id, view, CAST(view_ord AS INTEGER) AS view_ord, seq, row_count, file, n_writes FROM merged
+"""
+
+ORACLE["missing_views"] = _LOG + """
+SELECT rv.run_id, rv.view, CAST(rv.view_ord AS INTEGER) AS view_ord
+FROM rv LEFT JOIN merged m ON rv.run_id = m.run_id AND rv.view = m.view WHERE m.run_id IS NULL
+"""
+
+ORACLE["pending_views"] = _LOG + """
+SELECT rv.run_id, rv.view, CAST(rv.view_ord AS INTEGER) AS view_ord
+FROM rv LEFT JOIN merged m ON rv.run_id = m.run_id AND rv.view = m.view
+WHERE m.run_id IS NULL OR NOT m.file_present
+"""
+
+ORACLE["prune_stale"] = _LOG + """
+, c AS (SELECT run_id, count(*) AS n_before, count(*) FILTER (WHERE file_present) AS n_after FROM merged GROUP BY run_id)
+SELECT runs.run_id, coalesce(c.n_before, 0) AS n_before, coalesce(c.n_after, 0) AS n_after,
+       coalesce(c.n_after, 0) < coalesce(c.n_before, 0) AS bumped
+FROM runs LEFT JOIN c ON runs.run_id = c.run_id
+"""
+
+ORACLE["run_status"] = _LOG + """
+, s AS (
+  SELECT rv.run_id,
+    string_agg(CASE WHEN m.run_id IS NULL THEN rv.view END, ',' ORDER BY rv.view_ord) AS missing,
+    string_agg(CASE WHEN m.row_count = 0 THEN rv.view END, ',' ORDER BY rv.view_ord) AS empty,
+    count(*) FILTER (WHERE m.run_id IS NULL) AS n_missing,
+    count(*) FILTER (WHERE m.row_count = 0) AS n_empty
+  FROM rv LEFT JOIN merged m ON rv.run_id = m.run_id AND rv.view = m.view GROUP BY rv.run_id)
+SELECT run_id, CAST(n_missing AS INTEGER) AS n_missing, CAST(n_empty AS INTEGER) AS n_empty,
+       CASE WHEN n_missing > 0 OR n_empty > 0 THEN 'incomplete' ELSE 'complete' END AS status,
+       coalesce(missing, '') AS missing, coalesce(empty, '') AS empty
+FROM s
+"""
+
+ORACLE["duplicate_views"] = _LOG + """
+, c AS (SELECT run_id, view, count(*) AS n FROM log GROUP BY run_id, view)
+SELECT run_id, bool_or(n > 1) AS duplicate,
+       coalesce(string_agg(CASE WHEN n > 1 THEN view END, ',' ORDER BY CASE WHEN n > 1 THEN view END), '') AS dup_views
+FROM c GROUP BY run_id
+"""
+
+ORACLE["manifest_timestamps"] = _LOG + """
+SELECT run_id, min(ts) AS created_at, max(ts) AS updated_at, arg_max(source_url, ts) AS source_url
+FROM log GROUP BY run_id
+"""
+
+ORACLE["resume_match"] = _LOG + """
+, req AS (
+  SELECT CASE WHEN c_custkey % 13 = 6 THEN 'run-' || CAST(c_custkey + 1000000 AS VARCHAR) ELSE run_id END AS run_id,
+         CASE WHEN c_custkey % 5 = 2 THEN 'x' ELSE '' END AS phrase_suffix,
+         c_custkey % 7 = 3 AS other_region, c_custkey % 11 = 4 AS other_g
+  FROM runs)
+SELECT req.run_id,
+  CASE WHEN runs.run_id IS NULL THEN 'missing_manifest'
+       WHEN phrase_suffix <> '' OR other_region THEN 'phrase_region_mismatch'
+       WHEN other_g THEN 'period_mismatch' ELSE 'ok' END AS match
+FROM req LEFT JOIN runs ON req.run_id = runs.run_id
+"""
+
+# ------------------------------------------------------------------ batches
+_ATT = f"""
+WITH a AS (
+  SELECT conv_id AS batch_id, turn AS phrase_ord, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS run_id,
+         length(text) AS len, v.view_ord, {_VIEWS_CASE.format(x='v.view_ord')} AS view
+  FROM conversations, (VALUES (0), (1), (2), (3)) v(view_ord)),
+f AS (
+  SELECT *,
+    CASE WHEN len % 11 = 0 AND view_ord = len % 4 THEN 'DOWNLOAD_TIMEOUT'
+         WHEN len % 13 = 0 AND view_ord = (len // 13) % 4 THEN 'INTERFACE_CHANGED' END AS fail_code,
+    CASE WHEN len % 11 = 0 AND view_ord = len % 4 THEN 'DownloadTimeoutError: Wordstat did not produce a CSV before the download timeout'
+         WHEN len % 13 = 0 AND view_ord = (len // 13) % 4
+           THEN 'InterfaceChangedError: Wordstat returned an unexpected daily dynamics date format' END AS err_text,
+    len % 17 = 0 AS auth_lost
+  FROM a),
+auth AS (SELECT batch_id, min(phrase_ord) FILTER (WHERE auth_lost) AS auth_ord FROM f GROUP BY batch_id),
+ps AS (
+  SELECT f.*, CASE WHEN auth_ord IS NULL OR phrase_ord < auth_ord THEN 'attempted'
+                   WHEN phrase_ord = auth_ord THEN 'auth_failed' ELSE 'skipped' END AS phrase_state
+  FROM f JOIN auth USING (batch_id)),
+fb AS (
+  SELECT *, min(CASE WHEN fail_code IS NOT NULL THEN view_ord END)
+              OVER (PARTITION BY run_id ORDER BY view_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fb_ord
+  FROM ps),
+cut AS (
+  SELECT *,
+    CASE WHEN phrase_state = 'skipped' THEN 'skipped'
+         WHEN phrase_state = 'auth_failed' THEN 'auth_failed'
+         WHEN fb_ord IS NOT NULL THEN 'not_attempted'
+         WHEN fail_code IS NOT NULL THEN 'failed' ELSE 'stored' END AS outcome,
+    CASE WHEN phrase_state IN ('skipped', 'auth_failed') THEN NULL
+         WHEN fb_ord IS NOT NULL THEN 'не пробовался: сбой на виде ' || {_VIEWS_CASE.format(x='fb_ord')}
+         WHEN fail_code IS NOT NULL THEN err_text END AS view_error
+  FROM fb),
+po AS (
+  SELECT run_id, any_value(batch_id) AS batch_id,
+    CASE WHEN bool_or(outcome = 'skipped') THEN 'skipped'
+         WHEN bool_or(outcome = 'auth_failed') THEN 'failure'
+         WHEN bool_or(outcome = 'stored') THEN 'result' ELSE 'failure' END AS outcome,
+    CASE WHEN bool_or(outcome = 'auth_failed') THEN 'AUTH_REQUIRED'
+         WHEN NOT bool_or(outcome = 'stored') AND NOT bool_or(outcome = 'skipped')
+           THEN arg_min(fail_code, CASE WHEN outcome = 'failed' THEN view_ord END) END AS error_code,
+    count(*) FILTER (WHERE outcome <> 'stored') AS n_incomplete
+  FROM cut GROUP BY run_id),
+po2 AS (SELECT *, outcome = 'result' AND n_incomplete > 0 AS partial FROM po)
+"""
+
+ORACLE["auth_abort_cut"] = _ATT + "SELECT batch_id, phrase_ord, phrase_state FROM ps WHERE view_ord = 0"
+
+ORACLE["first_failure_cut"] = _ATT + "SELECT run_id, view, outcome, view_error FROM cut"
+
+ORACLE["phrase_outcome"] = _ATT + "SELECT run_id, outcome, error_code, partial FROM po2"
+
+ORACLE["batch_summary"] = _ATT + """
+SELECT batch_id, count(*) AS total, count(*) FILTER (WHERE outcome = 'result') AS collected,
+       count(*) FILTER (WHERE outcome = 'failure') AS failed, count(*) FILTER (WHERE partial) AS partial,
+       count(*) - count(*) FILTER (WHERE outcome = 'result') - count(*) FILTER (WHERE outcome = 'failure') AS skipped,
+       CASE WHEN count(*) FILTER (WHERE outcome = 'failure') > 0 THEN 1 ELSE 0 END AS exit_code
+FROM po2 GROUP BY batch_id
+"""
+
+ORACLE["incomplete_report"] = _ATT + """
+SELECT c.run_id, c.view, coalesce(c.view_error, 'не собран') AS reason
+FROM cut c JOIN po2 ON c.run_id = po2.run_id
+WHERE po2.outcome = 'result' AND c.outcome <> 'stored'
+"""
+
+ORACLE["phrase_list"] = _DOCS + r"""
+, l AS (SELECT doc_id, lines[i] AS phrase, i FROM (SELECT doc_id, lines, generate_subscripts(lines, 1) AS i FROM s))
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS phrase_ord, phrase
+FROM l WHERE NOT regexp_full_match(phrase, '[\s\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{85}\x1c-\x1f]*')
+"""
+
+# ------------------------------------------------------------------ landing
+_FILES = r"""
+WITH f AS (
+  SELECT page_id,
+    CASE WHEN page_id % 10 = 7 THEN '/data/out/.downloads-a/../../../home/user/'
+         ELSE (CASE page_id % 3 WHEN 0 THEN '/data/out/.downloads-a' WHEN 1 THEN '/data/out/runs/r1'
+               ELSE '/home/user/Downloads' END) || '/' END
+      || 'page-' || CAST(page_id AS VARCHAR)
+      || CASE page_id % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '.CSV' WHEN 2 THEN '.html' ELSE '.csv.crdownload' END AS path,
+    CASE WHEN page_id % 10 = 7 THEN '/home/user/'
+         ELSE (CASE page_id % 3 WHEN 0 THEN '/data/out/.downloads-a' WHEN 1 THEN '/data/out/runs/r1'
+               ELSE '/home/user/Downloads' END) || '/' END
+      || 'page-' || CAST(page_id AS VARCHAR)
+      || CASE page_id % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '.CSV' WHEN 2 THEN '.html' ELSE '.csv.crdownload' END AS norm_path,
+    CAST(CASE WHEN page_id % 9 = 0 THEN 0 ELSE length(html) END AS BIGINT) AS length
+  FROM pages),
+g AS (
+  SELECT *, lower(path) LIKE '%.csv' AS is_csv,
+    starts_with(norm_path, '/data/out/.downloads-a/') OR starts_with(norm_path, '/data/out/runs/r1/') AS contained
+  FROM f)
+"""
+
+ORACLE["landing_scan"] = _FILES + "SELECT page_id, path, is_csv, is_csv AND length > 0 AS accepted FROM g"
+
+ORACLE["path_containment"] = _FILES + "SELECT page_id, norm_path, contained FROM g"
+
+ORACLE["new_files"] = _FILES + """
+SELECT page_id, norm_path FROM g
+WHERE norm_path NOT IN (SELECT norm_path FROM g WHERE page_id % 5 = 0)
+"""
+
+ORACLE["download_verdict"] = _FILES + """
+, t AS (
+  SELECT page_id // 3 AS tick_id,
+    count(*) FILTER (WHERE contained AND is_csv) AS n_csv,
+    count(*) FILTER (WHERE contained AND is_csv AND length > 0) AS n_ready,
+    count(*) FILTER (WHERE NOT contained) AS n_escaped
+  FROM g GROUP BY 1),
+v AS (
+  SELECT *, CASE WHEN n_csv = 1 AND n_ready = 1 THEN 'ok' WHEN n_csv > 1 THEN 'too_many'
+                 WHEN n_escaped > 0 THEN 'escaped' ELSE 'waiting' END AS verdict FROM t)
+SELECT tick_id, n_csv, n_escaped, verdict, verdict = 'ok' AND n_escaped > 0 AS warning FROM v
+"""
+
+ORACLE["untrusted_empty"] = f"""
+WITH p AS (
+  SELECT page_id, {_VIEWS_CASE.format(x='page_id % 4')} AS view,
+    CAST(CASE WHEN length(html) % 4 = 0 THEN 0 ELSE length(html) // 100 END AS BIGINT) AS row_count
+  FROM pages)
+SELECT page_id, view, row_count, view = 'dynamics' AND row_count = 0 AS untrusted FROM p
+"""
+
+ORACLE["quarantine"] = _SUPPLIERS + r"""
+, b AS (
+  SELECT block, any_value(hdr_kind) AS hdr_kind FROM s2 WHERE hdr_kind IS NOT NULL GROUP BY block)
+SELECT 'supplier-' || CAST(block AS VARCHAR) AS export_id, 'supplier-' || CAST(block AS VARCHAR) || '.csv' AS file_name,
+       'CSV_FORMAT' AS error_code,
+       'CSV supplier-' || CAST(block AS VARCHAR) || '.csv ' ||
+         CASE hdr_kind WHEN 0 THEN 'contains duplicate headers' WHEN 1 THEN 'contains an empty header'
+              ELSE 'contains an unparsed delimiter in a header' END AS error_message
+FROM b
+"""
