@@ -472,6 +472,69 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return bad.select("export_id", "file_name", "error_code", "error_message")
 
 
+
+# ------------------------------------------------------------------ sinks: S8, S9, S10
+from demandlake.session import fresh_dir  # noqa: E402
+from demandlake.sources import files as SRC  # noqa: E402
+from demandlake.sources import sinks as SINK  # noqa: E402
+
+
+def typed_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed daily series written wide (zstd, per dtype signature) and read back."""
+    base = fresh_dir(spark, "typed")
+    ex = derive.series_exports(table(spark, sf, "events"), "daily", False)
+    ex.write.mode("overwrite").parquet(f"{base}/landing")
+    typed = ingest_exports(spark.read.parquet(f"{base}/landing"))
+    sigs = SINK.write_wide(typed, f"{base}/wide", ["export_id"])
+    parts = [spark.read.parquet(f"{base}/wide/signature={s}").select(
+        "export_id", "row_ord", F.col("c0").alias("period"), F.col("c1").alias("n"), F.col("c2").alias("share"))
+        for s in sigs if s.startswith("string_int64_float64")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def manifest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifests written as JSON lines with derived fields, loaded back."""
+    base = fresh_dir(spark, "manifests")
+    m = _manifests(spark, sf).select(
+        "run_id", "phrase", "region", F.timestamp_seconds(F.lit(1787270400)).alias("created_at"),
+        F.lit("https://wordstat.example/").alias("source_url"), "granularity", "requested_period",
+        F.transform("exports", lambda e: F.struct(e["view"].alias("view"), e["file"].alias("file"),
+                                                  F.lit(None).cast("string").alias("raw_file"),
+                                                  e["row_count"].alias("row_count"))).alias("exports"),
+    )
+    SINK.write_manifests(m, f"{base}/json")
+    back = M.run_status(SRC.load_manifests(spark, f"{base}/json").filter(F.col("error_code").isNull()))
+    return back.select(
+        "run_id", F.size("missing_views").alias("n_missing"), F.size("empty_views").alias("n_empty"), "status",
+        F.array_join("missing_views", ",").alias("missing"), F.array_join("empty_views", ",").alias("empty"),
+    )
+
+
+# ------------------------------------------------------------------ streaming: T1-T4
+from demandlake.streaming import ingest as STREAM  # noqa: E402
+
+
+def stream_ingest_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily exports landed in two waves, drained by two availableNow runs;
+    the typed series equal the one-shot batch result."""
+    base = fresh_dir(spark, "stream")
+    ex = derive.series_exports(table(spark, sf, "events"), "daily", False)
+    ex.filter(F.col("series_key") < "p").write.mode("append").parquet(f"{base}/landing")
+    STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/checkpoint")
+    ex.filter(F.col("series_key") >= "p").write.mode("append").parquet(f"{base}/landing")
+    STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/checkpoint")
+    cells = STREAM.latest_cells(spark, f"{base}/cells")
+    wide = cells.groupBy("export_id", "verdict", "row_ord").agg(
+        F.max(F.when(F.col("col_ord") == 0, F.col("text"))).alias("period"),
+        F.max(F.when(F.col("col_ord") == 1, F.col("as_long"))).alias("n"),
+        F.max(F.when(F.col("col_ord") == 2, F.col("as_double"))).alias("share"),
+    )
+    return wide.select("export_id", "row_ord", "period", "n", "share", "verdict")
+
+
 QUERIES = {
     "parse_localized_number": parse_localized_number,
     "infer_column_types": infer_column_types,
@@ -515,4 +578,7 @@ QUERIES = {
     "download_verdict": download_verdict_query,
     "untrusted_empty": untrusted_empty_query,
     "quarantine": quarantine,
+    "typed_parquet_roundtrip": typed_parquet_roundtrip,
+    "manifest_roundtrip": manifest_roundtrip,
+    "stream_ingest_equals_batch": stream_ingest_equals_batch,
 }

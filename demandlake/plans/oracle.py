@@ -631,3 +631,14 @@ SELECT 'supplier-' || CAST(block AS VARCHAR) AS export_id, 'supplier-' || CAST(b
               ELSE 'contains an unparsed delimiter in a header' END AS error_message
 FROM b
 """
+
+
+ORACLE["typed_parquet_roundtrip"] = _SERIES_ALL + r"""
+SELECT o.export_id, o.row_ord, o.label AS period, o.volume AS n,
+       CAST(o.share_micro AS DOUBLE) / CAST(100000 AS DOUBLE) AS share
+FROM o WHERE o.granularity = 'daily' AND o.export_id NOT LIKE '%/%'
+"""
+
+ORACLE["manifest_roundtrip"] = ORACLE["run_status"]
+
+ORACLE["stream_ingest_equals_batch"] = ORACLE["typed_daily_series"]
