@@ -14,3 +14,27 @@ def let(value: Column, body) -> Column:
     and computes the value once per row.
     """
     return F.get(F.transform(F.array(value), body), 0)
+
+
+_CACHE: dict = {}
+
+
+def cached_expr(key: tuple, build):
+    """Build a (large, unresolved) Column once per Spark application and reuse it.
+
+    Building an expression costs one JVM call per node; the parse/typing
+    expressions have thousands of nodes, so rebuilding them for every query
+    dominated planning time.  Unresolved Columns reference inputs by name, so
+    one instance serves every DataFrame with those column names."""
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    app = sc.applicationId if sc is not None else None
+    full = (app,) + key
+    col = _CACHE.get(full)
+    if col is None:
+        if len(_CACHE) > 256:
+            _CACHE.clear()
+        col = build()
+        _CACHE[full] = col
+    return col

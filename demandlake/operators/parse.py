@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from demandlake.constants import CSV_FORMAT
 from demandlake.functions.dialect import combine_dialect, consistency_guess, quote_guess, sample_of
 from demandlake.functions.records import header_error, header_message, normalise_rows, parse_fields
-from demandlake.functions.hof import let
+from demandlake.functions.hof import cached_expr, let
 from demandlake.functions.text import decode_bytes, split_lines, strip
 
 
@@ -105,7 +105,8 @@ def parse_exports(df: DataFrame, content: str = "content", name: str = "file_nam
     """
     name_c = F.col(name) if name in df.columns else F.lit("export.csv")
     keep = [c for c in df.columns if c not in PARSE_FIELDS]
-    staged = df.withColumn("_p", parse_struct(F.col(content), name_c))
+    key = ("parse", content, name if name in df.columns else None)
+    staged = df.withColumn("_p", cached_expr(key, lambda: parse_struct(F.col(content), name_c)))
     return staged.select(*keep, *[F.col("_p")[f].alias(f) for f in PARSE_FIELDS])
 
 

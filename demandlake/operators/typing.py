@@ -7,11 +7,11 @@ partial aggregation applies and a hot group never lands whole in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.constants import OVERFLOW
-from demandlake.functions.hof import let
+from demandlake.functions.hof import cached_expr, let
 from demandlake.functions.numbers import (
     EMPTY,
     FRAC,
@@ -31,51 +31,71 @@ def _count_kind(kinds, kind: str):
     return F.size(F.filter(kinds, lambda k: k == F.lit(kind)))
 
 
-def type_exports(parsed: DataFrame) -> DataFrame:
-    """Add ``parsed_rows`` and ``columns ARRAY<STRUCT<col_ord, header, dtype, n_text,
-    n_frac, n_int, n_wide, n_overflow, overflow>>`` (header order), and raise
-    an export whose typed column cannot be written to ``OVERFLOW``."""
-    with_parsed = parsed.withColumn(
-        "parsed_rows", F.transform("rows", lambda r: F.transform(r, lambda c: parse_number(c)))
-    )
+def type_struct(rows: Column, headers: Column) -> Column:
+    """A1 inside one export: STRUCT<parsed_rows, columns, bad>.
 
-    def column(j):
-        kinds = F.transform(F.col("parsed_rows"), lambda pr: F.get(pr, j)["kind"])
+    ``columns`` is ARRAY<STRUCT<col_ord, header, dtype, n_text, n_frac, n_int,
+    n_wide, n_overflow, overflow>> in header order; ``bad`` is true when a
+    typed column cannot be written (int64 overflow or inexact float64)."""
 
-        def with_counts(n):
-            dtype = dtype_from_counts(n["text"], n["frac"], n["int"], n["int_wide"], n["int_overflow"])
+    def with_parsed(pr_all):
+        def column(j):
+            kinds = F.transform(pr_all, lambda pr: F.get(pr, j)["kind"])
 
-            def build(dt):
-                return F.struct(
-                    j.alias("col_ord"),
-                    F.get(F.col("headers"), j).alias("header"),
-                    dt.alias("dtype"),
-                    n["text"].alias("n_text"),
-                    n["frac"].alias("n_frac"),
-                    n["int"].alias("n_int"),
-                    n["int_wide"].alias("n_wide"),
-                    n["int_overflow"].alias("n_overflow"),
-                    overflows(dt, n["int_wide"], n["int_overflow"]).alias("overflow"),
-                )
+            def with_counts(n):
+                dtype = dtype_from_counts(n["text"], n["frac"], n["int"], n["int_wide"], n["int_overflow"])
 
-            return let(dtype, build)
+                def build(dt):
+                    return F.struct(
+                        j.alias("col_ord"),
+                        F.get(headers, j).alias("header"),
+                        dt.alias("dtype"),
+                        n["text"].alias("n_text"),
+                        n["frac"].alias("n_frac"),
+                        n["int"].alias("n_int"),
+                        n["int_wide"].alias("n_wide"),
+                        n["int_overflow"].alias("n_overflow"),
+                        overflows(dt, n["int_wide"], n["int_overflow"]).alias("overflow"),
+                    )
 
-        return let(kinds, lambda ks: let(F.struct(*[_count_kind(ks, k).alias(k) for k in KINDS]), with_counts))
+                return let(dtype, build)
 
-    cols = F.when(
-        F.size("headers") > 0, F.transform(F.sequence(F.lit(0), F.size("headers") - 1), column)
-    )
-    typed = with_parsed.withColumn("columns", cols).withColumn(
-        "_bad", F.coalesce(F.exists(F.col("columns"), lambda c: c["overflow"]), F.lit(False))
-    )
-    bad = F.col("_bad") & F.col("error_code").isNull()
-    return typed.select(
-        *[c for c in typed.columns if c not in ("error_code", "error_reason", "error_message", "_bad")],
-        F.when(bad, F.lit(OVERFLOW)).otherwise(F.col("error_code")).alias("error_code"),
-        F.when(bad, F.lit("overflow")).otherwise(F.col("error_reason")).alias("error_reason"),
-        F.when(bad, F.concat(F.lit("Integer value out of range in "), F.col("file_name"))).otherwise(
-            F.col("error_message")).alias("error_message"),
-    )
+            return let(kinds, lambda ks: let(F.struct(*[_count_kind(ks, k).alias(k) for k in KINDS]), with_counts))
+
+        cols = F.when(F.size(headers) > 0, F.transform(F.sequence(F.lit(0), F.size(headers) - 1), column))
+
+        def finish(cs):
+            bad = F.coalesce(F.exists(cs, lambda c: c["overflow"]), F.lit(False))
+            return F.struct(pr_all.alias("parsed_rows"), cs.alias("columns"), bad.alias("bad"))
+
+        return let(cols, finish)
+
+    return let(F.transform(rows, lambda r: F.transform(r, lambda c: parse_number(c))), with_parsed)
+
+
+def typed_fields(p: Column, t: Column, file_name: Column) -> dict[str, Column]:
+    """Typing outputs plus the error fields raised to OVERFLOW when needed."""
+    bad = t["bad"] & p["error_code"].isNull()
+    return {
+        "parsed_rows": t["parsed_rows"],
+        "columns": t["columns"],
+        "error_code": F.when(bad, F.lit(OVERFLOW)).otherwise(p["error_code"]),
+        "error_reason": F.when(bad, F.lit("overflow")).otherwise(p["error_reason"]),
+        "error_message": F.when(bad, F.concat(F.lit("Integer value out of range in "), file_name)).otherwise(
+            p["error_message"]),
+    }
+
+
+def type_exports(parsed: DataFrame) -> DataFrame:
+    """Add ``parsed_rows`` and ``columns`` (see ``type_struct``) to parsed exports
+    and raise an export whose typed column cannot be written to ``OVERFLOW``."""
+    name = F.col("file_name") if "file_name" in parsed.columns else F.lit("export.csv")
+    staged = parsed.withColumn("_t", cached_expr(("type",), lambda: type_struct(F.col("rows"), F.col("headers"))))
+    p = F.struct(F.col("error_code").alias("error_code"), F.col("error_reason").alias("error_reason"),
+                 F.col("error_message").alias("error_message"))
+    fields = typed_fields(p, F.col("_t"), name)
+    keep = [c for c in parsed.columns if c not in fields]
+    return staged.select(*keep, *[v.alias(k) for k, v in fields.items()])
 
 
 def dtypes_array(typed: DataFrame) -> DataFrame:

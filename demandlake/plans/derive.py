@@ -193,9 +193,11 @@ def series_exports(events: DataFrame, granularity: str, by_user: bool = False) -
         "event_type", "user_id", start.alias("p"),
         F.round(F.col("value") * 100).cast("bigint").alias("vol"),
     )
-    totals = ev.groupBy("p").agg(F.sum("vol").alias("total"))
     key_cols = ["event_type", "user_id"] if by_user else ["event_type"]
-    per = ev.groupBy(*key_cols, "p").agg(F.sum("vol").alias("volume")).join(totals, "p")
+    per = ev.groupBy(*key_cols, "p").agg(F.sum("vol").alias("volume"))
+    # Period totals from the per-series partial sums: one scan of events.
+    totals = per.groupBy("p").agg(F.sum("volume").alias("total"))
+    per = per.join(totals, "p")
     share_micro = F.when(F.col("total") > 0, F.expr("(volume * 200000 + total) div (2 * total)")).otherwise(F.lit(0))
     share_txt = F.concat(
         F.floor(share_micro / F.lit(100000)).cast("bigint").cast("string"),

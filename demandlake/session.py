@@ -18,6 +18,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Exports are small in bytes but CPU-heavy to parse: let AQE keep
+        # enough post-shuffle partitions to use every core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
