@@ -233,14 +233,15 @@ def validate_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ P4, S12, W3, P8, P9, P10, S11
 from demandlake.functions.text import slugify as _slugify  # noqa: E402
+from demandlake.session import spread  # noqa: E402
 
 
 def slugify_query(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", _slugify(F.col("text")).alias("slug"))
+    return spread(table(spark, sf, "documents")).select("doc_id", _slugify(F.col("text")).alias("slug"))
 
 
 def run_key(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents")).select(
         "doc_id", "text", F.to_timestamp(F.lit("2026-08-21 10:00:00")).alias("now"))
     return R.run_keys(docs, order="doc_id", now="now", phrase="text").select("doc_id", "run_key")
 
@@ -474,7 +475,7 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ sinks: S8, S9, S10
-from demandlake.session import fresh_dir  # noqa: E402
+from demandlake.session import fresh_dir, spread  # noqa: E402
 from demandlake.sources import files as SRC  # noqa: E402
 from demandlake.sources import sinks as SINK  # noqa: E402
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from demandlake.constants import MONTHS_NOMINATIVE
 from demandlake.functions.dates import week_monday
 from demandlake.functions.text import encode_text
+from demandlake.session import spread
 
 NBSP, NNBSP, THIN, FIGURE = "\u00a0", "\u202f", "\u2009", "\u2007"
 
@@ -170,7 +171,7 @@ def document_exports(documents: DataFrame) -> DataFrame:
     enc = F.element_at(F.array(F.lit("utf-8"), F.lit("utf-8-sig"), F.lit("cp1251")), (F.expr("(doc_id div 3) % 3") + 1).cast("int"))
     eol = F.element_at(F.array(F.lit("\n"), F.lit("\r"), F.lit("\r\n")), (F.pmod(F.col("doc_id"), F.lit(3)) + 1).cast("int"))
     body = F.replace(t, F.lit("\n"), eol)
-    return documents.select(
+    return spread(documents).select(
         "doc_id",
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv")).alias("file_name"),
         encode_text(body, enc).alias("content"),

@@ -56,3 +56,15 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, never reused sub-folder of the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Parallelism floor for CPU-heavy per-row work (text decoding, parsing).
+
+    A small input stored as one row group reads as a single busy task; only
+    then is it spread round-robin over the cluster's cores.  Inputs that
+    already have enough partitions (any large table) are left as they are.
+    """
+    sc = df.sparkSession.sparkContext
+    n = min_partitions or sc.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
