@@ -7,7 +7,7 @@ the oracle SQL in ``demandlake.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandlake.functions.numbers import parse_number
@@ -416,7 +416,8 @@ def phrase_list(spark: SparkSession, sf: str) -> DataFrame:
     from demandlake.functions.text import strip as _strip
 
     kept = lines.filter(_strip(F.col("phrase")) != "")
-    w = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("doc_id").orderBy("line_ord"))
+    # Renumber kept lines within one document (a window bounded by one text).
+    w = F.row_number().over(Window.partitionBy("doc_id").orderBy("line_ord"))
     return kept.select("doc_id", (w - 1).cast("int").alias("phrase_ord"), "phrase")
 
 

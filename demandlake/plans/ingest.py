@@ -52,6 +52,4 @@ def ingest_exports(landing: DataFrame, with_series: bool = True, content: str =
     staged = landing.withColumn("_i", expr)
     out_fields = [f.name for f in staged.schema["_i"].dataType.fields]
     keep = [c for c in cols if c not in out_fields and c != content]
-    if "date_from" not in cols and series:
-        keep += []
     return staged.select(*keep, *[F.col("_i")[f].alias(f) for f in out_fields])
