@@ -40,6 +40,16 @@ def infer_column_types(spark: SparkSession, sf: str) -> DataFrame:
     return prof.select("export_id", "col_ord", "header", "dtype")
 
 
+def merge_column_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 across exports: one dtype per column position over every part block,
+    from additive kind counts (partial aggregation before the shuffle)."""
+    from demandlake.operators.typing import merge_profiles
+
+    prof = column_profile(_typed_parts(spark, sf), ["export_id"])
+    merged = merge_profiles(prof, ["col_ord", "header"])
+    return merged.select("col_ord", "header", "dtype", "n_exports", "n_text", "n_frac", "n_int")
+
+
 def typed_cells_query(spark: SparkSession, sf: str) -> DataFrame:
     return typed_cells(_typed_parts(spark, sf), ["export_id"])
 
@@ -541,6 +551,7 @@ QUERIES = {
     "parse_localized_number": parse_localized_number,
     "infer_column_types": infer_column_types,
     "typed_cells": typed_cells_query,
+    "merge_column_profiles": merge_column_profiles,
     "decode_exports": decode_exports_query,
     "split_records": split_records,
     "elect_delimiter": elect_delimiter,

@@ -74,6 +74,27 @@ SELECT 'part-' || CAST(c.block AS VARCHAR) AS export_id, c.row_ord, CAST(c.col_o
 FROM cells c JOIN dt d ON c.block = d.block AND c.col_ord = d.col_ord
 """
 
+ORACLE["merge_column_profiles"] = _PART_CELLS + r"""
+, k AS (
+  SELECT c.col_ord, d.header, c.block,
+    CASE WHEN c.col_ord IN (1, 4) THEN 'text'
+         WHEN c.col_ord = 5 THEN 'empty'
+         WHEN c.col_ord = 2 AND c.text = 'н/д' THEN 'text'
+         WHEN c.col_ord = 2 AND c.text = '' THEN 'empty'
+         WHEN c.col_ord = 3 AND position(',' IN c.text) > 0 THEN 'frac'
+         ELSE 'int' END AS kind
+  FROM cells c JOIN dt d ON c.block = d.block AND c.col_ord = d.col_ord),
+m AS (
+  SELECT col_ord, header, count(DISTINCT block) AS n_exports,
+         count(*) FILTER (WHERE kind = 'text') AS n_text, count(*) FILTER (WHERE kind = 'frac') AS n_frac,
+         count(*) FILTER (WHERE kind = 'int') AS n_int
+  FROM k GROUP BY col_ord, header)
+SELECT CAST(col_ord AS INTEGER) AS col_ord, header,
+  CASE WHEN n_text > 0 THEN 'string' WHEN n_frac + n_int = 0 THEN 'string' WHEN n_frac > 0 THEN 'float64' ELSE 'int64' END
+    AS dtype, n_exports, n_text, n_frac, n_int
+FROM m
+"""
+
 _DOCS = r"""
 WITH d AS (
   SELECT doc_id,
