@@ -24,9 +24,12 @@ LANDING_SCHEMA = T.StructType([
 def landing_scan(spark: SparkSession, root: str) -> DataFrame:
     """Every regular file under ``root`` whose name ends in .csv (any case).
 
-    ``accepted`` = size > 0 (a zero-size file is still being written but still
-    counts as a new csv).  Files Spark cannot hold whole are flagged
-    ``too_large`` and routed to quarantine, never dropped.
+    ``accepted`` = size > 0.  Spark's file scan never yields zero-length
+    files, so a file still being written (size 0) is simply not seen here;
+    the in-flight count that A9 needs comes from the ``files`` listing
+    (path, length) that ``operators.landing.download_verdict`` takes.  Files
+    Spark cannot hold whole are flagged ``too_large`` and routed to
+    quarantine, never dropped.
     """
     df = (
         spark.read.format("binaryFile")
