@@ -133,16 +133,14 @@ def typed_daily_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all_series(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [
-        _series(spark, sf, "daily", False),
-        _series(spark, sf, "daily", True),
-        _series(spark, sf, "weekly", False),
-        _series(spark, sf, "monthly", False),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Daily (per type and per user), weekly and monthly exports, landed
+    together and ingested in one pass."""
+    events = table(spark, sf, "events")
+    variants = [("daily", False), ("daily", True), ("weekly", False), ("monthly", False)]
+    landing = derive.series_exports(events, *variants[0])
+    for g, by_user in variants[1:]:
+        landing = landing.unionByName(derive.series_exports(events, g, by_user))
+    return ingest_exports(landing)
 
 
 def series_contiguity(spark: SparkSession, sf: str) -> DataFrame:

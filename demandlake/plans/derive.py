@@ -27,8 +27,19 @@ PART_BLOCK = 50
 ORDER_BLOCK = 64
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given (read-only) table.  The DataFrame is memoised per application
+    so its footer/schema inference job runs once, not once per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def grouped_thousands(n: Column, sep: Column | str) -> Column:
