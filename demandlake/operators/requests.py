@@ -68,27 +68,37 @@ def run_keys(requests: DataFrame, order: str, now: str = "now", phrase: str = "p
              existing: DataFrame | None = None, bucket_size: int = 4096) -> DataFrame:
     """S12 + W3: ``<UTC yyyyMMdd'T'HHmmss'Z'>-<slug>`` with '-2', '-3', ... on collisions.
 
-    Collisions are numbered in ``order`` (plus ``existing`` keys, which come
-    first).  Skew-safe ranking: rows are grouped into (base, order bucket)
-    cells of at most ``bucket_size`` orders when ``order`` is a unique
-    integer; bucket counts (small) get a running offset, and only a bucket
-    is ranked by a window, so one hot base never lands whole in one task.
+    Collisions are numbered in ``order`` (a unique integer), after any
+    ``existing`` keys with the same base.  Skew-safe ranking: rows fall in
+    (base, b1 = order div B) cells, cells in (base, b2 = b1 div B) blocks;
+    running offsets are summed over block counts, then over cell counts
+    inside a block, and only a cell is ranked row by row.  No window
+    partition holds more than B rows, even when one base holds a third of
+    all requests (it would need more than B^3 rows to exceed that).
     """
     base = F.concat(F.date_format(F.col(now), "yyyyMMdd'T'HHmmss'Z'"), F.lit("-"), slugify(F.col(phrase)))
-    req = requests.withColumn("base_key", base).withColumn("_bucket", F.floor(F.col(order) / bucket_size))
-    counts = req.groupBy("base_key", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    prior = (existing.groupBy("base_key").agg(F.count(F.lit(1)).alias("_prior"))
-             if existing is not None else None)
-    w = Window.partitionBy("base_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    if prior is not None:
-        offsets = offsets.join(prior, "base_key", "left").withColumn(
+    req = requests.withColumn("base_key", base).withColumn("_b1", F.floor(F.col(order) / bucket_size))
+    cells = (req.groupBy("base_key", "_b1").agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_b2", F.floor(F.col("_b1") / bucket_size)))
+    blocks = cells.groupBy("base_key", "_b2").agg(F.sum("_n").alias("_n2"))
+    before = Window.unboundedPreceding
+    blocks = blocks.withColumn(
+        "_off2", F.coalesce(F.sum("_n2").over(Window.partitionBy("base_key").orderBy("_b2").rowsBetween(before, -1)),
+                            F.lit(0)))
+    cells = cells.join(blocks.select("base_key", "_b2", "_off2"), ["base_key", "_b2"]).withColumn(
+        "_offset",
+        F.col("_off2") + F.coalesce(
+            F.sum("_n").over(Window.partitionBy("base_key", "_b2").orderBy("_b1").rowsBetween(before, -1)), F.lit(0)),
+    )
+    if existing is not None:
+        prior = existing.groupBy("base_key").agg(F.count(F.lit(1)).alias("_prior"))
+        cells = cells.join(prior, "base_key", "left").withColumn(
             "_offset", F.col("_offset") + F.coalesce(F.col("_prior"), F.lit(0))).drop("_prior")
-    ranked = req.join(offsets.select("base_key", "_bucket", "_offset"), ["base_key", "_bucket"])
-    rn = F.row_number().over(Window.partitionBy("base_key", "_bucket").orderBy(order)) + F.col("_offset")
+    ranked = req.join(cells.select("base_key", "_b1", "_offset"), ["base_key", "_b1"])
+    rn = F.row_number().over(Window.partitionBy("base_key", "_b1").orderBy(order)) + F.col("_offset")
     return (
         ranked.withColumn("collision_n", rn.cast("int"))
         .withColumn("run_key", F.when(F.col("collision_n") == 1, F.col("base_key"))
                     .otherwise(F.concat(F.col("base_key"), F.lit("-"), F.col("collision_n").cast("string"))))
-        .drop("_bucket", "_offset")
+        .drop("_b1", "_offset")
     )

@@ -110,3 +110,22 @@ def test_containment_and_verdict(spark):
     ], "run_id string, view string, tick int, path string, length long, inside boolean")
     v = {r["tick"]: (r["verdict"], r["warning"]) for r in L.download_verdict(ticks).collect()}
     assert v == {1: ("ok", True), 2: ("too_many", False), 3: ("escaped", False), 4: ("waiting", False)}
+
+
+def test_run_keys_skew_safe_numbering(spark):
+    from demandlake.operators.requests import run_keys
+
+    rows = [(i, "чай" if i % 3 else "кофе") for i in range(200)]
+    df = spark.createDataFrame(rows, "ord long, phrase string").withColumn(
+        "now", F.to_timestamp(F.lit("2026-08-21 10:00:00")))
+    got = {r["ord"]: r["run_key"] for r in run_keys(df, order="ord", bucket_size=4).collect()}
+    n_tea = n_coffee = 0
+    for i, p in rows:
+        if p == "чай":
+            n_tea += 1
+            n = n_tea
+        else:
+            n_coffee += 1
+            n = n_coffee
+        base = "20260821T100000Z-" + ("чай" if p == "чай" else "кофе")
+        assert got[i] == (base if n == 1 else f"{base}-{n}")
