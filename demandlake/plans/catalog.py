@@ -545,6 +545,21 @@ def stream_ingest_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("export_id", "row_ord", "period", "n", "share", "verdict")
 
 
+def stream_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every export (daily/weekly/monthly, per type and per user) landed in
+    two waves; the manifest derived from the stream's export log after the
+    second drain equals the batch verdicts."""
+    base = fresh_dir(spark, "stream-manifest")
+    events = table(spark, sf, "events")
+    for i, (g, by_user) in enumerate([("daily", False), ("daily", True), ("weekly", False), ("monthly", False)]):
+        ex = derive.series_exports(events, g, by_user)
+        ex.write.mode("append").parquet(f"{base}/landing")
+        if i in (1, 3):
+            STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/checkpoint")
+    m = STREAM.manifest_from_log(STREAM.export_log(spark, f"{base}/cells"))
+    return m.select("export_id", "granularity", "verdict", "row_count")
+
+
 QUERIES = {
     "parse_localized_number": parse_localized_number,
     "infer_column_types": infer_column_types,
@@ -592,4 +607,5 @@ QUERIES = {
     "typed_parquet_roundtrip": typed_parquet_roundtrip,
     "manifest_roundtrip": manifest_roundtrip,
     "stream_ingest_equals_batch": stream_ingest_equals_batch,
+    "stream_manifest": stream_manifest,
 }

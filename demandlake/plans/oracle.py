@@ -663,3 +663,7 @@ FROM o WHERE o.granularity = 'daily' AND o.export_id NOT LIKE '%/%'
 ORACLE["manifest_roundtrip"] = ORACLE["run_status"]
 
 ORACLE["stream_ingest_equals_batch"] = ORACLE["typed_daily_series"]
+
+ORACLE["stream_manifest"] = _SERIES_ALL + r"""
+SELECT export_id, granularity, verdict, n AS row_count FROM v
+"""

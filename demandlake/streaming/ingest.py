@@ -62,3 +62,18 @@ def latest_cells(spark: SparkSession, out_dir: str) -> DataFrame:
     cells = spark.read.parquet(out_dir)
     newest = cells.groupBy("export_id").agg(F.max("batch_id").alias("batch_id"))
     return cells.join(newest, ["export_id", "batch_id"], "left_semi")
+
+
+def export_log(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The append-only log of export entries, one per micro-batch write."""
+    return spark.read.parquet(f"{out_dir}_exports")
+
+
+def manifest_from_log(log: DataFrame) -> DataFrame:
+    """T2 + W4: the current manifest entry per export is its newest write;
+    reading the log after any micro-batch gives an honest, complete-so-far view."""
+    return log.groupBy("export_id").agg(
+        F.max_by(F.struct("granularity", "verdict", "row_count", "error_code"), "batch_id").alias("e"),
+        F.count(F.lit(1)).alias("n_writes"),
+        F.max("batch_id").alias("last_batch"),
+    ).select("export_id", "e.*", "n_writes", "last_batch")
