@@ -21,27 +21,42 @@ LANDING_SCHEMA = T.StructType([
 ])
 
 
+def _csv_listing(spark: SparkSession, root: str) -> DataFrame:
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .load(root)
+        .filter(is_csv(F.col("path")))
+    )
+
+
 def landing_scan(spark: SparkSession, root: str) -> DataFrame:
     """Every regular file under ``root`` whose name ends in .csv (any case).
 
     ``accepted`` = size > 0.  Spark's file scan never yields zero-length
     files, so a file still being written (size 0) is simply not seen here;
     the in-flight count that A9 needs comes from the ``files`` listing
-    (path, length) that ``operators.landing.download_verdict`` takes.  Files
-    Spark cannot hold whole are flagged ``too_large`` and routed to
-    quarantine, never dropped.
+    (path, length) that ``operators.landing.download_verdict`` takes.  The
+    ``length`` filter is applied by the binaryFile reader before it loads any
+    content; files too large to hold whole come from ``oversized_files``.
     """
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .load(root)
-    )
     return (
-        df.filter(is_csv(F.col("path")))
+        _csv_listing(spark, root)
+        .filter(F.col("length") <= BINARY_FILE_LIMIT)
         .withColumn("file_name", file_name(F.col("path")))
         .withColumn("accepted", accepted(F.col("path"), F.col("length")))
-        .withColumn("too_large", F.col("length") > BINARY_FILE_LIMIT)
+    )
+
+
+def oversized_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files Spark cannot hold in one row: listed without their content, for
+    the quarantine sink (reason 'too_large'); never silently dropped."""
+    return (
+        _csv_listing(spark, root)
+        .filter(F.col("length") > BINARY_FILE_LIMIT)
+        .select("path", "length", "modificationTime", file_name(F.col("path")).alias("file_name"),
+                F.lit("CSV_FORMAT").alias("error_code"), F.lit("too_large").alias("error_reason"))
     )
 
 
