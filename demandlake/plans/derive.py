@@ -207,9 +207,12 @@ def series_exports(events: DataFrame, granularity: str, by_user: bool = False) -
     )
     key_cols = ["event_type", "user_id"] if by_user else ["event_type"]
     per = ev.groupBy(*key_cols, "p").agg(F.sum("vol").alias("volume"))
-    # Period totals from the per-series partial sums: one scan of events.
-    totals = per.groupBy("p").agg(F.sum("volume").alias("total"))
-    per = per.join(totals, "p")
+    # Period totals from the per-series sums.  Referencing every column of
+    # ``per`` keeps both branches' plans identical, so the per-series
+    # exchange is reused and events are scanned once.
+    totals = per.groupBy("p").agg(F.sum("volume").alias("total"),
+                                  F.count(F.struct(*key_cols)).alias("n_series"))
+    per = per.join(totals.drop("n_series"), "p")
     share_micro = F.when(F.col("total") > 0, F.expr("(volume * 200000 + total) div (2 * total)")).otherwise(F.lit(0))
     share_txt = F.concat(
         F.floor(share_micro / F.lit(100000)).cast("bigint").cast("string"),
