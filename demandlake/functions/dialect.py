@@ -164,8 +164,23 @@ def sample_of(text: Column) -> Column:
     return F.substring(text, 1, SNIFF_SAMPLE_CHARS)
 
 
-def combine_dialect(n_lines: Column, header_line: Column, quote: Column, consistency: Column) -> Column:
-    """STRUCT<delimiter, quotechar, method> from the three rules' outcomes."""
+def doublequote_seen(sample: Column, quote: Column) -> Column:
+    """Whether the sample shows a doubled quote between delimiters (the
+    sniffer's doubled-quote test), using the quote rule's delimiter ('' when
+    it found none) and quote character."""
+    d = F.coalesce(quote["delim"], F.lit(""))
+    q = F.coalesce(quote["quote"], F.lit('"'))
+    cls = F.concat(F.lit("[^"), d, F.lit("\\n]*"))
+    pattern = F.concat(F.lit("(?mdU)(("), d, F.lit(")|^)\\W*"), q, cls, q, cls, q, F.lit("\\W*(("), d, F.lit(")|$)"))
+    return F.regexp(sample, pattern)
+
+
+def combine_dialect(n_lines: Column, header_line: Column, quote: Column, consistency: Column,
+                    dq_seen: Column | None = None) -> Column:
+    """STRUCT<delimiter, quotechar, method, doublequote> from the rules' outcomes.
+
+    A sniffed dialect keeps doubled quotes only if the quote rule matched and
+    the sample shows a doubled quote; the fallback dialect always does."""
     few = n_lines < 2
     q_delim = quote["delim"]
     delim = (
@@ -182,4 +197,7 @@ def combine_dialect(n_lines: Column, header_line: Column, quote: Column, consist
     )
     sniffed = ~few & (q_delim.isNotNull() | consistency.isNotNull())
     qchar = F.when(sniffed, F.coalesce(quote["quote"], F.lit('"'))).otherwise(F.lit('"'))
-    return F.struct(delim.alias("delimiter"), qchar.alias("quotechar"), method.alias("method"))
+    seen = F.lit(True) if dq_seen is None else dq_seen
+    dq = F.when(sniffed, quote["quote"].isNotNull() & F.coalesce(seen, F.lit(False))).otherwise(F.lit(True))
+    return F.struct(delim.alias("delimiter"), qchar.alias("quotechar"), method.alias("method"),
+                    dq.alias("doublequote"))

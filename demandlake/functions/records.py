@@ -8,35 +8,47 @@ quotes inside, and keep any text after the closing quote.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from demandlake.constants import SNIFF_DELIMITERS
 from demandlake.functions.hof import let
 from demandlake.functions.text import strip
 
 QUOTE_CHARS = ('"', "'")
 
 
-def _esc(ch: str) -> str:
-    return re.escape(ch) if ch != "\t" else r"\t"
+def _pat(*parts) -> Column:
+    """A regex assembled from literal pieces and the row's dialect characters.
+
+    The delimiters (';', ',', tab) and quote characters are not special in
+    Java regex, so they are spliced in as they are; Spark compiles a
+    non-literal pattern once and reuses it while it does not change."""
+    return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+
+def _inner(q: Column, dq: Column) -> Column:
+    """Body of a quoted part: doubled quotes allowed only with doublequote."""
+    return F.when(dq, F.concat(F.lit("(?:[^"), q, F.lit("]|"), q, q, F.lit(")*"))).otherwise(
+        F.concat(F.lit("[^"), q, F.lit("]*")))
 
 
-def _quoted_field(d: str, q: str) -> str:
-    D, Q = _esc(d), _esc(q)
-    return rf"{Q}(?:[^{Q}]|{Q}{Q})*(?:{Q}|\z)[^{D}]*|[^{D}]*"
+def _close(q: Column, dq: Column) -> Column:
+    """A closing quote; with doubled quotes on, never the first of a pair."""
+    return F.when(dq, F.concat(q, F.lit("(?!"), q, F.lit(")"))).otherwise(q)
 
 
-def _is_open(record: Column, d: str, q: str) -> Column:
-    """True when the record ends inside an unterminated quoted field."""
-    D, Q = _esc(d), _esc(q)
-    closed = F.regexp_replace(F.concat(F.lit(d), record), rf"(?s){D}{Q}(?:[^{Q}]|{Q}{Q})*{Q}", d)
-    return closed.rlike(rf"{D}{Q}")
+def _is_open(record: Column, d: Column, q: Column, dq: Column) -> Column:
+    """True when the record ends inside an unterminated quoted field.
 
+    Closed quoted parts are blanked out (a NUL stand-in keeps a literal tail
+    from looking like a new field start); what remains opens a quote only if
+    a field still starts with one."""
+    closed = F.regexp_replace(F.concat(d, record), _pat("(?s)", d, q, _inner(q, dq), _close(q, dq)),
+                              F.concat(d, F.lit("\u0000")))
+    return F.regexp(closed, F.concat(d, q))
 
-def _join_records(lines: Column, d: str, q: str) -> Column:
+
+def _join_records(lines: Column, d: Column, q: Column, dq: Column) -> Column:
     init = F.struct(F.array().cast("array<string>").alias("recs"), F.lit(False).alias("open"))
 
     def step(acc, line):
@@ -45,55 +57,48 @@ def _join_records(lines: Column, d: str, q: str) -> Column:
 
         def extend(joined):
             extended = F.concat(F.slice(recs, 1, F.greatest(n - 1, F.lit(0))), F.array(joined))
-            return F.struct(extended.alias("recs"), _is_open(joined, d, q).alias("open"))
+            return F.struct(extended.alias("recs"), _is_open(joined, d, q, dq).alias("open"))
 
         joined = F.concat(F.coalesce(F.try_element_at(recs, F.lit(-1)), F.lit("")), line)
         appended = F.concat(recs, F.array(line))
         return F.when(acc["open"], let(joined, extend)).otherwise(
-            F.struct(appended.alias("recs"), _is_open(line, d, q).alias("open"))
+            F.struct(appended.alias("recs"), _is_open(line, d, q, dq).alias("open"))
         )
 
     return F.aggregate(lines, init, step, lambda acc: acc["recs"])
 
 
-def _unquote(field: Column, q: str) -> Column:
-    Q = _esc(q)
-    pattern = rf"(?s)^{Q}((?:[^{Q}]|{Q}{Q})*)(?:{Q}(.*))?\z"
-    inner = F.replace(F.regexp_extract(field, pattern, 1), F.lit(q + q), F.lit(q))
-    return F.when(F.startswith(field, F.lit(q)), F.concat(inner, F.regexp_extract(field, pattern, 2))).otherwise(field)
+def _unquote(field: Column, q: Column, dq: Column) -> Column:
+    parts = F.regexp_extract_all(field, _pat("(?s)^", q, "(", _inner(q, dq), ")(?:", q, "(.*))?\\z"), F.lit(1))
+    tails = F.regexp_extract_all(field, _pat("(?s)^", q, "(", _inner(q, dq), ")(?:", q, "(.*))?\\z"), F.lit(2))
+    inner = F.get(parts, 0)
+    inner = F.when(dq, F.replace(inner, F.concat(q, q), q)).otherwise(inner)
+    return F.when(F.startswith(field, q), F.concat(inner, F.coalesce(F.get(tails, 0), F.lit("")))).otherwise(field)
 
 
-def _fields(record: Column, d: str, q: str) -> Column:
-    D = _esc(d)
-    quoted = F.transform(
-        F.regexp_extract_all(F.concat(F.lit(d), record), F.lit(f"(?s){D}({_quoted_field(d, q)})"), F.lit(1)),
-        lambda f: _unquote(f, q),
-    )
+def _split_plain(record: Column, d: Column) -> Column:
+    return (F.when(d == ";", F.split(record, ";", -1)).when(d == ",", F.split(record, ",", -1))
+            .otherwise(F.split(record, "\t", -1)))
+
+
+def _fields(record: Column, d: Column, q: Column, dq: Column) -> Column:
+    field = _pat("(?s)", d, "(", q, _inner(q, dq), "(?:", _close(q, dq), "|\\z)[^", d, "]*|[^", d, "]*)")
+    quoted = F.transform(F.regexp_extract_all(F.concat(d, record), field, F.lit(1)), lambda f: _unquote(f, q, dq))
     return (
         F.when(record == "", F.array().cast("array<string>"))
-        .when(F.instr(record, q) == 0, F.split(record, D, -1))
+        .when(~F.contains(record, q), _split_plain(record, d))
         .otherwise(quoted)
     )
 
 
-def _contains(q: str):
-    return lambda l: F.instr(l, q) > 0
-
-
-def _field_splitter(d: str, q: str):
-    return lambda r: _fields(r, d, q)
-
-
-def parse_fields(lines: Column, delimiter: Column, quotechar: Column) -> Column:
+def parse_fields(lines: Column, delimiter: Column, quotechar: Column, doublequote: Column | None = None) -> Column:
     """ARRAY<ARRAY<STRING>>: raw fields of every record (header first)."""
+    dq = F.lit(True) if doublequote is None else doublequote
+
     def body(ls):
-        out = F.lit(None).cast("array<array<string>>")
-        for d in SNIFF_DELIMITERS:
-            for q in QUOTE_CHARS:
-                records = F.when(F.exists(ls, _contains(q)), _join_records(ls, d, q)).otherwise(ls)
-                parsed = F.transform(records, _field_splitter(d, q))
-                out = F.when((delimiter == d) & (quotechar == q), parsed).otherwise(out)
-        return out
+        records = F.when(F.exists(ls, lambda l: F.contains(l, quotechar)),
+                         _join_records(ls, delimiter, quotechar, dq)).otherwise(ls)
+        return F.transform(records, lambda r: _fields(r, delimiter, quotechar, dq))
 
     return let(lines, body)
 

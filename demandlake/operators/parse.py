@@ -12,7 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.constants import CSV_FORMAT
-from demandlake.functions.dialect import combine_dialect, consistency_guess, quote_guess, sample_of
+from demandlake.functions.dialect import (
+    combine_dialect,
+    consistency_guess,
+    doublequote_seen,
+    quote_guess,
+    sample_of,
+)
 from demandlake.functions.records import header_error, header_message, normalise_rows, parse_fields
 from demandlake.functions.hof import cached_expr, let
 from demandlake.functions.text import decode_bytes, split_lines, strip
@@ -78,13 +84,16 @@ def parse_struct(content: Column, name: Column) -> Column:
 
                     return let(F.transform(raw_header, lambda h: strip(F.coalesce(h, F.lit("")))), with_headers)
 
-                return let(parse_fields(lines, dia["delimiter"], dia["quotechar"]), with_records)
+                return let(parse_fields(lines, dia["delimiter"], dia["quotechar"], dia["doublequote"]), with_records)
+
+            def dialect(g):
+                return F.when(
+                    text.isNotNull(),
+                    combine_dialect(F.size(lines), F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("")),
+                                    g["q"], g["c"], doublequote_seen(ls["sample"], g["q"])),
+                )
 
             guesses = F.struct(quote_guess(ls["sample"]).alias("q"), consistency_guess(ls["sample"]).alias("c"))
-            dialect = lambda g: F.when(
-                text.isNotNull(),
-                combine_dialect(F.size(lines), F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("")), g["q"], g["c"]),
-            )
             return let(let(guesses, dialect), with_dialect)
 
         return let(F.struct(split_lines(text).alias("lines"), sample_of(text).alias("sample")), with_lines)
