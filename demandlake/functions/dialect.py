@@ -30,14 +30,14 @@ from demandlake.functions.hof import let
 LEVELS = sniff_consistency_levels()
 
 # Quote-adjacency patterns, tried in order; the first with any match decides.
-# (pattern, delim group, quote group); group 0 = the pattern has no delimiter.
+# (pattern, delim group, quote group, space group); group 0 = no such group.
 _Q = r"""["']"""
 _NOT_WORD = r"""[^\w\n"']"""
 QUOTE_PATTERNS = (
-    (rf"(?smdU)({_NOT_WORD})( ?)({_Q}).*?\3\1", 1, 3),
-    (rf"(?smdU)(?:^|\n)({_Q}).*?\1({_NOT_WORD})( ?)", 2, 1),
-    (rf"(?smdU)({_NOT_WORD})( ?)({_Q}).*?\3(?:$|\n)", 1, 3),
-    (rf"(?smdU)(?:^|\n)({_Q}).*?\1(?:$|\n)", 0, 1),
+    (rf"(?smdU)({_NOT_WORD})( ?)({_Q}).*?\3\1", 1, 3, 2),
+    (rf"(?smdU)(?:^|\n)({_Q}).*?\1({_NOT_WORD})( ?)", 2, 1, 3),
+    (rf"(?smdU)({_NOT_WORD})( ?)({_Q}).*?\3(?:$|\n)", 1, 3, 2),
+    (rf"(?smdU)(?:^|\n)({_Q}).*?\1(?:$|\n)", 0, 1, 0),
 )
 
 
@@ -68,25 +68,29 @@ def _first_max(items: Column, candidates: tuple[str, ...]) -> Column:
 
 
 def quote_guess(sample: Column) -> Column:
-    """STRUCT<delim, quote> from quoted fields in the sample (fields null if none)."""
-    out = F.struct(F.lit(None).cast("string").alias("delim"), F.lit(None).cast("string").alias("quote"))
-    for pattern, d_group, q_group in reversed(QUOTE_PATTERNS):
+    """STRUCT<delim, quote, skipinitialspace> from quoted fields in the sample
+    (delim/quote null if none).  skipinitialspace: the elected delimiter's
+    match count equals the number of matches with a space after it."""
+    out = F.struct(F.lit(None).cast("string").alias("delim"), F.lit(None).cast("string").alias("quote"),
+                   F.lit(False).alias("skipinitialspace"))
+    empty = F.array().cast("array<string>")
+    for pattern, d_group, q_group, s_group in reversed(QUOTE_PATTERNS):
         quotes = F.regexp_extract_all(sample, F.lit(pattern), F.lit(q_group))
-        delims = (
-            F.regexp_extract_all(sample, F.lit(pattern), F.lit(d_group))
-            if d_group
-            else F.array().cast("array<string>")
-        )
-        out = _pattern_step(quotes, delims, out)
+        delims = F.regexp_extract_all(sample, F.lit(pattern), F.lit(d_group)) if d_group else empty
+        spaces = F.regexp_extract_all(sample, F.lit(pattern), F.lit(s_group)) if s_group else empty
+        out = _pattern_step(quotes, delims, spaces, out)
     return F.when(sample.rlike(_Q), out)
 
 
-def _pattern_step(quotes: Column, delims: Column, fallback: Column) -> Column:
+def _pattern_step(quotes: Column, delims: Column, spaces: Column, fallback: Column) -> Column:
     def body(qs):
-        return F.when(
-            F.size(qs) > 0,
-            F.struct(_first_max(delims, SNIFF_DELIMITERS).alias("delim"), _first_max(qs, ('"', "'")).alias("quote")),
-        ).otherwise(fallback)
+        def with_delim(d):
+            n_d = F.size(F.filter(delims, lambda x: x == d))
+            n_sp = F.size(F.filter(spaces, lambda x: x != ""))
+            return F.struct(d.alias("delim"), _first_max(qs, ('"', "'")).alias("quote"),
+                            F.coalesce(n_d == n_sp, F.lit(False)).alias("skipinitialspace"))
+
+        return F.when(F.size(qs) > 0, let(_first_max(delims, SNIFF_DELIMITERS), with_delim)).otherwise(fallback)
 
     return let(quotes, body)
 
@@ -175,8 +179,18 @@ def doublequote_seen(sample: Column, quote: Column) -> Column:
     return F.regexp(sample, pattern)
 
 
+def consistency_skipinitialspace(sample: Column, delim: Column) -> Column:
+    """The consistency rule's flag: on the first non-empty line, every
+    delimiter is followed by a space (also true when it has none)."""
+    first = F.coalesce(F.get(F.filter(F.split(sample, "\n", -1), lambda l: l != ""), 0), F.lit(""))
+    n = F.length(first) - F.length(F.replace(first, delim, F.lit("")))
+    with_space = F.concat(delim, F.lit(" "))
+    n_sp = (F.length(first) - F.length(F.replace(first, with_space, F.lit("")))) / F.lit(2)
+    return n.cast("double") == n_sp
+
+
 def combine_dialect(n_lines: Column, header_line: Column, quote: Column, consistency: Column,
-                    dq_seen: Column | None = None) -> Column:
+                    dq_seen: Column | None = None, sample: Column | None = None) -> Column:
     """STRUCT<delimiter, quotechar, method, doublequote> from the rules' outcomes.
 
     A sniffed dialect keeps doubled quotes only if the quote rule matched and
@@ -199,5 +213,10 @@ def combine_dialect(n_lines: Column, header_line: Column, quote: Column, consist
     qchar = F.when(sniffed, F.coalesce(quote["quote"], F.lit('"'))).otherwise(F.lit('"'))
     seen = F.lit(True) if dq_seen is None else dq_seen
     dq = F.when(sniffed, quote["quote"].isNotNull() & F.coalesce(seen, F.lit(False))).otherwise(F.lit(True))
+    if sample is None:
+        sis = F.lit(False)
+    else:
+        sis = (F.when(~sniffed, F.lit(False)).when(q_delim.isNotNull(), quote["skipinitialspace"])
+               .otherwise(consistency_skipinitialspace(sample, consistency)))
     return F.struct(delim.alias("delimiter"), qchar.alias("quotechar"), method.alias("method"),
-                    dq.alias("doublequote"))
+                    dq.alias("doublequote"), sis.alias("skipinitialspace"))

@@ -37,18 +37,23 @@ def _close(q: Column, dq: Column) -> Column:
     return F.when(dq, F.concat(q, F.lit("(?!"), q, F.lit(")"))).otherwise(q)
 
 
-def _is_open(record: Column, d: Column, q: Column, dq: Column) -> Column:
+def _sp(sis: Column) -> Column:
+    """Spaces skipped after a delimiter when the dialect says so."""
+    return F.when(sis, F.lit(" *")).otherwise(F.lit(""))
+
+
+def _is_open(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
     """True when the record ends inside an unterminated quoted field.
 
     Closed quoted parts are blanked out (a NUL stand-in keeps a literal tail
     from looking like a new field start); what remains opens a quote only if
     a field still starts with one."""
-    closed = F.regexp_replace(F.concat(d, record), _pat("(?s)", d, q, _inner(q, dq), _close(q, dq)),
+    closed = F.regexp_replace(F.concat(d, record), _pat("(?s)", d, _sp(sis), q, _inner(q, dq), _close(q, dq)),
                               F.concat(d, F.lit("\u0000")))
-    return F.regexp(closed, F.concat(d, q))
+    return F.regexp(closed, F.concat(d, _sp(sis), q))
 
 
-def _join_records(lines: Column, d: Column, q: Column, dq: Column) -> Column:
+def _join_records(lines: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
     init = F.struct(F.array().cast("array<string>").alias("recs"), F.lit(False).alias("open"))
 
     def step(acc, line):
@@ -57,12 +62,12 @@ def _join_records(lines: Column, d: Column, q: Column, dq: Column) -> Column:
 
         def extend(joined):
             extended = F.concat(F.slice(recs, 1, F.greatest(n - 1, F.lit(0))), F.array(joined))
-            return F.struct(extended.alias("recs"), _is_open(joined, d, q, dq).alias("open"))
+            return F.struct(extended.alias("recs"), _is_open(joined, d, q, dq, sis).alias("open"))
 
         joined = F.concat(F.coalesce(F.try_element_at(recs, F.lit(-1)), F.lit("")), line)
         appended = F.concat(recs, F.array(line))
         return F.when(acc["open"], let(joined, extend)).otherwise(
-            F.struct(appended.alias("recs"), _is_open(line, d, q, dq).alias("open"))
+            F.struct(appended.alias("recs"), _is_open(line, d, q, dq, sis).alias("open"))
         )
 
     return F.aggregate(lines, init, step, lambda acc: acc["recs"])
@@ -81,8 +86,8 @@ def _split_plain(record: Column, d: Column) -> Column:
             .otherwise(F.split(record, "\t", -1)))
 
 
-def _fields(record: Column, d: Column, q: Column, dq: Column) -> Column:
-    field = _pat("(?s)", d, "(", q, _inner(q, dq), "(?:", _close(q, dq), "|\\z)[^", d, "]*|[^", d, "]*)")
+def _fields(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
+    field = _pat("(?s)", d, _sp(sis), "(", q, _inner(q, dq), "(?:", _close(q, dq), "|\\z)[^", d, "]*|[^", d, "]*)")
     quoted = F.transform(F.regexp_extract_all(F.concat(d, record), field, F.lit(1)), lambda f: _unquote(f, q, dq))
     return (
         F.when(record == "", F.array().cast("array<string>"))
@@ -91,14 +96,16 @@ def _fields(record: Column, d: Column, q: Column, dq: Column) -> Column:
     )
 
 
-def parse_fields(lines: Column, delimiter: Column, quotechar: Column, doublequote: Column | None = None) -> Column:
+def parse_fields(lines: Column, delimiter: Column, quotechar: Column, doublequote: Column | None = None,
+                 skipinitialspace: Column | None = None) -> Column:
     """ARRAY<ARRAY<STRING>>: raw fields of every record (header first)."""
     dq = F.lit(True) if doublequote is None else doublequote
+    sis = F.lit(False) if skipinitialspace is None else skipinitialspace
 
     def body(ls):
         records = F.when(F.exists(ls, lambda l: F.contains(l, quotechar)),
-                         _join_records(ls, delimiter, quotechar, dq)).otherwise(ls)
-        return F.transform(records, lambda r: _fields(r, delimiter, quotechar, dq))
+                         _join_records(ls, delimiter, quotechar, dq, sis)).otherwise(ls)
+        return F.transform(records, lambda r: _fields(r, delimiter, quotechar, dq, sis))
 
     return let(lines, body)
 

@@ -84,13 +84,14 @@ def parse_struct(content: Column, name: Column) -> Column:
 
                     return let(F.transform(raw_header, lambda h: strip(F.coalesce(h, F.lit("")))), with_headers)
 
-                return let(parse_fields(lines, dia["delimiter"], dia["quotechar"], dia["doublequote"]), with_records)
+                return let(parse_fields(lines, dia["delimiter"], dia["quotechar"], dia["doublequote"],
+                                        dia["skipinitialspace"]), with_records)
 
             def dialect(g):
                 return F.when(
                     text.isNotNull(),
                     combine_dialect(F.size(lines), F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("")),
-                                    g["q"], g["c"], doublequote_seen(ls["sample"], g["q"])),
+                                    g["q"], g["c"], doublequote_seen(ls["sample"], g["q"]), ls["sample"]),
                 )
 
             guesses = F.struct(quote_guess(ls["sample"]).alias("q"), consistency_guess(ls["sample"]).alias("c"))

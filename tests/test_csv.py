@@ -122,12 +122,11 @@ def _stdlib_parse(text: str):
 
 
 def test_full_parse_matches_stdlib_on_quoted_texts(spark):
-    """Random texts full of quotes, doubled quotes and three delimiters
-    (no space before a quote: skip-initial-space is not modelled)."""
+    """Random texts full of quotes, doubled quotes, spaces and three delimiters."""
     import random
 
     rnd = random.Random(11)
-    alpha = ["a", "b", "1", ",", ";", "\t", '"', "'", '""']
+    alpha = ["a", "b", "1", ",", ";", "\t", " ", '"', "'", '""']
     texts = []
     for _ in range(300):
         lines = []
