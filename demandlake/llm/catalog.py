@@ -7,24 +7,39 @@ from pyspark.sql import functions as F
 
 from demandlake.llm.fingerprints import fingerprint_edits
 from demandlake.llm.mixing import mix
+from demandlake.llm.packing import pack, token_pieces
 from demandlake.llm.quality import quality_rules
-from demandlake.llm.scratch import written
+from demandlake.llm.scratch import importable, written
 from demandlake.llm.sharding import shard_by_size
+from demandlake.llm.simhash import simhash_components
 from demandlake.llm.words import words_of
 
 SHARDS = 40
+CAPACITY = 4096
 #: The mix of operator 8: weights of the sources in turn, budget as a share of all sizes, most passes over a source.
 MIX_WEIGHTS, MIX_SHARE, MIX_MOST = [3, 1, 2], 1.5, 2.0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_size(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), CAPACITY)
+    return pack(pieces, CAPACITY, ["doc_id", "piece", "ids_crc32"])
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
@@ -41,11 +56,18 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}

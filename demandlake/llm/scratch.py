@@ -6,8 +6,10 @@ recomputing it; the files survive the loss of any executor.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,19 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """``spark``, whose Python workers find this package where the driver found it.
+
+    A cluster on which the package is installed or shipped needs no such path;
+    a local session started elsewhere does.
+    """
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a fresh shared folder and read back."""
     spark = df.sparkSession
