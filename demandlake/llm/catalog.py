@@ -12,6 +12,8 @@ from demandlake.llm.quality import quality_rules
 from demandlake.llm.scratch import importable, written
 from demandlake.llm.sharding import shard_by_size
 from demandlake.llm.simhash import simhash_components
+from demandlake.llm.substring_dedup import substring_dedup
+from demandlake.llm.suffix_dedup import suffix_dedup
 from demandlake.llm.words import words_of
 
 SHARDS = 40
@@ -35,6 +37,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_size(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents")).select("doc_id", F.col("n").alias("n_words"), "n_removed", "kept_sha256", "n_spans")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents")).select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), CAPACITY)
     return pack(pieces, CAPACITY, ["doc_id", "piece", "ids_crc32"])
@@ -63,6 +73,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_mixing": op8_mixing,
