@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from demandlake.llm.fingerprints import fingerprint_edits
 from demandlake.llm.mixing import mix
 from demandlake.llm.packing import pack, token_pieces
+from demandlake.llm.preferences import mask_text, preference_pairs
 from demandlake.llm.quality import quality_rules
-from demandlake.llm.scratch import importable, written
+from demandlake.llm.scratch import fresh_path, importable, written
 from demandlake.llm.sharding import shard_by_size
 from demandlake.llm.simhash import simhash_components
 from demandlake.llm.substring_dedup import substring_dedup
 from demandlake.llm.suffix_dedup import suffix_dedup
+from demandlake.llm.token_files import token_files
 from demandlake.llm.words import words_of
 
 SHARDS = 40
@@ -45,6 +47,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents")).select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_files(docs, vocabulary("byte_bpe_50k.json"), fresh_path(spark, "token-files"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), CAPACITY)
     return pack(pieces, CAPACITY, ["doc_id", "piece", "ids_crc32"])
@@ -55,6 +62,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k (chosen) and 2k + 1 (rejected) make pair k."""
+    turns = _table(spark, sf_dir, "conversations")
+    paired = turns.select(F.expr("conv_id div 2").alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"), "turn", "role", "text")
+    masks = {c: mask_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")}
+    return preference_pairs(paired).withColumns(masks)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = written(docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), F.xxhash64("text").alias("text_hash")), "mix-sizes")
@@ -75,11 +90,40 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_preferences": op7_preferences,
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+#: Turns by pair and side with their place; the first differing place ends the common prefix.
+_OP7_SQL = """
+WITH t AS (
+  SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, coalesce(role, '') AS role,
+         '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS shown,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT pair_id, count(*) FILTER (side = 0) AS nc, count(*) FILTER (side = 1) AS nr FROM t GROUP BY 1),
+d AS (SELECT c.pair_id, min(c.pos) AS pos FROM t c JOIN t r ON c.pair_id = r.pair_id AND c.pos = r.pos AND c.side = 0 AND r.side = 1
+      WHERE c.shown <> r.shown GROUP BY 1),
+k AS (SELECT n.pair_id, nc, nr, coalesce(d.pos - 1, least(nc, nr)) AS n_common FROM n LEFT JOIN d USING (pair_id)),
+m AS (SELECT t.*, k.n_common,
+        coalesce(sum(length(shown)) OVER (PARTITION BY t.pair_id, side, pos > n_common ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+      FROM t JOIN k USING (pair_id)),
+a AS (SELECT pair_id,
+        string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND pos <= n_common) AS prompt,
+        string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND pos > n_common) AS chosen,
+        string_agg(shown, '' ORDER BY pos) FILTER (side = 1 AND pos > n_common) AS rejected,
+        string_agg((at + 5 + length(role)) || ':' || (at + length(shown)), ',' ORDER BY pos) FILTER (side = 0 AND pos > n_common AND role = 'assistant') AS cm,
+        string_agg((at + 5 + length(role)) || ':' || (at + length(shown)), ',' ORDER BY pos) FILTER (side = 1 AND pos > n_common AND role = 'assistant') AS rm
+      FROM m GROUP BY 1)
+SELECT k.pair_id, CAST(nc AS INTEGER) AS n_chosen, CAST(nr AS INTEGER) AS n_rejected, CAST(n_common AS INTEGER) AS n_common,
+       coalesce(prompt, '') AS prompt, coalesce(chosen, '') AS chosen, coalesce(rejected, '') AS rejected,
+       coalesce(cm, '') AS chosen_mask, coalesce(rm, '') AS rejected_mask
+FROM k JOIN a USING (pair_id)
+"""
+
+ORACLE: dict[str, str] = {"op7_preferences": _OP7_SQL}

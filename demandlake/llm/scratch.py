@@ -41,9 +41,14 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has used."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a fresh shared folder and read back."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -12,7 +12,9 @@ import os
 import re
 
 #: Chunks that a worker keeps; the store starts anew when it is full.
-KEPT = 300_000
+KEPT = 600_000
+#: Chunks tokenized as one text.
+JOINED = 2_000
 
 
 class ChunkTokenizer:
@@ -41,19 +43,35 @@ class ChunkTokenizer:
             parts = text.split(" ")
         return parts[:1] + [" " + x for x in parts[1:]]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, new: list[str]) -> None:
+        """Tokenizes the chunks as one text and deals its ids out by the offsets of their characters."""
         import numpy as np
 
+        lead = "" if self.keep_blanks else " "  # byte-level chunks bring their own blank
+        alone = [c for c in new if self.keep_blanks and not c.startswith(" ")]
+        for c, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[c] = np.array(e.ids, dtype="<u4").tobytes()
+        joint = [c for c in new if not self.keep_blanks or c.startswith(" ")]
+        for at in range(0, len(joint), JOINED):
+            some = joint[at : at + JOINED]
+            e = self.tokenizer.encode(lead.join(some), add_special_tokens=False)
+            ids = np.array(e.ids, dtype="<u4")
+            ends = np.cumsum([len(c) + len(lead) for c in some])
+            first = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(ids))
+            cuts = [0, *np.searchsorted(first, ends, side="left").tolist()]
+            raw = ids.tobytes()
+            for c, x, y in zip(some, cuts, cuts[1:]):
+                self.known[c] = raw[4 * x : 4 * y]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
         split = [self.chunks(t) if t else [] for t in texts]
-        new = set().union(*split).difference(self.known) if split else set()
+        new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > KEPT:
             self.known = {}
             new = set().union(*split)
-        names = list(new)
-        for at in range(0, len(names), 20_000):
-            some = names[at : at + 20_000]
-            for name, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[name] = np.array(e.ids, dtype="<u4").tobytes()
+        new.discard("")
+        self._learn(list(new))
+        self.known[""] = b""
         get = self.known.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
