@@ -210,30 +210,22 @@ def _kept(rule: Rule):
     return run
 
 
-def remove_repeats(docs: DataFrame, rule: Rule, find: Finder, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, with_text: bool = False) -> DataFrame:
-    """(doc_id, t1, t2, n, n_removed, n_spans, kept_sha256[, kept]) for every row of ``docs``.
-
-    A unit goes if a window that covers it starts anywhere else too, in any text.
-    ``kept`` (binary) is null where nothing was removed.  Null text: no units.
-    Repeated rows: all but what is shorter than a window goes.  Null ids are kept.
-    Empty table: no rows.
-    """
-    scan = written(_scan(docs, rule, id_col, text_col), "repeats-scan")
-    texts = written(scan.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep")), "repeats-texts")
+def _changes(scan: DataFrame, docs: DataFrame, rule: Rule, find: Finder, id_col: str, text_col: str, hot: int, with_text: bool) -> DataFrame:
+    """(k1, k2, n_removed, n_spans, cut_sha, left) for each distinct text that loses something."""
+    texts = scan.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+    copied = written(texts.where("copies > 1").select(F.col("t1").alias("k1"), F.col("t2").alias("k2"), "rep", "n"), "repeats-copied")
     # One row of each text speaks for it.
-    copied = texts.where("copies > 1").select(F.col("t1").alias("c1"), F.col("t2").alias("c2"), "rep")
-    alone = scan.select("t1", "t2", "doc_id", "hashes", "places").join(copied, (F.col("t1") == F.col("c1")) & (F.col("t2") == F.col("c2")), "left")
-    alone = alone.where(F.col("c1").isNull() | F.col("doc_id").eqNullSafe(F.col("rep")))
-    places = alone.select("t1", "t2", "doc_id", F.explode(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("p"))).alias("x")).select("t1", "t2", "doc_id", "x.h", "x.p")
+    alone = scan.select("t1", "t2", "doc_id", "hashes", "places").join(copied, (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left")
+    alone = alone.where(F.col("k1").isNull() | F.col("doc_id").eqNullSafe(F.col("rep")))
+    pairs = F.explode(F.arrays_zip(F.col("hashes").alias("h"), F.col("places").alias("p")))
+    places = alone.select("t1", "t2", "doc_id", pairs.alias("x")).select("t1", "t2", "doc_id", "x.h", "x.p")
     place = F.xxhash64("t1", "t2", "p")
     often = places.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("a"), F.max(place).alias("b")).where(F.col("a") != F.col("b"))
     often = written(often.select("h", (F.col("n") > hot).alias("hot")), "repeats-anchors")
-    found = places.join(often, "h").groupBy("t1", "t2", "doc_id").agg(F.collect_set(F.struct("p", "h", "hot")).alias("places"))
-    found = found.withColumnRenamed("doc_id", "rep")
-    same = lambda a, b: (a["t1"] == b["t1"]) & (a["t2"] == b["t2"])
+    found = places.join(often, "h").groupBy("t1", "t2", "doc_id").agg(F.collect_set(F.struct("p", "h", "hot")).alias("places")).withColumnRenamed("doc_id", "rep")
     texted = _keyed(docs, id_col, text_col)
-    held = texted.join(found, same(texted, found) & texted["doc_id"].eqNullSafe(found["rep"])).select(texted["t1"], texted["t2"], "text", "places")
-    held = written(held, "repeats-texts")
+    same = (texted["t1"] == found["t1"]) & (texted["t2"] == found["t2"]) & texted["doc_id"].eqNullSafe(found["rep"])
+    held = written(texted.join(found, same).select(texted["t1"], texted["t2"], "text", "places"), "repeats-texts")
 
     blocks = held.mapInArrow(_blocks(rule), _BLOCKS.replace("longs", "array<long>"))
     spans = blocks.repartition("h").sortWithinPartitions("h").mapInArrow(_matches(rule, find), _SPANS)
@@ -242,19 +234,39 @@ def remove_repeats(docs: DataFrame, rule: Rule, find: Finder, id_col: str = "doc
         at = F.xxhash64("t1", "t2", "s")
         twice = windows.groupBy("w1", "w2").agg(F.min(at).alias("a"), F.max(at).alias("b")).where(F.col("a") != F.col("b")).select("w1", "w2")
         spans = spans.unionAll(windows.join(twice, ["w1", "w2"], "left_semi").select("t1", "t2", "s", (F.col("s") + rule.window).alias("e")))
+    # A text that occurs twice goes whole; it was held only for what others have of it.
+    whole = copied.where(F.col("n") >= rule.window).select("k1", "k2", F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("cut_sha"), F.lit(b"").alias("left"))
+    spans = spans.join(whole.select("k1", "k2"), (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left_anti")
     spans = spans.groupBy("t1", "t2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     cut = held.select("t1", "t2", "text").join(spans, ["t1", "t2"]).select("t1", "t2", "text", "spans")
     left = "left" if with_text else "cast(null as binary) as left"
-    cut = written(cut.mapInArrow(_kept(rule), "t1 long, t2 long, n_removed long, n_spans long, sha string, left binary").selectExpr("t1 as k1", "t2 as k2", "n_removed", "n_spans", "sha as cut_sha", left), "repeats-cut")
-
-    whole = (F.col("c1").isNotNull()) & (F.col("n") >= rule.window)
-    out = scan.select("doc_id", "t1", "t2", "n", "sha").join(copied, (F.col("t1") == F.col("c1")) & (F.col("t2") == F.col("c2")), "left")
-    out = out.join(cut, (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left")
-    pick = lambda all_, cut_, none: F.when(whole, all_).otherwise(F.coalesce(cut_, none))
-    return out.select(
-        "doc_id", "t1", "t2", "n",
-        pick(F.col("n"), F.col("n_removed"), F.lit(0)).cast("long").alias("n_removed"),
-        pick(F.lit(1), F.col("n_spans"), F.lit(0)).cast("long").alias("n_spans"),
-        pick(F.lit(hashlib.sha256(b"").hexdigest()), F.col("cut_sha"), F.col("sha")).alias("kept_sha256"),
-        F.when(whole, F.lit(b"")).otherwise(F.col("left")).alias("kept"),
-    )
+    cut = cut.mapInArrow(_kept(rule), "t1 long, t2 long, n_removed long, n_spans long, sha string, left binary")
+    cut = cut.selectExpr("t1 as k1", "t2 as k2", "n_removed", "n_spans", "sha as cut_sha", left).dropDuplicates(["k1", "k2"])
+    return written(cut.unionAll(whole), "repeats-changes")
+
+
+def remove_repeats(docs: DataFrame, rule: Rule, find: Finder, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """(doc_id, n, n_removed, n_spans, kept_sha256) for every row of ``docs``.
+
+    A unit goes if a window that covers it starts anywhere else too, in any text.
+    Null text: no units.  Repeated rows: all goes, unless shorter than a window.
+    Null ids are kept.  Empty table: no rows.  Other columns are ignored.
+    """
+    scan = written(_scan(docs, rule, id_col, text_col), "repeats-scan")
+    changes = _changes(scan, docs, rule, find, id_col, text_col, hot, False)
+    out = scan.select("doc_id", "t1", "t2", "n", "sha").join(changes, (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left")
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return out.select("doc_id", "n", count("n_removed"), count("n_spans"), F.coalesce("cut_sha", "sha").alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame, rule: Rule, find: Finder, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """``docs`` and a column ``kept`` (binary): what is left of the text, null where nothing goes.
+
+    Same rules as ``remove_repeats``; a column of ``docs`` named kept is replaced.
+    """
+    scan = written(_scan(docs, rule, id_col, text_col), "repeats-scan")
+    changes = _changes(scan, docs, rule, find, id_col, text_col, hot, True).select("k1", "k2", F.col("left").alias("kept"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.drop("kept")
+    keyed = own.withColumns({"_t1": F.xxhash64(text), "_t2": F.xxhash64(F.lit(1), text)})
+    return keyed.join(changes, (F.col("_t1") == F.col("k1")) & (F.col("_t2") == F.col("k2")), "left").select(*[F.col(f"`{c}`") for c in own.columns], "kept")

@@ -15,7 +15,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 
 from demandlake.llm.anchors import Rule
-from demandlake.llm.repeats import HOT, Block, remove_repeats
+from demandlake.llm.repeats import HOT, Block, remove_repeats, without_repeats
 
 WINDOW_WORDS = 35
 #: Words of an anchor: fewer make fewer anchors, more make fewer chance matches.
@@ -59,7 +59,7 @@ def factor_spans(blocks: list[Block], rule: Rule) -> Iterator[tuple[int, int, in
             s = e - width + 1  # the boundary: the first window beyond the factor
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, with_text: bool = False) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """Removes each word covered by a ``window``-word sequence that also starts elsewhere.
 
     Result and edge cases: see ``repeats.remove_repeats``; words are what lies
@@ -67,4 +67,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "
     stays whole.
     """
     rule = Rule(window, min(ANCHOR_WORDS, window), words=True)
-    return remove_repeats(docs, rule, factor_spans, id_col, text_col, hot, with_text)
+    return remove_repeats(docs, rule, factor_spans, id_col, text_col, hot)
+
+
+def without_substrings(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """``docs`` with ``kept``: the words that ``substring_dedup`` leaves, joined by one blank; null where all stay."""
+    return without_repeats(docs, Rule(window, min(ANCHOR_WORDS, window), words=True), factor_spans, id_col, text_col, hot)

@@ -141,11 +141,11 @@ def suffix_spans(blocks: list[Block], rule: Rule) -> Iterator[tuple[int, int, in
             yield i, b.at - left[i], b.at + right[i]
 
 
-def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, with_text: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """Removes each byte covered by a ``window``-byte string that also starts elsewhere.
 
     Result and edge cases: see ``repeats.remove_repeats``; units are the bytes of
     the UTF-8 text, so what is kept need not be valid UTF-8.
     """
     rule = Rule(window, min(ANCHOR_BYTES, window), words=False)
-    return remove_repeats(docs, rule, suffix_spans, id_col, text_col, hot, with_text)
+    return remove_repeats(docs, rule, suffix_spans, id_col, text_col, hot)
