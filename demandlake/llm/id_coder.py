@@ -239,6 +239,8 @@ def _decode_lanes(codes: list[bytes]) -> list[np.ndarray]:
         code[small] = (code[small] << U64(32)) | digits[small, place[small]]
         place[small] += 1
         width[small] <<= U64(32)
+        if now.min(initial=0) < 0:  # a class that predicts nothing: only damage leads here
+            raise ValueError("a block of ids is damaged")
         ids[t, :live] = now
         model.update(now)
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * n
