@@ -87,8 +87,8 @@ def mix(docs: DataFrame, size: Column, keys: list[Column], weights: list[int], s
     h = F.shiftrightunsigned(F.xxhash64(*keys), 64 - HASH_BITS)
     rows = written(docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size"), h.alias("h")), "mix-rows")
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
-    cut = written(_thresholds(rows, targets), "mix-cuts").select(F.col("source").alias("_source"), "passes", "threshold")
-    plan = cut.join(targets, F.col("_source").eqNullSafe(F.col("source"))).drop("source")
-    out = base.withColumn("_h", h).join(plan, F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
-    copies = (F.col("passes") + F.when(F.col("_h") < F.col("threshold"), 1).otherwise(0)).cast("int")
-    return out.select(*[F.col(f"`{c}`") for c in base.columns], "source_size", "target", copies.alias("copies"))
+    cut = written(_thresholds(rows, targets), "mix-cuts")
+    plan = cut.join(targets.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("source")
+    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("row"), F.col(source_col).cast("string").alias("source"), h.alias("h"))
+    copies = (F.col("passes") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)).cast("int")
+    return hashed.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("row.*", "source_size", "target", copies.alias("copies"))

@@ -268,5 +268,5 @@ def without_repeats(docs: DataFrame, rule: Rule, find: Finder, id_col: str = "do
     changes = _changes(scan, docs, rule, find, id_col, text_col, hot, True).select("k1", "k2", F.col("left").alias("kept"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.drop("kept")
-    keyed = own.withColumns({"_t1": F.xxhash64(text), "_t2": F.xxhash64(F.lit(1), text)})
-    return keyed.join(changes, (F.col("_t1") == F.col("k1")) & (F.col("_t2") == F.col("k2")), "left").select(*[F.col(f"`{c}`") for c in own.columns], "kept")
+    keyed = own.select(F.struct(*[F.col(f"`{c}`") for c in own.columns]).alias("row"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+    return keyed.join(changes, (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left").select("row.*", "kept")
