@@ -34,7 +34,7 @@ def parse_number(text: Column) -> Column:
                 .when(~numeric, F.lit(TEXT))
                 .when(has_comma, F.lit(FRAC))
                 .when(lv.isNull(), F.lit(INT_OVERFLOW))
-                .when(F.abs(lv) > F.lit(FLOAT64_EXACT_INT), F.lit(INT_WIDE))
+                .when((lv > F.lit(FLOAT64_EXACT_INT)) | (lv < F.lit(-FLOAT64_EXACT_INT)), F.lit(INT_WIDE))
                 .otherwise(F.lit(INT))
             )
             return F.struct(kind.alias("kind"), lv.alias("as_long"), as_double.alias("as_double"))

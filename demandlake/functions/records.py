@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from demandlake.functions.hof import let
 from demandlake.functions.text import strip
 
-QUOTE_CHARS = ('"', "'")
-
 
 def _pat(*parts) -> Column:
     """A regex assembled from literal pieces and the row's dialect characters.
@@ -110,14 +108,6 @@ def parse_fields(lines: Column, delimiter: Column, quotechar: Column, doublequot
     return let(lines, body)
 
 
-HEADER_ERRORS = {
-    "no_header": "does not contain a header row",
-    "empty_header": "contains an empty header",
-    "unparsed_delimiter": "contains an unparsed delimiter in a header",
-    "duplicate_header": "contains duplicate headers",
-}
-
-
 def header_error(raw_header: Column, headers: Column) -> Column:
     """First failing header rule as a reason key (null when valid).
     ``headers`` is ``raw_header`` with every name stripped."""
@@ -129,13 +119,6 @@ def header_error(raw_header: Column, headers: Column) -> Column:
     )
 
 
-def header_message(reason: Column, name: Column) -> Column:
-    expr = F.lit(None).cast("string")
-    for key, text in reversed(list(HEADER_ERRORS.items())):
-        expr = F.when(reason == key, F.concat(F.lit("CSV "), name, F.lit(" " + text))).otherwise(expr)
-    return expr
-
-
 def normalise_rows(records: Column, width: Column) -> Column:
     """S6 + P14 + F1: data records mapped to the header width, trimmed,
     short rows filled with '', surplus fields dropped, blank rows removed."""

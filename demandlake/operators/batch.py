@@ -1,91 +1,93 @@
-"""Batch outcomes.
-
-``attempts(batch_id, phrase_ord, run_id, view, view_ord, fail_code,
-fail_message, auth_lost)`` says what each view attempt would return.  The
-cuts are reductions joined back, not windows over a whole batch, so a batch
-holding a third of all phrases still spreads over many tasks.
+"""Batch outcomes from recorded logs.
+
+``requests(batch_id, phrase_ord, run_id)`` is what was asked for, ``attempts(run_id,
+view, fail_code, fail_message)`` what was tried (fail_code null: it was stored), and
+``stored(run_id, view)`` what the run's manifest held before.  What was never tried
+has no row in the log: it is found by joining the attempts to requests x views.
+Everything keys on the run, so a batch that holds a third of all phrases spreads
+over as many tasks as any other rows; batches meet in partial sums only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.constants import AUTH_REQUIRED, ERROR_TYPES, NOT_ATTEMPTED_PREFIX, NOT_COLLECTED
+from demandlake.operators.manifest import all_views, view_ord
 
 
-def error_type_name(code):
+def error_type_name(code: Column) -> Column:
     expr = F.lit(None).cast("string")
     for c, name in ERROR_TYPES.items():
         expr = F.when(code == c, F.lit(name)).otherwise(expr)
     return expr
 
 
-def error_text(code, message):
+def error_text(code: Column, message: Column) -> Column:
     """P13: '<Type>: <message>'."""
     return F.concat_ws(": ", error_type_name(code), message)
 
 
-def auth_abort_cut(attempts: DataFrame) -> DataFrame:
-    """Phrases after the batch's first lost authentication are never attempted."""
-    first_auth = (
-        attempts.filter(F.col("auth_lost"))
-        .groupBy("batch_id").agg(F.min("phrase_ord").alias("auth_ord"))
-    )
-    j = attempts.join(first_auth, "batch_id", "left")
-    state = (
-        F.when(F.col("auth_ord").isNull() | (F.col("phrase_ord") < F.col("auth_ord")), F.lit("attempted"))
-        .when(F.col("phrase_ord") == F.col("auth_ord"), F.lit("auth_failed"))
-        .otherwise(F.lit("skipped"))
-    )
-    return j.withColumn("phrase_state", state).drop("auth_ord")
-
-
-def first_failure_cut(attempts: DataFrame) -> DataFrame:
-    """Within a run, views after the first failing one are 'not attempted'.
+def view_outcomes(requests: DataFrame, attempts: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row for each requested run and view.
 
-    A run has at most four views, so the window partition is bounded."""
-    a = auth_abort_cut(attempts)
-    w = Window.partitionBy("run_id").orderBy("view_ord").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.first(F.when(F.col("fail_code").isNotNull(), F.col("view")), ignorenulls=True).over(w)
-    out = a.withColumn("_failed_before", earlier)
+    outcome: ``stored`` (now), ``kept`` (from before), ``failed``, ``auth_failed``,
+    ``not_attempted`` (an earlier view of the run failed), ``skipped`` (the run
+    was never begun) or ``missing``.  A view tried twice counts by its success, or
+    its first error.  ``view_error`` is the reason of failed and not attempted ones.
+    """
+    tried = attempts.groupBy("run_id", "view").agg(
+        F.bool_or(F.col("fail_code").isNull()).alias("done"),
+        F.min(F.struct("fail_code", "fail_message")).alias("err"),
+    )
+    broken = tried.filter(~F.col("done")).groupBy("run_id").agg(F.min(F.struct(view_ord(F.col("view")).alias("ord"), "view", "err")).alias("broke"))
+    begun = tried.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_tried"))
+    held = stored.select("run_id", "view", F.lit(True).alias("held")).distinct()
+    wide = requests.select("batch_id", "phrase_ord", "run_id", F.posexplode(all_views()).alias("view_ord", "view"))
+    wide = wide.join(tried, ["run_id", "view"], "left").join(held, ["run_id", "view"], "left").join(broken, "run_id", "left").join(begun, "run_id", "left")
     outcome = (
-        F.when(F.col("phrase_state") == "skipped", F.lit("skipped"))
-        .when(F.col("phrase_state") == "auth_failed", F.lit("auth_failed"))
-        .when(F.col("_failed_before").isNotNull(), F.lit("not_attempted"))
-        .when(F.col("fail_code").isNotNull(), F.lit("failed"))
-        .otherwise(F.lit("stored"))
+        F.when(F.col("done"), F.lit("stored"))
+        .when(F.col("err.fail_code") == AUTH_REQUIRED, F.lit("auth_failed"))
+        .when(~F.col("done"), F.lit("failed"))
+        .when(F.col("held"), F.lit("kept"))
+        .when(F.col("broke.err.fail_code") == AUTH_REQUIRED, F.lit("missing"))
+        .when(F.col("broke.ord") < F.col("view_ord"), F.lit("not_attempted"))
+        .when(F.col("n_tried").isNull(), F.lit("skipped"))
+        .otherwise(F.lit("missing"))
     )
     reason = (
-        F.when(F.col("outcome") == "not_attempted", F.concat(F.lit(NOT_ATTEMPTED_PREFIX), F.col("_failed_before")))
-        .when(F.col("outcome") == "failed", error_text(F.col("fail_code"), F.col("fail_message")))
+        F.when(F.col("outcome") == "not_attempted", F.concat(F.lit(NOT_ATTEMPTED_PREFIX), F.col("broke.view")))
+        .when(F.col("outcome") == "failed", error_text(F.col("err.fail_code"), F.col("err.fail_message")))
     )
-    return out.withColumn("outcome", outcome).withColumn("view_error", reason).drop("_failed_before")
+    return wide.withColumn("outcome", outcome).withColumn("view_error", reason).withColumn("fail_code", F.col("err.fail_code")).select(
+        "batch_id", "phrase_ord", "run_id", "view_ord", "view", "outcome", "view_error", "fail_code")
 
 
-def phrase_outcome(cut: DataFrame) -> DataFrame:
-    """One row per run: 'result' if any view stored, 'failure' with the
-    original error if none, 'skipped' if never attempted."""
-    g = cut.groupBy("batch_id", "phrase_ord", "run_id").agg(
-        F.bool_or(F.col("outcome") == "stored").alias("any_stored"),
+def phrase_outcome(views: DataFrame) -> DataFrame:
+    """One row per run: 'result' if anything is stored, now or from before,
+    'failure' with its error if not (or if its login was lost), 'skipped' if it
+    was never begun.  A begun run that holds nothing and failed nowhere is a result."""
+    stored = F.col("outcome").isin("stored", "kept")
+    g = views.groupBy("batch_id", "phrase_ord", "run_id").agg(
+        F.bool_or(stored).alias("any_stored"),
         F.bool_or(F.col("outcome") == "skipped").alias("skipped"),
         F.bool_or(F.col("outcome") == "auth_failed").alias("auth_failed"),
-        F.min_by(F.struct("fail_code", "fail_message"),
-                 F.when(F.col("outcome") == "failed", F.col("view_ord"))).alias("err"),
-        F.count_if(F.col("outcome") != "stored").alias("n_incomplete"),
+        F.min_by("fail_code", F.when(F.col("outcome") == "failed", F.col("view_ord"))).alias("fail_code"),
+        F.count_if(~stored).alias("n_incomplete"),
     )
     outcome = (
-        F.when(F.col("skipped"), F.lit("skipped"))
-        .when(F.col("auth_failed"), F.lit("failure"))
-        .when(F.col("any_stored"), F.lit("result"))
+        F.when(F.col("auth_failed"), F.lit("failure"))
+        .when(F.col("skipped"), F.lit("skipped"))
+        .when(F.col("any_stored") | F.col("fail_code").isNull(), F.lit("result"))
         .otherwise(F.lit("failure"))
     )
-    code = F.when(F.col("auth_failed"), F.lit(AUTH_REQUIRED)).when(F.col("outcome") == "failure", F.col("err.fail_code"))
+    code = F.when(F.col("auth_failed"), F.lit(AUTH_REQUIRED)).when(F.col("outcome") == "failure", F.col("fail_code"))
     return (
         g.withColumn("outcome", outcome)
         .withColumn("error_code", code)
         .withColumn("partial", (F.col("outcome") == "result") & (F.col("n_incomplete") > 0))
-        .drop("any_stored", "skipped", "auth_failed", "err")
+        .select("batch_id", "phrase_ord", "run_id", "outcome", "error_code", "partial", "n_incomplete")
     )
 
 
@@ -103,17 +105,22 @@ def batch_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def incomplete_report(cut: DataFrame, outcomes: DataFrame, stored_views: DataFrame | None = None) -> DataFrame:
-    """J6 + U3 + O3: for runs that produced a result, every view that is
-    missing from the manifest or errored, with its reason (default text
-    otherwise), ordered by view name."""
-    results = outcomes.filter(F.col("outcome") == "result").select("run_id")
-    stored = cut.filter(F.col("outcome") == "stored").select("run_id", "view") if stored_views is None else stored_views
-    views = cut.select("run_id", "view").distinct()
-    missing = views.join(stored, ["run_id", "view"], "left_anti")
-    errored = cut.filter(F.col("view_error").isNotNull()).select("run_id", "view", "view_error")
-    both = missing.join(errored, ["run_id", "view"], "full_outer")
-    return (
-        both.join(results, "run_id", "left_semi")
-        .select("run_id", "view", F.coalesce("view_error", F.lit(NOT_COLLECTED)).alias("reason"))
-    )
+def incomplete_report(views: DataFrame, outcomes: DataFrame, warnings: DataFrame | None = None) -> DataFrame:
+    """J6 + U3 + O3: (batch_id, phrase_ord, run_id, view, reason, line_ord) of every
+    view that a result lacks, with its reason or the default text, and of every
+    warning (``warnings(run_id, path)``: files that landed elsewhere).
+
+    ``line_ord`` is the line's place inside its run: views by name, then warnings
+    by path; a run has at most four views, and its warnings are numbered in one
+    array.  Order by batch_id, phrase_ord, line_ord to print.
+    """
+    results = outcomes.filter(F.col("outcome") == "result").select("batch_id", "phrase_ord", "run_id")
+    lacking = views.filter(~F.col("outcome").isin("stored", "kept")).select(
+        "run_id", F.struct(F.lit(0).alias("kind"), F.col("view").alias("key"), F.coalesce("view_error", F.lit(NOT_COLLECTED)).alias("reason")).alias("x"))
+    if warnings is not None:
+        lacking = lacking.unionByName(warnings.select(
+            "run_id", F.struct(F.lit(1).alias("kind"), F.col("path").alias("key"), F.lit("a file landed outside the run's folders").alias("reason")).alias("x")))
+    lines = lacking.join(results, "run_id").groupBy("batch_id", "phrase_ord", "run_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    out = lines.select("batch_id", "phrase_ord", "run_id", F.posexplode("xs").alias("line_ord", "x"))
+    return out.select("batch_id", "phrase_ord", "run_id", "line_ord", F.when(F.col("x.kind") == 0, F.col("x.key")).alias("view"),
+                      F.when(F.col("x.kind") == 1, F.col("x.key")).alias("path"), "x.reason")

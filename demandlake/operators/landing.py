@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandlake.functions.hof import let
 from demandlake.constants import DOWNLOAD_ESCAPED, DOWNLOAD_TIMEOUT, INTERFACE_CHANGED
 
 
@@ -32,7 +33,7 @@ def normalise_path(path: Column) -> Column:
 def contained(path: Column, roots: Column) -> Column:
     """the normalised path lies under one of ``roots`` (ARRAY<STRING>)."""
     p = normalise_path(path)
-    return F.exists(roots, lambda r: F.startswith(p, F.concat(r, F.lit("/"))))
+    return let(p, lambda q: F.exists(roots, lambda r: F.startswith(q, F.concat(F.rtrim(normalise_path(r), F.lit("/")), F.lit("/")))))
 
 
 def new_files(before: DataFrame, after: DataFrame, key: str = "norm_path") -> DataFrame:

@@ -18,7 +18,16 @@ from demandlake.functions.text import strip
 
 def view_ord(view: Column) -> Column:
     """Position of a view in declaration order (null for unknown views)."""
-    return (F.array_position(F.array(*[F.lit(v) for v in VIEWS]), view) - 1).cast("int")
+    return (F.nullif(F.array_position(all_views(), view), F.lit(0)) - 1).cast("int")
+
+
+def dataset_file(view: Column, granularity: Column) -> Column:
+    """P10: dynamics.parquet (monthly) / dynamics_<g>.parquet; <view>.parquet otherwise."""
+    return (
+        F.when((view == "dynamics") & (granularity == "monthly"), F.lit("dynamics.parquet"))
+        .when(view == "dynamics", F.concat(F.lit("dynamics_"), granularity, F.lit(".parquet")))
+        .otherwise(F.concat(view, F.lit(".parquet")))
+    )
 
 
 def all_views() -> Column:
@@ -36,10 +45,11 @@ def merge_exports(log: DataFrame) -> DataFrame:
 
 
 def manifest_entries(merged: DataFrame) -> DataFrame:
-    """Per run: ``exports`` ARRAY<STRUCT> in view declaration order (O1)."""
-    cols = [c for c in merged.columns if c not in ("run_id",)]
+    """Per run: ``exports`` ARRAY<STRUCT> in view declaration order (O1); unknown views last."""
+    cols = ["view_ord", *[c for c in merged.columns if c not in ("run_id", "view_ord")]]
+    place = lambda e: F.coalesce(e["view_ord"], F.lit(len(VIEWS)))
     return merged.groupBy("run_id").agg(
-        F.array_sort(F.collect_list(F.struct(*cols))).alias("exports")
+        F.array_sort(F.collect_list(F.struct(*cols)), lambda x, y: place(x) - place(y)).alias("exports")
     )
 
 
@@ -69,11 +79,17 @@ def pending_views(runs: DataFrame, merged: DataFrame, files: DataFrame) -> DataF
     return expanded.join(done, ["run_id", "view"], "left_anti")
 
 
-def prune_stale(merged: DataFrame, pending: DataFrame) -> DataFrame:
-    """Drop entries that are pending again (file gone); flag runs whose manifest changed."""
-    kept = merged.join(pending.select("run_id", "view"), ["run_id", "view"], "left_anti")
-    stale = merged.join(pending.select("run_id", "view"), ["run_id", "view"], "left_semi")
-    return kept, stale
+def prune_stale(merged: DataFrame, files: DataFrame) -> DataFrame:
+    """Entries with ``stale``: their file (run_id, file) is gone, so the view is pending again."""
+    present = files.select("run_id", "file", F.lit(True).alias("_present")).distinct()
+    return merged.join(present, ["run_id", "file"], "left").withColumn("stale", F.col("_present").isNull()).drop("_present")
+
+
+def pruned_runs(runs: DataFrame, marked: DataFrame, now: Column) -> DataFrame:
+    """``runs`` with n_before, n_after, and ``updated_at`` moved to ``now`` where an entry was dropped."""
+    counts = marked.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_before"), F.count_if(~F.col("stale")).alias("n_after"))
+    out = runs.join(counts, "run_id", "left").fillna(0, ["n_before", "n_after"])
+    return out.withColumn("updated_at", F.when(F.col("n_after") < F.col("n_before"), now).otherwise(F.col("updated_at")))
 
 
 def duplicate_views(raw_entries: DataFrame) -> DataFrame:
@@ -86,13 +102,14 @@ def duplicate_views(raw_entries: DataFrame) -> DataFrame:
     )
 
 
-def manifest_timestamps(writes: DataFrame) -> DataFrame:
-    """created_at = first write, updated_at = last write, source_url = last write's."""
-    return writes.groupBy("run_id").agg(
-        F.min("ts").alias("created_at"),
-        F.max("ts").alias("updated_at"),
-        F.max_by("source_url", "ts").alias("source_url"),
-    )
+def manifest_timestamps(runs: DataFrame, writes: DataFrame) -> DataFrame:
+    """W7 per run of ``runs(run_id, created_at, source_url)``: its creation is the
+    first write of its manifest, so a run without a stored view has both times;
+    updated_at and source_url are those of the last write."""
+    last = writes.groupBy("run_id").agg(F.max_by(F.struct("ts", "source_url"), F.struct("ts", "seq", "source_url")).alias("w"))
+    return runs.join(last, "run_id", "left").select(
+        "run_id", "created_at", F.coalesce("w.ts", "created_at").alias("updated_at"),
+        F.coalesce("w.source_url", runs["source_url"]).alias("source_url"))
 
 
 def resume_match(requests: DataFrame, manifests: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandlake import messages
 from demandlake.constants import CSV_FORMAT
 from demandlake.functions.dialect import (
     combine_dialect,
@@ -19,8 +20,9 @@ from demandlake.functions.dialect import (
     quote_guess,
     sample_of,
 )
-from demandlake.functions.records import header_error, header_message, normalise_rows, parse_fields
+from demandlake.functions.records import header_error, normalise_rows, parse_fields
 from demandlake.functions.hof import cached_expr, let
+from demandlake.messages import sentence
 from demandlake.functions.text import decode_bytes, split_lines, strip
 
 
@@ -58,11 +60,7 @@ def parse_struct(content: Column, name: Column) -> Column:
                         def finish(rsn):
                             ok = rsn.isNull()
                             rows = F.when(ok, normalise_rows(recs, F.size(hs)))
-                            message = F.when(
-                                rsn == "undecodable",
-                                F.concat(F.lit("Cannot decode CSV "), name,
-                                         F.lit(": not UTF-8, and not cp1251 (byte 0x98)")),
-                            ).otherwise(header_message(rsn, name))
+                            message = F.concat_ws(" ", F.when(~ok, name), sentence(rsn, messages.EXPORT))
 
                             def out(rw):
                                 return F.struct(
@@ -75,7 +73,7 @@ def parse_struct(content: Column, name: Column) -> Column:
                                     F.when(ok, F.size(rw).cast("bigint")).alias("row_count"),
                                     F.when(~ok, F.lit(CSV_FORMAT)).alias("error_code"),
                                     rsn.alias("error_reason"),
-                                    message.alias("error_message"),
+                                    F.when(~ok, message).alias("error_message"),
                                 )
 
                             return let(rows, out)

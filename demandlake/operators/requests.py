@@ -5,17 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandlake import messages
 from demandlake.constants import INVALID_PERIOD, INVALID_REQUEST
 from demandlake.functions.dates import period_error_message, period_error_reason, requested_period
 from demandlake.functions.text import slugify, strip
-
-BATCH_MESSAGES = {
-    "no_phrases": "At least one search phrase is required",
-    "blank_region": "The region must not be empty",
-    "blank_phrase": "The search phrase must not be empty",
-    "resume_needs_one": "--resume-dir requires exactly one phrase",
-}
-
+from demandlake.messages import sentence
 
 def validate_periods(requests: DataFrame, today) -> DataFrame:
     """F2 per request row: adds period_reason, error_code, error_message, requested_period."""
@@ -52,9 +46,7 @@ def validate_batches(requests: DataFrame, today) -> DataFrame:
         .when(F.col("any_blank"), F.lit("blank_phrase"))
         .when(F.col("b.resume_run").isNotNull() & (F.col("n_phrases") != 1), F.lit("resume_needs_one"))
     )
-    msg = period_error_message(F.col("reason"))
-    for key, text in BATCH_MESSAGES.items():
-        msg = F.when(F.col("reason") == key, F.lit(text)).otherwise(msg)
+    msg = sentence(F.col("reason"), messages.PERIOD | messages.BATCH)
     return (
         out.withColumn("reason", rule)
         .withColumn("error_code", F.when(F.col("period_reason").isNotNull(), F.lit(INVALID_PERIOD))
@@ -66,39 +58,55 @@ def validate_batches(requests: DataFrame, today) -> DataFrame:
 
 def run_keys(requests: DataFrame, order: str, now: str = "now", phrase: str = "phrase",
              existing: DataFrame | None = None, bucket_size: int = 4096) -> DataFrame:
-    """S12 + W3: ``<UTC yyyyMMdd'T'HHmmss'Z'>-<slug>`` with '-2', '-3', ... on collisions.
+    """S12 + W3: ``<UTC yyyyMMdd'T'HHmmss'Z'>-<slug>``, unique by '-2', '-3', ...
 
-    Collisions are numbered in ``order`` (a unique integer), after any
-    ``existing`` keys with the same base.  Skew-safe ranking: rows fall in
-    (base, b1 = order div B) cells, cells in (base, b2 = b1 div B) blocks;
-    running offsets are summed over block counts, then over cell counts
-    inside a block, and only a cell is ranked row by row.  No window
-    partition holds more than B rows, even when one base holds a third of
-    all requests (it would need more than B^3 rows to exceed that).
+    Requests of one base are numbered in ``order`` (a unique integer); number 1
+    is the base itself.  A number whose key is taken is passed over: taken are
+    the keys of ``existing`` (column run_key), and the bases of other requests
+    (a slug may itself end in '-2').  The numbers taken under a base are few
+    and kept as a sorted array; the k-th request gets the k-th free number.
+
+    Skew-safe ranking: rows fall in (base, b1 = order div B) cells, cells in
+    (base, b2 = b1 div B) blocks; running offsets are summed over block counts,
+    then over cell counts inside a block, and only a cell is ranked row by row.
     """
     base = F.concat(F.date_format(F.col(now), "yyyyMMdd'T'HHmmss'Z'"), F.lit("-"), slugify(F.col(phrase)))
-    req = requests.withColumn("base_key", base).withColumn("_b1", F.floor(F.col(order) / bucket_size))
+    req = requests.withColumn("base_key", base)
+    req = req.withColumn("_b1", F.expr(f"`{order}` div {bucket_size}"))
+    # Whatever the plan does with the texts, the counting below needs the keys alone.
     cells = (req.groupBy("base_key", "_b1").agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_b2", F.floor(F.col("_b1") / bucket_size)))
+             .withColumn("_b2", F.expr(f"_b1 div {bucket_size}")))
     blocks = cells.groupBy("base_key", "_b2").agg(F.sum("_n").alias("_n2"))
     before = Window.unboundedPreceding
     blocks = blocks.withColumn(
         "_off2", F.coalesce(F.sum("_n2").over(Window.partitionBy("base_key").orderBy("_b2").rowsBetween(before, -1)),
                             F.lit(0)))
+    bases = blocks.groupBy("base_key").agg(F.sum("_n2").alias("_total"))
+    # Keys that are taken whatever this batch does: existing ones, and every base of the batch.
+    taken = bases.select(F.col("base_key").alias("run_key"))
+    if existing is not None:
+        taken = taken.unionByName(existing.select("run_key")).distinct()
+        own = existing.select(F.col("run_key").alias("base_key"), F.lit(1).cast("bigint").alias("_k")).distinct()
+    numbered = taken.select(
+        F.regexp_extract("run_key", r"^(.*)-([1-9][0-9]*)$", 1).alias("base_key"),
+        F.regexp_extract("run_key", r"^(.*)-([1-9][0-9]*)$", 2).try_cast("bigint").alias("_k"),
+    ).filter(F.col("_k") >= 2)
+    if existing is not None:
+        numbered = numbered.unionByName(own)
+    used = numbered.join(bases, "base_key", "left_semi").groupBy("base_key").agg(F.sort_array(F.collect_set("_k")).alias("_used"))
     cells = cells.join(blocks.select("base_key", "_b2", "_off2"), ["base_key", "_b2"]).withColumn(
         "_offset",
         F.col("_off2") + F.coalesce(
             F.sum("_n").over(Window.partitionBy("base_key", "_b2").orderBy("_b1").rowsBetween(before, -1)), F.lit(0)),
-    )
-    if existing is not None:
-        prior = existing.groupBy("base_key").agg(F.count(F.lit(1)).alias("_prior"))
-        cells = cells.join(prior, "base_key", "left").withColumn(
-            "_offset", F.col("_offset") + F.coalesce(F.col("_prior"), F.lit(0))).drop("_prior")
-    ranked = req.join(cells.select("base_key", "_b1", "_offset"), ["base_key", "_b1"])
-    rn = F.row_number().over(Window.partitionBy("base_key", "_b1").orderBy(order)) + F.col("_offset")
+    ).join(used, "base_key", "left")
+    ranked = req.join(cells.select("base_key", "_b1", "_offset", "_used"), ["base_key", "_b1"])
+    rank = F.row_number().over(Window.partitionBy("base_key", "_b1").orderBy(order)) + F.col("_offset")
+    # The k-th free number: every taken number at or below the running result pushes it up by one.
+    free = F.aggregate("_used", F.col("_rank"), lambda n, k: F.when(k <= n, n + 1).otherwise(n))
     return (
-        ranked.withColumn("collision_n", rn.cast("int"))
+        ranked.withColumn("_rank", rank)
+        .withColumn("collision_n", F.coalesce(free, F.col("_rank")).cast("int"))
         .withColumn("run_key", F.when(F.col("collision_n") == 1, F.col("base_key"))
                     .otherwise(F.concat(F.col("base_key"), F.lit("-"), F.col("collision_n").cast("string"))))
-        .drop("_b1", "_offset")
+        .drop("_b1", "_offset", "_used", "_rank")
     )

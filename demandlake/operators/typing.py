@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandlake import messages
 from demandlake.constants import OVERFLOW
 from demandlake.functions.hof import cached_expr, let
 from demandlake.functions.numbers import (
@@ -81,7 +82,7 @@ def typed_fields(p: Column, t: Column, file_name: Column) -> dict[str, Column]:
         "columns": t["columns"],
         "error_code": F.when(bad, F.lit(OVERFLOW)).otherwise(p["error_code"]),
         "error_reason": F.when(bad, F.lit("overflow")).otherwise(p["error_reason"]),
-        "error_message": F.when(bad, F.concat(F.lit("Integer value out of range in "), file_name)).otherwise(
+        "error_message": F.when(bad, F.concat(file_name, F.lit(" " + messages.EXPORT["overflow"]))).otherwise(
             p["error_message"]),
     }
 
@@ -111,9 +112,14 @@ def column_profile(typed: DataFrame, keys: list[str]) -> DataFrame:
 def typed_cells(typed: DataFrame, keys: list[str]) -> DataFrame:
     """J7 + P3 in long form: each cell with its column's dtype and typed value.
 
+    Only trusted exports have cells (``trusted``; where the series weren't
+    checked, those without an error): a value that its column cannot hold is
+    never turned into null.
+
     The dtype is looked up by position inside the export's row, so the
     'join' of cells to their profile costs no shuffle."""
-    rows = typed.select(
+    sound = F.col("trusted") if "trusted" in typed.columns else F.col("error_code").isNull()
+    rows = typed.filter(sound).select(
         *keys, "columns", "parsed_rows", F.posexplode_outer("rows").alias("row_ord", "cells")
     ).filter(F.col("row_ord").isNotNull())
     cells = rows.select(

@@ -136,11 +136,7 @@ def _all_series(spark: SparkSession, sf: str) -> DataFrame:
     """Daily (per type and per user), weekly and monthly exports, landed
     together and ingested in one pass."""
     events = table(spark, sf, "events")
-    variants = [("daily", False), ("daily", True), ("weekly", False), ("monthly", False)]
-    landing = derive.series_exports(events, *variants[0])
-    for g, by_user in variants[1:]:
-        landing = landing.unionByName(derive.series_exports(events, g, by_user))
-    return ingest_exports(landing)
+    return ingest_exports(derive.all_series_exports(events))
 
 
 def series_contiguity(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,12 +251,12 @@ def run_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def period_label(spark: SparkSession, sf: str) -> DataFrame:
-    r = _requests(spark, sf).filter(F.col("date_from").isNotNull())
+    r = _requests(spark, sf)
     return r.select("o_orderkey", "granularity", D.period_label(F.col("granularity"), F.col("date_from")).alias("label"))
 
 
 def label_granularity(spark: SparkSession, sf: str) -> DataFrame:
-    r = _requests(spark, sf).filter(F.col("date_from").isNotNull())
+    r = _requests(spark, sf)
     d = F.col("date_from")
     gen = F.array(*[F.lit(m) for m in MONTHS_GENITIVE])
     mon = D.week_monday(d)
@@ -276,7 +272,7 @@ def label_granularity(spark: SparkSession, sf: str) -> DataFrame:
         .when(k == 2, D.period_label(F.lit("monthly"), d))
         .otherwise(F.date_format(d, "dd.MM.yyyy"))
     )
-    return r.select("o_orderkey", label.alias("label")).select(
+    return r.select("o_orderkey", F.when(d.isNotNull(), label).alias("label")).select(
         "o_orderkey", "label", D.label_granularity(F.col("label")).alias("granularity"))
 
 
@@ -287,17 +283,17 @@ def dataset_name(spark: SparkSession, sf: str) -> DataFrame:
     view = F.element_at(F.array(*[F.lit(v) for v in VIEWS]), (F.col("o_orderkey") % 4 + 1).cast("int"))
     keep_raw = F.col("o_orderkey") % 2 == 0
     return r.select(
-        "o_orderkey", view.alias("view"), "granularity",
+        "o_orderkey", view.alias("view"), "granularity", keep_raw.alias("keep_raw"),
     ).select(
         "o_orderkey", "view", "granularity",
-        derive.dataset_file(F.col("view"), F.col("granularity")).alias("file"),
-        F.when(keep_raw, F.concat(F.col("view"), F.lit(".csv"))).alias("raw_file"),
+        M.dataset_file(F.col("view"), F.col("granularity")).alias("file"),
+        SINK.raw_name(F.col("view"), F.col("keep_raw")).alias("raw_file"),
     )
 
 
 # ------------------------------------------------------------------ manifests
-def _runs(spark, sf):
-    return derive.customer_runs(table(spark, sf, "customer"), table(spark, sf, "nation"))
+def _runs(spark, sf, region=False):
+    return derive.customer_runs(table(spark, sf, "customer"), table(spark, sf, "nation") if region else None)
 
 
 def _log(spark, sf):
@@ -327,20 +323,22 @@ def pending_views_query(spark: SparkSession, sf: str) -> DataFrame:
         "run_id", "view", F.col("view_ord").cast("int"))
 
 
+CREATED = 1787270400
+STALE_AT = 1790000000
+
+
+def _created(runs):
+    """Every run's manifest is first written, without entries, when its folder is made."""
+    return runs.withColumns({"created_at": F.timestamp_seconds(F.lit(CREATED) + F.col("c_custkey") * 60),
+                             "source_url": F.concat(F.lit("https://reports.example/?run="), F.col("c_custkey").cast("string"))})
+
+
 def prune_stale_query(spark: SparkSession, sf: str) -> DataFrame:
-    runs = _runs(spark, sf)
     merged = _merged(spark, sf)
-    pending = M.pending_views(runs, merged, _files(merged))
-    kept, stale = M.prune_stale(merged, pending)
-    nb = merged.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_before"))
-    na = kept.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_after"))
-    out = runs.select("run_id").join(nb, "run_id", "left").join(na, "run_id", "left")
-    return out.select(
-        "run_id",
-        F.coalesce("n_before", F.lit(0)).alias("n_before"),
-        F.coalesce("n_after", F.lit(0)).alias("n_after"),
-        (F.coalesce("n_after", F.lit(0)) < F.coalesce("n_before", F.lit(0))).alias("bumped"),
-    )
+    runs = _created(_runs(spark, sf)).select("run_id", F.col("created_at").alias("updated_at"))
+    marked = M.prune_stale(merged, _files(merged))
+    out = M.pruned_runs(runs, marked, F.timestamp_seconds(F.lit(STALE_AT)))
+    return out.select("run_id", "n_before", "n_after", (F.unix_seconds("updated_at") == STALE_AT).alias("bumped"))
 
 
 def _manifests(spark, sf):
@@ -368,13 +366,13 @@ def duplicate_views_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def manifest_timestamps_query(spark: SparkSession, sf: str) -> DataFrame:
-    t = M.manifest_timestamps(_log(spark, sf))
+    t = M.manifest_timestamps(_created(_runs(spark, sf)), _log(spark, sf))
     return t.select("run_id", F.unix_seconds("created_at").alias("created_at"),
                     F.unix_seconds("updated_at").alias("updated_at"), "source_url")
 
 
 def resume_match_query(spark: SparkSession, sf: str) -> DataFrame:
-    runs = _runs(spark, sf)
+    runs = _runs(spark, sf, region=True)
     k = F.col("c_custkey")
     other_g = F.when(F.col("granularity") == "daily", F.lit("weekly")).otherwise(F.lit("daily"))
     req = runs.select(
@@ -389,44 +387,57 @@ def resume_match_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ batches
-def _attempts(spark, sf):
-    return derive.conversation_attempts(table(spark, sf, "conversations"))
+def _views(spark, sf):
+    requests, attempts, stored, _ = derive.batch_logs(table(spark, sf, "conversations"))
+    return B.view_outcomes(requests, attempts, stored)
 
 
 def auth_abort_cut_query(spark: SparkSession, sf: str) -> DataFrame:
-    a = B.auth_abort_cut(_attempts(spark, sf).filter(F.col("view_ord") == 0))
-    return a.select("batch_id", "phrase_ord", "phrase_state")
+    """What became of each phrase of a batch that lost its login."""
+    o = B.phrase_outcome(_views(spark, sf))
+    state = F.when(F.col("error_code") == "AUTH_REQUIRED", "auth_failed").when(F.col("outcome") == "skipped", "skipped").otherwise("attempted")
+    return o.select("batch_id", "phrase_ord", state.alias("phrase_state"))
 
 
 def first_failure_cut_query(spark: SparkSession, sf: str) -> DataFrame:
-    return B.first_failure_cut(_attempts(spark, sf)).select("run_id", "view", "outcome", "view_error")
+    return _views(spark, sf).select("run_id", "view", "outcome", "view_error")
 
 
 def phrase_outcome_query(spark: SparkSession, sf: str) -> DataFrame:
-    o = B.phrase_outcome(B.first_failure_cut(_attempts(spark, sf)))
-    return o.select("run_id", "outcome", "error_code", "partial")
+    return B.phrase_outcome(_views(spark, sf)).select("run_id", "outcome", "error_code", "partial")
 
 
 def batch_summary_query(spark: SparkSession, sf: str) -> DataFrame:
-    o = B.phrase_outcome(B.first_failure_cut(_attempts(spark, sf)))
+    o = B.phrase_outcome(_views(spark, sf))
     return B.batch_summary(o).select("batch_id", "total", "collected", "failed", "partial", "skipped", "exit_code")
 
 
 def incomplete_report_query(spark: SparkSession, sf: str) -> DataFrame:
-    cut = B.first_failure_cut(_attempts(spark, sf))
-    return B.incomplete_report(cut, B.phrase_outcome(cut)).select("run_id", "view", "reason")
+    views = _views(spark, sf)
+    warnings = derive.batch_logs(table(spark, sf, "conversations"))[3]
+    return B.incomplete_report(views, B.phrase_outcome(views), warnings).select("run_id", "line_ord", "view", "path", "reason")
+
+
+def _phrase_files(spark, sf):
+    """documents as phrase files; every 50th has a byte that neither encoding knows."""
+    files = derive.document_exports(table(spark, sf, "documents"))
+    bad = F.col("doc_id") % 50 == 7
+    return files.select(F.col("doc_id").alias("file_ord"), F.when(bad, F.concat("content", F.unhex(F.lit("98")))).otherwise(F.col("content")).alias("content"))
 
 
 def phrase_list(spark: SparkSession, sf: str) -> DataFrame:
-    dec = decode_exports(derive.document_exports(table(spark, sf, "documents")))
-    lines = dec.select("doc_id", F.posexplode_outer(split_lines(F.col("text"))).alias("line_ord", "phrase")).filter(
-        F.col("line_ord").isNotNull())
-    from demandlake.functions.text import strip as _strip
+    """The lines of every phrase file; a file that cannot be decoded has one row with an error."""
+    lines = SRC.phrase_lines(_phrase_files(spark, sf))
+    return lines.select(F.col("file_ord").alias("doc_id"), "phrase_ord", "phrase", "error_code")
 
-    kept = lines.filter(_strip(F.col("phrase")) != "")
-    # Renumber kept lines within one document (a window bounded by one text).
-    w = F.row_number().over(Window.partitionBy("doc_id").orderBy("line_ord"))
-    return kept.select("doc_id", (w - 1).cast("int").alias("phrase_ord"), "phrase")
+
+def phrase_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of eight documents: their sources as inline phrases, then the lines of their files."""
+    docs = table(spark, sf, "documents")
+    batch = lambda c: F.expr(f"{c} div 8")
+    inline = docs.select(batch("doc_id").alias("batch_id"), F.col("doc_id").alias("arg_ord"), F.col("source").alias("phrase"))
+    lines = SRC.phrase_lines(_phrase_files(spark, sf)).filter("error_code is null").withColumn("batch_id", batch("file_ord"))
+    return SRC.resolve_phrases(inline, lines).select("batch_id", "source_ord", "o1", "o2", "phrase")
 
 
 # ------------------------------------------------------------------ landing
@@ -483,81 +494,173 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-# ------------------------------------------------------------------ sinks: S8, S9, S10
+# ------------------------------------------------------------------ sinks: S8, S9, S10, S11, S13
 from demandlake.session import fresh_dir, spread  # noqa: E402
 from demandlake.sources import files as SRC  # noqa: E402
 from demandlake.sources import sinks as SINK  # noqa: E402
 
 
 def typed_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Typed daily series written wide (zstd, per dtype signature) and read back."""
+    """Daily series by type and by user, written wide (zstd) and read back: the trusted ones, whatever their types."""
     base = fresh_dir(spark, "typed")
-    ex = derive.series_exports(table(spark, sf, "events"), "daily", False)
-    ex.write.mode("overwrite").parquet(f"{base}/landing")
-    typed = ingest_exports(spark.read.parquet(f"{base}/landing"))
-    sigs = SINK.write_wide(typed, f"{base}/wide", ["export_id"])
-    parts = [spark.read.parquet(f"{base}/wide/signature={s}").select(
-        "export_id", "row_ord", F.col("c0").alias("period"), F.col("c1").alias("n"), F.col("c2").alias("share"))
-        for s in sigs if s.startswith("string_int64_float64")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    events = table(spark, sf, "events")
+    exports = derive.all_series_exports(events).filter("granularity = 'daily'")
+    SINK.store_exports(ingest_exports(exports, keep_content=True), base, ["export_id"])
+    wide = spark.read.parquet(f"{base}/typed/rows")
+    return wide.select("export_id", "row_ord", F.col("c0_string").alias("period"), F.col("c1_int64").alias("n"), F.col("c2_float64").alias("share"))
+
+
+def _stored_customers(spark, sf):
+    base = fresh_dir(spark, "customers")
+    SINK.store_exports(ingest_exports(derive.damaged_exports(table(spark, sf, "customer"), "c_custkey"), keep_content=True), base, ["run_id", "file_name"])
+    return base
+
+
+def stored_exports(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate: of exports damaged in eleven ways, only the sound ones are in the typed table."""
+    wide = spark.read.parquet(f"{_stored_customers(spark, sf)}/typed/rows")
+    return wide.select("run_id", "row_ord", F.col("c0_string").alias("period"), F.col("c1_int64").alias("n"), F.col("c2_float64").alias("share"))
+
+
+def quarantine_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate's other side: every other export with its bytes, code and reason."""
+    back = spark.read.parquet(f"{_stored_customers(spark, sf)}/quarantine")
+    return back.select("run_id", "file_name", "error_code", "reason", F.md5("content").alias("content_md5"), F.col("message").isNotNull().alias("has_message"))
+
+
+def raw_retention(spark: SparkSession, sf: str) -> DataFrame:
+    """Part exports as raw files; the even blocks keep theirs."""
+    base = fresh_dir(spark, "raw")
+    exports = derive.part_exports(table(spark, sf, "part")).withColumns(
+        {"view": F.lit("regions"), "keep_raw": F.substring_index("export_id", "-", -1).cast("bigint") % 2 == 0})
+    named = SINK.write_raw(exports, base, ["export_id"])
+    kept = spark.read.parquet(base).select("export_id", F.md5("content").alias("content_md5"))
+    return named.select("export_id", "raw_file").join(kept, "export_id", "left")
+
+
+def file_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 over written files: suppliers' exports land as .csv files and are scanned, decoded and parsed."""
+    base = fresh_dir(spark, "scan")
+    ex = derive.supplier_exports(table(spark, sf, "supplier"), table(spark, sf, "nation"))
+    derive.land(derive.landed_lines(ex.select(F.col("export_id").alias("run_id"), F.lit("regions").alias("view"), "content")), base)
+    found = SRC.landing_scan(spark, base).withColumn("export_id", SRC.path_part(F.col("path"), "run_id"))
+    parsed = parse_exports(found.select("export_id", "accepted", "file_name", "content"))
+    return parsed.select("export_id", "accepted", F.lower("file_name").endswith(".csv").alias("is_csv"), "row_count",
+                         F.coalesce("error_reason", F.lit("ok")).alias("header_status"))
 
 
 def manifest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Manifests written as JSON lines with derived fields, loaded back."""
+    """Manifests written as indented JSON files with derived fields, loaded back (S9, S10): every field."""
     base = fresh_dir(spark, "manifests")
-    m = _manifests(spark, sf).select(
-        "run_id", "phrase", "region", F.timestamp_seconds(F.lit(1787270400)).alias("created_at"),
-        F.lit("https://wordstat.example/").alias("source_url"), "granularity", "requested_period",
-        F.transform("exports", lambda e: F.struct(e["view"].alias("view"), e["file"].alias("file"),
-                                                  F.lit(None).cast("string").alias("raw_file"),
-                                                  e["row_count"].alias("row_count"))).alias("exports"),
+    runs = _created(_runs(spark, sf, region=True))
+    entries = M.manifest_entries(_merged(spark, sf).select(
+        "run_id", "view_ord", "view", "file", F.when(F.col("seq") == 2, F.concat("view", F.lit(".csv"))).alias("raw_file"), "row_count",
+        F.create_map(F.lit("Запрос"), F.lit("string"), F.lit("Число запросов"), F.lit("int64")).alias("dtypes"), "ts"))
+    m = runs.join(entries, "run_id", "left").withColumn("exports", F.coalesce("exports", F.array().cast(entries.schema["exports"].dataType)))
+    period = lambda c: F.when(c.isNotNull(), F.create_map(F.lit("from"), c["from"], F.lit("to"), c["to"]))
+    dynamics = F.exists("exports", lambda e: e["view"] == "dynamics")
+    m = m.select(
+        "run_id", "phrase", "region", "created_at", F.array_max(F.transform("exports", lambda e: e["ts"])).alias("updated_at"), "source_url",
+        F.transform("exports", lambda e: e.dropFields("view_ord", "ts")).alias("exports"), "granularity",
+        period(F.col("requested_period")).alias("requested_period"),
+        F.when(dynamics, F.create_map(F.lit("field"), F.lit("Дата"), F.lit("from"), F.lit("01.06.2026"), F.lit("to"), F.lit("30.06.2026"))).alias("actual_period"),
     )
     SINK.write_manifests(m, f"{base}/json")
-    back = M.run_status(SRC.load_manifests(spark, f"{base}/json").filter(F.col("error_code").isNull()))
+    back = M.run_status(SRC.load_manifests(spark, f"{base}/json", "*.txt"))
+    shown = lambda e: F.concat_ws("/", e["view"], e["file"], F.coalesce(e["raw_file"], F.lit("-")), e["row_count"].cast("string"), F.array_join(F.map_keys(e["dtypes"]), ","), F.array_join(F.map_values(e["dtypes"]), ","))
     return back.select(
-        "run_id", F.size("missing_views").alias("n_missing"), F.size("empty_views").alias("n_empty"), "status",
-        F.array_join("missing_views", ",").alias("missing"), F.array_join("empty_views", ",").alias("empty"),
+        "run_id", "phrase", "region", F.unix_seconds("created_at").alias("created_at"), F.unix_seconds("updated_at").alias("updated_at"), "source_url",
+        F.array_join(F.transform("exports", shown), " ").alias("exports"), "granularity",
+        F.col("requested_period")["from"].alias("req_from"), F.col("requested_period")["to"].alias("req_to"),
+        F.col("actual_period")["field"].alias("act_field"), F.col("actual_period")["to"].alias("act_to"), "error_code",
+        F.array_join("missing_views", ",").alias("missing"), F.array_join("empty_views", ",").alias("empty"), "status",
     )
 
 
+def manifest_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """One damaged manifest document for each customer, by ``c_custkey % 10``; one verdict a document."""
+    k = F.col("c_custkey") % 10
+    entry = F.lit('{"view": "regions", "file": "regions.parquet", "raw_file": null, "row_count": 3, "dtypes": {"a": "int64"}}')
+    exports = (
+        F.when(k == 1, F.concat(entry, F.lit(", "), entry)).when(k == 2, F.replace(entry, F.lit('"regions",'), F.lit('"maps",')))
+        .when(k == 3, F.replace(entry, F.lit('"file": "regions.parquet", '), F.lit(""))).when(k == 4, F.replace(entry, F.lit('{"a": "int64"}'), F.lit("null")))
+        .otherwise(entry)
+    )
+    head = F.concat(F.lit('{\n  "phrase": "'), F.col("c_name"), F.lit('",\n  "region": "x",\n'))
+    rest = F.concat(
+        F.when(k == 5, F.lit("")).otherwise(F.lit('  "created_at": "2026-08-21T10:00:00Z",\n')), F.lit('  "source_url": "https://reports.example/",\n  "exports": ['), exports,
+        F.when(k == 6, F.lit('],\n  "granularity": "hourly"\n}\n')).when(k == 7, F.lit('],\n  "granularity": "daily"\n}\n')).when(k == 8, F.lit("]\n")).otherwise(F.lit("]\n}\n")))
+    docs = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.concat(head, rest).alias("document"))
+    return SRC.parse_manifests(docs).select("key", "error_code", "granularity", "phrase", F.size("exports").alias("n_exports"))
+
+
 # ------------------------------------------------------------------ streaming: T1-T4
 from demandlake.streaming import ingest as STREAM  # noqa: E402
 
 
+def _series_landing(spark, sf):
+    """Daily exports by type and by user as files (a run each), and their requests."""
+    ex = derive.all_series_exports(table(spark, sf, "events")).filter("granularity = 'daily' and series_key not like '%/%'")
+    return ex.withColumns({"run_id": F.col("export_id"), "view": F.lit("dynamics")})
+
+
 def stream_ingest_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily exports landed in two waves, drained by two availableNow runs;
-    the typed series equal the one-shot batch result."""
+    """Daily exports landed as files in two waves, drained by two availableNow
+    runs; the typed series are those of a batch ingest, trusted exports only."""
     base = fresh_dir(spark, "stream")
-    ex = derive.series_exports(table(spark, sf, "events"), "daily", False)
-    ex.filter(F.col("series_key") < "p").write.mode("append").parquet(f"{base}/landing")
-    STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/checkpoint")
-    ex.filter(F.col("series_key") >= "p").write.mode("append").parquet(f"{base}/landing")
-    STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/checkpoint")
-    cells = STREAM.latest_cells(spark, f"{base}/cells")
-    wide = cells.groupBy("export_id", "verdict", "row_ord").agg(
+    ex = _series_landing(spark, sf)
+    runs = ex.select("run_id", "granularity", "date_from", "date_to")
+    for wave in (F.col("series_key") < "p", F.col("series_key") >= "p"):
+        derive.land(derive.landed_lines(ex.filter(wave)), f"{base}/landing")
+        STREAM.run_ingest(spark, f"{base}/landing", runs, f"{base}/exports", f"{base}/checkpoint")
+    cells = STREAM.latest_cells(spark, f"{base}/exports")
+    wide = cells.groupBy("run_id", "verdict", "row_ord").agg(
         F.max(F.when(F.col("col_ord") == 0, F.col("text"))).alias("period"),
         F.max(F.when(F.col("col_ord") == 1, F.col("as_long"))).alias("n"),
         F.max(F.when(F.col("col_ord") == 2, F.col("as_double"))).alias("share"),
     )
-    return wide.select("export_id", "row_ord", "period", "n", "share", "verdict")
+    return wide.select(F.col("run_id").alias("export_id"), "row_ord", "period", "n", "share", "verdict")
+
+
+def _supplier_stream(spark, sf):
+    base = fresh_dir(spark, "stream-runs")
+    ex = derive.damaged_exports(table(spark, sf, "supplier"), "s_suppkey")
+    runs = ex.select("run_id", "granularity", "date_from", "date_to", F.timestamp_seconds(F.lit(CREATED)).alias("created_at"))
+    return base, ex, runs
 
 
 def stream_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Every export (daily/weekly/monthly, per type and per user) landed in
-    two waves; the manifest derived from the stream's export log after the
-    second drain equals the batch verdicts."""
-    base = fresh_dir(spark, "stream-manifest")
-    events = table(spark, sf, "events")
-    for i, (g, by_user) in enumerate([("daily", False), ("daily", True), ("weekly", False), ("monthly", False)]):
-        ex = derive.series_exports(events, g, by_user)
-        ex.write.mode("append").parquet(f"{base}/landing")
-        if i in (1, 3):
-            STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/checkpoint")
-    m = STREAM.manifest_from_log(STREAM.export_log(spark, f"{base}/cells"))
-    return m.select("export_id", "granularity", "verdict", "row_count")
+    """One file for each supplier, damaged in eleven ways, in one wave; the log
+    has every file's verdict, and every run has a manifest.  Undecodable and empty
+    files don't land, so their runs have only the manifest of their creation."""
+    base, ex, runs = _supplier_stream(spark, sf)
+    derive.land(derive.landed_lines(ex), f"{base}/landing")
+    STREAM.run_ingest(spark, f"{base}/landing", runs, f"{base}/exports", f"{base}/checkpoint")
+    log = STREAM.export_log(spark, f"{base}/exports")
+    manifests = M.run_status(STREAM.run_manifests(runs, log))
+    last = STREAM.newest(log).select("run_id", "verdict", F.coalesce("error_code", "check_code").alias("error_code"))
+    return manifests.join(last, "run_id", "left").select(
+        "run_id", F.size("exports").alias("n_exports"), "verdict", "error_code", F.array_join("missing_views", ",").alias("missing"), "status",
+        (F.col("updated_at") >= F.col("created_at")).alias("updated"))
+
+
+def late_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """A first wave lands only the first two rows of every sound file;
+    the runs still pending after it get nothing more, a second wave lands the
+    whole file and, in the same wave, an older copy of one row.  Newest wins,
+    nothing is padded or doubled."""
+    base, ex, runs = _supplier_stream(spark, sf)
+    lines = derive.landed_lines(ex)
+    derive.land(lines.filter("ord <= 2"), f"{base}/landing")
+    STREAM.run_ingest(spark, f"{base}/landing", runs, f"{base}/exports", f"{base}/checkpoint")
+    pending = STREAM.next_wave(runs, STREAM.export_log(spark, f"{base}/exports")).filter("view = 'dynamics'").select("run_id")
+    whole = lines.join(pending, "run_id", "left_anti")
+    derive.land(whole.filter("ord <= 1"), f"{base}/landing")
+    derive.land(whole, f"{base}/landing")
+    STREAM.run_ingest(spark, f"{base}/landing", runs, f"{base}/exports", f"{base}/checkpoint")
+    cells = STREAM.latest_cells(spark, f"{base}/exports").filter("col_ord = 0")
+    writes = STREAM.newest(STREAM.export_log(spark, f"{base}/exports")).select("run_id", "n_writes")
+    return cells.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max_by("text", "row_ord").alias("last")).join(writes, "run_id")
 
 
 QUERIES = {
@@ -608,4 +711,11 @@ QUERIES = {
     "manifest_roundtrip": manifest_roundtrip,
     "stream_ingest_equals_batch": stream_ingest_equals_batch,
     "stream_manifest": stream_manifest,
+    "late_tail": late_tail,
+    "phrase_union": phrase_union,
+    "stored_exports": stored_exports,
+    "quarantine_store": quarantine_store,
+    "raw_retention": raw_retention,
+    "file_scan": file_scan,
+    "manifest_errors": manifest_errors,
 }

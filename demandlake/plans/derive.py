@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from demandlake.constants import MONTHS_NOMINATIVE
 from demandlake.functions.dates import week_monday
 from demandlake.functions.text import encode_text
+from demandlake.operators.manifest import dataset_file
 from demandlake.session import spread
 
 NBSP, NNBSP, THIN, FIGURE = "\u00a0", "\u202f", "\u2009", "\u2007"
@@ -27,19 +28,9 @@ PART_BLOCK = 50
 ORDER_BLOCK = 64
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given (read-only) table.  The DataFrame is memoised per application
-    so its footer/schema inference job runs once, not once per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    """A given (read-only) table, listed anew each time."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def grouped_thousands(n: Column, sep: Column | str) -> Column:
@@ -190,6 +181,26 @@ def document_exports(documents: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- series
+def daily_volumes(events: DataFrame) -> DataFrame:
+    """(event_type, user_id, day, vol): the base that every series is rolled up from."""
+    return events.groupBy("event_type", "user_id", F.to_date("ts").alias("day")).agg(
+        F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("vol"))
+
+
+def all_series_exports(events: DataFrame) -> DataFrame:
+    """Daily (by type and by user), weekly and monthly exports of one base table.
+
+    Each base row is expanded to the four series it belongs to (a fixed
+    fan-out of already aggregated rows), so events are scanned and shuffled once.
+    """
+    day = F.col("day")
+    user = F.concat(F.col("event_type"), F.lit("/"), F.col("user_id").cast("string"))
+    kinds = [("daily", "event_type", day), ("daily", user, day), ("weekly", "event_type", week_monday(day)), ("monthly", "event_type", F.trunc(day, "MM"))]
+    fan = F.array(*[F.struct(F.lit(g).alias("g"), (F.col(k) if isinstance(k, str) else k).alias("series_key"), p.alias("p"), F.lit(i).alias("kind")) for i, (g, k, p) in enumerate(kinds)])
+    rows = daily_volumes(events).select("vol", F.inline(fan))
+    return _render_series(rows.groupBy("kind", "g", "series_key", "p").agg(F.sum("vol").alias("volume")))
+
+
 def series_exports(events: DataFrame, granularity: str, by_user: bool = False) -> DataFrame:
     """events -> dynamics exports, one per (series key, window).
 
@@ -199,20 +210,21 @@ def series_exports(events: DataFrame, granularity: str, by_user: bool = False) -
     The requested window starts ``k`` days into the window, with
     k = length(event_type) % 3 (by type) or user_id % 3 (by user).
     """
-    day = F.to_date("ts")
+    day = F.col("day")
     start = {"daily": day, "weekly": week_monday(day), "monthly": F.trunc(day, "MM")}[granularity]
-    ev = events.select(
-        "event_type", "user_id", start.alias("p"),
-        F.round(F.col("value") * 100).cast("bigint").alias("vol"),
-    )
-    key_cols = ["event_type", "user_id"] if by_user else ["event_type"]
-    per = ev.groupBy(*key_cols, "p").agg(F.sum("vol").alias("volume"))
-    # Period totals from the per-series sums.  Referencing every column of
-    # ``per`` keeps both branches' plans identical, so the per-series
-    # exchange is reused and events are scanned once.
-    totals = per.groupBy("p").agg(F.sum("volume").alias("total"),
-                                  F.count(F.struct(*key_cols)).alias("n_series"))
-    per = per.join(totals.drop("n_series"), "p")
+    key = F.concat(F.col("event_type"), F.lit("/"), F.col("user_id").cast("string")) if by_user else F.col("event_type")
+    rows = daily_volumes(events).select(F.lit(0).alias("kind"), F.lit(granularity).alias("g"), key.alias("series_key"), start.alias("p"), "vol")
+    return _render_series(rows.groupBy("kind", "g", "series_key", "p").agg(F.sum("vol").alias("volume")))
+
+
+def _render_series(per: DataFrame) -> DataFrame:
+    """(kind, g, series_key, p, volume) -> export bytes; ``kind`` tells apart sets with totals of their own."""
+    # Referencing every column keeps both branches' plans identical, so the
+    # exchange below them is reused.
+    totals = per.groupBy("kind", "g", "p").agg(F.sum("volume").alias("total"), F.count("series_key").alias("n_series"))
+    per = per.join(totals.drop("n_series"), ["kind", "g", "p"])
+    g = F.col("g")
+    by_user = F.contains("series_key", F.lit("/"))
     share_micro = F.when(F.col("total") > 0, F.expr("(volume * 200000 + total) div (2 * total)")).otherwise(F.lit(0))
     share_txt = F.concat(
         F.floor(share_micro / F.lit(100000)).cast("bigint").cast("string"),
@@ -220,42 +232,40 @@ def series_exports(events: DataFrame, granularity: str, by_user: bool = False) -
         F.lpad((share_micro % 100000).cast("string"), 5, "0"),
     )
     months = F.array(*[F.lit(m) for m in MONTHS_NOMINATIVE])
-    label = (F.concat_ws(" ", F.element_at(months, F.month("p")), F.year("p").cast("string"))
-             if granularity == "monthly" else F.date_format("p", "dd.MM.yyyy"))
-    win_start = F.trunc("p", "MM") if granularity == "daily" else F.trunc("p", "YEAR")
-    win_end = F.last_day("p") if granularity == "daily" else F.date_add(F.add_months(F.trunc("p", "YEAR"), 12), -1)
-    win_label = F.date_format("p", "yyyy-MM") if granularity == "daily" else F.date_format("p", "yyyy")
-    series_key = (F.concat(F.col("event_type"), F.lit("/"), F.col("user_id").cast("string"))
-                  if by_user else F.col("event_type"))
-    export_id = F.concat_ws("|", F.lit(granularity), series_key, win_label)
+    daily = g == "daily"
+    label = F.when(g == "monthly", F.concat_ws(" ", F.element_at(months, F.month("p")), F.year("p").cast("string"))).otherwise(F.date_format("p", "dd.MM.yyyy"))
+    win_start = F.when(daily, F.trunc("p", "MM")).otherwise(F.trunc("p", "YEAR"))
+    win_end = F.when(daily, F.last_day("p")).otherwise(F.date_add(F.add_months(F.trunc("p", "YEAR"), 12), -1))
+    win_label = F.when(daily, F.date_format("p", "yyyy-MM")).otherwise(F.date_format("p", "yyyy"))
+    series_key = F.col("series_key")
+    export_id = F.concat_ws("|", g, series_key, win_label)
     crc = F.crc32(F.encode(export_id, "UTF-8"))
     sep = F.when(F.pmod(crc, F.lit(3)) == 1, F.lit(NBSP)).otherwise(_sep_choice(F.datediff("p", F.lit("1970-01-01").cast("date"))))
     line = F.concat_ws(";", label, grouped_thousands(F.col("volume"), sep), share_txt, F.lit(""))
     rows = per.select(
-        export_id.alias("export_id"), series_key.alias("series_key"),
+        export_id.alias("export_id"), "g", series_key.alias("series_key"),
         win_start.alias("win_start"), win_end.alias("win_end"), "p", line.alias("line"),
     )
-    grouped = rows.groupBy("export_id", "series_key", "win_start", "win_end").agg(
+    grouped = rows.groupBy("export_id", "g", "series_key", "win_start", "win_end").agg(
         F.array_sort(F.collect_list(F.struct("p", "line"))).alias("lines")
     )
-    k = (F.pmod(F.split("series_key", "/").getItem(1).cast("bigint"), F.lit(3)) if by_user
-         else F.pmod(F.length("series_key"), F.lit(3)))
-    first = {"daily": "Дата", "weekly": "Неделя с", "monthly": "Период"}[granularity]
+    k = F.when(by_user, F.pmod(F.get(F.split("series_key", "/"), 1).try_cast("bigint"), F.lit(3))).otherwise(F.pmod(F.length("series_key"), F.lit(3)))
+    first = F.when(g == "daily", "Дата").when(g == "weekly", "Неделя с").otherwise("Период")
     caption = F.concat(
         F.lit("Динамика запроса «"), F.col("series_key"), F.lit("», "),
         F.date_format("win_start", "dd.MM.yyyy"), F.lit(" – "), F.date_format("win_end", "dd.MM.yyyy"),
         F.lit(", Все регионы, Все устройства"),
     )
-    header = F.concat(F.lit(f"{first};Число запросов;Доля от всех запросов, %;"), caption)
+    header = F.concat(first, F.lit(";Число запросов;Доля от всех запросов, %;"), caption)
     crc2 = F.crc32(F.encode(F.col("export_id"), "UTF-8"))
     enc = F.element_at(F.array(F.lit("utf-8-sig"), F.lit("cp1251"), F.lit("utf-8")), (F.pmod(crc2, F.lit(3)) + 1).cast("int"))
     eol = F.element_at(F.array(F.lit("\r"), F.lit("\n"), F.lit("\r\n")), (F.pmod(F.expr("crc32(encode(export_id, 'UTF-8')) div 3"), F.lit(3)) + 1).cast("int"))
-    body = F.aggregate("lines", F.lit(""), lambda acc, x: F.concat(acc, x["line"], eol))
-    text = F.concat(header, eol, body)
+    text = F.concat(F.array_join(F.concat(F.array(header), F.transform("lines", lambda x: x["line"])), "\n"), F.lit("\n"))
+    text = F.replace(text, F.lit("\n"), eol)
     return grouped.select(
         "export_id",
         "series_key",
-        F.lit(granularity).alias("granularity"),
+        F.col("g").alias("granularity"),
         F.date_add("win_start", k.cast("int")).alias("date_from"),
         F.col("win_end").alias("date_to"),
         F.concat(F.replace(F.col("export_id"), F.lit("|"), F.lit("_")), F.lit(".csv")).alias("file_name"),
@@ -285,8 +295,10 @@ def order_requests(orders: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ manifests
-def customer_runs(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    c = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+def customer_runs(customer: DataFrame, nation: DataFrame | None = None) -> DataFrame:
+    """One run for each customer; its region only where ``nation`` is given."""
+    c = customer if nation is None else customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+    region = [] if nation is None else [F.coalesce(F.col("n_name"), F.lit("")).alias("region")]
     g = F.element_at(F.array(*[F.lit(x) for x in ("monthly", "weekly", "daily")]),
                      (F.col("c_custkey") % 3 + 1).cast("int"))
     period = F.when(g != "monthly", F.struct(F.lit("2026-06-01").alias("from"), F.lit("2026-07-31").alias("to")))
@@ -294,21 +306,12 @@ def customer_runs(customer: DataFrame, nation: DataFrame) -> DataFrame:
         F.concat(F.lit("run-"), F.col("c_custkey").cast("string")).alias("run_id"),
         "c_custkey",
         F.col("c_name").alias("phrase"),
-        F.coalesce(F.col("n_name"), F.lit("")).alias("region"),
+        *region,
         g.alias("granularity"),
         period.alias("requested_period"),
     )
 
 
-def dataset_file(view: Column, granularity: Column) -> Column:
-    """P10: dynamics.parquet (monthly) / dynamics_<g>.parquet; <view>.parquet otherwise."""
-    return (
-        F.when((view == "dynamics") & (granularity == "monthly"), F.lit("dynamics.parquet"))
-        .when(view == "dynamics", F.concat(F.lit("dynamics_"), granularity, F.lit(".parquet")))
-        .otherwise(F.concat(view, F.lit(".parquet")))
-    )
-
-
 def export_log(runs: DataFrame) -> DataFrame:
     """Every manifest write: (c_custkey + view_ord) % 3 writes per (run, view)."""
     from demandlake.constants import VIEWS
@@ -324,37 +327,96 @@ def export_log(runs: DataFrame) -> DataFrame:
         F.timestamp_seconds(F.lit(1787270400) + F.col("c_custkey") * 60 + F.col("view_ord") * 10 + F.col("seq")).alias("ts"),
         (((F.col("c_custkey") * 7 + F.col("view_ord") * 3 + F.col("seq")) % 5) * 10).cast("bigint").alias("row_count"),
         dataset_file(F.col("view"), F.col("granularity")).alias("file"),
-        F.concat(F.lit("https://wordstat.example/?run="), F.col("c_custkey").cast("string"), F.lit("&v="),
+        F.concat(F.lit("https://reports.example/?run="), F.col("c_custkey").cast("string"), F.lit("&v="),
                  F.col("view_ord").cast("string"), F.lit("&s="), F.col("seq").cast("string")).alias("source_url"),
         ((F.col("c_custkey") + F.col("view_ord")) % 7 != 0).alias("file_present"),
     )
 
 
 # ------------------------------------------------------------------ batches
-def conversation_attempts(conversations: DataFrame) -> DataFrame:
+def batch_logs(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """conversations -> (requests, attempts, stored, warnings), as a collector leaves them.
+
+    A conversation is a batch, a turn a run.  A batch whose conversation has a
+    turn of a length divisible by 17 lost its login at the first such turn: that
+    run has one attempt, later ones none.  Of the other runs, those of a length
+    divisible by 11 broke at view length % 4.  Runs of batches 0, 5, 10, ... are
+    resumed: they held the views with (length + view) % 3 = 0 before, and only
+    the rest is tried.  Runs of a length divisible by 7 have a stray file.
+    """
     from demandlake.constants import VIEWS
 
-    views = F.array(*[F.lit(v) for v in VIEWS])
-    n = F.length("text")
-    c = conversations.select(
-        F.col("conv_id").alias("batch_id"),
-        F.col("turn").alias("phrase_ord"),
-        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("run_id"),
-        n.alias("len"),
-        F.posexplode(views).alias("view_ord", "view"),
+    n = F.coalesce(F.length("text"), F.lit(0))
+    run = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    runs = conversations.select(F.col("conv_id").alias("batch_id"), F.col("turn").alias("phrase_ord"), run.alias("run_id"), n.alias("len"))
+    lost = runs.filter(F.col("len") % 17 == 0).groupBy("batch_id").agg(F.min("phrase_ord").alias("lost"))
+    wide = runs.join(lost, "batch_id", "left").select("*", F.posexplode(F.array(*[F.lit(v) for v in VIEWS])).alias("view_ord", "view"))
+    held = (F.col("batch_id") % 5 == 0) & ((F.col("len") + F.col("view_ord")) % 3 == 0)
+    broke = F.when(F.col("len") % 11 == 0, (F.col("len") % 4).cast("int"))
+    at_login = F.col("phrase_ord") == F.col("lost")
+    begun = F.col("lost").isNull() | (F.col("phrase_ord") <= F.col("lost"))
+    fails = F.col("view_ord") == broke
+    tried = wide.filter(begun & F.when(at_login, F.col("view_ord") == 0).otherwise(~held & (broke.isNull() | (F.col("view_ord") <= broke))))
+    attempts = tried.select(
+        "run_id", "view",
+        F.when(F.coalesce(at_login, F.lit(False)), F.lit("AUTH_REQUIRED")).when(fails, F.lit("DOWNLOAD_TIMEOUT")).alias("fail_code"),
+        F.when(F.coalesce(at_login, F.lit(False)), F.lit("the login was lost")).when(fails, F.lit("no file arrived in time")).alias("fail_message"),
     )
-    L = F.col("len")
-    timeout = (L % 11 == 0) & (F.col("view_ord") == L % 4)
-    iface = (L % 13 == 0) & (F.col("view_ord") == F.expr("(len div 13) % 4"))
-    return c.select(
-        "batch_id", "phrase_ord", "run_id", "view", "view_ord",
-        F.when(timeout, F.lit("DOWNLOAD_TIMEOUT")).when(iface, F.lit("INTERFACE_CHANGED")).alias("fail_code"),
-        F.when(timeout, F.lit("Wordstat did not produce a CSV before the download timeout"))
-        .when(iface, F.lit("Wordstat returned an unexpected daily dynamics date format")).alias("fail_message"),
-        (L % 17 == 0).alias("auth_lost"),
+    warnings = runs.filter(F.col("len") % 7 == 0).select("run_id", F.concat(F.lit("/home/user/Downloads/"), F.col("run_id"), F.lit(".csv")).alias("path"))
+    return runs.select("batch_id", "phrase_ord", "run_id"), attempts, wide.filter(held).select("run_id", "view"), warnings
+
+
+# ------------------------------------------------------------------ stored and quarantined exports
+DAMAGE = ("ok", "gap", "bad_date", "before_window", "after_window", "empty", "undecodable", "overflow", "duplicate_header",
+          "empty_header", "unparsed_delimiter", "no_header")
+
+
+def damaged_exports(rows: DataFrame, key: str) -> DataFrame:
+    """One daily dynamics export of three days for each row, damaged by ``key % 12`` in the ways of ``DAMAGE``."""
+    k = F.col(key)
+    kind = F.get(F.array(*[F.lit(x) for x in DAMAGE]), (k % 12).cast("int"))
+    day = F.date_add(F.lit("2026-06-01").cast("date"), (k % 20).cast("int"))
+    show = lambda d: F.date_format(d, "dd.MM.yyyy")
+    second = F.when(kind == "bad_date", F.date_format(F.date_add(day, 1), "yyyy-MM-dd")).otherwise(show(F.date_add(day, 1)))
+    third = show(F.date_add(day, F.when(kind == "gap", 3).otherwise(2)))
+    count = F.when(kind == "overflow", F.lit("99999999999999999999")).otherwise(k.cast("string"))
+    tail = F.lit(";0,5\n")
+    header = (
+        F.when(kind == "duplicate_header", F.lit("Дата\tДата\tДоля")).when(kind == "empty_header", F.lit("Дата\t \tДоля"))
+        .when(kind == "unparsed_delimiter", F.lit("Дата\tЧисло;запросов\tДоля")).otherwise(F.lit("Дата;Число запросов;Доля"))
+    )
+    days = F.concat(show(day), F.lit(";"), count, tail, second, F.lit(";7"), tail, third, F.lit(";8"), tail)
+    text = (
+        F.when(kind == "no_header", F.lit("\n")).when(kind.isin("empty", "undecodable"), F.concat(header, F.lit("\n")))
+        .when(F.contains(header, F.lit("\t")), F.concat(header, F.lit("\n"), F.replace(days, F.lit(";"), F.lit("\t")))).otherwise(F.concat(header, F.lit("\n"), days))
+    )
+    content = F.concat(F.encode(text, "UTF-8"), F.when(kind == "undecodable", F.unhex(F.lit("98"))).otherwise(F.unhex(F.lit(""))))
+    return rows.select(
+        F.concat(F.lit("run-"), k.cast("string")).alias("run_id"), F.lit("dynamics").alias("view"), F.lit("daily").alias("granularity"),
+        F.when(kind == "before_window", F.date_add(day, 1)).otherwise(day).alias("date_from"),
+        F.date_add(day, F.when(kind == "after_window", 1).otherwise(10)).alias("date_to"),
+        F.concat(F.lit("run-"), k.cast("string"), F.lit(".csv")).alias("file_name"),
+        content.alias("content"),
     )
 
 
+def landed_lines(exports: DataFrame) -> DataFrame:
+    """Decodable exports (run_id, view, content) as rows (run_id, view, ord, line), to be written as files."""
+    from demandlake.functions.text import decode_bytes, split_lines
+
+    text, _ = decode_bytes(F.col("content"))
+    return exports.select("run_id", "view", F.posexplode(split_lines(text)).alias("ord", "line"))
+
+
+def land(lines: DataFrame, root: str) -> None:
+    """Writes one file ``<root>/run_id=/view=/*.csv`` for each run and view, its lines in order."""
+    ordered = lines.repartition("run_id", "view").sortWithinPartitions("run_id", "view", "ord")
+    # The lines are the format already: no quoting, a separator that cannot occur.
+    (ordered.select("run_id", "view", "line").write.mode("append").partitionBy("run_id", "view")
+     .option("sep", "\u0001").option("quote", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(root))
+
+
 # ------------------------------------------------------------------ landing
 LANDING_ROOTS = ("/data/out/.downloads-a", "/data/out/runs/r1")
 

@@ -7,6 +7,10 @@ operator semantics are re-expressed independently in SQL.
 
 from __future__ import annotations
 
+from demandlake import messages
+from demandlake.constants import MONTHS_GENITIVE, MONTHS_NOMINATIVE, NOT_ATTEMPTED_PREFIX, NOT_COLLECTED
+from demandlake.messages import sql_case
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["parse_localized_number"] = r"""
@@ -186,8 +190,7 @@ def _series_sql(granularity: str, by_user: bool) -> str:
     k = "user_id % 3" if by_user else "length(event_type) % 3"
     label = ("CASE month(p) " + " ".join(
         f"WHEN {i + 1} THEN '{m}'" for i, m in enumerate(
-            ["январь", "февраль", "март", "апрель", "май", "июнь", "июль", "август", "сентябрь", "октябрь",
-             "ноябрь", "декабрь"])) + " END || ' ' || CAST(year(p) AS VARCHAR)"
+            MONTHS_NOMINATIVE)) + " END || ' ' || CAST(year(p) AS VARCHAR)"
              if granularity == "monthly" else "strftime(p, '%d.%m.%Y')")
     step = {"daily": 1, "weekly": 7, "monthly": 0}[granularity]
     first = {"daily": "Дата", "weekly": "Неделя с", "monthly": "Период"}[granularity]
@@ -293,25 +296,12 @@ def _period_reason(g: str, df: str, dt: str) -> str:
     END"""
 
 
-_PERIOD_MSG = """CASE {r}
-      WHEN 'together' THEN '--date-from and --date-to must be provided together'
-      WHEN 'too_early' THEN 'The requested period cannot include dates before January 2018'
-      WHEN 'reversed' THEN 'The period end date must not be earlier than its start date'
-      WHEN 'daily_future' THEN 'Daily statistics cannot be requested after today'
-      WHEN 'daily_span' THEN 'Daily statistics support at most 60 calendar days'
-      WHEN 'daily_age' THEN 'Daily statistics cannot start more than 60 days in the past'
-      WHEN 'weekly_span' THEN 'Weekly statistics require at least three calendar weeks'
-      WHEN 'monthly_span' THEN 'Monthly statistics require at least three calendar months'
-      WHEN 'no_phrases' THEN 'At least one search phrase is required'
-      WHEN 'blank_region' THEN 'The region must not be empty'
-      WHEN 'blank_phrase' THEN 'The search phrase must not be empty'
-      WHEN 'resume_needs_one' THEN '--resume-dir requires exactly one phrase'
-    END"""
+_PERIOD_MSG = sql_case("reason", messages.PERIOD | messages.BATCH)
 
 ORACLE["validate_period"] = _REQ + f"""
 , v AS (SELECT *, {_period_reason('granularity', 'date_from', 'date_to')} AS reason FROM r)
 SELECT o_orderkey, granularity, strftime(date_from, '%Y-%m-%d') AS date_from, strftime(date_to, '%Y-%m-%d') AS date_to,
-       reason, {_PERIOD_MSG.format(r='reason')} AS message
+       reason, {_PERIOD_MSG} AS message
 FROM v
 """
 
@@ -330,7 +320,7 @@ p AS (
          WHEN k = 2 AND day(last_day(date_from)) = 31 THEN strftime(date_from, '%Y-%m') || '-31' END AS parsed
   FROM t)
 SELECT o_orderkey, text, parsed,
-       CASE WHEN text IS NOT NULL AND parsed IS NULL THEN 'Invalid date ''' || text || '''; expected YYYY-MM-DD' END
+       CASE WHEN text IS NOT NULL AND parsed IS NULL THEN 'not a calendar day of the form YYYY-MM-DD: ' || text END
          AS error_message
 FROM p
 """
@@ -361,7 +351,7 @@ q AS (
   FROM p)
 SELECT batch_id, n_phrases, reason,
   CASE WHEN period_reason IS NOT NULL THEN 'INVALID_PERIOD' WHEN reason IS NOT NULL THEN 'INVALID_REQUEST' END AS error_code,
-  {_PERIOD_MSG.format(r='reason')} AS error_message
+  {_PERIOD_MSG} AS error_message
 FROM q
 """
 
@@ -377,10 +367,7 @@ n AS (SELECT doc_id, base, row_number() OVER (PARTITION BY base ORDER BY doc_id)
 SELECT doc_id, CASE WHEN n = 1 THEN base ELSE base || '-' || CAST(n AS VARCHAR) END AS run_key FROM n
 """
 
-_GEN = ["января", "февраля", "марта", "апреля", "мая", "июня", "июля", "августа", "сентября", "октября", "ноября",
-        "декабря"]
-_NOM = ["январь", "февраль", "март", "апрель", "май", "июнь", "июль", "август", "сентябрь", "октябрь", "ноябрь",
-        "декабрь"]
+_GEN, _NOM = MONTHS_GENITIVE, MONTHS_NOMINATIVE
 
 
 def _month(names, d):
@@ -399,7 +386,7 @@ SELECT o_orderkey, granularity,
     WHEN 'monthly' THEN {_month(_NOM, 'date_from')} || ' ' || CAST(year(date_from) AS VARCHAR)
     WHEN 'daily' THEN {_day_gen('date_from')}
     ELSE {_day_gen(_MON)} || ' ' || CAST(year({_MON}) AS VARCHAR) END AS label
-FROM r WHERE date_from IS NOT NULL
+FROM r
 """
 
 _SUN = f"({_MON} + 6)"
@@ -412,8 +399,8 @@ SELECT o_orderkey,
                 || CAST(year({_SUN}) AS VARCHAR)
     WHEN 2 THEN {_month(_NOM, 'date_from')} || ' ' || CAST(year(date_from) AS VARCHAR)
     ELSE strftime(date_from, '%d.%m.%Y') END AS label,
-  CASE o_orderkey % 4 WHEN 0 THEN 'daily' WHEN 1 THEN 'weekly' WHEN 2 THEN 'monthly' END AS granularity
-FROM r WHERE date_from IS NOT NULL
+  CASE WHEN date_from IS NULL THEN NULL WHEN o_orderkey % 4 = 0 THEN 'daily' WHEN o_orderkey % 4 = 1 THEN 'weekly' WHEN o_orderkey % 4 = 2 THEN 'monthly' END AS granularity
+FROM r
 """
 
 _VIEWS_CASE = "CASE {x} WHEN 0 THEN 'top_popular' WHEN 1 THEN 'top_related' WHEN 2 THEN 'dynamics' ELSE 'regions' END"
@@ -445,7 +432,7 @@ log AS (
          1787270400 + c_custkey * 60 + view_ord * 10 + s.seq AS ts,
          CAST(((c_custkey * 7 + view_ord * 3 + s.seq) % 5) * 10 AS BIGINT) AS row_count,
          {_file('view', 'granularity')} AS file,
-         'https://wordstat.example/?run=' || CAST(c_custkey AS VARCHAR) || '&v=' || CAST(view_ord AS VARCHAR)
+         'https://reports.example/?run=' || CAST(c_custkey AS VARCHAR) || '&v=' || CAST(view_ord AS VARCHAR)
            || '&s=' || CAST(s.seq AS VARCHAR) AS source_url,
          (c_custkey + view_ord) % 7 <> 0 AS file_present
   FROM rv, generate_series(1, (c_custkey + view_ord) % 3) s(seq)
@@ -500,8 +487,10 @@ FROM c GROUP BY run_id
 """
 
 ORACLE["manifest_timestamps"] = _LOG + """
-SELECT run_id, min(ts) AS created_at, max(ts) AS updated_at, arg_max(source_url, ts) AS source_url
-FROM log GROUP BY run_id
+, w AS (SELECT run_id, max(ts) AS ts, arg_max(source_url, ts) AS source_url FROM log GROUP BY run_id)
+SELECT runs.run_id, 1787270400 + c_custkey * 60 AS created_at, coalesce(w.ts, 1787270400 + c_custkey * 60) AS updated_at,
+       coalesce(w.source_url, 'https://reports.example/?run=' || CAST(c_custkey AS VARCHAR)) AS source_url
+FROM runs LEFT JOIN w ON runs.run_id = w.run_id
 """
 
 ORACLE["resume_match"] = _LOG + """
@@ -519,54 +508,54 @@ FROM req LEFT JOIN runs ON req.run_id = runs.run_id
 
 # ------------------------------------------------------------------ batches
 _ATT = f"""
-WITH a AS (
+WITH runs AS (
   SELECT conv_id AS batch_id, turn AS phrase_ord, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS run_id,
-         length(text) AS len, v.view_ord, {_VIEWS_CASE.format(x='v.view_ord')} AS view
-  FROM conversations, (VALUES (0), (1), (2), (3)) v(view_ord)),
-f AS (
-  SELECT *,
-    CASE WHEN len % 11 = 0 AND view_ord = len % 4 THEN 'DOWNLOAD_TIMEOUT'
-         WHEN len % 13 = 0 AND view_ord = (len // 13) % 4 THEN 'INTERFACE_CHANGED' END AS fail_code,
-    CASE WHEN len % 11 = 0 AND view_ord = len % 4 THEN 'DownloadTimeoutError: Wordstat did not produce a CSV before the download timeout'
-         WHEN len % 13 = 0 AND view_ord = (len // 13) % 4
-           THEN 'InterfaceChangedError: Wordstat returned an unexpected daily dynamics date format' END AS err_text,
-    len % 17 = 0 AS auth_lost
-  FROM a),
-auth AS (SELECT batch_id, min(phrase_ord) FILTER (WHERE auth_lost) AS auth_ord FROM f GROUP BY batch_id),
-ps AS (
-  SELECT f.*, CASE WHEN auth_ord IS NULL OR phrase_ord < auth_ord THEN 'attempted'
-                   WHEN phrase_ord = auth_ord THEN 'auth_failed' ELSE 'skipped' END AS phrase_state
-  FROM f JOIN auth USING (batch_id)),
-fb AS (
-  SELECT *, min(CASE WHEN fail_code IS NOT NULL THEN view_ord END)
-              OVER (PARTITION BY run_id ORDER BY view_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fb_ord
-  FROM ps),
+         coalesce(length(text), 0) AS len
+  FROM conversations),
+l AS (SELECT batch_id, min(phrase_ord) AS lost FROM runs WHERE len % 17 = 0 GROUP BY batch_id),
+w AS (
+  SELECT runs.*, l.lost, v.view_ord, {_VIEWS_CASE.format(x='v.view_ord')} AS view,
+    batch_id % 5 = 0 AND (len + v.view_ord) % 3 = 0 AS held,
+    CASE WHEN len % 11 = 0 THEN len % 4 END AS broke
+  FROM runs LEFT JOIN l USING (batch_id), (VALUES (0), (1), (2), (3)) v(view_ord)),
 cut AS (
   SELECT *,
-    CASE WHEN phrase_state = 'skipped' THEN 'skipped'
-         WHEN phrase_state = 'auth_failed' THEN 'auth_failed'
-         WHEN fb_ord IS NOT NULL THEN 'not_attempted'
-         WHEN fail_code IS NOT NULL THEN 'failed' ELSE 'stored' END AS outcome,
-    CASE WHEN phrase_state IN ('skipped', 'auth_failed') THEN NULL
-         WHEN fb_ord IS NOT NULL THEN 'не пробовался: сбой на виде ' || {_VIEWS_CASE.format(x='fb_ord')}
-         WHEN fail_code IS NOT NULL THEN err_text END AS view_error
-  FROM fb),
+    CASE WHEN phrase_ord > lost THEN CASE WHEN held THEN 'kept' ELSE 'skipped' END
+         WHEN phrase_ord = lost THEN CASE WHEN view_ord = 0 THEN 'auth_failed' WHEN held THEN 'kept' ELSE 'missing' END
+         WHEN held THEN 'kept'
+         WHEN broke IS NULL OR view_ord < broke THEN 'stored'
+         WHEN view_ord = broke THEN 'failed'
+         -- a run whose breaking view it already held never tried that view
+         WHEN batch_id % 5 = 0 AND (len + broke) % 3 = 0 THEN
+           CASE WHEN broke = 0 OR NOT EXISTS (SELECT 1 FROM (VALUES (0), (1), (2), (3)) u(o)
+                                              WHERE u.o < broke AND (len + u.o) % 3 <> 0) THEN 'skipped' ELSE 'missing' END
+         ELSE 'not_attempted' END AS outcome
+  FROM w),
+cut2 AS (
+  SELECT *,
+    CASE WHEN outcome = 'failed' THEN 'DownloadTimeoutError: no file arrived in time'
+         WHEN outcome = 'not_attempted' THEN '{NOT_ATTEMPTED_PREFIX}' || {_VIEWS_CASE.format(x='broke')} END AS view_error
+  FROM cut),
 po AS (
-  SELECT run_id, any_value(batch_id) AS batch_id,
-    CASE WHEN bool_or(outcome = 'skipped') THEN 'skipped'
-         WHEN bool_or(outcome = 'auth_failed') THEN 'failure'
-         WHEN bool_or(outcome = 'stored') THEN 'result' ELSE 'failure' END AS outcome,
-    CASE WHEN bool_or(outcome = 'auth_failed') THEN 'AUTH_REQUIRED'
-         WHEN NOT bool_or(outcome = 'stored') AND NOT bool_or(outcome = 'skipped')
-           THEN arg_min(fail_code, CASE WHEN outcome = 'failed' THEN view_ord END) END AS error_code,
-    count(*) FILTER (WHERE outcome <> 'stored') AS n_incomplete
-  FROM cut GROUP BY run_id),
-po2 AS (SELECT *, outcome = 'result' AND n_incomplete > 0 AS partial FROM po)
+  SELECT run_id, any_value(batch_id) AS batch_id, any_value(phrase_ord) AS phrase_ord,
+    CASE WHEN bool_or(outcome = 'auth_failed') THEN 'failure'
+         WHEN bool_or(outcome = 'skipped') THEN 'skipped'
+         WHEN bool_or(outcome IN ('stored', 'kept')) OR NOT bool_or(outcome = 'failed') THEN 'result' ELSE 'failure' END AS outcome,
+    bool_or(outcome = 'auth_failed') AS auth,
+    count(*) FILTER (WHERE outcome NOT IN ('stored', 'kept')) AS n_incomplete
+  FROM cut2 GROUP BY run_id),
+po2 AS (
+  SELECT *, outcome = 'result' AND n_incomplete > 0 AS partial,
+    CASE WHEN auth THEN 'AUTH_REQUIRED' WHEN outcome = 'failure' THEN 'DOWNLOAD_TIMEOUT' END AS error_code
+  FROM po)
 """
 
-ORACLE["auth_abort_cut"] = _ATT + "SELECT batch_id, phrase_ord, phrase_state FROM ps WHERE view_ord = 0"
+ORACLE["auth_abort_cut"] = _ATT + """
+SELECT batch_id, phrase_ord, CASE WHEN auth THEN 'auth_failed' WHEN outcome = 'skipped' THEN 'skipped' ELSE 'attempted' END AS phrase_state
+FROM po2
+"""
 
-ORACLE["first_failure_cut"] = _ATT + "SELECT run_id, view, outcome, view_error FROM cut"
+ORACLE["first_failure_cut"] = _ATT + "SELECT run_id, view, outcome, view_error FROM cut2"
 
 ORACLE["phrase_outcome"] = _ATT + "SELECT run_id, outcome, error_code, partial FROM po2"
 
@@ -578,16 +567,32 @@ SELECT batch_id, count(*) AS total, count(*) FILTER (WHERE outcome = 'result') A
 FROM po2 GROUP BY batch_id
 """
 
-ORACLE["incomplete_report"] = _ATT + """
-SELECT c.run_id, c.view, coalesce(c.view_error, 'не собран') AS reason
-FROM cut c JOIN po2 ON c.run_id = po2.run_id
-WHERE po2.outcome = 'result' AND c.outcome <> 'stored'
+ORACLE["incomplete_report"] = _ATT + f"""
+, lines AS (
+  SELECT run_id, 0 AS kind, view AS key, coalesce(view_error, '{NOT_COLLECTED}') AS reason FROM cut2 WHERE outcome NOT IN ('stored', 'kept')
+  UNION ALL
+  SELECT run_id, 1, '/home/user/Downloads/' || run_id || '.csv', 'a file landed outside the run''s folders' FROM runs WHERE len % 7 = 0)
+SELECT run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY kind, key) - 1 AS INTEGER) AS line_ord,
+       CASE WHEN kind = 0 THEN key END AS view, CASE WHEN kind = 1 THEN key END AS path, reason
+FROM lines JOIN po2 USING (run_id) WHERE outcome = 'result'
+"""
+
+_PHRASES = _DOCS + r"""
+, l AS (SELECT doc_id, lines[i] AS phrase, i FROM (SELECT doc_id, lines, generate_subscripts(lines, 1) AS i FROM s WHERE doc_id % 50 <> 7)),
+-- a stray 0x98 makes a file undecodable whatever its encoding was
+kept AS (
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS phrase_ord, phrase
+  FROM l WHERE NOT regexp_full_match(phrase, '[\s\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{85}\x1c-\x1f]*'))
 """
 
-ORACLE["phrase_list"] = _DOCS + r"""
-, l AS (SELECT doc_id, lines[i] AS phrase, i FROM (SELECT doc_id, lines, generate_subscripts(lines, 1) AS i FROM s))
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS phrase_ord, phrase
-FROM l WHERE NOT regexp_full_match(phrase, '[\s\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{85}\x1c-\x1f]*')
+ORACLE["phrase_list"] = _PHRASES + """
+SELECT doc_id, phrase_ord, phrase, NULL AS error_code FROM kept
+UNION ALL SELECT doc_id, NULL, NULL, 'INVALID_REQUEST' FROM documents WHERE doc_id % 50 = 7
+"""
+
+ORACLE["phrase_union"] = _PHRASES + """
+SELECT doc_id // 8 AS batch_id, 0 AS source_ord, doc_id AS o1, CAST(0 AS BIGINT) AS o2, source AS phrase FROM documents
+UNION ALL SELECT doc_id // 8, 1, doc_id, CAST(phrase_ord AS BIGINT), phrase FROM kept
 """
 
 # ------------------------------------------------------------------ landing
@@ -647,9 +652,9 @@ ORACLE["quarantine"] = _SUPPLIERS + r"""
   SELECT block, any_value(hdr_kind) AS hdr_kind FROM s2 WHERE hdr_kind IS NOT NULL GROUP BY block)
 SELECT 'supplier-' || CAST(block AS VARCHAR) AS export_id, 'supplier-' || CAST(block AS VARCHAR) || '.csv' AS file_name,
        'CSV_FORMAT' AS error_code,
-       'CSV supplier-' || CAST(block AS VARCHAR) || '.csv ' ||
-         CASE hdr_kind WHEN 0 THEN 'contains duplicate headers' WHEN 1 THEN 'contains an empty header'
-              ELSE 'contains an unparsed delimiter in a header' END AS error_message
+       'supplier-' || CAST(block AS VARCHAR) || '.csv ' ||
+         CASE hdr_kind WHEN 0 THEN 'has the same header twice' WHEN 1 THEN 'has a blank header'
+              ELSE 'has a delimiter left inside a header' END AS error_message
 FROM b
 """
 
@@ -657,13 +662,109 @@ FROM b
 ORACLE["typed_parquet_roundtrip"] = _SERIES_ALL + r"""
 SELECT o.export_id, o.row_ord, o.label AS period, o.volume AS n,
        CAST(o.share_micro AS DOUBLE) / CAST(100000 AS DOUBLE) AS share
-FROM o WHERE o.granularity = 'daily' AND o.export_id NOT LIKE '%/%'
+FROM o JOIN v ON o.export_id = v.export_id WHERE o.granularity = 'daily' AND v.verdict = 'ok'
+"""
+
+_DAMAGED = r"""
+WITH c AS (
+  SELECT c_custkey AS k, c_custkey % 12 AS kind, 'run-' || CAST(c_custkey AS VARCHAR) AS run_id,
+         DATE '2026-06-01' + CAST(c_custkey % 20 AS INTEGER) AS day
+  FROM customer),
+t AS (
+  SELECT *,
+    CASE kind WHEN 8 THEN 'Дата' || chr(9) || 'Дата' || chr(9) || 'Доля' WHEN 9 THEN 'Дата' || chr(9) || ' ' || chr(9) || 'Доля'
+              WHEN 10 THEN 'Дата' || chr(9) || 'Число;запросов' || chr(9) || 'Доля' ELSE 'Дата;Число запросов;Доля' END AS header,
+    strftime(day, '%d.%m.%Y') || ';' || CASE WHEN kind = 7 THEN '99999999999999999999' ELSE CAST(k AS VARCHAR) END || ';0,5' || chr(10)
+      || CASE WHEN kind = 2 THEN strftime(day + 1, '%Y-%m-%d') ELSE strftime(day + 1, '%d.%m.%Y') END || ';7;0,5' || chr(10)
+      || strftime(day + CASE WHEN kind = 1 THEN 3 ELSE 2 END, '%d.%m.%Y') || ';8;0,5' || chr(10) AS rows
+  FROM c),
+x AS (
+  SELECT *, encode(CASE WHEN kind = 11 THEN chr(10) WHEN kind IN (5, 6) THEN header || chr(10)
+                        WHEN kind IN (8, 9, 10) THEN header || chr(10) || replace(rows, ';', chr(9)) ELSE header || chr(10) || rows END)
+            || CASE WHEN kind = 6 THEN '\x98'::BLOB ELSE ''::BLOB END AS content,
+    CASE kind WHEN 1 THEN 'gap' WHEN 2 THEN 'bad_date' WHEN 3 THEN 'before_window' WHEN 4 THEN 'after_window' WHEN 5 THEN 'empty'
+              WHEN 6 THEN 'undecodable' WHEN 7 THEN 'overflow' WHEN 8 THEN 'duplicate_header' WHEN 9 THEN 'empty_header'
+              WHEN 10 THEN 'unparsed_delimiter' WHEN 11 THEN 'no_header' END AS reason,
+    CASE WHEN kind = 0 THEN NULL WHEN kind <= 5 THEN 'INTERFACE_CHANGED' WHEN kind = 7 THEN 'OVERFLOW' ELSE 'CSV_FORMAT' END AS error_code
+  FROM t)
+"""
+
+ORACLE["stored_exports"] = _DAMAGED + r"""
+SELECT run_id, CAST(i AS INTEGER) AS row_ord, strftime(day + CAST(i AS INTEGER), '%d.%m.%Y') AS period,
+       CASE i WHEN 0 THEN k WHEN 1 THEN 7 ELSE 8 END AS n, CAST(0.5 AS DOUBLE) AS share
+FROM x, (VALUES (0), (1), (2)) r(i) WHERE kind = 0
+"""
+
+ORACLE["quarantine_store"] = _DAMAGED + r"""
+SELECT run_id, run_id || '.csv' AS file_name, error_code, reason, md5(content) AS content_md5, true AS has_message
+FROM x WHERE kind <> 0
+"""
+
+ORACLE["raw_retention"] = _PART_CELLS + r"""
+, lines AS (
+  SELECT block, row_ord, string_agg(text, ';' ORDER BY col_ord) AS line FROM cells GROUP BY block, row_ord),
+f AS (
+  SELECT block, md5(chr(65279) || 'Артикул;Название;Размер;Цена;Скидка;Примечание' || chr(10) || string_agg(line, chr(10) ORDER BY row_ord) || chr(10)) AS m
+  FROM lines GROUP BY block)
+SELECT 'part-' || CAST(block AS VARCHAR) AS export_id, CASE WHEN block % 2 = 0 THEN 'regions.csv' END AS raw_file,
+       CASE WHEN block % 2 = 0 THEN m END AS content_md5
+FROM f
 """
 
-ORACLE["manifest_roundtrip"] = ORACLE["run_status"]
+ORACLE["file_scan"] = _SUPPLIERS + r"""
+SELECT 'supplier-' || CAST(block AS VARCHAR) AS export_id, true AS accepted, true AS is_csv,
+       CASE WHEN hdr_kind IS NULL THEN n_rows END AS row_count,
+       CASE hdr_kind WHEN 0 THEN 'duplicate_header' WHEN 1 THEN 'empty_header' WHEN 2 THEN 'unparsed_delimiter' ELSE 'ok' END AS header_status
+FROM ex
+"""
 
-ORACLE["stream_ingest_equals_batch"] = ORACLE["typed_daily_series"]
+ORACLE["manifest_roundtrip"] = _LOG + """
+, e AS (
+  SELECT run_id, string_agg(view || '/' || file || '/' || CASE WHEN seq = 2 THEN view || '.csv' ELSE '-' END || '/' || CAST(row_count AS VARCHAR)
+                            || '/Запрос,Число запросов/string,int64', ' ' ORDER BY view_ord) AS exports,
+         max(ts) AS updated_at, bool_or(view = 'dynamics') AS dynamics
+  FROM (SELECT m.*, l.ts FROM merged m JOIN log l ON m.run_id = l.run_id AND m.view = l.view AND m.seq = l.seq) GROUP BY run_id),
+s AS (
+  SELECT rv.run_id,
+    string_agg(CASE WHEN m.run_id IS NULL THEN rv.view END, ',' ORDER BY rv.view_ord) AS missing,
+    string_agg(CASE WHEN m.row_count = 0 THEN rv.view END, ',' ORDER BY rv.view_ord) AS empty
+  FROM rv LEFT JOIN merged m ON rv.run_id = m.run_id AND rv.view = m.view GROUP BY rv.run_id)
+SELECT runs.run_id, phrase, region, 1787270400 + c_custkey * 60 AS created_at, e.updated_at,
+       'https://reports.example/?run=' || CAST(c_custkey AS VARCHAR) AS source_url, coalesce(e.exports, '') AS exports, granularity,
+       CASE WHEN granularity <> 'monthly' THEN '2026-06-01' END AS req_from, CASE WHEN granularity <> 'monthly' THEN '2026-07-31' END AS req_to,
+       CASE WHEN e.dynamics THEN 'Дата' END AS act_field, CASE WHEN e.dynamics THEN '30.06.2026' END AS act_to, NULL AS error_code,
+       coalesce(s.missing, '') AS missing, coalesce(s.empty, '') AS empty,
+       CASE WHEN s.missing IS NOT NULL OR s.empty IS NOT NULL THEN 'incomplete' ELSE 'complete' END AS status
+FROM runs JOIN s USING (run_id) LEFT JOIN e ON runs.run_id = e.run_id
+"""
+
+ORACLE["manifest_errors"] = """
+SELECT c_custkey AS key, CASE WHEN k IN (1, 2, 3, 4, 5, 6, 8) THEN 'RESUME_MISMATCH' END AS error_code,
+       CASE WHEN k = 7 THEN 'daily' WHEN k IN (0, 9) THEN 'monthly' END AS granularity,
+       CASE WHEN k IN (0, 7, 9) THEN c_name END AS phrase, CASE WHEN k IN (0, 7, 9) THEN 1 END AS n_exports
+FROM (SELECT *, c_custkey % 10 AS k FROM customer)
+"""
+
+ORACLE["stream_ingest_equals_batch"] = _SERIES_ALL + r"""
+SELECT o.export_id, o.row_ord, o.label AS period, o.volume AS n,
+       CAST(o.share_micro AS DOUBLE) / CAST(100000 AS DOUBLE) AS share, v.verdict
+FROM o JOIN v ON o.export_id = v.export_id
+WHERE o.granularity = 'daily' AND o.export_id NOT LIKE '%/%' AND v.verdict = 'ok'
+"""
+
+_DAMAGED_SUPPLIERS = _DAMAGED.replace("c_custkey", "s_suppkey").replace("FROM customer", "FROM supplier")
+
+ORACLE["stream_manifest"] = _DAMAGED_SUPPLIERS + r"""
+SELECT run_id, CASE WHEN kind = 0 THEN 1 ELSE 0 END AS n_exports,
+       CASE WHEN kind IN (0, 7) THEN 'ok' WHEN kind IN (6, 11) THEN NULL WHEN kind <= 5 THEN reason ELSE 'not_parsed' END AS verdict,
+       CASE WHEN kind NOT IN (6, 11) THEN error_code END AS error_code,
+       CASE WHEN kind = 0 THEN 'top_popular,top_related,regions' ELSE 'top_popular,top_related,dynamics,regions' END AS missing,
+       'incomplete' AS status, true AS updated
+FROM x
+"""
 
-ORACLE["stream_manifest"] = _SERIES_ALL + r"""
-SELECT export_id, granularity, verdict, n AS row_count FROM v
+ORACLE["late_tail"] = _DAMAGED_SUPPLIERS + r"""
+SELECT run_id, CAST(CASE WHEN kind = 0 THEN 3 ELSE 1 END AS BIGINT) AS n_rows,
+       strftime(CASE WHEN kind = 0 THEN day + 2 ELSE day END, '%d.%m.%Y') AS last, CAST(3 AS BIGINT) AS n_writes
+FROM x WHERE kind IN (0, 1, 4)
 """

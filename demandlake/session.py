@@ -5,7 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Session setting: partitions that CPU-heavy per-row work on texts is dealt over.
+#: Unset (the default) leaves an input as the scan splits it; set it where a small
+#: table is stored as a single row group, as the given tables are.
+SPREAD = "demandlake.spread.partitions"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "demandlake") -> SparkSession:
@@ -25,6 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(SPREAD, str(shuffle_partitions))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -32,24 +38,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for written tables and checkpoints.
+    """The shared folder for written tables: ``spark.checkpoint.dir`` of the session.
 
-    Reads ``spark.checkpoint.dir`` from the session (the shared folder a
-    cluster names); only when it is unset, as in local tests, a folder of our
-    own is created and registered.
+    Only a local-mode session (tests) that leaves it unset gets a folder of its
+    own; anywhere else a missing setting is an error, as executors would each
+    write to their own disk.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="demandlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001 - connect sessions have no SparkContext checkpoint API
-        pass
     return root.rstrip("/")
 
 
@@ -58,13 +59,7 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Parallelism floor for CPU-heavy per-row work (text decoding, parsing).
-
-    A small input stored as one row group reads as a single busy task; only
-    then is it spread round-robin over the cluster's cores.  Inputs that
-    already have enough partitions (any large table) are left as they are.
-    """
-    sc = df.sparkSession.sparkContext
-    n = min_partitions or sc.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over as many partitions as the session's ``SPREAD`` says, if it says so."""
+    n = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df

@@ -1,82 +1,104 @@
 """Sinks: S8 typed Parquet, S9 manifest JSON, S11 raw retention, S13 quarantine.
 
-Spark's commit protocol makes each write atomic per job; every writer takes
-a target path and never reads a clock.
+One gate for all of them: an export that is not ``trusted`` (see
+``plans.ingest``) goes to the quarantine with its bytes and its reason, never
+into a typed table.  Spark's commit protocol makes each write atomic per job;
+every writer takes a target path and never reads a clock.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandlake import messages
+from demandlake.messages import sentence
 from demandlake.operators.manifest import run_status
 
-MAX_SIGNATURES = 4096
+#: A longer signature of column types is named by its hash.
+SHAPE_CHARS = 120
 
 
-def write_cells(typed_cells: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Canonical long form: every cell with its column's dtype, zstd Parquet."""
-    w = typed_cells.write.mode("overwrite").option("compression", "zstd")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def signature(columns_col: str = "columns"):
+def signature(columns_col: str = "columns") -> Column:
     return F.concat_ws("_", F.transform(F.col(columns_col), lambda c: c["dtype"]))
 
 
-def write_wide(typed: DataFrame, path: str, keys: list[str]) -> list[str]:
-    """S8 wide form: one Parquet table per positional dtype signature, columns
-    ``c0..cN`` typed int64/float64/string in header order, headers kept as
-    data.  A zero-row export still records its headers and dtypes in
-    ``<path>/schemas``.  Returns the signatures written.
+def write_wide(typed: DataFrame, path: str, keys: list[str]) -> int:
+    """All trusted exports as one Parquet table, in one job, partitioned by ``shape``.
 
-    Only the distinct signatures (a handful of report shapes) reach the
-    driver; the rows never do.
+    Position i of an export has a column for each type (``c<i>_int64``,
+    ``c<i>_float64``, ``c<i>_string``), of which its own type's is filled, so any
+    mix of export shapes fits one table; ``shape`` is the signature of the types
+    (its hash where it is long).  ``<path>/schemas`` keeps headers and types of
+    every export, also of one without rows.  ``typed`` is read twice: pass a
+    written table.  Returns the number of positions.
     """
-    t = typed.filter(F.col("error_code").isNull()).withColumn("signature", signature())
-    t.select(*keys, "signature", "headers", F.col("columns")).write.mode("overwrite").option(
-        "compression", "zstd").parquet(f"{path}/schemas")
-    sigs = [r["signature"] for r in t.select("signature").distinct().limit(MAX_SIGNATURES + 1).collect()]
-    if len(sigs) > MAX_SIGNATURES:
-        raise ValueError("too many distinct export shapes for the wide writer; use write_cells")
-    for sig in sigs:
-        dtypes = sig.split("_") if sig else []
-        rows = t.filter(F.col("signature") == sig).select(
-            *keys, F.posexplode_outer(F.arrays_zip("rows", "parsed_rows")).alias("row_ord", "r")
-        ).filter(F.col("row_ord").isNotNull())
-        cols = []
-        for i, dt in enumerate(dtypes):
-            p = F.get(F.col("r.parsed_rows"), i)
-            if dt == "int64":
-                cols.append(p["as_long"].alias(f"c{i}"))
-            elif dt == "float64":
-                cols.append(F.coalesce(p["as_double"], p["as_long"].cast("double")).alias(f"c{i}"))
-            else:
-                cols.append(F.coalesce(F.get(F.col("r.rows"), i), F.lit("")).alias(f"c{i}"))
-        rows.select(*keys, "row_ord", *cols).write.mode("overwrite").option("compression", "zstd").parquet(
-            f"{path}/signature={sig or 'none'}")
-    return sigs
+    sound = typed.filter(F.col("trusted"))
+    width = sound.agg(F.max(F.size("columns"))).first()[0] or 0
+    sig = signature()
+    shape = F.when(sig == "", F.lit("none")).when(F.length(sig) <= SHAPE_CHARS, sig).otherwise(F.md5(sig))
+    sound.select(*keys, shape.alias("shape"), "headers", "columns").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/schemas")
+    rows = sound.select(*keys, shape.alias("shape"), F.transform("columns", lambda c: c["dtype"]).alias("types"),
+                        F.posexplode_outer(F.arrays_zip("rows", "parsed_rows")).alias("row_ord", "r")).filter(F.col("row_ord").isNotNull())
+    cols = []
+    for i in range(width):
+        of = F.get("types", F.lit(i))
+        p, text = F.get(F.col("r.parsed_rows"), i), F.get(F.col("r.rows"), i)
+        cols.append(F.when(of == "int64", p["as_long"]).alias(f"c{i}_int64"))
+        cols.append(F.when(of == "float64", F.coalesce(p["as_double"], p["as_long"].cast("double"))).alias(f"c{i}_float64"))
+        cols.append(F.when(of == "string", F.coalesce(text, F.lit(""))).alias(f"c{i}_string"))
+    rows.select(*keys, "shape", "row_ord", *cols).write.mode("overwrite").option("compression", "zstd").partitionBy("shape").parquet(f"{path}/rows")
+    return width
+
+
+def write_quarantine(ingested: DataFrame, path: str, keys: list[str]) -> None:
+    """Every export that isn't trusted, with its bytes, name, code, reason and message.
+
+    ``ingested`` has ``content``; rows of ``landing_scan`` that were never read
+    (too_large) may be given as they are, without bytes.
+    """
+    has = lambda c: F.col(c) if c in ingested.columns else F.lit(None).cast("string")
+    bad = ingested.filter(~F.col("trusted")) if "trusted" in ingested.columns else ingested.filter(F.col("error_code").isNotNull())
+    bad.select(
+        *keys, "content",
+        F.coalesce(has("error_code"), has("check_code")).alias("error_code"),
+        F.coalesce(has("error_reason"), has("verdict")).alias("reason"),
+        F.coalesce(has("error_message"), has("check_message"), sentence(has("error_reason"), messages.EXPORT)).alias("message"),
+    ).write.mode("append").option("compression", "zstd").parquet(path)
+
+
+def store_exports(ingested: DataFrame, path: str, keys: list[str]) -> int:
+    """Ingested exports (with content) written once, then dealt out: ``<path>/typed``, ``<path>/quarantine``."""
+    ingested.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/ingested")
+    stored = ingested.sparkSession.read.schema(ingested.schema).parquet(f"{path}/ingested")
+    write_quarantine(stored, f"{path}/quarantine", keys)
+    return write_wide(stored, f"{path}/typed", keys)
 
 
 def manifest_documents(manifests: DataFrame) -> DataFrame:
-    """The manifest with its derived fields (missing_views, empty_views, status)."""
-    return run_status(manifests)
+    """(run_id, document): the manifest as indented JSON, with its derived fields.
+
+    ``manifests`` has the fields of ``files.MANIFEST_SCHEMA`` (``dtypes`` a map
+    in header order); nulls are written as null.
+    """
+    whole = run_status(manifests)
+    order = ["phrase", "region", "created_at", "updated_at", "source_url", "exports", "granularity", "requested_period", "actual_period",
+             "missing_views", "empty_views", "status"]
+    return whole.select("run_id", F.to_json(F.struct(*order), {"pretty": "true", "ignoreNullFields": "false"}).alias("document"))
 
 
 def write_manifests(manifests: DataFrame, path: str) -> None:
-    """JSON lines, one manifest per run (UTF-8, Cyrillic unescaped)."""
-    manifest_documents(manifests).write.mode("overwrite").json(path)
+    """One document file for each run, in its ``run_id=`` folder (UTF-8, Cyrillic unescaped)."""
+    manifest_documents(manifests).write.mode("overwrite").partitionBy("run_id").text(path)
 
 
-def write_quarantine(bad: DataFrame, path: str) -> None:
-    """Failing exports keep their bytes, original name and error."""
-    cols = [c for c in ("export_id", "path", "file_name", "content", "error_code", "error_reason", "error_message")
-            if c in bad.columns]
-    bad.select(*cols).write.mode("append").option("compression", "zstd").parquet(path)
+def raw_name(view: Column, keep_raw: Column) -> Column:
+    """S11: '<view>.csv' when the raw export is kept, else null."""
+    return F.when(keep_raw, F.concat(view, F.lit(".csv")))
 
 
-def raw_retention(exports: DataFrame, keep_raw: str = "keep_raw") -> DataFrame:
-    """``raw_file`` is '<view>.csv' when the raw export is kept, else null."""
-    return exports.withColumn("raw_file", F.when(F.col(keep_raw), F.concat(F.col("view"), F.lit(".csv"))))
+def write_raw(exports: DataFrame, path: str, keys: list[str], keep_raw: str = "keep_raw") -> DataFrame:
+    """Bytes of the exports to keep go to ``path``; ``exports`` with ``raw_file`` and without the bytes."""
+    named = exports.withColumn("raw_file", raw_name(F.col("view"), F.col(keep_raw)))
+    named.filter(F.col("raw_file").isNotNull()).select(*keys, "raw_file", "content").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return named.drop("content")

@@ -1,55 +1,57 @@
-"""Incremental export ingestion (T1-T4) with Structured Streaming.
-
-A landing table (Parquet files of ``export_id, file_name, content, view,
-granularity, date_from, date_to``) is read as a stream; each micro-batch is
-parsed, typed and checked by the batch plan and appended to the typed-cells
-table under ``batch_id=<n>``.  Re-running a batch overwrites that partition
-only, so ``foreachBatch`` is idempotent; the checkpoint makes every landed
-file count exactly once, and ``availableNow`` drains what has landed and
-stops.  No watermark drops late rows: a later export for the same series
-supersedes the earlier one by its sequence number (W4), a short tail is never
-padded (T4).
+"""Incremental ingest of landed files (T1-T4) with Structured Streaming.
+
+Files land as ``<root>/run_id=<run>/view=<view>/<anything>.csv`` and are read by
+a ``binaryFile`` stream; a file of the same run and view that lands later
+supersedes the earlier one (by micro-batch, then modification time, then path).
+Each micro-batch is parsed once, by the batch plan, and written as one table of
+exports under ``batch_id=<n>``: rows, types and verdict of each, and the bytes of
+those that aren't trusted.  Re-running a batch overwrites that partition only, so
+``foreachBatch`` is idempotent; the checkpoint makes every landed file count
+exactly once, and ``availableNow`` drains what has landed and stops.  Typed cells,
+export log, manifests and quarantine are views of that table.  No watermark drops
+late files, and a short tail is never padded (T4).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from demandlake.functions.text import file_name
+from demandlake.operators.manifest import all_views, view_ord
 from demandlake.operators.typing import typed_cells
 from demandlake.plans.ingest import ingest_exports
+from demandlake.sources.files import CSV_GLOB, LANDING_SCHEMA, path_part
 
-LANDING_SCHEMA = T.StructType([
-    T.StructField("export_id", T.StringType()),
-    T.StructField("series_key", T.StringType()),
-    T.StructField("granularity", T.StringType()),
-    T.StructField("date_from", T.DateType()),
-    T.StructField("date_to", T.DateType()),
-    T.StructField("file_name", T.StringType()),
-    T.StructField("content", T.BinaryType()),
-])
+KEYS = ["run_id", "view"]
+LOG = [*KEYS, "granularity", "file_name", "path", "modificationTime", "batch_id", "verdict", "row_count", "error_code", "check_code", "trusted", "dtypes", "actual_period"]
 
 
-def _batch_writer(out_dir: str):
+def _batch_writer(runs: DataFrame, out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingested = ingest_exports(batch)
-        cells = typed_cells(ingested, ["export_id", "verdict"])
-        (cells.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("compression", "zstd")
+        keyed = batch.withColumns({k: path_part(F.col("path"), k) for k in KEYS}).withColumn("file_name", file_name(F.col("path")))
+        # Requests are small beside the files' bytes; a file of no known run has no window and no granularity.
+        landed = keyed.join(runs.select("run_id", "granularity", "date_from", "date_to"), "run_id", "left")
+        ingested = ingest_exports(landed, keep_content=True)
+        kept = ingested.withColumn("content", F.when(~F.col("trusted"), F.col("content")))
+        (kept.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("compression", "zstd")
          .parquet(f"{out_dir}/batch_id={batch_id}"))
-        (ingested.select("export_id", "granularity", "verdict", "row_count", "error_code",
-                         F.lit(batch_id).cast("long").alias("batch_id"))
-         .write.mode("overwrite").parquet(f"{out_dir}_exports/batch_id={batch_id}"))
 
     return write
 
 
-def run_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str) -> None:
-    """Drain everything landed so far (trigger availableNow) and stop."""
-    stream = spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", 64).parquet(landing_dir)
+def run_ingest(spark: SparkSession, landing_dir: str, runs: DataFrame, out_dir: str, checkpoint_dir: str, max_files: int | None = None) -> None:
+    """Drain everything landed so far (trigger availableNow) and stop.
+
+    ``runs`` (run_id, granularity, date_from, date_to) are the requests.
+    ``max_files`` caps the files of one micro-batch; unset, one micro-batch takes
+    all that has landed, and its size is set by Spark's partitions alone.
+    """
+    stream = spark.readStream.format("binaryFile").schema(LANDING_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB)
+    if max_files:
+        stream = stream.option("maxFilesPerTrigger", max_files)
     q = (
-        stream.writeStream.foreachBatch(_batch_writer(out_dir))
+        stream.load(landing_dir).writeStream.foreachBatch(_batch_writer(runs, out_dir))
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
@@ -57,23 +59,59 @@ def run_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_d
     q.awaitTermination()
 
 
-def latest_cells(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Typed cells with a later batch superseding an earlier copy of the same export."""
-    cells = spark.read.parquet(out_dir)
-    newest = cells.groupBy("export_id").agg(F.max("batch_id").alias("batch_id"))
-    return cells.join(newest, ["export_id", "batch_id"], "left_semi")
+def stored_exports(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").parquet(out_dir)
 
 
 def export_log(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The append-only log of export entries, one per micro-batch write."""
-    return spark.read.parquet(f"{out_dir}_exports")
-
-
-def manifest_from_log(log: DataFrame) -> DataFrame:
-    """T2 + W4: the current manifest entry per export is its newest write;
-    reading the log after any micro-batch gives an honest, complete-so-far view."""
-    return log.groupBy("export_id").agg(
-        F.max_by(F.struct("granularity", "verdict", "row_count", "error_code"), "batch_id").alias("e"),
-        F.count(F.lit(1)).alias("n_writes"),
-        F.max("batch_id").alias("last_batch"),
-    ).select("export_id", "e.*", "n_writes", "last_batch")
+    """Every export that was ever landed, with its verdict (columns ``LOG``)."""
+    return stored_exports(spark, out_dir).select(*LOG)
+
+
+def newest(log: DataFrame) -> DataFrame:
+    """The newest landed file of each run and view, and ``n_writes``."""
+    order = F.struct("batch_id", "modificationTime", "path")
+    rest = [c for c in log.columns if c not in KEYS]
+    return log.groupBy(*KEYS).agg(F.max_by(F.struct(*rest), order).alias("e"), F.count(F.lit(1)).alias("n_writes")).select(*KEYS, "e.*", "n_writes")
+
+
+def newest_trusted(log: DataFrame) -> DataFrame:
+    """The entries of a manifest: the newest trusted file of each run and view.
+
+    A later file that fails its checks doesn't take back what is stored."""
+    return newest(log.filter("trusted"))
+
+
+def latest_cells(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Typed cells of the entries.  The entries come from the small log; the cells are scanned once."""
+    stored = stored_exports(spark, out_dir)
+    entries = newest_trusted(stored.select(*LOG)).select("path", "batch_id")
+    return typed_cells(stored.join(entries, ["path", "batch_id"], "left_semi"), [*KEYS, "granularity", "verdict"])
+
+
+def quarantined(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Landed files that aren't trusted, with their bytes and reason."""
+    return stored_exports(spark, out_dir).filter(~F.col("trusted")).select(
+        *KEYS, "path", "content", F.coalesce("error_code", "check_code").alias("error_code"), F.coalesce("error_reason", "verdict").alias("reason"))
+
+
+def run_manifests(runs: DataFrame, log: DataFrame) -> DataFrame:
+    """T2 per run: a manifest after any micro-batch, complete so far.
+
+    Every run has one from its creation on (``runs`` with created_at), with no
+    entries until something trusted lands (W7: updated_at is the newest entry's
+    time, or the creation).  Entries are in view order.
+    """
+    entries = newest_trusted(log).select(
+        "run_id", F.struct(view_ord(F.col("view")).alias("view_ord"), "view", F.col("file_name").alias("file"), "row_count", "dtypes", "actual_period").alias("e"),
+        "modificationTime")
+    per = entries.groupBy("run_id").agg(F.array_sort(F.collect_list("e")).alias("exports"), F.max("modificationTime").alias("written"))
+    out = runs.join(per, "run_id", "left")
+    empty = F.array().cast(per.schema["exports"].dataType)
+    return out.withColumn("exports", F.coalesce("exports", empty)).withColumn("updated_at", F.greatest("created_at", "written")).drop("written")
+
+
+def next_wave(runs: DataFrame, log: DataFrame) -> DataFrame:
+    """(run_id, view) still to be collected: no trusted file has landed."""
+    expanded = runs.select("run_id", F.posexplode(all_views()).alias("view_ord", "view"))
+    return expanded.join(newest_trusted(log).select(*KEYS), KEYS, "left_anti")
