@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from demandlake.llm.anchors import Rule, anchors, word_bounds
 from demandlake.llm.scratch import written
 
-#: Places of one anchor that one task may hold as blocks.
-HOT = 2_000
+#: Places of one anchor that one task may hold as blocks (of less than 0.5 KB each: some 20 MB).
+HOT = 20_000
 
 
 @dataclass
