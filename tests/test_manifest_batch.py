@@ -64,34 +64,67 @@ def test_resume_match(spark):
                                   "period_mismatch"])
 
 
-def _attempts(spark, rows):
-    return spark.createDataFrame(rows, "batch_id long, phrase_ord long, run_id string, view string, view_ord int, "
-                                       "fail_code string, fail_message string, auth_lost boolean")
+VIEWS = ["top_popular", "top_related", "dynamics", "regions"]
 
 
-VIEWS = ["top_popular", "top_related", "dynamics", "regions"]
+def _batch(spark, runs, attempts, stored=()):
+    requests = spark.createDataFrame(runs, "batch_id long, phrase_ord long, run_id string")
+    tried = spark.createDataFrame(list(attempts), "run_id string, view string, fail_code string, fail_message string")
+    held = spark.createDataFrame(list(stored), "run_id string, view string")
+    return B.view_outcomes(requests, tried, held)
 
 
 def test_first_failure_cut(spark):
-    rows = [(1, 0, "p", v, i, "DOWNLOAD_TIMEOUT" if i == 1 else None, "boom" if i == 1 else None, False)
-            for i, v in enumerate(VIEWS)]
-    cut = {r["view"]: (r["outcome"], r["view_error"]) for r in B.first_failure_cut(_attempts(spark, rows)).collect()}
+    views = _batch(spark, [(1, 0, "p")], [("p", "top_popular", None, None), ("p", "top_related", "DOWNLOAD_TIMEOUT", "boom")])
+    cut = {r["view"]: (r["outcome"], r["view_error"]) for r in views.collect()}
     assert cut["top_popular"] == ("stored", None)
     assert cut["top_related"] == ("failed", "DownloadTimeoutError: boom")
     assert cut["dynamics"] == ("not_attempted", "не пробовался: сбой на виде top_related")
-    out = B.phrase_outcome(B.first_failure_cut(_attempts(spark, rows))).first()
+    out = B.phrase_outcome(views).first()
     assert (out["outcome"], out["partial"]) == ("result", True)
 
 
+def test_nothing_stored_is_a_failure_with_its_error(spark):
+    views = _batch(spark, [(1, 0, "p")], [("p", "top_popular", "CSV_FORMAT", "bad")])
+    out = B.phrase_outcome(views).first()
+    assert (out["outcome"], out["error_code"], out["partial"]) == ("failure", "CSV_FORMAT", False)
+
+
+def test_a_resumed_run_that_fails_again_is_a_result(spark):
+    views = _batch(spark, [(1, 0, "p")], [("p", "regions", "DOWNLOAD_TIMEOUT", "boom")], [("p", v) for v in VIEWS[:3]])
+    assert {r["view"]: r["outcome"] for r in views.collect()} == dict.fromkeys(VIEWS[:3], "kept") | {"regions": "failed"}
+    assert B.phrase_outcome(views).first()["outcome"] == "result"
+
+
 def test_auth_abort_and_summary(spark):
-    rows = []
-    for p, auth in enumerate([False, True, False]):
-        rows += [(1, p, f"p{p}", v, i, None, None, auth) for i, v in enumerate(VIEWS)]
-    cut = B.first_failure_cut(_attempts(spark, rows))
-    s = B.batch_summary(B.phrase_outcome(cut)).first()
+    attempts = [("p0", v, None, None) for v in VIEWS] + [("p1", "top_popular", "AUTH_REQUIRED", "gone")]
+    views = _batch(spark, [(1, i, f"p{i}") for i in range(3)], attempts)
+    s = B.batch_summary(B.phrase_outcome(views)).first()
     assert (s["total"], s["collected"], s["failed"], s["skipped"], s["exit_code"]) == (3, 1, 1, 1, 1)
 
 
+def test_report_is_in_order_and_has_the_warnings(spark):
+    views = _batch(spark, [(1, 0, "p"), (1, 1, "q")], [("p", "top_popular", None, None), ("p", "top_related", "CSV_FORMAT", "bad"), ("q", "regions", "CSV_FORMAT", "x")])
+    warnings = spark.createDataFrame([("p", "/b.csv"), ("p", "/a.csv"), ("q", "/c.csv")], "run_id string, path string")
+    lines = B.incomplete_report(views, B.phrase_outcome(views), warnings).orderBy("batch_id", "phrase_ord", "line_ord").collect()
+    assert [(r["run_id"], r["view"] or r["path"]) for r in lines] == [("p", x) for x in ("dynamics", "regions", "top_related", "/a.csv", "/b.csv")]
+
+
+def test_entries_are_in_view_order(spark):
+    log = _log(spark, [("r", v, 1, v, 1) for v in ("regions", "dynamics", "top_popular", "odd")])
+    entries = M.manifest_entries(M.merge_exports(log)).first()["exports"]
+    assert [e["view"] for e in entries] == ["top_popular", "dynamics", "regions", "odd"]
+    assert entries[-1]["view_ord"] is None
+
+
+def test_stale_entries_bump_their_manifest(spark):
+    merged = M.merge_exports(_log(spark, [("r", "dynamics", 1, "d", 1), ("r", "regions", 1, "g", 1), ("s", "regions", 1, "g", 1)]))
+    files = spark.createDataFrame([("r", "d"), ("s", "g")], "run_id string, file string")
+    runs = spark.createDataFrame([("r", 1), ("s", 1), ("t", 1)], "run_id string, updated_at long")
+    got = {r["run_id"]: (r["n_before"], r["n_after"], r["updated_at"]) for r in M.pruned_runs(runs, M.prune_stale(merged, files), F.lit(9)).collect()}
+    assert got == {"r": (2, 1, 9), "s": (1, 1, 1), "t": (0, 0, 1)}
+
+
 def test_slugify(spark):
     df = spark.createDataFrame([("  Купить чай!  ",), ("???",), ("ёлка 2026",), ("a" * 80,)], "t string")
     got = [r["s"] for r in df.select(slugify(F.col("t")).alias("s")).collect()]
@@ -100,7 +133,7 @@ def test_slugify(spark):
 
 def test_containment_and_verdict(spark):
     df = spark.createDataFrame([("/out/d/a.csv",), ("/out/d/../../home/x.csv",), ("/home/u/Downloads/y.csv",)], "p string")
-    roots = F.array(F.lit("/out/d"))
+    roots = F.array(F.lit("/out/x/../d/"))
     got = [r["c"] for r in df.select(L.contained(F.col("p"), roots).alias("c")).collect()]
     assert got == [True, False, False]
     ticks = spark.createDataFrame([
@@ -129,3 +162,18 @@ def test_run_keys_skew_safe_numbering(spark):
             n = n_coffee
         base = "20260821T100000Z-" + ("чай" if p == "чай" else "кофе")
         assert got[i] == (base if n == 1 else f"{base}-{n}")
+
+
+def test_run_keys_never_meet(spark):
+    from demandlake.operators.requests import run_keys
+
+    def keys(phrases, existing=None):
+        df = spark.createDataFrame(list(enumerate(phrases)), "ord long, phrase string").withColumn("now", F.lit("2026-08-21 10:00:00").cast("timestamp"))
+        held = spark.createDataFrame([(f"20260821T100000Z-{k}",) for k in existing], "run_key string") if existing else None
+        return [r["run_key"][17:] for r in run_keys(df, order="ord", existing=held, bucket_size=2).orderBy("ord").collect()]
+
+    assert keys(["foo", "foo", "foo 2"]) == ["foo", "foo-3", "foo-2"]
+    assert keys(["base", "base"], ["base", "base-3"]) == ["base-2", "base-4"]
+    assert keys(["base"] * 5, ["base-3"]) == ["base", "base-2", "base-4", "base-5", "base-6"]
+    many = keys(["a", "a 2", "a", "a 3", "a", "a 2", "a 2 2"] * 3, ["a-4", "a-2-3"])
+    assert len(set(many)) == len(many) and not {"a-4", "a-2-3"} & set(many)

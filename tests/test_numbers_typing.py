@@ -63,3 +63,10 @@ def test_typed_values_and_overflow(spark):
     assert [(c["dtype"], c["as_long"], c["text"]) for c in cells if c["col_ord"] == 1] == [
         ("int64", 5228679, "5 228 679"), ("int64", None, "")]
     assert {c["dtype"] for c in cells if c["col_ord"] == 2} == {"string"}
+
+
+def test_the_smallest_integer_is_a_number(spark):
+    from demandlake.functions.numbers import parse_number
+
+    got = spark.createDataFrame([("-9223372036854775808",), ("9007199254740992",), ("-9007199254740993",)], "t string").select(parse_number(F.col("t")).alias("p")).collect()
+    assert [(r["p"]["kind"], r["p"]["as_long"]) for r in got] == [("int_wide", -(2**63)), ("int", 2**53), ("int_wide", -(2**53) - 1)]

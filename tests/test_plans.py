@@ -20,10 +20,19 @@ def test_series_reads_only_needed_event_columns(spark):
     from demandlake.plans.catalog import QUERIES
 
     plan = _plan(QUERIES["typed_daily_series"](spark, SF))
-    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
     assert "props" not in plan
 
 
+def test_all_series_scan_events_once(spark):
+    from demandlake.plans.catalog import QUERIES
+
+    df = QUERIES["series_containment"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+
+
 def test_ingest_is_narrow(spark, tmp_path):
     from conftest import exports_df
     from demandlake.plans.ingest import ingest_exports

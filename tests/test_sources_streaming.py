@@ -28,49 +28,120 @@ def test_phrase_lines(spark):
         (1, bytearray("какао\r\nсок\r\n".encode("cp1251"))),
         (2, bytearray(b"\x98\xff")),
     ], "file_ord int, content binary")
-    got = [(r["file_ord"], r["phrase"]) for r in SRC.phrase_lines(files).orderBy("file_ord", "line_ord").collect()]
-    assert got == [(0, "чай"), (0, "  кофе  "), (0, "чай"), (1, "какао"), (1, "сок")]
+    got = [(r["file_ord"], r["phrase_ord"], r["phrase"], r["error_code"]) for r in SRC.phrase_lines(files).orderBy("file_ord", "phrase_ord").collect()]
+    assert got == [(0, 0, "чай", None), (0, 1, "  кофе  ", None), (0, 2, "чай", None), (1, 0, "какао", None), (1, 1, "сок", None),
+                   (2, None, None, "INVALID_REQUEST")]
+
+
+def test_large_files_are_listed_for_the_quarantine(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"a;b\n1;2\n")
+    (tmp_path / "b.csv").write_bytes(b"a;b\n" + b"1;2\n" * 50)
+    scan = SRC.landing_scan(spark, str(tmp_path), limit=100)
+    got = {r["file_name"]: (r["content"] is None, r["error_reason"]) for r in scan.collect()}
+    assert got == {"a.csv": (False, None), "b.csv": (True, "too_large")}
+    SINK.write_quarantine(scan, str(tmp_path / "q"), ["file_name"])
+    (row,) = spark.read.parquet(str(tmp_path / "q")).collect()
+    assert (row["file_name"], row["error_code"], row["reason"], row["content"]) == ("b.csv", "CSV_FORMAT", "too_large", None) and row["message"]
+
+
+GOOD = {"phrase": "чай", "region": "Россия", "created_at": "2026-08-21T10:00:00Z", "source_url": "u",
+        "exports": [{"view": "dynamics", "file": "dynamics.parquet", "raw_file": None, "row_count": 3, "dtypes": {"б": "string", "а": "int64"}}]}
 
 
 def test_manifest_source(spark, tmp_path):
-    good = {"phrase": "чай", "region": "Россия", "created_at": "2026-08-21T10:00:00Z", "source_url": "u",
-            "exports": [{"view": "dynamics", "file": "dynamics.parquet", "raw_file": None, "row_count": 3}],
-            "run_id": "a"}
-    no_updated = dict(good, run_id="b")
-    dup = dict(good, run_id="c", exports=good["exports"] * 2)
-    lines = [json.dumps(good, ensure_ascii=False), json.dumps(no_updated, ensure_ascii=False),
-             json.dumps(dup, ensure_ascii=False), "{not json"]
-    (tmp_path / "m.json").write_text("\n".join(lines) + "\n", encoding="utf-8")
-    rows = SRC.load_manifests(spark, str(tmp_path)).collect()
-    codes = sorted((r["run_id"] or "corrupt", r["error_code"]) for r in rows)
-    assert codes == [("a", None), ("b", None), ("c", "RESUME_MISMATCH"), ("corrupt", "RESUME_MISMATCH")]
-
-
-def _daily(spark, key, days):
-    text = "Дата;Число запросов;Доля от всех запросов, %;Динамика, Россия\r" + "\r".join(
-        f"{d:02d}.06.2026;1 {d:03d};0,0004{d % 10};" for d in days) + "\r"
-    return (key, "daily", text.encode("utf-8-sig"))
-
-
-def test_stream_two_waves_equal_batch(spark, tmp_path):
-    rows = [_daily(spark, "a", range(1, 11)), _daily(spark, "b", [1, 2, 4]), _daily(spark, "c", range(3, 9))]
-    landing = spark.createDataFrame(
-        [(k, k, g, None, None, f"{k}.csv", bytearray(c)) for k, g, c in rows], STREAM.LANDING_SCHEMA)
-    base = str(tmp_path)
-    landing.filter("export_id < 'b'").write.parquet(f"{base}/landing", mode="append")
-    STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/ckpt")
-    landing.filter("export_id >= 'b'").write.parquet(f"{base}/landing", mode="append")
-    STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/ckpt")
-    STREAM.run_ingest(spark, f"{base}/landing", f"{base}/cells", f"{base}/ckpt")  # nothing new: no change
-    streamed = STREAM.latest_cells(spark, f"{base}/cells").drop("batch_id")
-    from demandlake.operators.typing import typed_cells
-
-    batch = typed_cells(ingest_exports(landing), ["export_id", "verdict"])
-    key = ["export_id", "row_ord", "col_ord"]
-    assert sorted(map(tuple, streamed.select(*key, "text", "verdict").collect())) == \
-        sorted(map(tuple, batch.select(*key, "text", "verdict").collect()))
-    verdicts = {r["export_id"]: r["verdict"] for r in streamed.select("export_id", "verdict").distinct().collect()}
-    assert verdicts == {"a": "ok", "b": "gap", "c": "ok"}
+    entry = GOOD["exports"][0]
+    bad = {
+        "duplicate": GOOD | {"exports": [entry] * 2}, "view": GOOD | {"exports": [entry | {"view": "maps"}]}, "hourly": GOOD | {"granularity": "hourly"},
+        "no_file": GOOD | {"exports": [{k: v for k, v in entry.items() if k != "file"}]}, "null_dtypes": GOOD | {"exports": [entry | {"dtypes": None}]},
+        "no_phrase": {k: v for k, v in GOOD.items() if k != "phrase"},
+    }
+    for name, doc in {"good": GOOD, "weekly": GOOD | {"granularity": "weekly", "updated_at": "2026-08-22T10:00:00Z"}, **bad}.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+    (tmp_path / "broken.json").write_text("{not json\n", encoding="utf-8")
+    loaded = SRC.load_manifests(spark, str(tmp_path)).withColumn("headers", F.map_keys(F.get("exports", 0)["dtypes"]))
+    rows = {r["path"].rsplit("/", 1)[1][:-5]: r for r in loaded.collect()}
+    assert len(rows) == len(bad) + 3  # one row a file, however it is indented
+    assert {k for k, r in rows.items() if r["error_code"] is None} == {"good", "weekly"}
+    assert {r["error_code"] for k, r in rows.items() if k not in ("good", "weekly")} == {"RESUME_MISMATCH"}
+    good = rows["good"]
+    assert (good["granularity"], good["updated_at"], good["requested_period"]) == ("monthly", None, None)
+    assert good["headers"] == ["б", "а"] and good["exports"][0]["dtypes"] == {"а": "int64", "б": "string"}
+    assert rows["weekly"]["granularity"] == "weekly" and rows["weekly"]["updated_at"] is not None
+
+
+def test_manifest_documents_keep_their_nulls(spark, tmp_path):
+    document = spark.createDataFrame([("r", json.dumps(GOOD, ensure_ascii=False))], "run_id string, document string")
+    SINK.write_manifests(SRC.parse_manifests(document), str(tmp_path))
+    (file,) = tmp_path.glob("run_id=r/*.txt")
+    back = json.loads(file.read_text(encoding="utf-8"))
+    assert back["exports"][0]["dtypes"] == {"б": "string", "а": "int64"} and back["exports"][0]["raw_file"] is None
+    assert back["updated_at"] is None and back["requested_period"] is None and back["granularity"] == "monthly"
+    assert (back["missing_views"], back["empty_views"], back["status"]) == (["top_popular", "top_related", "regions"], [], "incomplete")
+
+
+def _file(root, run, name, days, header="Дата;Число запросов;Доля"):
+    folder = root / f"run_id={run}" / "view=dynamics"
+    folder.mkdir(parents=True, exist_ok=True)
+    text = header + "\r" + "".join(f"{d:02d}.06.2026;1 {d:03d};0,0004{d % 10}\r" for d in days)
+    (folder / f"{name}.csv").write_bytes(text.encode("utf-8-sig"))
+
+
+def test_stream_of_landed_files(spark, tmp_path):
+    import os
+
+    base, root = str(tmp_path), tmp_path / "landing"
+    runs = spark.createDataFrame([(r, "daily", None, None, 0) for r in "abcd"], "run_id string, granularity string, date_from date, date_to date, created_at long")
+    runs = runs.withColumn("created_at", F.timestamp_seconds("created_at"))
+    drain = lambda **k: STREAM.run_ingest(spark, str(root), runs, f"{base}/exports", f"{base}/ckpt", **k)
+    log = lambda: STREAM.export_log(spark, f"{base}/exports")
+    _file(root, "a", "1", range(1, 4))
+    _file(root, "b", "1", [1, 2, 4])
+    _file(root, "c", "1", [])
+    drain()
+    assert {r["run_id"]: (r["verdict"], r["trusted"]) for r in log().collect()} == {"a": ("ok", True), "b": ("gap", False), "c": ("empty", False)}
+    pending = {r["run_id"] for r in STREAM.next_wave(runs, log()).filter("view = 'dynamics'").collect()}
+    assert pending == {"b", "c", "d"}
+    # Two versions in one wave, the older one with the later name; and a broken file.
+    _file(root, "a", "9", range(1, 3))
+    _file(root, "a", "2", range(1, 7))
+    os.utime(root / "run_id=a/view=dynamics/9.csv", (1_700_000_000, 1_700_000_000))
+    _file(root, "d", "1", [1], header="Дата;Дата;Доля")
+    drain(max_files=2)
+    drain()  # nothing new: no change
+    cells = STREAM.latest_cells(spark, f"{base}/exports")
+    rows = {r["run_id"]: r["n"] for r in cells.filter("col_ord = 0").groupBy("run_id").agg(F.count("text").alias("n")).collect()}
+    assert rows.keys() == {"a"} and rows["a"] in (2, 6)  # with two files a batch, either may come last
+    assert {r["run_id"]: r["reason"] for r in STREAM.quarantined(spark, f"{base}/exports").collect()} == {"b": "gap", "c": "empty", "d": "duplicate_header"}
+    manifests = {r["run_id"]: (len(r["exports"]), r["updated_at"] > r["created_at"]) for r in STREAM.run_manifests(runs, log()).collect()}
+    assert manifests == {"a": (1, True), "b": (0, False), "c": (0, False), "d": (0, False)}
+
+
+def test_the_gate(spark, tmp_path):
+    """Overflow, a gap and an empty series are kept out of the typed table and in the quarantine."""
+    day = "Дата;Число запросов\n{}.06.2026;{}\n{}.06.2026;2\n"
+    cases = {"ok": day.format("01", "1", "02"), "gap": day.format("01", "1", "03"), "overflow": day.format("01", "9" * 25, "02"), "empty": "Дата;Число запросов\n"}
+    df = exports_df(spark, [(k, v.encode()) for k, v in cases.items()]).withColumn("granularity", F.lit("daily"))
+    assert SINK.store_exports(ingest_exports(df, keep_content=True), str(tmp_path), ["export_id"]) == 2
+    assert {r["export_id"] for r in spark.read.parquet(str(tmp_path / "typed/rows")).collect()} == {"ok"}
+    bad = {r["export_id"]: (r["error_code"], r["reason"], bytes(r["content"])) for r in spark.read.parquet(str(tmp_path / "quarantine")).collect()}
+    assert bad == {"gap": ("INTERFACE_CHANGED", "gap", cases["gap"].encode()), "overflow": ("OVERFLOW", "overflow", cases["overflow"].encode()),
+                   "empty": ("INTERFACE_CHANGED", "empty", cases["empty"].encode())}
+    trusted = ingest_exports(df.withColumn("view", F.lit("regions"))).filter("export_id = 'empty'").first()
+    assert trusted["trusted"] and trusted["verdict"] == "skipped"
+
+
+def test_raw_files_are_kept_on_request(spark, tmp_path):
+    df = exports_df(spark, [("x", b"1"), ("y", b"2")]).withColumns({"view": F.lit("regions"), "keep_raw": F.col("export_id") == "x"})
+    named = {r["export_id"]: r["raw_file"] for r in SINK.write_raw(df, str(tmp_path), ["export_id"]).collect()}
+    assert named == {"x": "regions.csv", "y": None}
+    assert [bytes(r["content"]) for r in spark.read.parquet(str(tmp_path)).collect()] == [b"1"]
+
+
+def test_phrases_of_a_batch_keep_their_order(spark):
+    inline = spark.createDataFrame([(1, 0, "x"), (1, 1, "x")], "batch_id long, arg_ord int, phrase string")
+    lines = spark.createDataFrame([(1, 0, 0, "a"), (1, 0, 1, "x"), (1, 1, 0, "b")], "batch_id long, file_ord int, phrase_ord int, phrase string")
+    got = SRC.resolve_phrases(inline, lines).orderBy("batch_id", "source_ord", "o1", "o2").collect()
+    assert [r["phrase"] for r in got] == ["x", "x", "a", "x", "b"]
 
 
 def test_wide_sink_roundtrip(spark, tmp_path):
@@ -79,9 +150,8 @@ def test_wide_sink_roundtrip(spark, tmp_path):
         ("y", "Запрос;Показов\n".encode()),
     ])
     typed = ingest_exports(df, with_series=False)
-    sigs = SINK.write_wide(typed, str(tmp_path / "wide"), ["export_id"])
-    assert sorted(sigs) == ["string_int64_float64", "string_string"]
-    back = spark.read.parquet(str(tmp_path / "wide" / "signature=string_int64_float64")).orderBy("row_ord").collect()
-    assert [(r["c0"], r["c1"], r["c2"]) for r in back] == [("чай", 5228679, 12.5), ("кофе", None, 3.0)]
-    schemas = {r["export_id"]: r["signature"] for r in spark.read.parquet(str(tmp_path / "wide" / "schemas")).collect()}
+    assert SINK.write_wide(typed, str(tmp_path / "wide"), ["export_id"]) == 3
+    back = spark.read.parquet(str(tmp_path / "wide/rows")).filter("shape = 'string_int64_float64'").orderBy("row_ord").collect()
+    assert [(r["c0_string"], r["c1_int64"], r["c2_float64"]) for r in back] == [("чай", 5228679, 12.5), ("кофе", None, 3.0)]
+    schemas = {r["export_id"]: r["shape"] for r in spark.read.parquet(str(tmp_path / "wide" / "schemas")).collect()}
     assert schemas["y"] == "string_string"
