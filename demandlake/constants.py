@@ -32,7 +32,7 @@ CSV_FORMAT = "CSV_FORMAT"
 RESUME_MISMATCH = "RESUME_MISMATCH"
 OVERFLOW = "OVERFLOW"
 
-# Error class names as they appear in "<Type>: <message>" texts.
+# --- fixed values: error class names in "<Type>: <message>" texts ------------
 ERROR_TYPES = {
     INVALID_REQUEST: "InvalidRequestError",
     INVALID_PERIOD: "InvalidPeriodError",
@@ -60,7 +60,7 @@ SNIFF_SAMPLE_CHARS = 4096
 SNIFF_CHUNK_LINES = 10
 SLUG_MAX_CHARS = 64
 DEFAULT_SLUG = "query"
-DEFAULT_REGION = "Россия"
+# --- fixed values: texts of the incomplete report ------------------------------
 NOT_COLLECTED = "не собран"
 NOT_ATTEMPTED_PREFIX = "не пробовался: сбой на виде "
 

@@ -33,8 +33,9 @@ def cached_expr(key: tuple, build):
     full = (app,) + key
     col = _CACHE.get(full)
     if col is None:
-        if len(_CACHE) > 256:
-            _CACHE.clear()
+        # The keys are a few names of stages and columns; an older application's entries go.
+        for old in [k for k in _CACHE if k[0] != app]:
+            del _CACHE[old]
         col = build()
         _CACHE[full] = col
     return col

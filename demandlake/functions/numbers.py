@@ -63,15 +63,3 @@ def overflows(dtype: Column, n_wide: Column, n_overflow: Column) -> Column:
     """True when the typed column cannot be written (int64 overflow, or an
     integer not exact in float64)."""
     return ((dtype == "int64") & (n_overflow > 0)) | ((dtype == "float64") & ((n_wide + n_overflow) > 0))
-
-
-def coerce_long(dtype: Column, parsed: Column) -> Column:
-    return F.when(dtype == "int64", parsed["as_long"])
-
-
-def coerce_double(dtype: Column, parsed: Column) -> Column:
-    return F.when(dtype == "float64", F.coalesce(parsed["as_double"], parsed["as_long"].cast("double")))
-
-
-def coerce_text(dtype: Column, text: Column) -> Column:
-    return F.when(dtype == "string", F.coalesce(text, F.lit("")))

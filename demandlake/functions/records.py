@@ -52,23 +52,25 @@ def _is_open(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> C
 
 
 def _join_records(lines: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
-    init = F.struct(F.array().cast("array<string>").alias("recs"), F.lit(False).alias("open"))
+    """Records of lines that may break inside quotes, in time linear in the lines.
 
-    def step(acc, line):
-        recs = acc["recs"]
-        n = F.size(recs)
+    Whether a line ends inside quotes depends only on the line and on whether it
+    began there (a line that did reads as if it started with the quote).  Both
+    answers are taken for every line, one pass picks the true ones, and each run
+    of lines is joined once.
+    """
+    ends = F.transform(lines, lambda x: F.struct(_is_open(x, d, q, dq, sis).alias("fresh"), _is_open(F.concat(q, x), d, q, dq, sis).alias("inside")))
 
-        def extend(joined):
-            extended = F.concat(F.slice(recs, 1, F.greatest(n - 1, F.lit(0))), F.array(joined))
-            return F.struct(extended.alias("recs"), _is_open(joined, d, q, dq, sis).alias("open"))
+    def pick(acc, e):
+        return F.concat(acc, F.when(F.when(F.endswith(acc, F.lit("1")), e["inside"]).otherwise(e["fresh"]), F.lit("1")).otherwise(F.lit("0")))
 
-        joined = F.concat(F.coalesce(F.try_element_at(recs, F.lit(-1)), F.lit("")), line)
-        appended = F.concat(recs, F.array(line))
-        return F.when(acc["open"], let(joined, extend)).otherwise(
-            F.struct(appended.alias("recs"), _is_open(line, d, q, dq, sis).alias("open"))
-        )
+    def runs(after):
+        starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (F.get(after, i - 1) == "0"))
+        part = lambda ss: F.transform(ss, lambda s, k: F.array_join(F.slice(lines, s + 1, F.coalesce(F.get(ss, k + 1), F.size(lines)) - s), ""))
+        return let(starts, part)
 
-    return F.aggregate(lines, init, step, lambda acc: acc["recs"])
+    # One character a line: its state at the end.
+    return let(F.split(F.aggregate(ends, F.lit(""), pick), ""), runs)
 
 
 def _unquote(field: Column, q: Column, dq: Column) -> Column:

@@ -118,11 +118,6 @@ def parse_exports(df: DataFrame, content: str = "content", name: str = "file_nam
     return staged.select(*keep, *[F.col("_p")[f].alias(f) for f in PARSE_FIELDS])
 
 
-def export_rows(parsed: DataFrame, keys: list[str]) -> DataFrame:
-    """``export_rows(keys..., row_ord INT, cells ARRAY<STRING>)`` in file order."""
-    return parsed.select(*keys, F.posexplode_outer("rows").alias("row_ord", "cells")).filter(F.col("row_ord").isNotNull())
-
-
 def export_cells(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """Long form ``cells(keys..., row_ord, col_ord, header, text)``."""
     rows = parsed.select(*keys, "headers", F.posexplode_outer("rows").alias("row_ord", "cells")).filter(

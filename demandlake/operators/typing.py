@@ -99,11 +99,6 @@ def type_exports(parsed: DataFrame) -> DataFrame:
     return staged.select(*keep, *[v.alias(k) for k, v in fields.items()])
 
 
-def dtypes_array(typed: DataFrame) -> DataFrame:
-    """A2: ``dtypes ARRAY<STRUCT<header, dtype>>`` in header order."""
-    return typed.withColumn("dtypes", F.transform("columns", lambda c: F.struct(c["header"].alias("header"), c["dtype"].alias("dtype"))))
-
-
 def column_profile(typed: DataFrame, keys: list[str]) -> DataFrame:
     """One row per (export, column): the A1 verdict with its counts."""
     return typed.select(*keys, F.inline_outer("columns")).filter(F.col("col_ord").isNotNull())
