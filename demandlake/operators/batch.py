@@ -3,7 +3,7 @@
 ``requests(batch_id, phrase_ord, run_id)`` is what was asked for, ``attempts(run_id,
 view, fail_code, fail_message)`` what was tried (fail_code null: it was stored), and
 ``stored(run_id, view)`` what the run's manifest held before.  What was never tried
-has no row in the log: it is found by joining the attempts to requests x views.
+has no row in the log: each run is expanded to its four views.
 Everything keys on the run, so a batch that holds a third of all phrases spreads
 over as many tasks as any other rows; batches meet in partial sums only.
 """
@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlake.constants import AUTH_REQUIRED, ERROR_TYPES, NOT_ATTEMPTED_PREFIX, NOT_COLLECTED
-from demandlake.operators.manifest import all_views, view_ord
+from demandlake.constants import AUTH_REQUIRED, ERROR_TYPES, NOT_ATTEMPTED_PREFIX, NOT_COLLECTED, VIEWS
 
 
 def error_type_name(code: Column) -> Column:
@@ -36,55 +35,78 @@ def view_outcomes(requests: DataFrame, attempts: DataFrame, stored: DataFrame) -
     ``not_attempted`` (an earlier view of the run failed), ``skipped`` (the run
     was never begun) or ``missing``.  A view tried twice counts by its success, or
     its first error.  ``view_error`` is the reason of failed and not attempted ones.
+
+    The three logs meet in one grouping by run, which keeps three values for each
+    of the four views.
     """
-    tried = attempts.groupBy("run_id", "view").agg(
-        F.bool_or(F.col("fail_code").isNull()).alias("done"),
-        F.min(F.struct("fail_code", "fail_message")).alias("err"),
-    )
-    broken = tried.filter(~F.col("done")).groupBy("run_id").agg(F.min(F.struct(view_ord(F.col("view")).alias("ord"), "view", "err")).alias("broke"))
-    begun = tried.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_tried"))
-    held = stored.select("run_id", "view", F.lit(True).alias("held")).distinct()
-    wide = requests.select("batch_id", "phrase_ord", "run_id", F.posexplode(all_views()).alias("view_ord", "view"))
-    wide = wide.join(tried, ["run_id", "view"], "left").join(held, ["run_id", "view"], "left").join(broken, "run_id", "left").join(begun, "run_id", "left")
+    none = F.lit(None)
+    text = none.cast("string")
+    asked = requests.select("run_id", F.struct("batch_id", "phrase_ord").alias("r"), text.alias("view"), none.cast("boolean").alias("done"), none.cast("boolean").alias("held"),
+                            F.struct(text.alias("code"), text.alias("message")).alias("err"))
+    tried = attempts.select("run_id", none.cast(asked.schema["r"].dataType).alias("r"), "view", F.col("fail_code").isNull().alias("done"), none.cast("boolean").alias("held"),
+                            F.struct(F.col("fail_code").alias("code"), F.col("fail_message").alias("message")).alias("err"))
+    before = stored.select("run_id", none.cast(asked.schema["r"].dataType).alias("r"), "view", none.cast("boolean").alias("done"), F.lit(True).alias("held"),
+                           F.struct(text.alias("code"), text.alias("message")).alias("err"))
+    of = lambda v, value: F.when(F.col("view") == v, value)
+    per = asked.unionByName(tried).unionByName(before).groupBy("run_id").agg(
+        F.max("r").alias("r"), F.count("done").alias("n_tried"),
+        *[F.struct(F.max(of(v, F.col("done"))).alias("done"), F.max(of(v, F.col("held"))).alias("held"),
+                   F.min(F.when((F.col("view") == v) & ~F.col("done"), F.col("err"))).alias("err")).alias(v) for v in VIEWS],
+    ).filter(F.col("r").isNotNull())
+    states = F.array(*[F.struct(F.lit(i).alias("view_ord"), F.lit(v).alias("view"), F.col(v).alias("s")) for i, v in enumerate(VIEWS)])
+    broke = F.array_min(F.transform(states, lambda x: F.when(~x["s"]["done"], F.struct(x["view_ord"], x["view"], x["s"]["err"]["code"]))))
+    wide = per.select("r.*", "run_id", "n_tried", broke.alias("broke"), F.inline(states))
+    s = F.col("s")
     outcome = (
-        F.when(F.col("done"), F.lit("stored"))
-        .when(F.col("err.fail_code") == AUTH_REQUIRED, F.lit("auth_failed"))
-        .when(~F.col("done"), F.lit("failed"))
-        .when(F.col("held"), F.lit("kept"))
-        .when(F.col("broke.err.fail_code") == AUTH_REQUIRED, F.lit("missing"))
-        .when(F.col("broke.ord") < F.col("view_ord"), F.lit("not_attempted"))
-        .when(F.col("n_tried").isNull(), F.lit("skipped"))
+        F.when(s["done"], F.lit("stored"))
+        .when(~s["done"] & (s["err"]["code"] == AUTH_REQUIRED), F.lit("auth_failed"))
+        .when(~s["done"], F.lit("failed"))
+        .when(s["held"], F.lit("kept"))
+        .when(F.col("broke.code") == AUTH_REQUIRED, F.lit("missing"))
+        .when(F.col("broke.view_ord") < F.col("view_ord"), F.lit("not_attempted"))
+        .when(F.col("n_tried") == 0, F.lit("skipped"))
         .otherwise(F.lit("missing"))
     )
     reason = (
         F.when(F.col("outcome") == "not_attempted", F.concat(F.lit(NOT_ATTEMPTED_PREFIX), F.col("broke.view")))
-        .when(F.col("outcome") == "failed", error_text(F.col("err.fail_code"), F.col("err.fail_message")))
+        .when(F.col("outcome") == "failed", error_text(s["err"]["code"], s["err"]["message"]))
     )
-    return wide.withColumn("outcome", outcome).withColumn("view_error", reason).withColumn("fail_code", F.col("err.fail_code")).select(
-        "batch_id", "phrase_ord", "run_id", "view_ord", "view", "outcome", "view_error", "fail_code")
+    return wide.withColumn("outcome", outcome).withColumn("view_error", reason).select(
+        "batch_id", "phrase_ord", "run_id", "view_ord", "view", "outcome", "view_error", F.when(~s["done"], s["err"]["code"]).alias("fail_code"))
 
 
-def phrase_outcome(views: DataFrame) -> DataFrame:
-    """One row per run: 'result' if anything is stored, now or from before,
-    'failure' with its error if not (or if its login was lost), 'skipped' if it
-    was never begun.  A begun run that holds nothing and failed nowhere is a result."""
-    stored = F.col("outcome").isin("stored", "kept")
-    g = views.groupBy("batch_id", "phrase_ord", "run_id").agg(
-        F.bool_or(stored).alias("any_stored"),
-        F.bool_or(F.col("outcome") == "skipped").alias("skipped"),
-        F.bool_or(F.col("outcome") == "auth_failed").alias("auth_failed"),
-        F.min_by("fail_code", F.when(F.col("outcome") == "failed", F.col("view_ord"))).alias("fail_code"),
-        F.count_if(~stored).alias("n_incomplete"),
-    )
-    outcome = (
+_STORED = ("stored", "kept")
+
+
+def _run_facts() -> list[Column]:
+    """Aggregates over the views of a run that its outcome follows from."""
+    o = F.col("outcome")
+    return [
+        F.bool_or(o.isin(*_STORED)).alias("any_stored"),
+        F.bool_or(o == "skipped").alias("skipped"),
+        F.bool_or(o == "auth_failed").alias("auth_failed"),
+        F.min_by("fail_code", F.when(o == "failed", F.col("view_ord"))).alias("fail_code"),
+        F.count_if(~o.isin(*_STORED)).alias("n_incomplete"),
+    ]
+
+
+def _run_outcome() -> Column:
+    return (
         F.when(F.col("auth_failed"), F.lit("failure"))
         .when(F.col("skipped"), F.lit("skipped"))
         .when(F.col("any_stored") | F.col("fail_code").isNull(), F.lit("result"))
         .otherwise(F.lit("failure"))
     )
+
+
+def phrase_outcome(views: DataFrame) -> DataFrame:
+    """One row per run: 'result' if anything is stored, now or from before,
+    'failure' with its error if not (or if its login was lost), 'skipped' if it
+    was never begun.  A begun run that holds nothing and failed nowhere is a result."""
+    g = views.groupBy("batch_id", "phrase_ord", "run_id").agg(*_run_facts())
     code = F.when(F.col("auth_failed"), F.lit(AUTH_REQUIRED)).when(F.col("outcome") == "failure", F.col("fail_code"))
     return (
-        g.withColumn("outcome", outcome)
+        g.withColumn("outcome", _run_outcome())
         .withColumn("error_code", code)
         .withColumn("partial", (F.col("outcome") == "result") & (F.col("n_incomplete") > 0))
         .select("batch_id", "phrase_ord", "run_id", "outcome", "error_code", "partial", "n_incomplete")
@@ -105,22 +127,23 @@ def batch_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def incomplete_report(views: DataFrame, outcomes: DataFrame, warnings: DataFrame | None = None) -> DataFrame:
-    """J6 + U3 + O3: (batch_id, phrase_ord, run_id, view, reason, line_ord) of every
-    view that a result lacks, with its reason or the default text, and of every
-    warning (``warnings(run_id, path)``: files that landed elsewhere).
+def incomplete_report(views: DataFrame, warnings: DataFrame | None = None) -> DataFrame:
+    """J6 + U3 + O3: (batch_id, phrase_ord, run_id, line_ord, view, path, reason) of
+    every view that a result lacks, with its reason or the default text, and of
+    every warning (``warnings(run_id, path)``: files that landed elsewhere).
 
     ``line_ord`` is the line's place inside its run: views by name, then warnings
-    by path; a run has at most four views, and its warnings are numbered in one
-    array.  Order by batch_id, phrase_ord, line_ord to print.
+    by path.  Order by batch_id, phrase_ord, line_ord to print.  One grouping by
+    run gives both its outcome and its lines; a run has at most four views, and
+    its warnings are the few stray files of one run.
     """
-    results = outcomes.filter(F.col("outcome") == "result").select("batch_id", "phrase_ord", "run_id")
-    lacking = views.filter(~F.col("outcome").isin("stored", "kept")).select(
-        "run_id", F.struct(F.lit(0).alias("kind"), F.col("view").alias("key"), F.coalesce("view_error", F.lit(NOT_COLLECTED)).alias("reason")).alias("x"))
+    line = F.struct(F.lit(0).alias("kind"), F.col("view").alias("key"), F.coalesce("view_error", F.lit(NOT_COLLECTED)).alias("reason"))
+    rows = views.select("run_id", F.struct("batch_id", "phrase_ord").alias("r"), "view_ord", "outcome", "fail_code", F.when(~F.col("outcome").isin(*_STORED), line).alias("x"))
     if warnings is not None:
-        lacking = lacking.unionByName(warnings.select(
-            "run_id", F.struct(F.lit(1).alias("kind"), F.col("path").alias("key"), F.lit("a file landed outside the run's folders").alias("reason")).alias("x")))
-    lines = lacking.join(results, "run_id").groupBy("batch_id", "phrase_ord", "run_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    out = lines.select("batch_id", "phrase_ord", "run_id", F.posexplode("xs").alias("line_ord", "x"))
+        stray = F.struct(F.lit(1).alias("kind"), F.col("path").alias("key"), F.lit("a file landed outside the run's folders").alias("reason"))
+        rows = rows.unionByName(warnings.select("run_id", stray.alias("x")), allowMissingColumns=True)
+    per = rows.groupBy("run_id").agg(F.max("r").alias("r"), *_run_facts(), F.array_sort(F.collect_list("x")).alias("xs"))
+    results = per.filter(F.col("r").isNotNull() & (_run_outcome() == "result"))
+    out = results.select("r.*", "run_id", F.posexplode("xs").alias("line_ord", "x"))
     return out.select("batch_id", "phrase_ord", "run_id", "line_ord", F.when(F.col("x.kind") == 0, F.col("x.key")).alias("view"),
                       F.when(F.col("x.kind") == 1, F.col("x.key")).alias("path"), "x.reason")

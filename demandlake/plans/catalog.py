@@ -413,9 +413,8 @@ def batch_summary_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incomplete_report_query(spark: SparkSession, sf: str) -> DataFrame:
-    views = _views(spark, sf)
-    warnings = derive.batch_logs(table(spark, sf, "conversations"))[3]
-    return B.incomplete_report(views, B.phrase_outcome(views), warnings).select("run_id", "line_ord", "view", "path", "reason")
+    requests, attempts, stored, warnings = derive.batch_logs(table(spark, sf, "conversations"))
+    return B.incomplete_report(B.view_outcomes(requests, attempts, stored), warnings).select("run_id", "line_ord", "view", "path", "reason")
 
 
 def _phrase_files(spark, sf):

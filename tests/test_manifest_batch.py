@@ -106,7 +106,7 @@ def test_auth_abort_and_summary(spark):
 def test_report_is_in_order_and_has_the_warnings(spark):
     views = _batch(spark, [(1, 0, "p"), (1, 1, "q")], [("p", "top_popular", None, None), ("p", "top_related", "CSV_FORMAT", "bad"), ("q", "regions", "CSV_FORMAT", "x")])
     warnings = spark.createDataFrame([("p", "/b.csv"), ("p", "/a.csv"), ("q", "/c.csv")], "run_id string, path string")
-    lines = B.incomplete_report(views, B.phrase_outcome(views), warnings).orderBy("batch_id", "phrase_ord", "line_ord").collect()
+    lines = B.incomplete_report(views, warnings).orderBy("batch_id", "phrase_ord", "line_ord").collect()
     assert [(r["run_id"], r["view"] or r["path"]) for r in lines] == [("p", x) for x in ("dynamics", "regions", "top_related", "/a.csv", "/b.csv")]
 
 
