@@ -1,28 +1,45 @@
 """Token ids of texts from the public tokenizer files, for use inside tasks.
 
-Texts of invented or rare words still repeat most of their words, so each worker
-tokenizes a distinct chunk once and keeps its ids as bytes; a text's ids are the
-joined bytes.  Chunks end where the tokenizer itself always starts a new
-pre-token, so the ids equal those of the whole text.
+Words repeat, also rare ones, so each worker keeps what it has tokenized, in two
+steps.  A text is cut into chunks, at places where the tokenizer itself always
+starts a new pre-token; a chunk that was met before has its ids as bytes.  A new
+chunk of plain letters and punctuation is cut into its pre-tokens, and only a new
+pre-token is tokenized; any other chunk is tokenized as it is.  The ids equal
+those of the whole text.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from itertools import accumulate, chain
 
-#: Chunks that a worker keeps; the store starts anew when it is full.
-KEPT = 600_000
-#: Chunks tokenized as one text.
-JOINED = 2_000
+import numpy as np
+import regex
+
+#: Entries of one generation of a worker's stores of chunks and of pre-tokens (in all some 450 MB).
+#: A full generation becomes the old one; what is met again moves to the new one.
+KEPT, KEPT_PIECES = 800_000, 400_000
+#: Pre-tokens tokenized as one text.
+JOINED = 5_000
+
+# --- fixed values: the pre-token pattern of the byte-level vocabularies -------
+BYTE_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Letters whose classes, composition and lower case are beyond doubt.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(rf"[{LETTERS}0-9\s!-/:-@\[-`{{-~]*")
+#: A line: letters, then punctuation; or anything else, which leaves both groups empty.
+WORDS = re.compile(rf"^(?:([{LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)|.*)$", re.M)
 
 
 class ChunkTokenizer:
     """``ids(texts)``: for each text, its ids as little-endian unsigned 32-bit integers.
 
-    ``keep_blanks`` False: the vocabulary drops white space, chunks are what lies
-    between blanks and line breaks.  True (byte-level): a chunk starts at each
-    single blank between two other characters, and keeps it.
+    ``keep_blanks`` False: the vocabulary drops white space and case, and ends
+    words with a mark; chunks are what lies between blanks and line breaks.  True
+    (byte-level): a chunk starts at each single blank between two other
+    characters, and keeps it.
     """
 
     def __init__(self, path: str, keep_blanks: bool):
@@ -31,8 +48,15 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keep_blanks = keep_blanks
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {"": b""}
+        self.old_known: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         self.odd = re.compile(r"\s |^ | $| \s")
+        vocab = self.tokenizer.get_vocab()
+        # Which ids begin (byte-level: with a blank) or end (word mark) a pre-token.
+        self.edge = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.edge[[i for t, i in vocab.items() if (t.startswith("Ġ") if keep_blanks else t.endswith("</w>"))]] = True
 
     def chunks(self, text: str) -> list[str]:
         if not self.keep_blanks:
@@ -43,37 +67,75 @@ class ChunkTokenizer:
             parts = text.split(" ")
         return parts[:1] + [" " + x for x in parts[1:]]
 
-    def _learn(self, new: list[str]) -> None:
-        """Tokenizes the chunks as one text and deals its ids out by the offsets of their characters."""
-        import numpy as np
-
-        lead = "" if self.keep_blanks else " "  # byte-level chunks bring their own blank
-        alone = [c for c in new if self.keep_blanks and not c.startswith(" ")]
-        for c, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, dtype="<u4").tobytes()
-        joint = [c for c in new if not self.keep_blanks or c.startswith(" ")]
-        for at in range(0, len(joint), JOINED):
-            some = joint[at : at + JOINED]
-            e = self.tokenizer.encode(lead.join(some), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4")
-            ends = np.cumsum([len(c) + len(lead) for c in some])
-            first = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(ids))
-            cuts = [0, *np.searchsorted(first, ends, side="left").tolist()]
+    def _cut(self, chunks: list[str]) -> list[list[str]]:
+        """Pre-tokens of each plain chunk; of another, none."""
+        if self.keep_blanks:
+            return [BYTE_PIECES.findall(c) if PLAIN.fullmatch(c) else [] for c in chunks]
+        return [[word.lower(), rest] if word else [] for word, rest in WORDS.findall("\n".join(chunks))]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        """Words are tokenized many at a time and told apart by their edges; the rest one by one."""
+        joins = [p for p in new if (p[0] == " " and len(p) > 1 if self.keep_blanks else p.isalpha())]
+        for at in range(0, len(joins), JOINED):
+            some = joins[at : at + JOINED]
+            (ids,) = self._encode([("" if self.keep_blanks else " ").join(some)])
+            edges = np.flatnonzero(self.edge[ids])
+            cuts = [*edges.tolist(), len(ids)] if self.keep_blanks else [0, *(edges + 1).tolist()]
+            if len(cuts) != len(some) + 1:  # not as the vocabulary promises: one by one then
+                self._one_by_one(some)
+                continue
             raw = ids.tobytes()
-            for c, x, y in zip(some, cuts, cuts[1:]):
-                self.known[c] = raw[4 * x : 4 * y]
+            for p, x, y in zip(some, cuts, cuts[1:]):
+                self.pieces[p] = raw[4 * x : 4 * y]
+        done = set(joins)
+        self._one_by_one([p for p in new if p not in done])
+
+    def _one_by_one(self, pieces: list[str]) -> None:
+        for p, ids in zip(pieces, self._encode(pieces)):
+            self.pieces[p] = ids.tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        cut = self._cut(new)
+        whole = [c for c, ps in zip(new, cut) if not ps]
+        for c, ids in zip(whole, self._encode(whole)):
+            self.known[c] = ids.tobytes()
+        wanted = set(chain.from_iterable(cut))
+        wanted.difference_update(self.pieces)
+        if len(self.pieces) > KEPT_PIECES:
+            wanted = set(chain.from_iterable(cut))
+            self.pieces, self.old_pieces = {"": b""}, self.pieces
+        old = self.old_pieces
+        self.pieces.update((p, old[p]) for p in wanted if p in old)
+        self._learn_pieces([p for p in wanted if p not in old and p])
+        get = self.pieces.__getitem__
+        self.known.update((c, b"".join(map(get, ps))) for c, ps in zip(new, cut) if ps)
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the garbage collector waits, as nothing here is cyclic."""
+        gc.disable()
+        try:
+            return self._ids(texts)
+        finally:
+            gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         split = [self.chunks(t) if t else [] for t in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > KEPT:
-            self.known = {}
-            new = set().union(*split)
-        new.discard("")
-        self._learn(list(new))
-        self.known[""] = b""
-        get = self.known.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+        flat = list(chain.from_iterable(split))
+        if len(self.known) > KEPT:
+            self.known, self.old_known = {"": b""}, self.known
+        found = list(map(self.known.get, flat))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if missing:
+            new, old = {flat[i] for i in missing}, self.old_known
+            self.known.update((c, old[c]) for c in new if c in old)
+            self._learn([c for c in new if c not in old])
+            for i in missing:
+                found[i] = self.known[flat[i]]
+        ends = list(accumulate(map(len, split), initial=0))
+        return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 _OPEN: dict[tuple[str, bool], ChunkTokenizer] = {}
