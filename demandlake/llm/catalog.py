@@ -126,4 +126,32 @@ SELECT k.pair_id, CAST(nc AS INTEGER) AS n_chosen, CAST(nr AS INTEGER) AS n_reje
 FROM k JOIN a USING (pair_id)
 """
 
-ORACLE: dict[str, str] = {"op7_preferences": _OP7_SQL}
+#: Every window's hash is counted; a word (byte) goes if one of the windows that cover it is found again.
+_OP2_SQL = r"""
+WITH p AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+u AS (SELECT rid, unnest(range(1, len(ws) + 1)) AS j, ws FROM p),
+w AS (SELECT rid, j, ws[j] AS word, CASE WHEN j + 34 <= len(ws) THEN md5(array_to_string(ws[j:j + 34], ' ')) END AS k FROM u),
+f AS (SELECT rid, j, word, k IS NOT NULL AND count(*) OVER (PARTITION BY k) > 1 AS again FROM w),
+g AS (SELECT rid, j, word, bool_or(again) OVER (PARTITION BY rid ORDER BY j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM f),
+h AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY j), false) AS before FROM g),
+s AS (SELECT rid, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE gone AND NOT before) AS n_spans,
+             string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone) AS kept FROM h GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_spans, 0) AS n_spans
+FROM p LEFT JOIN s USING (rid)
+"""
+
+_OP3_SQL = r"""
+WITH p AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+u AS (SELECT rid, x, unnest(range(1, length(x) // 2 + 1)) AS j FROM p),
+w AS (SELECT rid, j, substr(x, 2 * j - 1, 2) AS b, CASE WHEN j + 199 <= length(x) // 2 THEN md5(substr(x, 2 * j - 1, 400)) END AS k FROM u),
+f AS (SELECT rid, j, b, k IS NOT NULL AND count(*) OVER (PARTITION BY k) > 1 AS again FROM w),
+g AS (SELECT rid, j, b, bool_or(again) OVER (PARTITION BY rid ORDER BY j ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone FROM f),
+h AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY j), false) AS before FROM g),
+s AS (SELECT rid, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE gone AND NOT before) AS n_spans,
+             string_agg(b, '' ORDER BY j) FILTER (WHERE NOT gone) AS kept FROM h GROUP BY rid)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM p LEFT JOIN s USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op2_substring_dedup": _OP2_SQL, "op3_suffix_dedup": _OP3_SQL, "op7_preferences": _OP7_SQL}
