@@ -29,63 +29,92 @@ GROUPS = 256
 REFRESH, RATE = 128, 4
 #: No class of the mixture gets less of 2**CLASS_BITS.
 LEAST = 32
+#: States of the trust: two confidences of 0 to 3.
+STATES = 16
 U64 = np.uint64
 TOP = U64(1 << 32)
 
 
 class _Model:
-    """The mixture of all lanes.  Encoder and decoder make the same calls in the same order."""
+    """The mixture of all lanes.  Encoder and decoder make the same calls in the same order.
+
+    Rows 0 and 1 of the two-row arrays belong to orders 1 and 2.  Lanes lie side
+    by side in flat arrays, so a step is a few gathers, sums and scatters.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.tables = [np.zeros(lanes * TABLE, dtype=np.uint32) for _ in range(2)]  # id << 2 | confidence
-        # Trust in the first and the second prediction, by state: confidences of both, and whether they agree.
-        self.trust = [np.full(lanes * 32, 1 << 14, dtype=np.int32) for _ in range(2)]
-        self.counts = np.ones((lanes, GROUPS), dtype=np.int64)
+        self.size = lanes
+        lane = np.arange(lanes)
+        self.table = np.zeros(2 * lanes * TABLE, dtype=np.uint32)  # id << 2 | confidence
+        self.base = np.stack([lane * TABLE, (lanes + lane) * TABLE])
+        # Trust in the first and the second prediction, by the confidences of both.
+        self.trust = np.full(2 * lanes * STATES, 1 << 14, dtype=np.int32)
+        self.states = np.stack([lane * STATES, (lanes + lane) * STATES])
+        self.counts = np.ones(lanes * GROUPS, dtype=np.int32)
+        self.group_base = lane * GROUPS
+        self.bounds = np.zeros((lanes, GROUPS + 1), dtype=np.int32)
+        self.bound_base = lane * (GROUPS + 1)
         self.last = np.zeros(lanes, dtype=np.int64)
         self.last2 = np.zeros(lanes, dtype=np.int64)
-        self.bounds = np.zeros((lanes, GROUPS + 1), dtype=np.int64)
         self.steps = 0
 
     def predict(self) -> None:
         """Sets first, second (predicted ids, -1: none) and their shares of the class interval."""
+        n = self.size
         if self.steps % REFRESH == 0:
-            share = self.counts * ((1 << GROUP_BITS) - GROUPS) // self.counts.sum(axis=1, keepdims=True) + 1
-            np.cumsum(share, axis=1, out=self.bounds[:, 1:])
-            self.bounds[:, -1] = 1 << GROUP_BITS
+            counts = self.counts.reshape(-1, GROUPS)[:n]
+            share = counts * np.int64((1 << GROUP_BITS) - GROUPS) // counts.sum(axis=1, keepdims=True, dtype=np.int64)
+            np.cumsum(share + 1, axis=1, out=self.bounds[:n, 1:])
+            self.bounds[:n, -1] = 1 << GROUP_BITS
         self.steps += 1
-        base = self.lane * TABLE
-        self.at1 = base + ((self.last * 40503 >> 4) & (TABLE - 1))
-        self.at2 = base + (((self.last * 0x9E3779B1 + self.last2 * 0x85EBCA6B) >> 15) & (TABLE - 1))
-        self.e1, self.e2 = self.tables[0][self.at1], self.tables[1][self.at2]
-        c1, c2 = (self.e1 & 3).astype(np.int64), (self.e2 & 3).astype(np.int64)
-        id1, id2 = (self.e1 >> 2).astype(np.int64), (self.e2 >> 2).astype(np.int64)
-        agree = (id1 == id2) & (c1 > 0) & (c2 > 0)
-        self.first = np.where(c2 > 0, id2, np.where(c1 > 0, id1, -1))
-        self.second = np.where((c2 > 0) & (c1 > 0) & ~agree, id1, -1)
-        self.state = self.lane * 32 + c2 * 8 + c1 * 2 + agree
-        span = (1 << CLASS_BITS) - 3 * LEAST
-        a = np.where(self.first >= 0, self.trust[0][self.state] * span >> 16, 0) + LEAST
-        rest = (1 << CLASS_BITS) - 2 * LEAST - a
-        self.share1 = a
-        self.share2 = np.where(self.second >= 0, self.trust[1][self.state].astype(np.int64) * (rest - LEAST) >> 16, 0) + LEAST
-
-    def update(self, ids: np.ndarray) -> None:
-        hit1, hit2 = ids == self.first, ids == self.second
-        for trust, hit, on in ((self.trust[0], hit1, self.first >= 0), (self.trust[1], hit2, (self.second >= 0) & ~hit1)):
-            old = trust[self.state]
-            trust[self.state] = np.where(on, old + (np.where(hit, 65535 - old, -old) >> RATE), old)
-        for table, at, entry in ((self.tables[0], self.at1, self.e1), (self.tables[1], self.at2, self.e2)):
-            sure, same = entry & 3, (entry >> 2) == ids
-            new = ids.astype(np.uint32) << 2
-            table[at] = np.where(same & (sure > 0), (entry & ~np.uint32(3)) | np.minimum(sure + 1, 3), np.where(sure > 1, entry - 1, new | 1)).astype(np.uint32)
-        self.counts[self.lane, ids >> LOW_BITS] += 8
+        mixed = np.empty((2, n), dtype=np.int64)
+        np.multiply(self.last, 40503, out=mixed[0])
+        mixed[0] >>= 4
+        np.multiply(self.last, 0x9E3779B1, out=mixed[1])
+        mixed[1] += self.last2 * 0x85EBCA6B
+        mixed[1] >>= 15
+        mixed &= TABLE - 1
+        mixed += self.base
+        self.at = mixed
+        self.entry = self.table.take(mixed)
+        sure = (self.entry & 3).astype(np.int64)
+        ids = (self.entry >> 2).astype(np.int64)
+        known = sure > 0
+        self.first = np.where(known[1], ids[1], np.where(known[0], ids[0], -1))
+        both = known[0] & known[1] & (ids[0] != ids[1])
+        self.second = np.where(both, ids[0], -1)
+        self.state = self.states + (4 * sure[1] + sure[0])
+        self.trusted = self.trust.take(self.state).astype(np.int64)
+        self.on = np.stack([self.first >= 0, both])
+        a = self.trusted[0] * ((1 << CLASS_BITS) - 3 * LEAST) >> 16
+        a *= self.on[0]
+        self.share1 = a + LEAST
+        c = self.trusted[1] * ((1 << CLASS_BITS) - 3 * LEAST - a) >> 16
+        c *= both
+        self.share2 = c + LEAST
+
+    def update(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
+        hits = np.stack([hit1, hit2])
+        self.on[1] &= ~hit1
+        change = np.where(hits, 65535, 0) - self.trusted
+        change >>= RATE
+        change *= self.on
+        self.trust[self.state] = self.trusted + change
+        entry, now = self.entry, ids.astype(np.uint32)
+        sure = entry & 3
+        right = ((entry >> 2) == now) & (sure > 0)
+        new = np.where(right, entry + (sure < 3), np.where(sure > 1, entry - 1, (now << 2) | 1))
+        self.table[self.at] = new
+        self.counts[self.group_base + (ids >> LOW_BITS)] += 8
         self.last2, self.last = self.last, ids
 
     def narrow(self, lanes: int) -> None:
         """Only the first lanes go on."""
-        for name in ("lane", "counts", "last", "last2", "bounds"):
+        self.size = lanes
+        for name in ("group_base", "bound_base", "last", "last2"):
             setattr(self, name, getattr(self, name)[:lanes])
+        for name in ("base", "states"):
+            setattr(self, name, getattr(self, name)[:, :lanes])
 
 
 def _longest_first(sizes: list[int]) -> np.ndarray:
@@ -112,6 +141,7 @@ def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
     low, width = np.zeros(n, U64), np.full(n, 0xFFFFFFFFFFFFFFFF, U64)
     digits = np.zeros((n, longest + 3), dtype=np.int64)
     place = np.zeros(n, dtype=np.int64)
+    bounds = model.bounds.ravel()  # a view: refreshed in place
 
     def add(lo: np.ndarray, x: np.ndarray) -> np.ndarray:
         total = lo + x
@@ -122,35 +152,36 @@ def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
 
     for t in range(longest):
         live = int(np.searchsorted(-sizes, -t, side="left"))  # lanes of more than t ids
-        if live < len(model.lane):
-            low_done, width = low[live:], width[:live]
-            _flush(digits, place, low_done, live)
-            low = low[:live]
+        if live < model.size:
+            _flush(digits, place, low[live:], live)
+            low, width = low[:live], width[:live]
             model.narrow(live)
         now = ids[t, :live]
         model.predict()
-        hit1, hit2 = now == model.first, now == model.second
-        start = np.where(hit1, 0, np.where(hit2, model.share1, model.share1 + model.share2))
-        size = np.where(hit1, model.share1, np.where(hit2, model.share2, (1 << CLASS_BITS) - model.share1 - model.share2))
+        hit1 = now == model.first
+        hit2 = now == model.second
+        hit = hit1 | hit2
+        rest = model.share1 + model.share2
+        start = np.where(hit1, 0, np.where(hit2, model.share1, rest))
+        size = np.where(hit1, model.share1, np.where(hit2, model.share2, (1 << CLASS_BITS) - rest))
         step = width >> U64(CLASS_BITS)
-        low = add(low, step * start.astype(U64))
+        shift = step * start.astype(U64)
         width = step * size.astype(U64)
-        miss = np.flatnonzero(~(hit1 | hit2))
-        group = now[miss] >> LOW_BITS
-        lane = model.lane[miss]
-        lo = model.bounds[lane, group]
-        share = model.bounds[lane, group + 1] - lo
-        step = width[miss] >> U64(GROUP_BITS + LOW_BITS)
-        shift = np.zeros(live, U64)
-        shift[miss] = step * ((lo << LOW_BITS) + (now[miss] & 0xFF) * share).astype(U64)
+        # What is not predicted: its group and the low byte; a hit keeps its interval.
+        at = model.bound_base + (now >> LOW_BITS)
+        lo = bounds.take(at).astype(np.int64)
+        share = bounds.take(at + 1) - lo
+        step = width >> U64(GROUP_BITS + LOW_BITS)
+        shift += np.where(hit, U64(0), step * ((lo << LOW_BITS) + (now & 0xFF) * share).astype(U64))
+        width = np.where(hit, width, step * share.astype(U64))
         low = add(low, shift)
-        width[miss] = step * share.astype(U64)
         small = np.flatnonzero(width < TOP)
-        digits[small, place[small]] += (low[small] >> U64(32)).astype(np.int64)
+        own = low[small]
+        digits[small, place[small]] += (own >> U64(32)).astype(np.int64)
         place[small] += 1
-        low[small] <<= U64(32)
+        low[small] = own << U64(32)
         width[small] <<= U64(32)
-        model.update(now)
+        model.update(now, hit1, hit2)
     _flush(digits, place, low, 0)
     for k in range(int(place.max(initial=0)) - 1, 0, -1):
         carry = digits[:, k] >> 32
@@ -206,35 +237,35 @@ def _decode_lanes(codes: list[bytes]) -> list[np.ndarray]:
     code, width = (digits[:, 0] << U64(32)) | digits[:, 1], np.full(n, 0xFFFFFFFFFFFFFFFF, U64)
     place = np.full(n, 2, dtype=np.int64)
     ids = np.zeros((longest, n), dtype=np.int64)
+    bounds = model.bounds.ravel()
     for t in range(longest):
         live = int(np.searchsorted(-sizes, -t, side="left"))
-        if live < len(model.lane):
+        if live < model.size:
             code, width, place = code[:live], width[:live], place[:live]
             model.narrow(live)
         model.predict()
         step = width >> U64(CLASS_BITS)
         v = np.minimum((code // step).astype(np.int64), (1 << CLASS_BITS) - 1)
+        rest = model.share1 + model.share2
         hit1 = v < model.share1
-        hit2 = ~hit1 & (v < model.share1 + model.share2)
-        start = np.where(hit1, 0, np.where(hit2, model.share1, model.share1 + model.share2))
-        size = np.where(hit1, model.share1, np.where(hit2, model.share2, (1 << CLASS_BITS) - model.share1 - model.share2))
+        hit = v < rest
+        hit2 = hit & ~hit1
+        start = np.where(hit1, 0, np.where(hit2, model.share1, rest))
+        size = np.where(hit1, model.share1, np.where(hit2, model.share2, (1 << CLASS_BITS) - rest))
         code = code - step * start.astype(U64)
         width = step * size.astype(U64)
-        now = np.where(hit1, model.first, model.second)
-        miss = np.flatnonzero(~(hit1 | hit2))
-        step = width[miss] >> U64(GROUP_BITS + LOW_BITS)
-        v = np.minimum((code[miss] // step).astype(np.int64), (1 << (GROUP_BITS + LOW_BITS)) - 1)
-        slot, lane = v >> LOW_BITS, model.lane[miss]
-        group = np.zeros(len(miss), dtype=np.int64)
-        flat, row = model.bounds.ravel(), lane * (GROUPS + 1)
+        step = width >> U64(GROUP_BITS + LOW_BITS)
+        v = np.minimum((code // step).astype(np.int64), (1 << (GROUP_BITS + LOW_BITS)) - 1)
+        slot = (v >> LOW_BITS).astype(np.int32)
+        at = model.bound_base.copy()
         for half in (128, 64, 32, 16, 8, 4, 2, 1):
-            group += half * (flat[row + group + half] <= slot)
-        lo = flat[row + group]
-        share = flat[row + group + 1] - lo
+            at += half * (bounds.take(at + half) <= slot)
+        lo = bounds.take(at).astype(np.int64)
+        share = bounds.take(at + 1) - lo
         least = np.minimum((v - (lo << LOW_BITS)) // share, 0xFF)
-        code[miss] -= step * ((lo << LOW_BITS) + least * share).astype(U64)
-        width[miss] = step * share.astype(U64)
-        now[miss] = (group << LOW_BITS) + least
+        code = np.where(hit, code, code - step * ((lo << LOW_BITS) + least * share).astype(U64))
+        width = np.where(hit, width, step * share.astype(U64))
+        now = np.where(hit1, model.first, np.where(hit2, model.second, ((at - model.bound_base) << LOW_BITS) + least))
         small = np.flatnonzero(width < TOP)
         code[small] = (code[small] << U64(32)) | digits[small, place[small]]
         place[small] += 1
@@ -242,7 +273,7 @@ def _decode_lanes(codes: list[bytes]) -> list[np.ndarray]:
         if now.min(initial=0) < 0:  # a class that predicts nothing: only damage leads here
             raise ValueError("a block of ids is damaged")
         ids[t, :live] = now
-        model.update(now)
+        model.update(now, hit1, hit2)
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * n
     for lane, i in enumerate(order):
         own = ids[: sizes[lane], lane]
