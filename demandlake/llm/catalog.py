@@ -111,14 +111,14 @@ d AS (SELECT c.pair_id, min(c.pos) AS pos FROM t c JOIN t r ON c.pair_id = r.pai
       WHERE c.shown <> r.shown GROUP BY 1),
 k AS (SELECT n.pair_id, nc, nr, coalesce(d.pos - 1, least(nc, nr)) AS n_common FROM n LEFT JOIN d USING (pair_id)),
 m AS (SELECT t.*, k.n_common,
-        coalesce(sum(length(shown)) OVER (PARTITION BY t.pair_id, side, pos > n_common ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+        coalesce(sum(length(shown)) OVER (PARTITION BY t.pair_id, side, pos > n_common ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ofs
       FROM t JOIN k USING (pair_id)),
 a AS (SELECT pair_id,
         string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND pos <= n_common) AS prompt,
         string_agg(shown, '' ORDER BY pos) FILTER (side = 0 AND pos > n_common) AS chosen,
         string_agg(shown, '' ORDER BY pos) FILTER (side = 1 AND pos > n_common) AS rejected,
-        string_agg((at + 5 + length(role)) || ':' || (at + length(shown)), ',' ORDER BY pos) FILTER (side = 0 AND pos > n_common AND role = 'assistant') AS cm,
-        string_agg((at + 5 + length(role)) || ':' || (at + length(shown)), ',' ORDER BY pos) FILTER (side = 1 AND pos > n_common AND role = 'assistant') AS rm
+        string_agg((ofs + 5 + length(role)) || ':' || (ofs + length(shown)), ',' ORDER BY pos) FILTER (side = 0 AND pos > n_common AND role = 'assistant') AS cm,
+        string_agg((ofs + 5 + length(role)) || ':' || (ofs + length(shown)), ',' ORDER BY pos) FILTER (side = 1 AND pos > n_common AND role = 'assistant') AS rm
       FROM m GROUP BY 1)
 SELECT k.pair_id, CAST(nc AS INTEGER) AS n_chosen, CAST(nr AS INTEGER) AS n_rejected, CAST(n_common AS INTEGER) AS n_common,
        coalesce(prompt, '') AS prompt, coalesce(chosen, '') AS chosen, coalesce(rejected, '') AS rejected,
