@@ -18,7 +18,7 @@ from demandlake.llm.mixing import mix
 from demandlake.llm.packing import pack, token_pieces
 from demandlake.llm.quality import quality_rules
 from demandlake.llm.scratch import importable, written
-from demandlake.llm.simhash import simhash_components
+from demandlake.llm.simhash import without_near_copies
 from demandlake.llm.substring_dedup import without_substrings
 from demandlake.llm.words import words_of
 
@@ -32,19 +32,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of near copies (3-word shingles, 2 bits).
+    """One document of each group of near copies (3-word shingles, 2 bits): that of the least id.
 
-    A group's rows of that id stay once if their texts are equal.  Rows without
-    an id have nothing to choose by and stay.
+    Null and empty texts are copies of each other.  Rows without an id go where
+    their group has one with an id.
     """
-    docs = docs.select(COLUMNS)
-    found = simhash_components(docs, shingle=3, radius=2)
-    least = written(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")), "pipeline-least")
-    kept = docs.join(least, "doc_id").select(*COLUMNS, "_rows")
-    once = kept.where(F.col("_rows") == 1).select(COLUMNS)
-    if least.where("_rows > 1").limit(1).count():
-        once = once.unionAll(kept.where(F.col("_rows") > 1).select(COLUMNS).dropDuplicates(["doc_id", "text"]))
-    return once.unionAll(docs.where(F.col("doc_id").isNull()))
+    return without_near_copies(docs.select(COLUMNS), shingle=3, radius=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,14 +51,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, fp) with the fingerprint's 64 bits as a signed long."""
+    """(doc_id, text_hash, fp): the text's XXH64, and the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return keyed.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def _bands(free: int, parts: int) -> list[int]:
@@ -199,10 +201,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+    """(doc_id, text_hash, fp, root, component_id) for every row of ``docs``.
 
-    Fingerprints link at ``radius`` or fewer differing bits; ``component_id`` is
-    the least id reachable.  Null or empty text: fingerprint 0, linked like any
+    Fingerprints link at ``radius`` or fewer differing bits; ``root`` names the
+    component by its least fingerprint, ``component_id`` is the least id reachable.  Null or empty text: fingerprint 0, linked like any
     other.  Null ids: take part, but are never a component's id (null if all its
     ids are).  Repeated rows stay.  Empty table: no rows.  Other columns are ignored.
     """
@@ -212,5 +214,24 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2, id_co
     joined = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     joined = written(joined, "simhash-roots")
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(ids, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = joined.join(ids, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def without_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component: that of the least id, and of the least
+    text hash where several rows have that id (or where no row has one).
+
+    The rows that go are told by id and text; they are fewer than those that stay.
+    """
+    found = written(simhash_components(docs, shingle, radius, id_col, text_col), "simhash-found")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("text_hash").alias("stays"))
+    beside = found.join(first, "root").where(~F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("text_hash") != F.col("stays")))
+    gone = written(beside.select(F.col("doc_id").alias("g1"), F.col("text_hash").alias("g2")).distinct(), "simhash-gone")
+    key = (F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = docs.join(gone, key[0].eqNullSafe(F.col("g1")) & (key[1] == F.col("g2")), "left_anti")
+    again = written(found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("g1"), F.col("text_hash").alias("g2")), "simhash-again")
+    if again.limit(1).count():  # rows that repeat as a whole: one of them stays
+        match = key[0].eqNullSafe(F.col("g1")) & (key[1] == F.col("g2"))
+        kept = kept.join(again, match, "left_anti").unionAll(kept.join(again, match, "left_semi").dropDuplicates([id_col, text_col]))
+    return kept
