@@ -88,7 +88,9 @@ def mix(docs: DataFrame, size: Column, keys: list[Column], weights: list[int], s
     rows = written(docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size"), h.alias("h")), "mix-rows")
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     cut = written(_thresholds(rows, targets), "mix-cuts")
+    # Written, so that Spark knows its size before it plans the join with the whole rows: a row for each source.
     plan = cut.join(targets.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("source")
+    plan = written(plan, "mix-plan")
     hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("row"), F.col(source_col).cast("string").alias("source"), h.alias("h"))
     copies = (F.col("passes") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)).cast("int")
     return hashed.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("row.*", "source_size", "target", copies.alias("copies"))
