@@ -27,7 +27,7 @@ END_ID = 1
 #: Rows that one window of the ranking holds, about.
 RANK_ROWS = 100_000
 #: Texts tokenized together in a task.
-BATCH = 1024
+BATCH = 512
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ END_ID = 0
 SEGMENT_IDS = 1 << 20
 #: Ids that a task codes at once.
 BATCH_IDS = id_coder.LANES * id_coder.BLOCK_IDS
-TEXTS = 1024
+TEXTS = 512
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 _DOCS = "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long"
 

@@ -18,9 +18,9 @@ from itertools import accumulate, chain
 import numpy as np
 import regex
 
-#: Entries of one generation of a worker's stores of chunks and of pre-tokens (in all some 450 MB).
+#: Entries of one generation of a worker's store of chunks and pre-tokens (two make some 170 MB).
 #: A full generation becomes the old one; what is met again moves to the new one.
-KEPT, KEPT_PIECES = 800_000, 400_000
+KEPT = 500_000
 #: Pre-tokens tokenized as one text.
 JOINED = 5_000
 
@@ -49,9 +49,7 @@ class ChunkTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.keep_blanks = keep_blanks
         self.known: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {"": b""}
-        self.old_known: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.odd = re.compile(r"\s |^ | $| \s")
         vocab = self.tokenizer.get_vocab()
         # Which ids begin (byte-level: with a blank) or end (word mark) a pre-token.
@@ -71,7 +69,7 @@ class ChunkTokenizer:
         """Pre-tokens of each plain chunk; of another, none."""
         if self.keep_blanks:
             return [BYTE_PIECES.findall(c) if PLAIN.fullmatch(c) else [] for c in chunks]
-        return [[word.lower(), rest] if word else [] for word, rest in WORDS.findall("\n".join(chunks))]
+        return [([word.lower(), rest] if rest else [word.lower()]) if word else [] for word, rest in WORDS.findall("\n".join(chunks))]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,29 +87,27 @@ class ChunkTokenizer:
                 continue
             raw = ids.tobytes()
             for p, x, y in zip(some, cuts, cuts[1:]):
-                self.pieces[p] = raw[4 * x : 4 * y]
+                self.known[p] = raw[4 * x : 4 * y]
         done = set(joins)
         self._one_by_one([p for p in new if p not in done])
 
     def _one_by_one(self, pieces: list[str]) -> None:
         for p, ids in zip(pieces, self._encode(pieces)):
-            self.pieces[p] = ids.tobytes()
+            self.known[p] = ids.tobytes()
+
+    def _recall(self, wanted: set[str]) -> list[str]:
+        """What of ``wanted`` neither generation knows; the old one's entries move to the new."""
+        old = self.old
+        self.known.update((c, old[c]) for c in wanted if c in old)
+        return [c for c in wanted if c not in old]
 
     def _learn(self, new: list[str]) -> None:
+        """A pre-token is a chunk as well, of the same ids, so both share one store."""
         cut = self._cut(new)
-        whole = [c for c, ps in zip(new, cut) if not ps]
-        for c, ids in zip(whole, self._encode(whole)):
-            self.known[c] = ids.tobytes()
-        wanted = set(chain.from_iterable(cut))
-        wanted.difference_update(self.pieces)
-        if len(self.pieces) > KEPT_PIECES:
-            wanted = set(chain.from_iterable(cut))
-            self.pieces, self.old_pieces = {"": b""}, self.pieces
-        old = self.old_pieces
-        self.pieces.update((p, old[p]) for p in wanted if p in old)
-        self._learn_pieces([p for p in wanted if p not in old and p])
-        get = self.pieces.__getitem__
-        self.known.update((c, b"".join(map(get, ps))) for c, ps in zip(new, cut) if ps)
+        self._one_by_one([c for c, ps in zip(new, cut) if not ps])
+        self._learn_pieces(self._recall(set(chain.from_iterable(cut)).difference(self.known)))
+        get = self.known.__getitem__
+        self.known.update((c, get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))) for c, ps in zip(new, cut) if ps)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; the garbage collector waits, as nothing here is cyclic."""
@@ -125,13 +121,11 @@ class ChunkTokenizer:
         split = [self.chunks(t) if t else [] for t in texts]
         flat = list(chain.from_iterable(split))
         if len(self.known) > KEPT:
-            self.known, self.old_known = {"": b""}, self.known
+            self.known, self.old = {"": b""}, self.known
         found = list(map(self.known.get, flat))
         missing = [i for i, x in enumerate(found) if x is None]
         if missing:
-            new, old = {flat[i] for i in missing}, self.old_known
-            self.known.update((c, old[c]) for c in new if c in old)
-            self._learn([c for c in new if c not in old])
+            self._learn(self._recall({flat[i] for i in missing}))
             for i in missing:
                 found[i] = self.known[flat[i]]
         ends = list(accumulate(map(len, split), initial=0))
