@@ -114,8 +114,9 @@ def typed_cells(typed: DataFrame, keys: list[str]) -> DataFrame:
     The dtype is looked up by position inside the export's row, so the
     'join' of cells to their profile costs no shuffle."""
     sound = F.col("trusted") if "trusted" in typed.columns else F.col("error_code").isNull()
-    rows = typed.filter(sound).select(
-        *keys, "columns", "parsed_rows", F.posexplode_outer("rows").alias("row_ord", "cells")
+    # Inside the generator: as a filter the condition would be pushed down, and the parse be done twice.
+    rows = typed.select(
+        *keys, "columns", "parsed_rows", F.posexplode_outer(F.when(sound, F.col("rows"))).alias("row_ord", "cells")
     ).filter(F.col("row_ord").isNotNull())
     cells = rows.select(
         *keys,
