@@ -4,8 +4,9 @@ Words repeat, also rare ones, so each worker keeps what it has tokenized, in two
 steps.  A text is cut into chunks, at places where the tokenizer itself always
 starts a new pre-token; a chunk that was met before has its ids as bytes.  A new
 chunk of plain letters and punctuation is cut into its pre-tokens, and only a new
-pre-token is tokenized; any other chunk is tokenized as it is.  The ids equal
-those of the whole text.
+pre-token is tokenized; any other chunk, also one with an added token of the
+vocabulary (such as <|endoftext|>), is tokenized as it is.  The ids equal those of
+the whole text.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ class ChunkTokenizer:
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.odd = re.compile(r"\s |^ | $| \s")
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         vocab = self.tokenizer.get_vocab()
         # Which ids begin (byte-level: with a blank) or end (word mark) a pre-token.
         self.edge = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -66,9 +69,9 @@ class ChunkTokenizer:
         return parts[:1] + [" " + x for x in parts[1:]]
 
     def _cut(self, chunks: list[str]) -> list[list[str]]:
-        """Pre-tokens of each plain chunk; of another, none."""
+        """Pre-tokens of each plain chunk; of another, and of one with an added token, none."""
         if self.keep_blanks:
-            return [BYTE_PIECES.findall(c) if PLAIN.fullmatch(c) else [] for c in chunks]
+            return [BYTE_PIECES.findall(c) if PLAIN.fullmatch(c) and not self.added.search(c) else [] for c in chunks]
         return [([word.lower(), rest] if rest else [word.lower()]) if word else [] for word, rest in WORDS.findall("\n".join(chunks))]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
