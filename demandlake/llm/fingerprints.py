@@ -24,11 +24,14 @@ MODULUS_BITS = 60
 MASK = (1 << MODULUS_BITS) - 1
 #: Hashes of a piece: all give a full-width component; the first LANE_HASHES also give their bits to lanes.
 HASHES, LANE_HASHES = 4, 2
-#: Lanes of one packed component, and bits of a lane.
-PACK, LANE_BITS = 4, 15
+#: Lanes of one packed component, and bits of a lane.  A text ends at 2**31 bytes and a piece takes
+#: two with its end, so no text sets a bit of a lane 2**LANE_BITS times.
+PACK, LANE_BITS = 2, 30
 LANES = sum(1 << (LANE_BITS * k) for k in range(PACK))
 #: Components: number of pieces, full-width sums, packed lanes.
 WIDTH = 1 + HASHES + LANE_HASHES * LANE_BITS
+#: In the hex form, two packed components become one, lanes at half the distance.
+HALF = LANE_BITS // 2
 ROWS_PER_RANGE = 2_000
 MAX_RANGES = 20_000
 
@@ -57,8 +60,16 @@ def fingerprint_vector(text: Column) -> Column:
 
 
 def fingerprint_text(vector: Column) -> Column:
-    """The vector as lower-case hex, 15 digits for each component."""
-    return F.array_join(F.transform(vector, lambda x: F.lower(F.lpad(F.hex(x), 15, "0"))), "")
+    """The vector as lower-case hex, 15 digits for each component.
+
+    Packed components are folded in pairs, modulo 2**60: still sums over the
+    pieces, but lanes of many pieces run into each other, so ``likeness`` takes
+    vectors.
+    """
+    first = [2 + HASHES + i * LANE_BITS for i in range(LANE_HASHES)]
+    fold = lambda x, y: (x + F.shiftleft(y, HALF)).bitwiseAND(F.lit(MASK))
+    folded = [F.zip_with(F.slice(vector, at, HALF), F.slice(vector, at + HALF, HALF), fold) for at in first]
+    return F.array_join(F.transform(F.concat(F.slice(vector, 1, 1 + HASHES), *folded), lambda x: F.lower(F.lpad(F.hex(x), 15, "0"))), "")
 
 
 def _signed(vector: Column) -> Column:
