@@ -598,16 +598,14 @@ from demandlake.streaming import ingest as STREAM  # noqa: E402
 
 
 def _series_landing(spark, sf):
-    """Daily exports by type and by user as files (a run each), and their requests."""
+    """Daily exports by type as files, a run each, with their requests; ``stream_all_exports`` lands the others too."""
     ex = derive.all_series_exports(table(spark, sf, "events")).filter("granularity = 'daily' and series_key not like '%/%'")
     return ex.withColumns({"run_id": F.col("export_id"), "view": F.lit("dynamics")})
 
 
-def stream_ingest_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily exports landed as files in two waves, drained by two availableNow
-    runs; the typed series are those of a batch ingest, trusted exports only."""
-    base = fresh_dir(spark, "stream")
-    ex = _series_landing(spark, sf)
+def _streamed_series(spark: SparkSession, base: str, ex: DataFrame) -> DataFrame:
+    """``ex`` landed as files in two waves and drained by two availableNow runs to
+    ``base``/exports: the typed series of trusted exports."""
     runs = ex.select("run_id", "granularity", "date_from", "date_to")
     for wave in (F.col("series_key") < "p", F.col("series_key") >= "p"):
         derive.land(derive.landed_lines(ex.filter(wave)), f"{base}/landing")
@@ -621,6 +619,23 @@ def stream_ingest_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select(F.col("run_id").alias("export_id"), "row_ord", "period", "n", "share", "verdict")
 
 
+def stream_ingest_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily exports by type landed as files in two waves, drained by two availableNow
+    runs; the typed series are those of a batch ingest, trusted exports only."""
+    return _streamed_series(spark, fresh_dir(spark, "stream"), _series_landing(spark, sf))
+
+
+def stream_all_exports(spark: SparkSession, sf: str) -> DataFrame:
+    """All exports of events (daily by type and by user, weekly, monthly), a file
+    each, through the same stream, which so grows with the users: the verdict of
+    each, and what is stored of the trusted ones."""
+    base = fresh_dir(spark, "stream-all")
+    ex = derive.all_series_exports(table(spark, sf, "events")).withColumns({"run_id": F.col("export_id"), "view": F.lit("dynamics")})
+    stored = _streamed_series(spark, base, ex).groupBy("export_id").agg(F.count("period").alias("n_stored"), F.sum("n").alias("volume"))
+    log = STREAM.newest(STREAM.export_log(spark, f"{base}/exports")).select(F.col("run_id").alias("export_id"), "granularity", "verdict", "row_count")
+    return log.join(stored, "export_id", "left")
+
+
 def _supplier_stream(spark, sf):
     base = fresh_dir(spark, "stream-runs")
     ex = derive.damaged_exports(table(spark, sf, "supplier"), "s_suppkey")
@@ -709,6 +724,7 @@ QUERIES = {
     "typed_parquet_roundtrip": typed_parquet_roundtrip,
     "manifest_roundtrip": manifest_roundtrip,
     "stream_ingest_equals_batch": stream_ingest_equals_batch,
+    "stream_all_exports": stream_all_exports,
     "stream_manifest": stream_manifest,
     "late_tail": late_tail,
     "phrase_union": phrase_union,

@@ -752,6 +752,13 @@ FROM o JOIN v ON o.export_id = v.export_id
 WHERE o.granularity = 'daily' AND o.export_id NOT LIKE '%/%' AND v.verdict = 'ok'
 """
 
+ORACLE["stream_all_exports"] = _SERIES_ALL + r"""
+SELECT v.export_id, any_value(v.granularity) AS granularity, any_value(v.verdict) AS verdict, any_value(v.n) AS row_count,
+       CASE WHEN any_value(v.verdict) IN ('ok', 'skipped') THEN count(o.label) END AS n_stored,
+       CASE WHEN any_value(v.verdict) IN ('ok', 'skipped') THEN CAST(sum(o.volume) AS BIGINT) END AS volume
+FROM v JOIN o ON o.export_id = v.export_id GROUP BY v.export_id
+"""
+
 _DAMAGED_SUPPLIERS = _DAMAGED.replace("c_custkey", "s_suppkey").replace("FROM customer", "FROM supplier")
 
 ORACLE["stream_manifest"] = _DAMAGED_SUPPLIERS + r"""
