@@ -16,6 +16,7 @@ from demandlake.llm.simhash import simhash_components
 from demandlake.llm.substring_dedup import substring_dedup
 from demandlake.llm.suffix_dedup import suffix_dedup
 from demandlake.llm.token_files import token_files
+from demandlake.llm.whitening import whiten
 from demandlake.llm.words import words_of
 
 SHARDS = 40
@@ -86,6 +87,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_substring_dedup": op2_substring_dedup,
@@ -97,6 +102,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_simhash": op10_simhash,
+    "op13_whitening": op13_whitening,
 }
 
 #: Turns by pair and side with their place; the first differing place ends the common prefix.
