@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake.llm.fingerprints import fingerprint_edits
+from demandlake.llm.hyperminhash import near_duplicates
 from demandlake.llm.mixing import mix
 from demandlake.llm.packing import pack, token_pieces
 from demandlake.llm.preferences import mask_text, preference_pairs
@@ -87,6 +88,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=5, percent=85)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"), components=16)
 
@@ -102,6 +107,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_simhash": op10_simhash,
+    "op11_near_duplicates": op11_near_duplicates,
     "op13_whitening": op13_whitening,
 }
 
@@ -160,4 +166,17 @@ SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0)
 FROM p LEFT JOIN s USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op2_substring_dedup": _OP2_SQL, "op3_suffix_dedup": _OP3_SQL, "op7_preferences": _OP7_SQL}
+#: Pairs that share a shingle, counted; the least id over all paths of links.
+_OP11_SQL = r"""
+WITH RECURSIVE p AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+u AS (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS j FROM p WHERE len(ws) > 0),
+s AS (SELECT DISTINCT rid, md5(array_to_string(ws[j:j + 4], ' ')) AS k FROM u),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+c AS (SELECT a.rid AS r1, b.rid AS r2, count(*) AS both FROM s a JOIN s b ON a.k = b.k AND a.rid <> b.rid GROUP BY 1, 2),
+l AS (SELECT r1, r2 FROM c JOIN n x ON x.rid = r1 JOIN n y ON y.rid = r2 WHERE 100 * both >= 85 * (x.n + y.n - both)),
+w AS (SELECT rid, rid AS reached FROM p UNION SELECT w.rid, l.r2 FROM w JOIN l ON w.reached = l.r1),
+m AS (SELECT w.rid, min(q.doc_id) AS component_id FROM w JOIN p q ON q.rid = w.reached GROUP BY w.rid)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM p JOIN m USING (rid) LEFT JOIN n USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op2_substring_dedup": _OP2_SQL, "op3_suffix_dedup": _OP3_SQL, "op7_preferences": _OP7_SQL, "op11_near_duplicates": _OP11_SQL}
