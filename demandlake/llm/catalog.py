@@ -172,8 +172,8 @@ WITH RECURSIVE p AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_
 u AS (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS j FROM p WHERE len(ws) > 0),
 s AS (SELECT DISTINCT rid, md5(array_to_string(ws[j:j + 4], ' ')) AS k FROM u),
 n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
-c AS (SELECT a.rid AS r1, b.rid AS r2, count(*) AS both FROM s a JOIN s b ON a.k = b.k AND a.rid <> b.rid GROUP BY 1, 2),
-l AS (SELECT r1, r2 FROM c JOIN n x ON x.rid = r1 JOIN n y ON y.rid = r2 WHERE 100 * both >= 85 * (x.n + y.n - both)),
+c AS (SELECT a.rid AS r1, b.rid AS r2, count(*) AS common FROM s a JOIN s b ON a.k = b.k AND a.rid <> b.rid GROUP BY 1, 2),
+l AS (SELECT r1, r2 FROM c JOIN n x ON x.rid = r1 JOIN n y ON y.rid = r2 WHERE 100 * common >= 85 * (x.n + y.n - common)),
 w AS (SELECT rid, rid AS reached FROM p UNION SELECT w.rid, l.r2 FROM w JOIN l ON w.reached = l.r1),
 m AS (SELECT w.rid, min(q.doc_id) AS component_id FROM w JOIN p q ON q.rid = w.reached GROUP BY w.rid)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM p JOIN m USING (rid) LEFT JOIN n USING (rid)
