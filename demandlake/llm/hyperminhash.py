@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandlake.llm.arrow_groups import grouped_tables
 from demandlake.llm.scratch import written
 from demandlake.llm.simhash import components
 
@@ -36,6 +37,8 @@ BANDS = (1 << BUCKET_BITS) // BAND
 #: Members of a band group that one task compares; a larger one is split.
 TILE = 2048
 LEVELS = 3
+#: A pair at 0.85 agrees on none of so many bands once in 10^6 times.
+ENOUGH = 19
 #: Shingles of a cluster that one task holds (some 150 MB with its index), and of one block of queries.
 HELD = 1 << 20
 DEVIATIONS = 6.0
@@ -115,21 +118,6 @@ def linked_groups(n: int, links_of: Callable[[int], np.ndarray]) -> np.ndarray:
         y = int(left[0])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables of one key each, from batches sorted by it."""
-    rest: pa.Table | None = None
-    for b in batches:
-        t = pa.Table.from_batches([b])
-        t = pa.concat_tables([rest, t]) if rest is not None and rest.num_rows else t
-        keys = t[key].to_numpy()
-        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-        for a, z in zip([0, *cuts[:-1]], cuts):
-            yield t.slice(a, z - a)
-        rest = t.slice(cuts[-1] if len(cuts) else 0)
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _edges(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
@@ -170,7 +158,7 @@ def band_keys(sketch_col: Column) -> Column:
 def _tile_links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = []
-        for t in _groups(batches, "key"):
+        for t in grouped_tables(batches, "key"):
             registers = np.frombuffer(b"".join(t["sketch"].to_pylist()), dtype=np.uint16).reshape(t.num_rows, -1)
             sizes, nodes = t["n"].to_numpy(), t["node"].to_numpy()
             pairs.append(_forest(nodes, linked_groups(len(nodes), lambda y: may_link(registers, sizes, registers[y], sizes[y], percent))))
@@ -197,31 +185,56 @@ def _leader_links(percent: int):
     return run
 
 
+def _told_elsewhere(n: Column, small_bands: Column, percent: int) -> Column:
+    """Whether a text's bands in small groups tell all its links.
+
+    A linked set differs in at most n * (100 - percent) / percent shingles, each in one
+    band: with more bands than that one agrees for certain, and with ENOUGH bands, of
+    which each agrees in more than half of all cases, as good as for certain.
+    """
+    return small_bands > F.least(F.floor(n * (100 - percent) / percent), F.lit(ENOUGH))
+
+
+def _size_classes(n: Column, percent: int) -> Column:
+    """Two numbers for each size, so that sizes which differ by less than ``percent`` share one."""
+    at = F.floor(F.log(n.cast("double")) / F.lit(np.log(100 / percent) * 1.0001)).cast("long")
+    return F.array(at, at + 1)
+
+
 def candidate_links(nodes: DataFrame, percent: int) -> DataFrame:
     """(u, v): links that hold together every pair of ``nodes`` (node, n, sketch) which the estimate may link.
 
-    A group's key is the exclusive-or of its bands' keys, ``used`` tells the bands by their bits.
+    A group's key is the exclusive-or of its bands' keys, ``used`` tells the bands by
+    their bits.  A group too large for a tile keeps only the texts that no small
+    group tells of, dealt by size; what is too large still is split by further bands.
     """
-    spark = nodes.sparkSession
-    banded = nodes.select("node", band_keys(F.col("sketch")).alias("bands"))
+    banded = nodes.select("node", "n", band_keys(F.col("sketch")).alias("bands"))
     bit = lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b["band"])
-    own = banded.select("node", F.explode("bands").alias("b")).select("node", F.col("b.key").alias("key"), bit(F.col("b")).alias("used"), F.lit(False).alias("led"))
-    found = spark.createDataFrame([], "u long, v long")
+    own = banded.select("node", "n", F.size("bands").alias("filled"), F.explode("bands").alias("b")).select(
+        "node", "n", "filled", F.col("b.key").alias("key"), bit(F.col("b")).alias("used"))
+    counted = lambda rows, name: written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), name)
+    shared = counted(own, "hmh-groups")
+    found = _tiled(own.join(shared.where(F.col("members") <= TILE).select("key"), "key", "left_semi"), nodes, percent)
+    hot = shared.where(F.col("members") > TILE).select("key")
+    if not hot.limit(1).count():
+        return found
+    hot_bands = own.join(hot, "key", "left_semi")
+    in_hot = hot_bands.groupBy("node", "n", "filled").agg(F.count(F.lit(1)).alias("hot"))
+    untold = in_hot.where(~_told_elsewhere(F.col("n"), F.col("filled") - F.col("hot"), percent)).select("node")
+    sized = hot_bands.join(untold, "node", "left_semi").withColumn("class", F.explode(_size_classes(F.col("n"), percent)))
+    own = written(sized.select("node", F.col("key").bitwiseXOR(F.xxhash64("class")).alias("key"), "used", F.lit(False).alias("led")), "hmh-sized")
     for level in range(LEVELS):
         shared = written(own.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bool_and("led").alias("done")).where("members > 1 AND NOT done").select("key", "members"), f"hmh-groups{level}")
-        tiles = own.join(shared.where(F.col("members") <= TILE).select("key"), "key").select("key", "node").join(nodes, "node")
-        tiles = tiles.repartition("key").sortWithinPartitions("key").select("key", "node", "n", "sketch")
-        found = found.unionAll(written(tiles.mapInArrow(_tile_links(percent), "u long, v long"), f"hmh-links{level}"))
+        found = found.unionAll(_tiled(own.join(shared.where(F.col("members") <= TILE).select("key"), "key", "left_semi"), nodes, percent))
         many = shared.where(F.col("members") > TILE).select("key")
         if not many.limit(1).count():
             break
-        large = own.join(many, "key")
+        large = own.join(many, "key", "left_semi")
+        first = large.where(~F.col("led")).groupBy("key").agg(F.min("node").alias("leader"))
         if level == LEVELS - 1:  # they agree on as many bands as there are levels: one cluster, the sets decide
-            first = large.groupBy("key").agg(F.min("node").alias("v"))
-            found = found.unionAll(written(large.join(first, "key").select(F.col("node").alias("u"), "v"), "hmh-whole"))
+            found = found.unionAll(written(large.join(first, "key").select(F.col("node").alias("u"), F.col("leader").alias("v")), "hmh-whole"))
             break
         sketched = large.join(nodes, "node").select("key", "used", "node", "n", "sketch")
-        first = large.where(~F.col("led")).groupBy("key").agg(F.min("node").alias("leader"))
         leaders = first.join(nodes, F.col("leader") == F.col("node")).select("key", "leader", F.col("n").alias("leader_n"), F.col("sketch").alias("leader_sketch"))
         judged = written(sketched.join(leaders, "key").mapInArrow(_leader_links(percent), "key long, used long, node long, leader long, near boolean"), f"hmh-judged{level}")
         found = found.unionAll(judged.where("near AND node != leader").select(F.col("node").alias("u"), F.col("leader").alias("v")))
@@ -233,6 +246,12 @@ def candidate_links(nodes: DataFrame, percent: int) -> DataFrame:
     return found
 
 
+def _tiled(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links inside each group of ``placed`` (key, node)."""
+    tiles = placed.select("key", "node").join(nodes, "node").repartition("key").sortWithinPartitions("key").select("key", "node", "n", "sketch")
+    return written(tiles.mapInArrow(_tile_links(percent), "u long, v long"), "hmh-links")
+
+
 class Sets:
     """Sorted sets with an index from shingle to holders."""
 
@@ -256,7 +275,7 @@ class Sets:
 
 def _confirm(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, "cluster"):
+        for t in grouped_tables(batches, "cluster"):
             nodes, sets = t["node"].to_numpy(), [shingle_set(x, shingle) for x in t["text"].to_pylist()]
             held = Sets(sets)
             yield _edges([_forest(nodes, linked_groups(len(sets), lambda y: held.linked_to(sets[y], percent)))])
