@@ -14,6 +14,7 @@ from demandlake.llm.quality import quality_rules
 from demandlake.llm.scratch import fresh_path, importable, written
 from demandlake.llm.sharding import shard_by_size
 from demandlake.llm.simhash import simhash_components
+from demandlake.llm.spelling import spelling_variants, word_counts
 from demandlake.llm.substring_dedup import substring_dedup
 from demandlake.llm.suffix_dedup import suffix_dedup
 from demandlake.llm.token_files import token_files
@@ -92,6 +93,11 @@ def op11_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=5, percent=85)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = word_counts(_table(spark, sf_dir, "documents"), min_length=6, drop_every=199)
+    return spelling_variants(counts, min_count=5, dominance=5)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"), components=16)
 
@@ -108,6 +114,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_simhash": op10_simhash,
     "op11_near_duplicates": op11_near_duplicates,
+    "op12_spelling": op12_spelling,
     "op13_whitening": op13_whitening,
 }
 
