@@ -25,9 +25,13 @@ def _pat(*parts) -> Column:
 
 
 def _inner(q: Column, dq: Column) -> Column:
-    """Body of a quoted part: doubled quotes allowed only with doublequote."""
-    return F.when(dq, F.concat(F.lit("(?:[^"), q, F.lit("]|"), q, q, F.lit(")*"))).otherwise(
-        F.concat(F.lit("[^"), q, F.lit("]*")))
+    """Body of a quoted part: doubled quotes allowed only with doublequote.
+
+    Possessive throughout: what follows a body never needs a character back, and a
+    possessive loop runs without recursion and without trying again, so a cell of
+    any length takes linear time and no stack."""
+    plain = F.concat(F.lit("[^"), q, F.lit("]*+"))
+    return F.when(dq, F.concat(plain, F.lit("(?:"), q, q, plain, F.lit(")*+"))).otherwise(plain)
 
 
 def _close(q: Column, dq: Column) -> Column:
@@ -51,26 +55,38 @@ def _is_open(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> C
     return F.regexp(closed, F.concat(d, _sp(sis), q))
 
 
+def line_effect(line: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
+    """What a line does to the state 'inside quotes' (0 or 1): it sets it ('0', '1'),
+    keeps it ('k') or swaps it ('s').  A line that begins inside reads as if it
+    started with the quote.  Effects compose associatively."""
+    ends = F.struct(_is_open(line, d, q, dq, sis).alias("fresh"), _is_open(F.concat(q, line), d, q, dq, sis).alias("inside"))
+    effect = let(ends, lambda e: F.when(e["fresh"] & e["inside"], "1").when(e["fresh"], "s").when(e["inside"], "k").otherwise("0"))
+    return F.when(F.contains(line, q), effect).otherwise("k")
+
+
 def _join_records(lines: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
     """Records of lines that may break inside quotes, in time linear in the lines.
 
-    Whether a line ends inside quotes depends only on the line and on whether it
-    began there (a line that did reads as if it started with the quote).  Both
-    answers are taken for every line, one pass picks the true ones, and each run
-    of lines is joined once.
+    The effects of the lines (see ``line_effect``), one character each, give the
+    states at all ends in one pass, and each run of lines is joined once.
     """
-    ends = F.transform(lines, lambda x: F.struct(_is_open(x, d, q, dq, sis).alias("fresh"), _is_open(F.concat(q, x), d, q, dq, sis).alias("inside")))
-
-    def pick(acc, e):
-        return F.concat(acc, F.when(F.when(F.endswith(acc, F.lit("1")), e["inside"]).otherwise(e["fresh"]), F.lit("1")).otherwise(F.lit("0")))
+    effect = F.transform(lines, lambda x: line_effect(x, d, q, dq, sis))
 
     def runs(after):
         starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (F.get(after, i - 1) == "0"))
         part = lambda ss: F.transform(ss, lambda s, k: F.array_join(F.slice(lines, s + 1, F.coalesce(F.get(ss, k + 1), F.size(lines)) - s), ""))
         return let(starts, part)
 
-    # One character a line: its state at the end.
-    return let(F.split(F.aggregate(ends, F.lit(""), pick), ""), runs)
+    # The lines after a set state keep it up to a swap, then its opposite up to the next: no state is carried line by line.
+    def states(segment):
+        swapped = F.split(F.substring(segment, F.lit(2), F.length(segment)), "s", -1)
+        first = F.substring(segment, 1, 1)
+        return F.array_join(F.transform(swapped, lambda kept, i: F.repeat(F.when((i % 2 == 0) == (first == "0"), "0").otherwise("1"), F.length(kept) + 1)), "")
+
+    segments = F.regexp_extract_all(F.concat(F.lit("0"), F.array_join(effect, "")), F.lit("[01][ks]*+"), F.lit(0))
+    # One character a line: its state at the end (after the one that stands for the start).
+    after = F.array_join(F.transform(segments, states), "")
+    return let(F.split(F.substring(after, F.lit(2), F.length(after)), ""), runs)
 
 
 def _unquote(field: Column, q: Column, dq: Column) -> Column:
@@ -86,7 +102,7 @@ def _split_plain(record: Column, d: Column) -> Column:
             .otherwise(F.split(record, "\t", -1)))
 
 
-def _fields(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
+def record_fields(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
     field = _pat("(?s)", d, _sp(sis), "(", q, _inner(q, dq), "(?:", _close(q, dq), "|\\z)[^", d, "]*|[^", d, "]*)")
     quoted = F.transform(F.regexp_extract_all(F.concat(d, record), field, F.lit(1)), lambda f: _unquote(f, q, dq))
     return (
@@ -105,7 +121,7 @@ def parse_fields(lines: Column, delimiter: Column, quotechar: Column, doublequot
     def body(ls):
         records = F.when(F.exists(ls, lambda l: F.contains(l, quotechar)),
                          _join_records(ls, delimiter, quotechar, dq, sis)).otherwise(ls)
-        return F.transform(records, lambda r: _fields(r, delimiter, quotechar, dq, sis))
+        return F.transform(records, lambda r: record_fields(r, delimiter, quotechar, dq, sis))
 
     return let(lines, body)
 
@@ -121,11 +137,20 @@ def header_error(raw_header: Column, headers: Column) -> Column:
     )
 
 
+def normalise_record(fields: Column, width: Column) -> Column:
+    """S6 + P14: one record's trimmed cells, as many as the header has; short ones are filled with ''."""
+    cols = F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0)))
+    return F.transform(cols, lambda i: F.coalesce(strip(F.get(fields, i)), F.lit("")))
+
+
+def is_filled(cells: Column) -> Column:
+    """some cell isn't blank."""
+    return F.exists(cells, lambda c: c != "")
+
+
 def normalise_rows(records: Column, width: Column) -> Column:
     """S6 + P14 + F1: data records mapped to the header width, trimmed,
     short rows filled with '', surplus fields dropped, blank rows removed."""
     data = F.filter(F.slice(records, 2, F.greatest(F.size(records) - 1, F.lit(1))), lambda f: F.size(f) > 0)
     data = F.when(F.size(records) > 1, data).otherwise(F.array().cast("array<array<string>>"))
-    cols = F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0)))
-    rows = F.transform(data, lambda f: F.transform(cols, lambda i: F.coalesce(strip(F.get(f, i)), F.lit(""))))
-    return F.filter(rows, lambda r: F.exists(r, lambda c: c != ""))
+    return F.filter(F.transform(data, lambda f: normalise_record(f, width)), is_filled)

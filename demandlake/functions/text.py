@@ -11,8 +11,11 @@ from demandlake.functions.hof import let
 # Python's str.isspace() set == Unicode White_Space plus the four ASCII
 # information separators.  Java's \s is ASCII-only, hence the explicit class.
 WS = r"[\p{IsWhite_Space}\x1c-\x1f]"
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # Boundaries of str.splitlines(): CRLF, LF, CR, VT, FF, FS, GS, RS, NEL, LS, PS.
 LINE_BREAK = r"(?:\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}])"
+# Of these, the ones that a reader of plain text lines leaves in a line.
+INNER_BREAK = r"[\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 
 BOM = "\ufeff"
 
@@ -40,8 +43,11 @@ CP1251_SAFE = r"^[\x00-\x7f" + "".join(f"\\x{{{ord(c):x}}}" for c in CP1251_REAL
 
 
 def strip(col: Column) -> Column:
-    """Unicode strip, like ``str.strip()`` (U+FEFF is *not* whitespace)."""
-    return F.regexp_replace(col, rf"^{WS}+|{WS}+\z", "")
+    """Unicode strip, like ``str.strip()`` (U+FEFF is *not* whitespace).
+
+    Two scans inwards from the ends; a regex anchored at the end would try every
+    inner run of blanks, which takes quadratic time on one long run."""
+    return F.btrim(col, F.lit(WS_CHARS))
 
 
 def remove_whitespace(col: Column) -> Column:
@@ -62,6 +68,15 @@ def split_lines(col: Column) -> Column:
     return let(col, split)
 
 
+def has_undefined_cp1251(content: Column) -> Column:
+    """Whether the one byte occurs that cp1251 doesn't define."""
+    return F.instr(F.decode(content, "ISO-8859-1"), CP1251_UNDEFINED) > 0
+
+
+def from_cp1251(content: Column) -> Column:
+    return F.translate(F.decode(content, "ISO-8859-1"), CP1251_LATIN, CP1251_REAL)
+
+
 def decode_bytes(content: Column) -> tuple[Column, Column]:
     """Decode export bytes: UTF-8 (BOM dropped), else cp1251, else null.
 
@@ -72,11 +87,8 @@ def decode_bytes(content: Column) -> tuple[Column, Column]:
     """
     raw = content.cast("string")
     valid_utf8 = F.is_valid_utf8(raw)
-    latin = F.decode(content, "ISO-8859-1")
-    cp1251_ok = F.instr(latin, CP1251_UNDEFINED) == 0
-    text = F.when(valid_utf8, F.regexp_replace(raw, "^" + BOM, "")).when(
-        cp1251_ok, F.translate(latin, CP1251_LATIN, CP1251_REAL)
-    )
+    cp1251_ok = ~has_undefined_cp1251(content)
+    text = F.when(valid_utf8, F.regexp_replace(raw, "^" + BOM, "")).when(cp1251_ok, from_cp1251(content))
     encoding = F.when(valid_utf8, F.when(F.startswith(raw, F.lit(BOM)), "utf-8-sig").otherwise("utf-8")).when(
         cp1251_ok, "cp1251"
     )
@@ -100,7 +112,7 @@ def encode_text(text: Column, encoding: Column | str) -> Column:
 def slugify(col: Column) -> Column:
     """Runs outside [0-9A-Za-zА-Яа-я] -> '-', trim '-', lower, 64 chars, else 'query'."""
     compact = F.regexp_replace(strip(col), r"[^0-9A-Za-z\x{0410}-\x{044f}]+", "-")
-    compact = F.lower(F.regexp_replace(compact, r"^-+|-+\z", ""))
+    compact = F.lower(F.btrim(compact, F.lit("-")))
     short = F.substring(compact, 1, SLUG_MAX_CHARS)
     return F.coalesce(F.nullif(short, F.lit("")), F.lit(DEFAULT_SLUG))
 

@@ -142,3 +142,29 @@ def test_full_parse_matches_stdlib_on_quoted_texts(spark):
         mine = (r["delimiter"], r["error_reason"],
                 (list(r["headers"]), [list(x) for x in r["rows"]]) if r["error_reason"] is None else None)
         assert mine == want, repr(text)
+
+
+def test_cells_of_any_length(spark):
+    """Cells of 10 million characters, quoted, open, full of doubled quotes or of blanks."""
+    n = 10_000_000
+    cases = {
+        "quoted": b'a;b\n"' + b"x" * n + b'";2\n3;4\n', "doubled": b'a;b\n"' + b'""' * (n // 2) + b'";2\n3;4\n', "open": b'a;b\n1;2\n"' + b'x""' * (n // 3),
+        "blanks": b"a;b\n" + b" " * n + b"x" + b" " * n + b";2\n3;4\n", "lines": b'a;b\n"' + b"x\n" * 300_000 + b'";2\n3;4\n',
+    }
+    got = {r["export_id"]: r["rows"] for r in parse_exports(exports_df(spark, list(cases.items()))).select("export_id", "rows").collect()}
+    assert got["quoted"] == [["x" * n, "2"], ["3", "4"]]
+    assert got["doubled"] == [['"' * (n // 2), "2"], ["3", "4"]]
+    assert got["open"][1][0][:3] == 'x"x' and len(got["open"]) == 2
+    assert got["blanks"] == [["x", "2"], ["3", "4"]]
+    assert got["lines"] == [["x" * 300_000, "2"], ["3", "4"]]
+
+
+def test_strip_is_linear_and_equals_str_strip(spark):
+    cases = ["  a b\x1c\n", "", " \t ", "x" + " " * 2_000_000 + "y", " " * 2_000_000, "﻿a﻿", "\x85a\x0b", None]
+    from pyspark.sql import functions as F
+
+    from demandlake.functions.text import strip
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    got = {r["i"]: r["s"] for r in df.select("i", strip(F.col("t")).alias("s")).collect()}
+    assert got == {i: t if t is None else t.strip() for i, t in enumerate(cases)}
