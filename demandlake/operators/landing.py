@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.functions.hof import let
@@ -41,6 +41,67 @@ def new_files(before: DataFrame, after: DataFrame, key: str = "norm_path") -> Da
     return after.join(before.select(key), key, "left_anti")
 
 
+def write_snapshot(files: DataFrame, path: str, snapshot: int) -> None:
+    """U4: the listing ``files(path, length, modificationTime)`` kept as snapshot number
+    ``snapshot`` under ``path``.  Writing a number again replaces that snapshot only.
+    One row of nulls stands for the snapshot itself, which may hold no file."""
+    kept = files.select(normalise_path(F.regexp_replace("path", "^[a-z]+:/*", "/")).alias("norm_path"), "length", "modificationTime")
+    marker = files.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema.fields])
+    kept.unionByName(marker).write.mode("overwrite").parquet(f"{path}/snapshot={snapshot}")
+
+
+def snapshot_changes(snapshots: DataFrame) -> DataFrame:
+    """J5 + U4: what each snapshot changed against the one before, one row for each file
+    that isn't the same: ``added``, ``changed`` (another size or time) or ``gone``.
+
+    ``snapshots(snapshot, norm_path, length, modificationTime)``, numbered without
+    gaps or not; the first counts as following an empty one.  Every file meets its
+    own entry of the next snapshot by an equi-join, so neither a folder nor a
+    history is gathered anywhere.
+    """
+    # One row a snapshot, however many files they hold.
+    steps = snapshots.select("snapshot").distinct().select(F.col("snapshot").alias("after"), F.lead("snapshot").over(Window.orderBy("snapshot")).alias("next"))
+    files = snapshots.filter(F.col("norm_path").isNotNull())
+    old = files.join(steps.filter(F.col("next").isNotNull()), F.col("snapshot") == F.col("after")).select(F.col("next").alias("snapshot"), "norm_path", F.struct("length", "modificationTime").alias("was"))
+    new = files.select("snapshot", "norm_path", F.struct("length", "modificationTime").alias("now"))
+    both = new.join(old, ["snapshot", "norm_path"], "full")
+    change = (
+        F.when(F.col("was").isNull(), F.lit("added")).when(F.col("now").isNull(), F.lit("gone"))
+        .when(~F.col("was").eqNullSafe(F.col("now")), F.lit("changed"))
+    )
+    return both.select("snapshot", "norm_path", change.alias("change"), F.col("was.length").alias("length_before"), F.col("now.length").alias("length")).filter(F.col("change").isNotNull())
+
+
+def attempt_outcomes(attempts: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
+    """what the fetches of an export come to, for each of ``keys`` (a run, its session and a view).
+
+    ``attempts(*keys, seq, view, row_count, error_code)`` in the order of ``seq``
+    (unique inside a key).  An empty dynamics export isn't trusted at once: the
+    first one is fetched again, a second one is a failure; rows, or an empty
+    export of another view, are stored; any other error fails at once.  The first
+    decision stands, later attempts change nothing.
+
+    outcome: ``stored``, ``failed``, or ``pending`` (one empty export, not fetched
+    again yet); ``decided_at`` is the attempt that decided, ``n_empty`` the
+    untrusted exports up to there.  The order is folded by minima of ``seq``: two
+    partial aggregations, however many attempts a key has.
+    """
+    empty = (F.col("view") == "dynamics") & (F.col("row_count") == 0) & F.col("error_code").isNull()
+    kind = F.when(F.col("error_code").isNotNull(), "error").when(empty, "empty").otherwise("rows")
+    told = attempts.select(*keys, F.col(seq).alias("_seq"), kind.alias("_kind"), "error_code")
+    at = lambda k: F.min(F.when(F.col("_kind") == k, F.col("_seq")))
+    first = told.groupBy(*keys).agg(
+        at("rows").alias("_rows"), at("empty").alias("_empty"), at("error").alias("_error"),
+        F.min_by("error_code", F.when(F.col("_kind") == "error", F.col("_seq"))).alias("_code"))
+    again = told.filter("_kind = 'empty'").join(first.select(*keys, "_empty"), keys).filter(F.col("_seq") > F.col("_empty")).groupBy(*keys).agg(F.min("_seq").alias("_again"))
+    folded = first.join(again, keys, "left")
+    decided = F.least("_rows", "_again", "_error")
+    outcome = F.when(decided.isNull(), "pending").when(decided == F.col("_rows"), "stored").otherwise("failed")
+    code = F.when(decided == F.col("_again"), F.lit(INTERFACE_CHANGED)).when(decided == F.col("_error"), F.col("_code"))
+    n_empty = F.when(F.col("_empty") <= F.coalesce(decided, F.col("_empty")), 1).otherwise(0) + F.when(F.col("_again") <= decided, 1).otherwise(0)
+    return folded.select(*keys, outcome.alias("outcome"), decided.alias("decided_at"), n_empty.alias("n_empty"), code.alias("error_code"))
+
+
 def download_verdict(ticks: DataFrame) -> DataFrame:
     """F6 + A9 per (run, view, tick) over the new files seen in that tick.
 

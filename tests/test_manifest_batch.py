@@ -177,3 +177,67 @@ def test_run_keys_never_meet(spark):
     assert keys(["base"] * 5, ["base-3"]) == ["base", "base-2", "base-4", "base-5", "base-6"]
     many = keys(["a", "a 2", "a", "a 3", "a", "a 2", "a 2 2"] * 3, ["a-4", "a-2-3"])
     assert len(set(many)) == len(many) and not {"a-4", "a-2-3"} & set(many)
+
+
+def _brute_keys(phrases, existing):
+    """k-th request of a base gets the k-th number whose key is neither held nor another request's base."""
+    taken, counts, out = set(existing) | {p.replace(" ", "-") for p in phrases}, {}, []
+    for p in phrases:
+        base = p.replace(" ", "-")
+        n, free = counts.get(base, (0, None))
+        k = n + 1
+        while (base if k == 1 else f"{base}-{k}") in (set(existing) if k == 1 else taken):
+            k += 1
+        counts[base] = (k, None)
+        out.append(base if k == 1 else f"{base}-{k}")
+    return out
+
+
+def test_run_keys_equal_brute_force(spark):
+    import random
+
+    from demandlake.operators.requests import run_keys
+
+    rng = random.Random(4)
+    for size in (2, 5):
+        phrases = [rng.choice(["a", "a 2", "a 7", "b", "b 3", "b 3 2"]) for _ in range(120)]
+        existing = sorted({f"{rng.choice(['a', 'b', 'a-2', 'b-3'])}-{rng.randint(2, 90)}" for _ in range(60)} | {"b"})
+        df = spark.createDataFrame(list(enumerate(phrases)), "ord long, phrase string").withColumn("now", F.lit("2026-08-21 10:00:00").cast("timestamp"))
+        held = spark.createDataFrame([(f"20260821T100000Z-{k}",) for k in existing], "run_key string")
+        got = [r["run_key"][17:] for r in run_keys(df, order="ord", existing=held, bucket_size=size).orderBy("ord").collect()]
+        assert got == _brute_keys(phrases, existing)
+
+
+def test_run_keys_of_a_base_with_many_taken_numbers(spark):
+    """Every second number to 200,000 is taken; 50,000 requests get the odd ones, and no row holds the numbers."""
+    from demandlake.operators.requests import run_keys
+
+    df = spark.range(50_000).select(F.col("id").alias("ord"), F.lit("a").alias("phrase"), F.lit("2026-08-21 10:00:00").cast("timestamp").alias("now"))
+    held = spark.range(1, 100_001).select(F.concat(F.lit("20260821T100000Z-a-"), (F.col("id") * 2).cast("string")).alias("run_key"))
+    keys = run_keys(df, order="ord", existing=held)
+    assert not [f for f in keys.schema.fields if f.dataType.typeName() == "array"]
+    assert keys.filter(F.col("collision_n") != F.col("ord") * 2 + 1).count() == 0 and keys.count() == 50_000
+
+
+def test_attempts_fold_in_their_order(spark):
+    from itertools import product
+
+    from demandlake.operators.landing import attempt_outcomes
+
+    def brute(steps, view):
+        empties = 0
+        for i, s in enumerate(steps):
+            if s == "error":
+                return "failed", i, empties, "DOWNLOAD_TIMEOUT"
+            if s == "rows" or view != "dynamics":
+                return "stored", i, empties, None
+            empties += 1
+            if empties == 2:
+                return "failed", i, 2, "INTERFACE_CHANGED"
+        return "pending", None, empties, None
+
+    cases = [(f"{v}-{'-'.join(s)}", v, s) for v in ("dynamics", "regions") for n in (1, 2, 3, 4) for s in product(("empty", "rows", "error"), repeat=n)]
+    rows = [(k, v, i, 0 if s == "empty" else 5 if s == "rows" else None, "DOWNLOAD_TIMEOUT" if s == "error" else None) for k, v, steps in cases for i, s in enumerate(steps)]
+    df = spark.createDataFrame(rows, "run_id string, view string, seq int, row_count long, error_code string").orderBy("row_count")
+    got = {r["run_id"]: (r["outcome"], r["decided_at"], r["n_empty"], r["error_code"]) for r in attempt_outcomes(df, ["run_id", "view"]).collect()}
+    assert got == {k: brute(steps, v) for k, v, steps in cases}
