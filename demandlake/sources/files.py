@@ -26,7 +26,12 @@ CSV_GLOB = "*.[cC][sS][vV]"
 def path_part(path: Column, key: str) -> Column:
     """The value of a ``key=value`` folder in a path (null if there is none)."""
     found = F.regexp_extract(path, rf"/{key}=([^/]*)/", 1)
-    return F.when(found != "", F.call_function("url_decode", found))
+    return F.when(found != "", unescaped(found))
+
+
+def unescaped(text: Column) -> Column:
+    """%XX escapes resolved, once; a plus sign is itself."""
+    return F.call_function("url_decode", F.replace(text, F.lit("+"), F.lit("%2B")))
 
 
 def landing_scan(spark: SparkSession, root: str, limit: int = BINARY_FILE_LIMIT) -> DataFrame:
@@ -143,11 +148,11 @@ def parse_manifests(documents: DataFrame, document: str = "document") -> DataFra
                          F.when(F.col("_c.bad"), F.lit(RESUME_MISMATCH)).alias("error_code"))
 
 
-def load_manifests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Every file below ``path`` whose name fits ``glob`` is one manifest: path, run_id
+def load_manifests(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
+    """Every file below ``path`` (or several paths) whose name fits ``glob`` is one manifest: path, run_id
     (of a run_id= folder) and the fields of ``parse_manifests``."""
     files = (
         spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
+        .select(unescaped(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("document"))
     )
     return parse_manifests(files.withColumn("run_id", path_part(F.col("path"), "run_id")))
