@@ -92,6 +92,37 @@ def pruned_runs(runs: DataFrame, marked: DataFrame, now: Column) -> DataFrame:
     return out.withColumn("updated_at", F.when(F.col("n_after") < F.col("n_before"), now).otherwise(F.col("updated_at")))
 
 
+def reconcile(runs: DataFrame, entries: DataFrame, files: DataFrame, log: DataFrame) -> DataFrame:
+    """One row for each run and view from what three places say of it.
+
+    ``entries(run_id, view, file)`` are those of the stored manifests, ``files(run_id,
+    file)`` what lies on disk, ``log(run_id, view, file)`` the trusted exports that
+    the stream has processed.  The disk decides over the manifest, the manifest over
+    the stream's log:
+
+    * ``done``: an entry whose file is there;
+    * ``stale``: an entry whose file is gone (it is to be dropped, J2);
+    * ``unrecorded``: no entry, but a file that the log knows (a crash between the two writes);
+    * ``lost``: in the log only;
+    * ``missing``: nowhere.
+
+    ``pending`` (J1) is all but ``done``.  A file that belongs to no view's entry and
+    to no log row changes nothing.
+    """
+    stored = entries.select("run_id", "view", F.col("file").alias("entry_file")).dropDuplicates(["run_id", "view"])
+    seen = log.select("run_id", "view", F.col("file").alias("log_file")).dropDuplicates(["run_id", "view"])
+    expanded = runs.select("run_id", F.posexplode(all_views()).alias("view_ord", "view"))
+    told = expanded.join(stored.join(seen, ["run_id", "view"], "full"), ["run_id", "view"], "left").withColumn("file", F.coalesce("entry_file", "log_file"))
+    there = files.select("run_id", "file", F.lit(True).alias("on_disk")).distinct()
+    both = told.join(there, ["run_id", "file"], "left")
+    disk = F.coalesce("on_disk", F.lit(False))
+    state = (
+        F.when(F.col("entry_file").isNotNull(), F.when(disk, "done").otherwise("stale"))
+        .when(F.col("log_file").isNotNull(), F.when(disk, "unrecorded").otherwise("lost")).otherwise("missing")
+    )
+    return both.select("run_id", "view_ord", "view", "file", state.alias("state"), (state != "done").alias("pending"))
+
+
 def duplicate_views(raw_entries: DataFrame) -> DataFrame:
     """Runs whose stored entry list names a view more than once (invalid manifest)."""
     return (

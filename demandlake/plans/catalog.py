@@ -500,13 +500,13 @@ from demandlake.sources import sinks as SINK  # noqa: E402
 
 
 def typed_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily series by type and by user, written wide (zstd) and read back: the trusted ones, whatever their types."""
+    """All series (daily, weekly, monthly; by type and by user) written (zstd) and read back: the trusted ones, whatever their types."""
     base = fresh_dir(spark, "typed")
-    events = table(spark, sf, "events")
-    exports = derive.all_series_exports(events).filter("granularity = 'daily'")
+    exports = derive.all_series_exports(table(spark, sf, "events"))
     SINK.store_exports(ingest_exports(exports, keep_content=True), base, ["export_id"])
-    wide = spark.read.parquet(f"{base}/typed/rows")
-    return wide.select("export_id", "row_ord", F.col("c0_string").alias("period"), F.col("c1_int64").alias("n"), F.col("c2_float64").alias("share"))
+    cells = F.col("cells")  # weekly and daily exports have a fourth, empty column
+    return spark.read.parquet(f"{base}/typed/rows").select(
+        "export_id", "row_ord", F.get(cells["text"], F.lit(0)).alias("period"), F.get(cells["as_long"], F.lit(1)).alias("n"), F.get(cells["as_double"], F.lit(2)).alias("share"))
 
 
 def _stored_customers(spark, sf):
@@ -517,8 +517,8 @@ def _stored_customers(spark, sf):
 
 def stored_exports(spark: SparkSession, sf: str) -> DataFrame:
     """The gate: of exports damaged in eleven ways, only the sound ones are in the typed table."""
-    wide = spark.read.parquet(f"{_stored_customers(spark, sf)}/typed/rows")
-    return wide.select("run_id", "row_ord", F.col("c0_string").alias("period"), F.col("c1_int64").alias("n"), F.col("c2_float64").alias("share"))
+    wide = SINK.read_shape(spark, f"{_stored_customers(spark, sf)}/typed", ["string", "int64", "float64"], ["run_id"])
+    return wide.select("run_id", "row_ord", F.col("c0").alias("period"), F.col("c1").alias("n"), F.col("c2").alias("share"))
 
 
 def quarantine_store(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,9 @@ every writer takes a target path and never reads a clock.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake import messages
@@ -23,32 +25,43 @@ def signature(columns_col: str = "columns") -> Column:
     return F.concat_ws("_", F.transform(F.col(columns_col), lambda c: c["dtype"]))
 
 
-def write_wide(typed: DataFrame, path: str, keys: list[str]) -> int:
+def write_wide(typed: DataFrame, path: str, keys: list[str]) -> None:
     """All trusted exports as one Parquet table, in one job, partitioned by ``shape``.
 
-    Position i of an export has a column for each type (``c<i>_int64``,
-    ``c<i>_float64``, ``c<i>_string``), of which its own type's is filled, so any
-    mix of export shapes fits one table; ``shape`` is the signature of the types
-    (its hash where it is long).  ``<path>/schemas`` keeps headers and types of
-    every export, also of one without rows.  ``typed`` is read twice: pass a
-    written table.  Returns the number of positions.
+    ``<path>/rows`` has one row for each data row, its values as a list of typed cells
+    (``as_long``, ``as_double``, ``text``: the one of its column's type is filled), so
+    neither the schema nor the plan grows with the columns of the widest export.
+    ``shape`` is the signature of the types (its hash where it is long); ``read_shape``
+    turns the rows of one shape back into columns.  ``<path>/schemas`` keeps headers
+    and types of every export, also of one without rows.
     """
     sound = typed.filter(F.col("trusted"))
-    width = sound.agg(F.max(F.size("columns"))).first()[0] or 0
     sig = signature()
     shape = F.when(sig == "", F.lit("none")).when(F.length(sig) <= SHAPE_CHARS, sig).otherwise(F.md5(sig))
     sound.select(*keys, shape.alias("shape"), "headers", "columns").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/schemas")
     rows = sound.select(*keys, shape.alias("shape"), F.transform("columns", lambda c: c["dtype"]).alias("types"),
                         F.posexplode_outer(F.arrays_zip("rows", "parsed_rows")).alias("row_ord", "r")).filter(F.col("row_ord").isNotNull())
-    cols = []
-    for i in range(width):
-        of = F.get("types", F.lit(i))
-        p, text = F.get(F.col("r.parsed_rows"), i), F.get(F.col("r.rows"), i)
-        cols.append(F.when(of == "int64", p["as_long"]).alias(f"c{i}_int64"))
-        cols.append(F.when(of == "float64", F.coalesce(p["as_double"], p["as_long"].cast("double"))).alias(f"c{i}_float64"))
-        cols.append(F.when(of == "string", F.coalesce(text, F.lit(""))).alias(f"c{i}_string"))
-    rows.select(*keys, "shape", "row_ord", *cols).write.mode("overwrite").option("compression", "zstd").partitionBy("shape").parquet(f"{path}/rows")
-    return width
+
+    def cell(z):
+        of, p = z["types"], z["parsed_rows"]
+        return F.struct(
+            F.when(of == "int64", p["as_long"]).alias("as_long"),
+            F.when(of == "float64", F.coalesce(p["as_double"], p["as_long"].cast("double"))).alias("as_double"),
+            F.when(of == "string", F.coalesce(z["rows"], F.lit(""))).alias("text"))
+
+    cells = F.transform(F.arrays_zip("types", F.col("r.rows"), F.col("r.parsed_rows")), cell)
+    rows.select(*keys, "shape", "row_ord", cells.alias("cells")).write.mode("overwrite").option("compression", "zstd").partitionBy("shape").parquet(f"{path}/rows")
+
+
+def read_shape(spark: SparkSession, path: str, types: list[str], keys: list[str], positions: list[int] | None = None) -> DataFrame:
+    """The rows of all exports in ``<path>/rows`` whose columns have these types, as
+    columns ``c0``, ``c1``, ... of these types (``positions``: only these).  Only this
+    shape's files are read, and of the cells only the field that its type fills."""
+    sig = "_".join(types) or "none"
+    shape = sig if len(sig) <= SHAPE_CHARS else hashlib.md5(sig.encode()).hexdigest()
+    of = {"int64": "as_long", "float64": "as_double", "string": "text"}
+    cells = [F.get(F.col("cells")[of[types[i]]], F.lit(i)).alias(f"c{i}") for i in (range(len(types)) if positions is None else positions)]
+    return spark.read.parquet(f"{path}/rows").filter(F.col("shape") == shape).select(*keys, "row_ord", *cells)
 
 
 def write_quarantine(ingested: DataFrame, path: str, keys: list[str]) -> None:
@@ -67,12 +80,12 @@ def write_quarantine(ingested: DataFrame, path: str, keys: list[str]) -> None:
     ).write.mode("append").option("compression", "zstd").parquet(path)
 
 
-def store_exports(ingested: DataFrame, path: str, keys: list[str]) -> int:
+def store_exports(ingested: DataFrame, path: str, keys: list[str]) -> None:
     """Ingested exports (with content) written once, then dealt out: ``<path>/typed``, ``<path>/quarantine``."""
     ingested.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/ingested")
     stored = ingested.sparkSession.read.schema(ingested.schema).parquet(f"{path}/ingested")
     write_quarantine(stored, f"{path}/quarantine", keys)
-    return write_wide(stored, f"{path}/typed", keys)
+    write_wide(stored, f"{path}/typed", keys)
 
 
 def manifest_documents(manifests: DataFrame) -> DataFrame:

@@ -14,44 +14,94 @@ late files, and a short tail is never padded (T4).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandlake import messages
+from demandlake.constants import CSV_FORMAT
 from demandlake.functions.text import file_name
 from demandlake.operators.manifest import all_views, view_ord
 from demandlake.operators.typing import typed_cells
 from demandlake.plans.ingest import ingest_exports
-from demandlake.sources.files import CSV_GLOB, LANDING_SCHEMA, path_part
+from demandlake.sources.files import BINARY_FILE_LIMIT, CSV_GLOB, LANDING_SCHEMA, path_part
+from demandlake.streaming.manifests import upsert_manifests, write_datasets, write_first_manifests
 
 KEYS = ["run_id", "view"]
 LOG = [*KEYS, "granularity", "file_name", "path", "modificationTime", "batch_id", "verdict", "row_count", "error_code", "check_code", "trusted", "dtypes", "actual_period"]
 
 
-def _batch_writer(runs: DataFrame, out_dir: str):
+def admitted_files(spark: SparkSession, landing_dir: str, limit: int, max_files: int | None = None) -> DataFrame:
+    """The stream of landed files: those of at most ``limit`` bytes with their content, larger
+    ones without it (null).
+
+    Two branches over the same folder, each with its own filter on the length; the
+    reader applies it before it opens a file, so no content above the limit is ever
+    loaded, and a file that can't be held in a row doesn't stop the stream.  A file
+    that vanishes between listing and reading is passed over.
+    """
+    stream = (
+        spark.readStream.format("binaryFile").schema(LANDING_SCHEMA).option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", CSV_GLOB).option("ignoreMissingFiles", "true")
+    )
+    if max_files:
+        stream = stream.option("maxFilesPerTrigger", max_files)
+    held = stream.load(landing_dir).filter(F.col("length") <= limit)
+    large = stream.load(landing_dir).filter(F.col("length") > limit)
+    listed = [f.name for f in LANDING_SCHEMA.fields if f.name != "content"]
+    return held.select(*listed, "content").unionByName(large.select(*listed, F.lit(None).cast("binary").alias("content")))
+
+
+def _as_too_large(ingested: DataFrame) -> DataFrame:
+    """Files without content get the reason they weren't read."""
+    unread = F.col("unread")
+    message = F.concat_ws(" ", "file_name", F.lit(messages.EXPORT["too_large"]))
+    return ingested.withColumns({
+        "error_code": F.when(unread, F.lit(CSV_FORMAT)).otherwise(F.col("error_code")),
+        "error_reason": F.when(unread, F.lit("too_large")).otherwise(F.col("error_reason")),
+        "error_message": F.when(unread, message).otherwise(F.col("error_message")),
+    }).drop("unread")
+
+
+def _batch_writer(runs: DataFrame, out_dir: str, manifests: str | None, datasets: str | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         keyed = batch.withColumns({k: path_part(F.col("path"), k) for k in KEYS}).withColumn("file_name", file_name(F.col("path")))
+        keyed = keyed.withColumn("unread", F.col("content").isNull())
         # Requests are small beside the files' bytes; a file of no known run has no window and no granularity.
         landed = keyed.join(runs.select("run_id", "granularity", "date_from", "date_to"), "run_id", "left")
-        ingested = ingest_exports(landed, keep_content=True)
+        ingested = _as_too_large(ingest_exports(landed, keep_content=True))
         kept = ingested.withColumn("content", F.when(~F.col("trusted"), F.col("content")))
-        (kept.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("compression", "zstd")
-         .parquet(f"{out_dir}/batch_id={batch_id}"))
+        target = f"{out_dir}/batch_id={batch_id}"
+        kept.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("compression", "zstd").parquet(target)
+        if manifests or datasets:
+            stored = batch.sparkSession.read.schema(kept.withColumn("batch_id", F.lit(0).cast("long")).schema).parquet(target)
+            if datasets:
+                write_datasets(stored, datasets)
+            if manifests:
+                upsert_manifests(runs, stored, manifests)
 
     return write
 
 
-def run_ingest(spark: SparkSession, landing_dir: str, runs: DataFrame, out_dir: str, checkpoint_dir: str, max_files: int | None = None) -> None:
+def run_ingest(spark: SparkSession, landing_dir: str, runs: DataFrame, out_dir: str, checkpoint_dir: str, max_files: int | None = None,
+               limit: int = BINARY_FILE_LIMIT, manifests: str | None = None, datasets: str | None = None) -> None:
     """Drain everything landed so far (trigger availableNow) and stop.
 
     ``runs`` (run_id, granularity, date_from, date_to) are the requests.
     ``max_files`` caps the files of one micro-batch; unset, one micro-batch takes
-    all that has landed, and its size is set by Spark's partitions alone.
+    all that has landed, and its size is set by Spark's partitions alone.  A file
+    above ``limit`` bytes is logged with the reason too_large and never read.
+
+    ``manifests``: a folder that holds one manifest document for each run (S9), first
+    written before any file is read and rewritten, for the runs it touches, with
+    every micro-batch (T2; ``runs`` then also has phrase, region, created_at,
+    source_url and requested_period).  ``datasets``: a folder for the typed rows of
+    each run and view, replaced by every trusted export of it.
     """
-    stream = spark.readStream.format("binaryFile").schema(LANDING_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB)
-    if max_files:
-        stream = stream.option("maxFilesPerTrigger", max_files)
+    if manifests:
+        write_first_manifests(runs, manifests)
     q = (
-        stream.load(landing_dir).writeStream.foreachBatch(_batch_writer(runs, out_dir))
+        admitted_files(spark, landing_dir, limit, max_files).writeStream.foreachBatch(_batch_writer(runs, out_dir, manifests, datasets))
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
@@ -60,7 +110,21 @@ def run_ingest(spark: SparkSession, landing_dir: str, runs: DataFrame, out_dir:
 
 
 def stored_exports(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", "true").parquet(out_dir)
+    """The exports of all micro-batches; none before the first, with the same columns."""
+    found = spark.read.option("recursiveFileLookup", "true")
+    try:
+        return found.parquet(out_dir)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    return spark.createDataFrame([], _export_schema(spark))
+
+
+def _export_schema(spark: SparkSession):
+    """Columns of a table of exports, from the plan that makes them."""
+    none = spark.createDataFrame([], LANDING_SCHEMA).withColumns({**{k: F.lit("") for k in KEYS}, "file_name": F.lit(""), "unread": F.lit(False), "granularity": F.lit(""),
+                                                                 "date_from": F.lit(None).cast("date"), "date_to": F.lit(None).cast("date")})
+    return _as_too_large(ingest_exports(none, keep_content=True)).withColumn("batch_id", F.lit(0).cast("long")).schema
 
 
 def export_log(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -116,12 +116,111 @@ def test_stream_of_landed_files(spark, tmp_path):
     assert manifests == {"a": (1, True), "b": (0, False), "c": (0, False), "d": (0, False)}
 
 
+def test_a_file_too_large_for_a_row_does_not_stop_the_stream(spark, tmp_path):
+    """The reader's own limit is as low as the stream's: to load the file would fail the batch."""
+    base, root = str(tmp_path), tmp_path / "landing"
+    runs = spark.createDataFrame([(r, "daily", None, None) for r in "ab"], "run_id string, granularity string, date_from date, date_to date")
+    _file(root, "a", "1[x] {y}", range(1, 4))
+    _file(root, "b", "1", range(1, 30))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 300)
+    try:
+        for _ in range(2):
+            STREAM.run_ingest(spark, str(root), runs, f"{base}/exports", f"{base}/ckpt", limit=300)
+            _file(root, "a", "2", range(1, 6))
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    log = {(r["run_id"], r["row_count"], r["error_code"], r["trusted"]) for r in STREAM.export_log(spark, f"{base}/exports").collect()}
+    assert log == {("a", 3, None, True), ("a", 5, None, True), ("b", None, "CSV_FORMAT", False)}
+    assert [(r["run_id"], r["content"], r["reason"]) for r in STREAM.quarantined(spark, f"{base}/exports").collect()] == [("b", None, "too_large")]
+
+
+def test_stored_manifests_follow_the_stream(spark, tmp_path):
+    """Documents from the first moment on, rewritten for touched runs only; stored state decides what is pending."""
+    import os
+    import shutil
+
+    from demandlake.streaming import manifests as MAN
+
+    base, root = str(tmp_path), tmp_path / "landing"
+    odd = "d=x [1]"
+    runs = spark.createDataFrame([(r, "daily", None, None, "чай", "Москва", 0, "https://reports.example/") for r in ("a", "b", "c", odd)],
+                                 "run_id string, granularity string, date_from date, date_to date, phrase string, region string, created_at long, source_url string")
+    runs = runs.withColumns({"created_at": F.timestamp_seconds("created_at"), "requested_period": F.lit(None).cast("struct<from:string,to:string>")})
+
+    def drain(**k):
+        STREAM.run_ingest(spark, str(root), runs, f"{base}/exports", f"{base}/ckpt", manifests=f"{base}/manifests", datasets=f"{base}/datasets", **k)
+
+    def documents():
+        found = SRC.load_manifests(spark, f"{base}/manifests", "*.txt").collect()
+        return {r["run_id"]: (sorted((e["view"], e["file"], e["row_count"]) for e in r["exports"]), r["updated_at"], (r["actual_period"] or {}).get("to")) for r in found}
+
+    root.mkdir()
+    drain()
+    first = documents()
+    assert {k: v[0] for k, v in first.items()} == {"a": [], "b": [], "c": [], odd: []}
+    assert STREAM.export_log(spark, f"{base}/exports").count() == 0
+    assert STREAM.next_wave(runs, STREAM.export_log(spark, f"{base}/exports")).count() == 16
+    for run in ("a", "b", "d%3Dx %5B1%5D"):
+        _file(root, run, "1", range(1, 4))
+    untouched = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "manifests").rglob("*.txt") if "run_id=c" in str(p)}
+    before = untouched()
+    drain(max_files=2)
+    daily = lambda n: [("dynamics", "dynamics_daily.parquet", n)]
+    second = documents()
+    assert {k: v[0] for k, v in second.items()} == {"a": daily(3), "b": daily(3), "c": [], odd: daily(3)}
+    assert second["a"][2] == "03.06.2026" and second["a"][1] > first["a"][1] and untouched() == before
+    _file(root, "a", "2", range(1, 6))
+    _file(root, "b", "2", [1, 3])  # a gap: what is stored stays
+    drain()
+    third = documents()
+    assert third["a"][0] == daily(5) and third["a"][2] == "05.06.2026" and third["b"] == second["b"]
+    # A batch that runs again changes nothing.
+    again = spark.read.parquet(f"{base}/exports/batch_id=2")
+    MAN.write_datasets(again, f"{base}/datasets")
+    MAN.upsert_manifests(runs, again, f"{base}/manifests")
+    assert documents() == third
+    # A dataset that was deleted, a document that was lost, a dataset of unknown origin.
+    shutil.rmtree(tmp_path / "datasets/run_id=a")
+    shutil.rmtree(tmp_path / "manifests/run_id=b")
+    os.rename(tmp_path / "datasets/run_id=d%3Dx %5B1%5D", tmp_path / "datasets/run_id=c")
+    drain()  # writes b's first document again
+    states = MAN.resume_state(runs, f"{base}/manifests", f"{base}/datasets", STREAM.export_log(spark, f"{base}/exports"))
+    found = {(r["run_id"], r["state"], r["pending"]) for r in states.filter("view = 'dynamics'").collect()}
+    assert found == {("a", "stale", True), ("b", "unrecorded", True), ("c", "missing", True), (odd, "stale", True)}
+    assert {r["state"] for r in states.filter("view <> 'dynamics'").collect()} == {"missing"}
+    assert MAN.prune_manifests(states, f"{base}/manifests", "2030-01-01 00:00:00") == 2
+    assert {k: v[0] for k, v in documents().items()} == {"a": [], "b": [], "c": [], odd: []}
+
+
+def test_snapshots_of_a_folder(spark, tmp_path):
+    from demandlake.operators import landing as L
+
+    root, snaps = tmp_path / "landing", str(tmp_path / "snapshots")
+
+    def snap(n):
+        L.write_snapshot(SRC.landing_scan(spark, str(root)), snaps, n)
+
+    _file(root, "a", "1", [1])
+    _file(root, "b", "1", [1])
+    snap(1)
+    _file(root, "b", "1", [1, 2])
+    _file(root, "c", "1", [1])
+    (root / "run_id=a/view=dynamics/1.csv").unlink()
+    snap(2)
+    snap(2)
+    for p in root.rglob("*.csv"):
+        p.unlink()
+    snap(5)
+    got = {(r["snapshot"], r["norm_path"].split("run_id=")[1][0], r["change"]) for r in L.snapshot_changes(spark.read.parquet(snaps)).collect()}
+    assert got == {(1, "a", "added"), (1, "b", "added"), (2, "a", "gone"), (2, "b", "changed"), (2, "c", "added"), (5, "b", "gone"), (5, "c", "gone")}
+
+
 def test_the_gate(spark, tmp_path):
     """Overflow, a gap and an empty series are kept out of the typed table and in the quarantine."""
     day = "Дата;Число запросов\n{}.06.2026;{}\n{}.06.2026;2\n"
     cases = {"ok": day.format("01", "1", "02"), "gap": day.format("01", "1", "03"), "overflow": day.format("01", "9" * 25, "02"), "empty": "Дата;Число запросов\n"}
     df = exports_df(spark, [(k, v.encode()) for k, v in cases.items()]).withColumn("granularity", F.lit("daily"))
-    assert SINK.store_exports(ingest_exports(df, keep_content=True), str(tmp_path), ["export_id"]) == 2
+    SINK.store_exports(ingest_exports(df, keep_content=True), str(tmp_path), ["export_id"])
     assert {r["export_id"] for r in spark.read.parquet(str(tmp_path / "typed/rows")).collect()} == {"ok"}
     bad = {r["export_id"]: (r["error_code"], r["reason"], bytes(r["content"])) for r in spark.read.parquet(str(tmp_path / "quarantine")).collect()}
     assert bad == {"gap": ("INTERFACE_CHANGED", "gap", cases["gap"].encode()), "overflow": ("OVERFLOW", "overflow", cases["overflow"].encode()),
@@ -150,8 +249,21 @@ def test_wide_sink_roundtrip(spark, tmp_path):
         ("y", "Запрос;Показов\n".encode()),
     ])
     typed = ingest_exports(df, with_series=False)
-    assert SINK.write_wide(typed, str(tmp_path / "wide"), ["export_id"]) == 3
-    back = spark.read.parquet(str(tmp_path / "wide/rows")).filter("shape = 'string_int64_float64'").orderBy("row_ord").collect()
-    assert [(r["c0_string"], r["c1_int64"], r["c2_float64"]) for r in back] == [("чай", 5228679, 12.5), ("кофе", None, 3.0)]
+    SINK.write_wide(typed, str(tmp_path / "wide"), ["export_id"])
+    back = SINK.read_shape(spark, str(tmp_path / "wide"), ["string", "int64", "float64"], ["export_id"]).orderBy("row_ord").collect()
+    assert [(r["c0"], r["c1"], r["c2"]) for r in back] == [("чай", 5228679, 12.5), ("кофе", None, 3.0)]
     schemas = {r["export_id"]: r["shape"] for r in spark.read.parquet(str(tmp_path / "wide" / "schemas")).collect()}
     assert schemas["y"] == "string_string"
+
+
+def test_an_export_of_5000_columns_beside_small_ones(spark, tmp_path):
+    wide = ";".join(f"c{i}" for i in range(5000)) + "\n" + ";".join(str(i) if i % 2 else f"{i},5" for i in range(5000)) + "\n"
+    df = exports_df(spark, [("wide", wide.encode()), ("x", "Запрос;Показов\nчай;5\n".encode())])
+    SINK.write_wide(ingest_exports(df, with_series=False), str(tmp_path), ["export_id"])
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    assert set(rows.columns) == {"export_id", "row_ord", "cells", "shape"}
+    types = ["int64" if i % 2 else "float64" for i in range(5000)]
+    cells = rows.filter("export_id = 'wide'").first()["cells"]
+    assert [c["as_long"] if t == "int64" else c["as_double"] for c, t in zip(cells, types)] == [i if i % 2 else i + 0.5 for i in range(5000)]
+    got = SINK.read_shape(spark, str(tmp_path), types, ["export_id"], [0, 4999]).select("c0", "c4999").collect()
+    assert [tuple(r) for r in got] == [(0.5, 4999)]
