@@ -215,12 +215,13 @@ def candidate_links(nodes: DataFrame, percent: int) -> DataFrame:
     counted = lambda rows, name: written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), name)
     shared = counted(own, "hmh-groups")
     found = _tiled(own.join(shared.where(F.col("members") <= TILE).select("key"), "key", "left_semi"), nodes, percent)
-    hot = shared.where(F.col("members") > TILE).select("key")
+    # Few keys: written, so that their size is known before anything is shuffled to meet them.
+    hot = written(shared.where(F.col("members") > TILE).select("key"), "hmh-hot")
     if not hot.limit(1).count():
         return found
     hot_bands = own.join(hot, "key", "left_semi")
     in_hot = hot_bands.groupBy("node", "n", "filled").agg(F.count(F.lit(1)).alias("hot"))
-    untold = in_hot.where(~_told_elsewhere(F.col("n"), F.col("filled") - F.col("hot"), percent)).select("node")
+    untold = written(in_hot.where(~_told_elsewhere(F.col("n"), F.col("filled") - F.col("hot"), percent)).select("node"), "hmh-untold")
     sized = hot_bands.join(untold, "node", "left_semi").withColumn("class", F.explode(_size_classes(F.col("n"), percent)))
     own = written(sized.select("node", F.col("key").bitwiseXOR(F.xxhash64("class")).alias("key"), "used", F.lit(False).alias("led")), "hmh-sized")
     for level in range(LEVELS):
@@ -374,6 +375,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     placed = written(named.join(nodes.select("node", "n", "shown"), "node"), "hmh-clusters")
     sizes = placed.groupBy("cluster").agg(F.sum("n").alias("held"))
     shown = placed.join(sizes, "cluster").select("cluster", "node", "held", F.col("shown.doc_id").alias("id"), F.col("shown.text_hash").alias("hash"))
+    shown = written(shown, "hmh-shown")  # its size is known before the texts meet it
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     members = texts.join(shown, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))).select("cluster", "node", "held", "text")
     members = members.groupBy("cluster", "node", "held").agg(F.first("text").alias("text"))  # rows that repeat as a whole
@@ -392,7 +394,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     told = joined.join(ids, "root").select("d1", "d2", "n", "component_id")
     copies = grouped.where("copies > 1").join(heads, "root", "left_anti").select("d1", "d2", "n", F.col("least").alias("component_id"))
     # Only rows with a partner are looked up; any other is its own component.
-    known = told.unionAll(copies).withColumn("known", F.lit(True))
+    known = written(told.unionAll(copies).withColumn("known", F.lit(True)), "hmh-known")
     out = rows.select("doc_id", "d1", "d2", "n").join(known, ["d1", "d2", "n"], "left")
     least = F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), least.alias("component_id"), F.coalesce(F.col("doc_id") == least, F.lit(False)).alias("kept"))
