@@ -645,8 +645,8 @@ def _supplier_stream(spark, sf):
 
 def stream_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """One file for each supplier, damaged in eleven ways, in one wave; the log
-    has every file's verdict, and every run has a manifest.  Undecodable and empty
-    files don't land, so their runs have only the manifest of their creation."""
+    has every file's verdict, the undecodable ones' too, and every run has a manifest.
+    Files without a byte don't land, so their runs have only the manifest of their creation."""
     base, ex, runs = _supplier_stream(spark, sf)
     derive.land(derive.landed_lines(ex), f"{base}/landing")
     STREAM.run_ingest(spark, f"{base}/landing", runs, f"{base}/exports", f"{base}/checkpoint")
@@ -677,7 +677,185 @@ def late_tail(spark: SparkSession, sf: str) -> DataFrame:
     return cells.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max_by("text", "row_ord").alias("last")).join(writes, "run_id")
 
 
+# ------------------------------------------------------------------ long cells and long files: S3, S6 on byte ranges
+from demandlake.sources import long_files as LONG  # noqa: E402
+
+LONG_CELL = 20_000
+RANGE_BYTES = 256 << 10
+
+
+def long_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 in one row: every 500th order as an export of three records, of which one has a cell of some 400,000 characters."""
+    records = derive.order_records(table(spark, sf, "orders").filter("o_orderkey % 500 = 0"), LONG_CELL)
+    small = F.lit("1;x;2;3")
+    text = F.concat_ws("\n", F.lit(derive.LONG_HEADER), small, "record", small)
+    parsed = parse_exports(records.select(F.col("o_orderkey").cast("string").alias("file_name"), F.encode(text, "UTF-8").alias("content")))
+    rows = parsed.select("file_name", "delimiter", F.posexplode("rows").alias("row_ord", "cells"))
+    return rows.select("file_name", "delimiter", "row_ord", F.get("cells", 0).alias("number"), F.length(F.get("cells", 1)).alias("n_chars"),
+                       F.md5(F.get("cells", F.lit(1))).alias("note_md5"), F.get("cells", 3).alias("day"))
+
+
+def _order_files(spark, sf):
+    base = fresh_dir(spark, "orders")
+    derive.land(derive.order_file_lines(table(spark, sf, "orders"), LONG_CELL // 20), base)
+    return base
+
+
+def long_file_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """S1-S6 in long form: all orders in five export files (cp1251; quoted line breaks, cells
+    that span ranges, short and blank records), parsed by byte ranges of 256 KB."""
+    _, rows = LONG.parse_long(spark, _order_files(spark, sf), RANGE_BYTES)
+    c = F.col("cells")
+    return rows.select(SRC.path_part(SRC.unescaped(F.col("path")), "view").alias("priority"), "row_ord", F.get(c, F.lit(0)).alias("number"),
+                       F.md5(F.get(c, F.lit(1))).alias("note_md5"), F.get(c, F.lit(2)).alias("amount"), F.get(c, F.lit(3)).alias("day"))
+
+
+def long_file_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A3 in long form: the same files' row counts, encodings and column types."""
+    exports, rows = LONG.parse_long(spark, _order_files(spark, sf), RANGE_BYTES)
+    types = LONG.long_profiles(rows).groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col_ord", "dtype"))), lambda x: x["dtype"]), ",").alias("types"))
+    out = exports.join(types, "path", "left")
+    return out.select(SRC.path_part(SRC.unescaped(F.col("path")), "view").alias("priority"), "encoding", "delimiter", F.array_join("headers", "|").alias("headers"),
+                      "row_count", "error_code", "types")
+
+
+def series_checks_long(spark: SparkSession, sf: str) -> DataFrame:
+    """W2, F4, F8, F9 on long cells: exports of customers damaged in twelve ways."""
+    from demandlake.operators.parse import export_cells
+    from demandlake.operators.series import series_checks_long as checks
+
+    parsed = parse_exports(derive.damaged_exports(table(spark, sf, "customer"), "c_custkey"))
+    exports = parsed.select("run_id", "view", "granularity", "date_from", "date_to", "error_code")
+    return checks(export_cells(parsed, ["run_id"]), exports, "run_id").select("run_id", "verdict", "check_code", F.date_format("series_first", "yyyy-MM-dd").alias("series_first"))
+
+
+# ------------------------------------------------------------------ F4, W3, J5 + U4, T1-T3 over stored state
+from demandlake.streaming import manifests as MAN  # noqa: E402
+
+
+def attempt_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """the events of a user in a month are the fetches of one export; a click is an
+    empty one, a purchase has rows, and every 7th event fails."""
+    ev = table(spark, sf, "events")
+    failed = F.col("event_id") % 7 == 3
+    attempts = ev.select(
+        F.concat_ws("/", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM")).alias("run_id"), F.when(F.col("user_id") % 4 == 0, "regions").otherwise("dynamics").alias("view"),
+        F.struct("ts", "event_id").alias("seq"), F.when(F.col("event_type") == "purchase", 5).otherwise(0).cast("long").alias("row_count"), F.when(failed, F.lit("DOWNLOAD_TIMEOUT")).alias("error_code"))
+    got = L.attempt_outcomes(attempts, ["run_id", "view"])
+    return got.select("run_id", "view", "outcome", F.col("decided_at.event_id").alias("decided_at"), "n_empty", "error_code")
+
+
+def run_key_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 where numbers are taken: a run for each event, named by its type (two types share
+    a name); of that name, the numbers of all even order keys are taken."""
+    kind = F.col("event_type")
+    requests = table(spark, sf, "events").select(F.col("event_id").alias("ord"), F.when(kind.isin("click", "view"), "груз").otherwise(kind).alias("phrase"),
+                                                 F.to_timestamp(F.lit("2026-08-21 10:00:00")).alias("now"))
+    held = table(spark, sf, "orders").filter("o_orderkey % 2 = 0").select(F.concat(F.lit("20260821T100000Z-груз-"), F.col("o_orderkey").cast("string")).alias("run_key"))
+    return R.run_keys(requests, order="ord", existing=held).select("ord", "run_key", "collision_n")
+
+
+def landing_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """J5 + U4: three snapshots of a real folder of suppliers' files: a first wave without every
+    5th run, a second one that adds these, rewrites every 3rd run and removes every 7th."""
+    base = fresh_dir(spark, "waves")
+    k = F.col("s_suppkey")
+    lines = table(spark, sf, "supplier").select(k, F.concat(F.lit("run-"), k.cast("string")).alias("run_id"), F.lit("dynamics").alias("view"),
+                                                F.explode(F.sequence(F.lit(0), F.lit(3))).alias("ord"))
+    lines = lines.withColumn("line", F.concat_ws(";", F.col("run_id"), F.col("ord").cast("string")))
+    snap = lambda n: L.write_snapshot(SRC.landing_scan(spark, f"{base}/wave{min(n, 2)}").withColumn("path", F.regexp_replace("path", "/wave[0-9]/", "/")), f"{base}/snapshots", n)
+    derive.land(lines.filter(k % 5 != 0), f"{base}/wave1")
+    snap(1)
+    derive.land(lines.filter((k % 7 != 0) & ((k % 3 != 0) | (F.col("ord") < 3))), f"{base}/wave2")
+    snap(2)
+    snap(3)
+    run = SRC.path_part(F.col("norm_path"), "run_id")
+    # A file's name holds the job that wrote it: files are told by their run here.
+    kept = spark.read.parquet(f"{base}/snapshots").select("snapshot", run.alias("norm_path"), "length", F.when(run.isNotNull(), F.lit(0)).cast("timestamp").alias("modificationTime"))
+    return L.snapshot_changes(kept).select("snapshot", F.col("norm_path").alias("run_id"), "change", "length_before", "length")
+
+
+def _stored_runs(spark, sf):
+    """Suppliers' runs with all fields of a manifest, and their damaged exports as lines."""
+    base, ex, runs = _supplier_stream(spark, sf)
+    runs = runs.withColumns({"phrase": F.col("run_id"), "region": F.lit("Москва"), "source_url": F.lit("https://reports.example/"),
+                             "requested_period": D.requested_period(F.col("date_from"), F.col("date_to"))})
+    lines = derive.landed_lines(ex).withColumn("k", F.substring_index("run_id", "-", -1).cast("long"))
+    drain = lambda **more: STREAM.run_ingest(spark, f"{base}/landing", runs, f"{base}/exports", f"{base}/checkpoint", manifests=f"{base}/manifests", datasets=f"{base}/datasets", **more)
+    return base, runs, lines, drain
+
+
+def stream_too_large(spark: SparkSession, sf: str) -> DataFrame:
+    """A file for each supplier, every 9th above the limit of 64 KB; the stream drains, its log has the reason."""
+    base, _, runs = _supplier_stream(spark, sf)
+    rows = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")).withColumn("n", F.when(F.col("k") % 9 == 0, 6000).otherwise(3))
+    run = F.concat(F.lit("run-"), F.col("k").cast("string"))
+    day = F.date_format(F.date_add(F.lit("2026-06-01").cast("date"), F.col("ord") - 1), "dd.MM.yyyy")
+    lines = rows.select(run.alias("run_id"), F.lit("dynamics").alias("view"), F.explode(F.sequence(F.lit(0), "n")).alias("ord"))
+    lines = lines.withColumn("line", F.when(F.col("ord") == 0, F.lit("date;requests")).otherwise(F.concat(day, F.lit(";7"))))
+    derive.land(lines, f"{base}/landing")
+    STREAM.run_ingest(spark, f"{base}/landing", runs.withColumns({"date_from": F.lit(None).cast("date"), "date_to": F.lit(None).cast("date")}), f"{base}/exports", f"{base}/checkpoint", limit=64 << 10)
+    log = STREAM.export_log(spark, f"{base}/exports")
+    reasons = STREAM.quarantined(spark, f"{base}/exports").select("run_id", "reason", F.col("content").isNull().alias("unread"))
+    return log.select("run_id", "row_count", "verdict", "error_code", "trusted").join(reasons, "run_id", "left")
+
+
+def stored_manifests(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents on disk before the first file, after a first wave (two rows of every
+    file of an even run) and after a second one (all files whole), of all runs.
+
+    A wave's last micro-batch is written once more before its documents are read."""
+    base, runs, lines, drain = _stored_runs(spark, sf)
+    parts = []
+
+    def keep(wave):
+        docs = SRC.load_manifests(spark, f"{base}/manifests", "*.txt").withColumn("wave", F.lit(wave))
+        docs.write.parquet(f"{base}/seen/{wave}")
+        parts.append(spark.read.schema(docs.schema).parquet(f"{base}/seen/{wave}"))
+
+    derive.land(lines.limit(0), f"{base}/landing")
+    drain()
+    keep(0)
+    for wave, landed in ((1, lines.filter("k % 2 = 0 and ord <= 2")), (2, lines)):
+        derive.land(landed, f"{base}/landing")
+        drain()
+        last = STREAM.stored_exports(spark, f"{base}/exports").agg(F.max("batch_id")).first()[0]
+        if last is not None:
+            MAN.upsert_manifests(runs, spark.read.parquet(f"{base}/exports/batch_id={last}").withColumn("batch_id", F.lit(last)), f"{base}/manifests")
+        keep(wave)
+    docs = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return docs.select("wave", "run_id", "phrase", F.array_join(F.transform("exports", lambda e: F.concat_ws("/", e["view"], e["file"], e["row_count"].cast("string"))), " ").alias("exports"),
+                       F.col("actual_period")["to"].alias("period_to"), F.col("requested_period")["from"].alias("requested_from"), (F.col("updated_at") >= F.col("created_at")).alias("updated"), "error_code")
+
+
+def resume_state(spark: SparkSession, sf: str) -> DataFrame:
+    """After a stream of all suppliers' files, every run's views as the stored
+    documents, the stored datasets and the stream's log tell them: the datasets of every
+    24th run are gone, the documents of every 36th were lost."""
+    base, runs, lines, drain = _stored_runs(spark, sf)
+    derive.land(lines, f"{base}/landing")
+    drain()
+    k = F.substring_index("run_id", "-", -1).cast("long")
+    left = spark.read.parquet(f"{base}/datasets").filter(k % 24 != 0)
+    left.write.partitionBy("run_id", "file").parquet(f"{base}/datasets-left")
+    MAN.write_first_manifests(runs.filter(k % 36 == 0), f"{base}/manifests-left")
+    docs = SRC.load_manifests(spark, f"{base}/manifests", "*.txt").filter(k % 36 != 0)
+    MAN.write_documents(docs.drop("path"), f"{base}/manifests-left")
+    states = MAN.resume_state(runs, f"{base}/manifests-left", f"{base}/datasets-left", STREAM.export_log(spark, f"{base}/exports"))
+    return states.select("run_id", "view_ord", "view", "state", "pending")
+
+
 QUERIES = {
+    "long_cells": long_cells,
+    "long_file_ranges": long_file_ranges,
+    "long_file_profiles": long_file_profiles,
+    "series_checks_long": series_checks_long,
+    "attempt_outcomes": attempt_outcomes,
+    "run_key_gaps": run_key_gaps,
+    "landing_changes": landing_changes,
+    "stream_too_large": stream_too_large,
+    "stored_manifests": stored_manifests,
+    "resume_state": resume_state,
     "parse_localized_number": parse_localized_number,
     "infer_column_types": infer_column_types,
     "typed_cells": typed_cells_query,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from demandlake.constants import MONTHS_NOMINATIVE
 from demandlake.functions.dates import week_monday
-from demandlake.functions.text import encode_text
+from demandlake.functions.text import CP1251_LATIN, CP1251_REAL, encode_text
 from demandlake.operators.manifest import dataset_file
 from demandlake.session import spread
 
@@ -401,19 +401,20 @@ def damaged_exports(rows: DataFrame, key: str) -> DataFrame:
 
 
 def landed_lines(exports: DataFrame) -> DataFrame:
-    """Decodable exports (run_id, view, content) as rows (run_id, view, ord, line), to be written as files."""
-    from demandlake.functions.text import decode_bytes, split_lines
+    """Exports (run_id, view, content) as rows (run_id, view, ord, line), to be written as files.
 
-    text, _ = decode_bytes(F.col("content"))
-    return exports.select("run_id", "view", F.posexplode(split_lines(text)).alias("ord", "line"))
+    A line's bytes stay as they are, whatever their encoding and also where they have
+    none (each stands as the character of its number); line ends become LF."""
+    text = F.regexp_replace(F.decode("content", "ISO-8859-1"), r"\r\n?|\n\z", "\n")
+    return exports.select("run_id", "view", F.posexplode(F.split(F.regexp_replace(text, r"\n\z", ""), "\n", -1)).alias("ord", "line"))
 
 
 def land(lines: DataFrame, root: str) -> None:
-    """Writes one file ``<root>/run_id=/view=/*.csv`` for each run and view, its lines in order."""
+    """Writes one file ``<root>/run_id=/view=/*.csv`` for each run and view, its lines (see ``landed_lines``) in order."""
     ordered = lines.repartition("run_id", "view").sortWithinPartitions("run_id", "view", "ord")
-    # The lines are the format already: no quoting, a separator that cannot occur.
+    # The lines are the format already: no quoting, a separator that cannot occur, a byte for each character.
     (ordered.select("run_id", "view", "line").write.mode("append").partitionBy("run_id", "view")
-     .option("sep", "\u0001").option("quote", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")
+     .option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")
      .option("ignoreTrailingWhiteSpace", "false").csv(root))
 
 
@@ -433,3 +434,34 @@ def page_files(pages: DataFrame) -> DataFrame:
         "page_id", path.alias("path"),
         F.when(k % 9 == 0, F.lit(0)).otherwise(F.length("html")).cast("bigint").alias("length"),
     )
+
+
+# ------------------------------------------------------------------ long cells and long files
+LONG_HEADER = "Номер;Примечание;Сумма;Дата"
+
+
+def order_records(orders: DataFrame, long_cell: int) -> DataFrame:
+    """orders -> (o_orderkey, o_orderpriority, record): a CSV record of four fields each.
+
+    The second field is quoted and holds a delimiter, doubled quotes and, by key, a
+    line break; where ``key % 500`` is 0 it goes on for ``long_cell`` repetitions, at
+    even keys without a line break.  Every 11th record ends after its second field,
+    every 13th is blank.
+    """
+    k = F.col("o_orderkey")
+    filler = F.when(k % 500 == 0, F.repeat(F.when(k % 1000 == 0, 'чай ""зелёный"";').otherwise('чай ""чёрный"";\n'), long_cell)).otherwise(F.lit(""))
+    note = F.concat(F.lit('"заказ; ""'), k.cast("string"), F.lit('""'), F.when(k % 3 == 0, "\n").otherwise(" "), F.col("o_orderpriority"), filler, F.lit('"'))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    amount = F.concat(F.expr("cast(round(o_totalprice * 100) as bigint) div 100").cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
+    full = F.concat_ws(";", k.cast("string"), note, amount, F.date_format("o_orderdate", "dd.MM.yyyy"))
+    record = F.when(k % 13 == 0, F.lit(";;;")).when(k % 11 == 0, F.concat_ws(";", k.cast("string"), note)).otherwise(full)
+    return orders.select("o_orderkey", "o_orderpriority", record.alias("record"))
+
+
+def order_file_lines(orders: DataFrame, long_cell: int) -> DataFrame:
+    """One cp1251 export for each order priority, records in key order, as rows for ``land``."""
+    records = order_records(orders, long_cell).select("o_orderpriority", F.col("o_orderkey").alias("ord"), "record")
+    heads = records.select("o_orderpriority").distinct().select("o_orderpriority", F.lit(-1).alias("ord"), F.lit(LONG_HEADER).alias("record"))
+    lines = heads.unionByName(records).select("o_orderpriority", "ord", F.posexplode(F.split("record", "\n", -1)).alias("sub", "line"))
+    cp1251 = F.translate("line", CP1251_REAL, CP1251_LATIN)
+    return lines.select(F.lit("orders").alias("run_id"), F.col("o_orderpriority").alias("view"), F.struct("ord", "sub").alias("ord"), cp1251.alias("line"))

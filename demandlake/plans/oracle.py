@@ -763,8 +763,8 @@ _DAMAGED_SUPPLIERS = _DAMAGED.replace("c_custkey", "s_suppkey").replace("FROM cu
 
 ORACLE["stream_manifest"] = _DAMAGED_SUPPLIERS + r"""
 SELECT run_id, CASE WHEN kind = 0 THEN 1 ELSE 0 END AS n_exports,
-       CASE WHEN kind IN (0, 7) THEN 'ok' WHEN kind IN (6, 11) THEN NULL WHEN kind <= 5 THEN reason ELSE 'not_parsed' END AS verdict,
-       CASE WHEN kind NOT IN (6, 11) THEN error_code END AS error_code,
+       CASE WHEN kind IN (0, 7) THEN 'ok' WHEN kind = 11 THEN NULL WHEN kind <= 5 THEN reason ELSE 'not_parsed' END AS verdict,
+       CASE WHEN kind <> 11 THEN error_code END AS error_code,
        CASE WHEN kind = 0 THEN 'top_popular,top_related,regions' ELSE 'top_popular,top_related,dynamics,regions' END AS missing,
        'incomplete' AS status, true AS updated
 FROM x
@@ -775,3 +775,113 @@ SELECT run_id, CAST(CASE WHEN kind = 0 THEN 3 ELSE 1 END AS BIGINT) AS n_rows,
        strftime(CASE WHEN kind = 0 THEN day + 2 ELSE day END, '%d.%m.%Y') AS last, CAST(3 AS BIGINT) AS n_writes
 FROM x WHERE kind IN (0, 1, 4)
 """
+
+# ------------------------------------------------------------------ long cells and long files
+def _orders_sql(repeats: int) -> str:
+    """Records of orders as cells: a line break inside quotes is dropped, doubled quotes are single."""
+    return f"""
+WITH r AS (
+  SELECT o_orderkey AS k, o_orderpriority AS priority, k % 13 = 0 AS blank, k % 11 = 0 AS short,
+         'заказ; "' || k || '"' || CASE WHEN k % 3 = 0 THEN '' ELSE ' ' END || o_orderpriority
+           || CASE WHEN k % 500 <> 0 THEN '' WHEN k % 1000 = 0 THEN repeat('чай "зелёный";', {repeats}) ELSE repeat('чай "чёрный";', {repeats}) END AS note,
+         CAST(round(o_totalprice * 100) AS BIGINT) AS cents, strftime(o_orderdate, '%d.%m.%Y') AS full_day
+  FROM orders),
+c AS (
+  SELECT k, priority, blank, CAST(k AS VARCHAR) AS number, note,
+         CASE WHEN short THEN '' ELSE CAST(cents // 100 AS VARCHAR) || ',' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS amount,
+         CASE WHEN short THEN '' ELSE full_day END AS day
+  FROM r)
+"""
+
+
+ORACLE["long_cells"] = _orders_sql(20_000) + """
+, x AS (
+  SELECT k, 0 AS part, '1' AS number, 'x' AS note, '3' AS day FROM c WHERE k % 500 = 0
+  UNION ALL SELECT k, 1, number, note, day FROM c WHERE k % 500 = 0 AND NOT blank
+  UNION ALL SELECT k, 2, '1', 'x', '3' FROM c WHERE k % 500 = 0)
+SELECT CAST(k AS VARCHAR) AS file_name, ';' AS delimiter, CAST(row_number() OVER (PARTITION BY k ORDER BY part) - 1 AS INTEGER) AS row_ord,
+       number, CAST(length(note) AS INTEGER) AS n_chars, md5(note) AS note_md5, day
+FROM x
+"""
+
+ORACLE["long_file_ranges"] = _orders_sql(1_000) + """
+SELECT priority, row_number() OVER (PARTITION BY priority ORDER BY k) - 1 AS row_ord, number, md5(note) AS note_md5, amount, day FROM c WHERE NOT blank
+"""
+
+ORACLE["long_file_profiles"] = _orders_sql(1_000) + """
+SELECT priority, 'cp1251' AS encoding, ';' AS delimiter, 'Номер|Примечание|Сумма|Дата' AS headers, count(*) FILTER (NOT blank) AS row_count,
+       CAST(NULL AS VARCHAR) AS error_code, 'int64,string,float64,string' AS types
+FROM c GROUP BY priority
+"""
+
+ORACLE["series_checks_long"] = _DAMAGED + """
+SELECT run_id, CASE WHEN kind IN (0, 7) THEN 'ok' WHEN kind <= 5 THEN reason ELSE 'not_parsed' END AS verdict,
+       CASE WHEN kind BETWEEN 1 AND 5 THEN 'INTERFACE_CHANGED' END AS check_code,
+       CASE WHEN kind IN (0, 1, 3, 4, 7) THEN strftime(day, '%Y-%m-%d') END AS series_first
+FROM x
+"""
+
+# ------------------------------------------------------------------ attempts, run keys, snapshots, stored state
+ORACLE["attempt_outcomes"] = """
+WITH a AS (
+  SELECT CAST(user_id AS VARCHAR) || '/' || strftime(ts, '%Y-%m') AS run_id, CASE WHEN user_id % 4 = 0 THEN 'regions' ELSE 'dynamics' END AS view, ts, event_id,
+         CASE WHEN event_id % 7 = 3 THEN 'error' WHEN user_id % 4 = 0 OR event_type = 'purchase' THEN 'rows' ELSE 'empty' END AS kind
+  FROM events),
+e AS (
+  SELECT *, count(*) FILTER (kind = 'empty') OVER (PARTITION BY run_id, view ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_empty FROM a),
+d AS (
+  SELECT *, row_number() OVER (PARTITION BY run_id, view ORDER BY ts, event_id) AS n FROM e WHERE kind <> 'empty' OR n_empty = 2),
+k AS (SELECT DISTINCT run_id, view FROM a)
+SELECT k.run_id, k.view, CASE WHEN d.kind IS NULL THEN 'pending' WHEN d.kind = 'rows' THEN 'stored' ELSE 'failed' END AS outcome, d.event_id AS decided_at,
+       CAST(coalesce(d.n_empty, 1) AS INTEGER) AS n_empty, CASE d.kind WHEN 'empty' THEN 'INTERFACE_CHANGED' WHEN 'error' THEN 'DOWNLOAD_TIMEOUT' END AS error_code
+FROM k LEFT JOIN d ON k.run_id = d.run_id AND k.view = d.view AND d.n = 1
+"""
+
+ORACLE["run_key_gaps"] = """
+WITH r AS (SELECT event_id AS ord, CASE WHEN event_type IN ('click', 'view') THEN 'груз' ELSE event_type END AS base FROM events),
+k AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY ord) AS k FROM r),
+t AS (SELECT o_orderkey AS n FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey >= 2),
+f AS (
+  SELECT i.n, row_number() OVER (ORDER BY i.n) AS k
+  FROM (SELECT unnest(range(1, (SELECT count(*) FROM r) + (SELECT count(*) FROM t) + 1)) AS n) i ANTI JOIN t ON i.n = t.n)
+SELECT ord, '20260821T100000Z-' || base || CASE WHEN number = 1 THEN '' ELSE '-' || CAST(number AS VARCHAR) END AS run_key, CAST(number AS INTEGER) AS collision_n
+FROM (SELECT k.ord, k.base, CASE WHEN base = 'груз' THEN f.n ELSE k.k END AS number FROM k LEFT JOIN f ON k.k = f.k)
+"""
+
+ORACLE["landing_changes"] = """
+WITH s AS (SELECT s_suppkey AS k, 'run-' || CAST(s_suppkey AS VARCHAR) AS run_id FROM supplier),
+w AS (
+  SELECT run_id, CASE WHEN k % 5 <> 0 THEN 4 * (length(run_id) + 3) END AS first, CASE WHEN k % 7 <> 0 THEN CASE WHEN k % 3 = 0 THEN 3 ELSE 4 END * (length(run_id) + 3) END AS second
+  FROM s)
+SELECT 1 AS snapshot, run_id, 'added' AS change, CAST(NULL AS BIGINT) AS length_before, CAST(first AS BIGINT) AS length FROM w WHERE first IS NOT NULL
+UNION ALL
+SELECT 2, run_id, CASE WHEN first IS NULL THEN 'added' WHEN second IS NULL THEN 'gone' ELSE 'changed' END, CAST(first AS BIGINT), CAST(second AS BIGINT)
+FROM w WHERE first IS DISTINCT FROM second
+"""
+
+ORACLE["stream_too_large"] = """
+SELECT 'run-' || CAST(s_suppkey AS VARCHAR) AS run_id, CASE WHEN big THEN NULL ELSE CAST(3 AS BIGINT) END AS row_count, CASE WHEN big THEN 'not_parsed' ELSE 'ok' END AS verdict,
+       CASE WHEN big THEN 'CSV_FORMAT' END AS error_code, NOT big AS trusted, CASE WHEN big THEN 'too_large' END AS reason, CASE WHEN big THEN true END AS unread
+FROM (SELECT s_suppkey, s_suppkey % 9 = 0 AS big FROM supplier)
+"""
+
+ORACLE["stored_manifests"] = _DAMAGED_SUPPLIERS + """
+, n AS (
+  SELECT w.wave, x.*, CASE WHEN w.wave = 2 AND kind = 0 THEN 3 WHEN w.wave >= 1 AND kind IN (0, 4) THEN 2 END AS n_rows
+  FROM x, (VALUES (0), (1), (2)) w(wave))
+SELECT wave, run_id, run_id AS phrase, coalesce('dynamics/dynamics_daily.parquet/' || CAST(n_rows AS VARCHAR), '') AS exports,
+       strftime(day + n_rows - 1, '%d.%m.%Y') AS period_to, strftime(CASE WHEN kind = 3 THEN day + 1 ELSE day END, '%Y-%m-%d') AS requested_from,
+       true AS updated, CAST(NULL AS VARCHAR) AS error_code
+FROM n
+"""
+
+ORACLE["resume_state"] = """
+WITH v AS (
+  SELECT s_suppkey AS k, i AS view_ord, view
+  FROM supplier, (VALUES (0, 'top_popular'), (1, 'top_related'), (2, 'dynamics'), (3, 'regions')) x(i, view)),
+s AS (
+  SELECT *, CASE WHEN view <> 'dynamics' OR k % 12 <> 0 THEN 'missing' WHEN k % 36 <> 0 THEN CASE WHEN k % 24 = 0 THEN 'stale' ELSE 'done' END
+                 WHEN k % 24 = 0 THEN 'lost' ELSE 'unrecorded' END AS state
+  FROM v)
+SELECT 'run-' || CAST(k AS VARCHAR) AS run_id, CAST(view_ord AS INTEGER) AS view_ord, view, state, state <> 'done' AS pending FROM s
+"""

@@ -35,6 +35,11 @@ def _write(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").text(path)
 
 
+def write_documents(manifests: DataFrame, path: str) -> None:
+    """The documents of ``manifests`` (fields of ``files.MANIFEST_SCHEMA`` and run_id), in place of their runs' earlier ones."""
+    _write(manifest_documents(manifests), path)
+
+
 def _stored_runs(spark: SparkSession, path: str) -> DataFrame:
     """Runs that have a document, from the listing alone."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
