@@ -30,8 +30,6 @@ PACK, LANE_BITS = 2, 30
 LANES = sum(1 << (LANE_BITS * k) for k in range(PACK))
 #: Components: number of pieces, full-width sums, packed lanes.
 WIDTH = 1 + HASHES + LANE_HASHES * LANE_BITS
-#: In the hex form, two packed components become one, lanes at half the distance.
-HALF = LANE_BITS // 2
 ROWS_PER_RANGE = 2_000
 MAX_RANGES = 20_000
 
@@ -60,16 +58,14 @@ def fingerprint_vector(text: Column) -> Column:
 
 
 def fingerprint_text(vector: Column) -> Column:
-    """The vector as lower-case hex, 15 digits for each component.
+    """The whole vector as lower-case hex, 15 digits for each component."""
+    return F.array_join(F.transform(vector, lambda x: F.lower(F.lpad(F.hex(x), 15, "0"))), "")
 
-    Packed components are folded in pairs, modulo 2**60: still sums over the
-    pieces, but lanes of many pieces run into each other, so ``likeness`` takes
-    vectors.
-    """
-    first = [2 + HASHES + i * LANE_BITS for i in range(LANE_HASHES)]
-    fold = lambda x, y: (x + F.shiftleft(y, HALF)).bitwiseAND(F.lit(MASK))
-    folded = [F.zip_with(F.slice(vector, at, HALF), F.slice(vector, at + HALF, HALF), fold) for at in first]
-    return F.array_join(F.transform(F.concat(F.slice(vector, 1, 1 + HASHES), *folded), lambda x: F.lower(F.lpad(F.hex(x), 15, "0"))), "")
+
+def text_vector(fingerprint: Column) -> Column:
+    """The vector of a ``fingerprint_text``: what ``combine`` and ``likeness`` take."""
+    digits = lambda i: F.substring(fingerprint, i * 15 + 1, F.lit(15))
+    return F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda i: F.conv(digits(i), 16, 10).cast("long"))
 
 
 def _signed(vector: Column) -> Column:

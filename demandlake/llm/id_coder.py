@@ -122,7 +122,9 @@ def _longest_first(sizes: list[int]) -> np.ndarray:
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block of ids (below 2**16) as one self-contained, checksummed byte string."""
+    """Each block of ids as one self-contained, checksummed byte string; ids of 2**16 and more are refused."""
+    if any(len(b) and b.max() >= 1 << 16 for b in blocks):
+        raise ValueError("this coder takes ids below 65,536")
     out: list[bytes] = [b""] * len(blocks)
     for at in range(0, len(blocks), LANES):
         for i, code in zip(range(at, len(blocks)), _encode_lanes(blocks[at : at + LANES])):

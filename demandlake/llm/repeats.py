@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from demandlake.llm.anchors import Rule, anchors
 from demandlake.llm.scratch import written
 
-#: Places of one anchor that one task may hold as blocks (of less than 0.5 KB each: some 20 MB).
+#: Places of one anchor that one task may hold as blocks (of less than 0.5 KB each; with the finder's
+#: index of each block's windows 100 MB and more).
 HOT = 20_000
 
 
@@ -237,7 +238,8 @@ def _changes(scan: DataFrame, docs: DataFrame, rule: Rule, find: Finder, id_col:
     # A text that occurs twice goes whole; it was held only for what others have of it.
     whole = copied.where(F.col("n") >= rule.window).select("k1", "k2", F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("cut_sha"), F.lit(b"").alias("left"))
     spans = spans.join(whole.select("k1", "k2"), (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")), "left_anti")
-    spans = spans.groupBy("t1", "t2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    # Written, so that their size is known before the texts are shuffled to meet them.
+    spans = written(spans.groupBy("t1", "t2").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "repeats-spans")
     cut = held.select("t1", "t2", "text").join(spans, ["t1", "t2"]).select("t1", "t2", "text", "spans")
     left = "left" if with_text else "cast(null as binary) as left"
     cut = cut.mapInArrow(_kept(rule), "t1 long, t2 long, n_removed long, n_spans long, sha string, left binary")

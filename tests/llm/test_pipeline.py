@@ -3,10 +3,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandlake.llm.catalog import ORACLE, QUERIES
+from demandlake.llm.quality import THRESHOLD
 from demandlake.llm.scratch import written
 
 from .conftest import SCHEMA, hard_rows
-from .test_quality_fingerprints import base
+from .test_quality_fingerprints import base, brute_scores
 from .test_repeats import brute
 from .test_simhash import brute_fp, roots
 
@@ -28,9 +29,9 @@ def test_stages_against_brute_force(spark, folder):
     steps = dict(corpus_pipeline.STAGES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "SimHash near-dedup", "substring dedup", "mixing sources", "best-fit packing"]
     first = written(steps["quality rules"](spark, docs, folder), "test")
-    kept = rows_of(first)
-    assert set(kept) <= {r for r in rows_of(docs) if not base(r[1])[-1]}  # and what the scores reject
-    assert len(kept) > 40
+    kept, every = rows_of(first), rows_of(docs)
+    scores = brute_scores(every, [(i, 1, 0) for i in range(30)])
+    assert kept == [r for r, s in zip(every, scores) if not base(r[1])[-1] and s >= THRESHOLD]
 
     second = written(steps["SimHash near-dedup"](spark, first, folder), "test")
     group = roots([brute_fp(r[1]) for r in kept], 2)
@@ -75,5 +76,5 @@ def test_stages_of_nothing(spark, folder, no_docs):
 
 
 def test_queries_are_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE) <= set(QUERIES)

@@ -122,3 +122,11 @@ def test_packed_pieces(spark, docs, rows, no_docs, monkeypatch):
         assert at <= 512
     assert len(sequences) == best_fit_decreasing([r["length"] for r in got], 512)
     assert pack(token_pieces(no_docs, WORDS, 512), 512, ["doc_id", "piece", "ids_crc32"]).count() == 0
+
+
+def test_ids_beyond_the_coder_are_refused():
+    from demandlake.llm import id_coder
+
+    with pytest.raises(ValueError, match="65,536"):
+        id_coder.encode([np.array([1, 2], dtype=np.uint32), np.array([65_536], dtype=np.uint32)])
+    assert len(id_coder.encode([np.array([65_535], dtype=np.uint32), np.array([], dtype=np.uint32)])) == 2
