@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.constants import AUTH_REQUIRED, ERROR_TYPES, NOT_ATTEMPTED_PREFIX, NOT_COLLECTED, VIEWS
+from demandlake.functions.hof import let
 
 
 def error_type_name(code: Column) -> Column:
@@ -28,23 +29,19 @@ def error_text(code: Column, message: Column) -> Column:
     return F.concat_ws(": ", error_type_name(code), message)
 
 
-def view_outcomes(requests: DataFrame, attempts: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row for each requested run and view.
-
-    outcome: ``stored`` (now), ``kept`` (from before), ``failed``, ``auth_failed``,
-    ``not_attempted`` (an earlier view of the run failed), ``skipped`` (the run
-    was never begun) or ``missing``.  A view tried twice counts by its success, or
-    its first error.  ``view_error`` is the reason of failed and not attempted ones.
+def _run_views(requests: DataFrame, attempts: DataFrame, stored: DataFrame, messages: bool) -> DataFrame:
+    """(batch_id, phrase_ord, run_id, views): the four views of each requested run with their outcome.
 
     The three logs meet in one grouping by run, which keeps three values for each
-    of the four views.
+    of the four views; ``messages`` False leaves the texts of errors out of it.
     """
     none = F.lit(None)
     text = none.cast("string")
     asked = requests.select("run_id", F.struct("batch_id", "phrase_ord").alias("r"), text.alias("view"), none.cast("boolean").alias("done"), none.cast("boolean").alias("held"),
                             F.struct(text.alias("code"), text.alias("message")).alias("err"))
+    message = F.col("fail_message") if messages else text
     tried = attempts.select("run_id", none.cast(asked.schema["r"].dataType).alias("r"), "view", F.col("fail_code").isNull().alias("done"), none.cast("boolean").alias("held"),
-                            F.struct(F.col("fail_code").alias("code"), F.col("fail_message").alias("message")).alias("err"))
+                            F.struct(F.col("fail_code").alias("code"), message.alias("message")).alias("err"))
     before = stored.select("run_id", none.cast(asked.schema["r"].dataType).alias("r"), "view", none.cast("boolean").alias("done"), F.lit(True).alias("held"),
                            F.struct(text.alias("code"), text.alias("message")).alias("err"))
     of = lambda v, value: F.when(F.col("view") == v, value)
@@ -55,24 +52,53 @@ def view_outcomes(requests: DataFrame, attempts: DataFrame, stored: DataFrame) -
     ).filter(F.col("r").isNotNull())
     states = F.array(*[F.struct(F.lit(i).alias("view_ord"), F.lit(v).alias("view"), F.col(v).alias("s")) for i, v in enumerate(VIEWS)])
     broke = F.array_min(F.transform(states, lambda x: F.when(~x["s"]["done"], F.struct(x["view_ord"], x["view"], x["s"]["err"]["code"]))))
-    wide = per.select("r.*", "run_id", "n_tried", broke.alias("broke"), F.inline(states))
-    s = F.col("s")
-    outcome = (
-        F.when(s["done"], F.lit("stored"))
-        .when(~s["done"] & (s["err"]["code"] == AUTH_REQUIRED), F.lit("auth_failed"))
-        .when(~s["done"], F.lit("failed"))
-        .when(s["held"], F.lit("kept"))
-        .when(F.col("broke.code") == AUTH_REQUIRED, F.lit("missing"))
-        .when(F.col("broke.view_ord") < F.col("view_ord"), F.lit("not_attempted"))
-        .when(F.col("n_tried") == 0, F.lit("skipped"))
-        .otherwise(F.lit("missing"))
-    )
-    reason = (
-        F.when(F.col("outcome") == "not_attempted", F.concat(F.lit(NOT_ATTEMPTED_PREFIX), F.col("broke.view")))
-        .when(F.col("outcome") == "failed", error_text(s["err"]["code"], s["err"]["message"]))
-    )
-    return wide.withColumn("outcome", outcome).withColumn("view_error", reason).select(
-        "batch_id", "phrase_ord", "run_id", "view_ord", "view", "outcome", "view_error", F.when(~s["done"], s["err"]["code"]).alias("fail_code"))
+
+    def judged(x):
+        s = x["s"]
+        outcome = (
+            F.when(s["done"], F.lit("stored"))
+            .when(~s["done"] & (s["err"]["code"] == AUTH_REQUIRED), F.lit("auth_failed"))
+            .when(~s["done"], F.lit("failed"))
+            .when(s["held"], F.lit("kept"))
+            .when(F.col("broke.code") == AUTH_REQUIRED, F.lit("missing"))
+            .when(F.col("broke.view_ord") < x["view_ord"], F.lit("not_attempted"))
+            .when(F.col("n_tried") == 0, F.lit("skipped"))
+            .otherwise(F.lit("missing"))
+        )
+
+        def told(o):
+            reason = (
+                F.when(o == "not_attempted", F.concat(F.lit(NOT_ATTEMPTED_PREFIX), F.col("broke.view")))
+                .when(o == "failed", error_text(s["err"]["code"], s["err"]["message"]))
+            )
+            return F.struct(x["view_ord"].alias("view_ord"), x["view"].alias("view"), o.alias("outcome"), reason.alias("view_error"), F.when(~s["done"], s["err"]["code"]).alias("fail_code"))
+
+        return let(outcome, told)
+
+    wide = per.select("r.*", "run_id", "n_tried", broke.alias("broke"), states.alias("states"))
+    return wide.select("batch_id", "phrase_ord", "run_id", F.transform("states", judged).alias("views"))
+
+
+def view_outcomes(requests: DataFrame, attempts: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row for each requested run and view.
+
+    outcome: ``stored`` (now), ``kept`` (from before), ``failed``, ``auth_failed``,
+    ``not_attempted`` (an earlier view of the run failed), ``skipped`` (the run
+    was never begun) or ``missing``.  A view tried twice counts by its success, or
+    its first error.  ``view_error`` is the reason of failed and not attempted ones.
+    """
+    return _run_views(requests, attempts, stored, True).select("batch_id", "phrase_ord", "run_id", F.inline("views"))
+
+
+def run_outcomes(requests: DataFrame, attempts: DataFrame, stored: DataFrame) -> DataFrame:
+    """A7 from the logs: ``phrase_outcome`` of ``view_outcomes``, judged inside each run's
+    row, so that the logs are shuffled once and no error text is."""
+    of = lambda *names: F.exists("views", lambda v: v["outcome"].isin(*names))
+    failed = F.array_min(F.transform(F.filter("views", lambda v: v["outcome"] == "failed"), lambda v: F.struct(v["view_ord"], v["fail_code"])))
+    facts = _run_views(requests, attempts, stored, False).select(
+        "batch_id", "phrase_ord", "run_id", of(*_STORED).alias("any_stored"), of("skipped").alias("skipped"), of("auth_failed").alias("auth_failed"),
+        failed["fail_code"].alias("fail_code"), F.size(F.filter("views", lambda v: ~v["outcome"].isin(*_STORED))).cast("long").alias("n_incomplete"))
+    return _told_outcome(facts)
 
 
 _STORED = ("stored", "kept")
@@ -103,10 +129,13 @@ def phrase_outcome(views: DataFrame) -> DataFrame:
     """One row per run: 'result' if anything is stored, now or from before,
     'failure' with its error if not (or if its login was lost), 'skipped' if it
     was never begun.  A begun run that holds nothing and failed nowhere is a result."""
-    g = views.groupBy("batch_id", "phrase_ord", "run_id").agg(*_run_facts())
+    return _told_outcome(views.groupBy("batch_id", "phrase_ord", "run_id").agg(*_run_facts()))
+
+
+def _told_outcome(facts: DataFrame) -> DataFrame:
     code = F.when(F.col("auth_failed"), F.lit(AUTH_REQUIRED)).when(F.col("outcome") == "failure", F.col("fail_code"))
     return (
-        g.withColumn("outcome", _run_outcome())
+        facts.withColumn("outcome", _run_outcome())
         .withColumn("error_code", code)
         .withColumn("partial", (F.col("outcome") == "result") & (F.col("n_incomplete") > 0))
         .select("batch_id", "phrase_ord", "run_id", "outcome", "error_code", "partial", "n_incomplete")

@@ -394,7 +394,7 @@ def _views(spark, sf):
 
 def auth_abort_cut_query(spark: SparkSession, sf: str) -> DataFrame:
     """What became of each phrase of a batch that lost its login."""
-    o = B.phrase_outcome(_views(spark, sf))
+    o = _outcomes(spark, sf)
     state = F.when(F.col("error_code") == "AUTH_REQUIRED", "auth_failed").when(F.col("outcome") == "skipped", "skipped").otherwise("attempted")
     return o.select("batch_id", "phrase_ord", state.alias("phrase_state"))
 
@@ -407,8 +407,13 @@ def phrase_outcome_query(spark: SparkSession, sf: str) -> DataFrame:
     return B.phrase_outcome(_views(spark, sf)).select("run_id", "outcome", "error_code", "partial")
 
 
+def _outcomes(spark, sf):
+    requests, attempts, stored, _ = derive.batch_logs(table(spark, sf, "conversations"))
+    return B.run_outcomes(requests, attempts, stored)
+
+
 def batch_summary_query(spark: SparkSession, sf: str) -> DataFrame:
-    o = B.phrase_outcome(_views(spark, sf))
+    o = _outcomes(spark, sf)
     return B.batch_summary(o).select("batch_id", "total", "collected", "failed", "partial", "skipped", "exit_code")
 
 
