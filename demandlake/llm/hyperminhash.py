@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.llm.arrow_groups import grouped_tables
+from demandlake.llm.ordering import literal_list
 from demandlake.llm.scratch import written
 from demandlake.llm.simhash import components
 
@@ -42,6 +43,8 @@ ENOUGH = 19
 #: Shingles of a cluster that one task holds (some 150 MB with its index), and of one block of queries.
 HELD = 1 << 20
 DEVIATIONS = 6.0
+#: Bits of the filter that texts pass before they are shuffled to their clusters (0.5 MB).
+FILTER_BITS = 1 << 22
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -355,6 +358,27 @@ def _confirm_large(members: DataFrame, shingle: int, percent: int) -> DataFrame:
         waiting = at.join(largest, "cluster").where("root != largest").join(asked, "node", "left_anti")
 
 
+def bit_filter(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test that every ``key`` (long) of ``keys`` passes, and few others while the keys are few.
+
+    At most FILTER_BITS bits, set by grouped sums, reach the driver and the plan,
+    whatever the number of keys; with very many keys the test lets all pass.
+    """
+    bits = min(FILTER_BITS, max(64, 1 << (16 * keys.count()).bit_length()))
+    at = F.pmod(F.col(key), F.lit(bits))
+    words = keys.select(F.floor(at / 64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+    table = [0] * (bits // 64)
+    for r in words:
+        table[r.w] = r.b
+    known = literal_list([str(x) for x in table]).cast("array<long>")
+
+    def test(value: Column) -> Column:
+        place = F.pmod(value, F.lit(bits))
+        return F.call_function("shiftrightunsigned", F.get(known, F.floor(place / 64).cast("int")), (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return test
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -377,7 +401,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     shown = placed.join(sizes, "cluster").select("cluster", "node", "held", F.col("shown.doc_id").alias("id"), F.col("shown.text_hash").alias("hash"))
     shown = written(shown, "hmh-shown")  # its size is known before the texts meet it
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    members = texts.join(shown, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))).select("cluster", "node", "held", "text")
+    # Only the texts that a cluster may need are shuffled.
+    needed = bit_filter(shown.select(F.xxhash64("id", "hash").alias("k")), "k")
+    members = texts.where(needed(F.xxhash64("doc_id", "text_hash"))).join(shown, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))).select("cluster", "node", "held", "text")
     members = members.groupBy("cluster", "node", "held").agg(F.first("text").alias("text"))  # rows that repeat as a whole
     members = written(members, "hmh-members")
     small = members.where(F.col("held") <= HELD).select("cluster", "node", "text").repartition("cluster").sortWithinPartitions("cluster")

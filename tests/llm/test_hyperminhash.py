@@ -77,6 +77,18 @@ def test_split_groups_and_rounds_lose_no_link(spark, monkeypatch, tile, held):
     assert result(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 85)) == brute(rows, 85)
 
 
+def test_filter_passes_every_key_and_few_others(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    keys = spark.range(500).select(F.xxhash64("id").alias("k"))
+    others = spark.range(1000, 11_000).select(F.xxhash64("id").alias("k"))
+    test = hyperminhash.bit_filter(keys, "k")
+    assert keys.where(test(F.col("k"))).count() == 500 and others.where(test(F.col("k"))).count() < 1000
+    monkeypatch.setattr(hyperminhash, "FILTER_BITS", 64)
+    assert keys.where(hyperminhash.bit_filter(keys, "k")(F.col("k"))).count() == 500
+    assert others.where(hyperminhash.bit_filter(keys.limit(0), "k")(F.col("k"))).count() == 0
+
+
 def test_sketch_keeps_the_least_hash_of_a_bucket():
     rng = np.random.default_rng(2)
     hashes = np.unique(rng.integers(0, 1 << 64, 400, dtype=np.uint64))
