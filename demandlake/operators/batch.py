@@ -10,7 +10,7 @@ over as many tasks as any other rows; batches meet in partial sums only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.constants import AUTH_REQUIRED, ERROR_TYPES, NOT_ATTEMPTED_PREFIX, NOT_COLLECTED, VIEWS
@@ -163,16 +163,19 @@ def incomplete_report(views: DataFrame, warnings: DataFrame | None = None) -> Da
 
     ``line_ord`` is the line's place inside its run: views by name, then warnings
     by path.  Order by batch_id, phrase_ord, line_ord to print.  One grouping by
-    run gives both its outcome and its lines; a run has at most four views, and
-    its warnings are the few stray files of one run.
+    run gives its outcome and its views' lines, four at most; warnings are numbered
+    as rows, so a run may have any number of stray files.
     """
-    line = F.struct(F.lit(0).alias("kind"), F.col("view").alias("key"), F.coalesce("view_error", F.lit(NOT_COLLECTED)).alias("reason"))
-    rows = views.select("run_id", F.struct("batch_id", "phrase_ord").alias("r"), "view_ord", "outcome", "fail_code", F.when(~F.col("outcome").isin(*_STORED), line).alias("x"))
-    if warnings is not None:
-        stray = F.struct(F.lit(1).alias("kind"), F.col("path").alias("key"), F.lit("a file landed outside the run's folders").alias("reason"))
-        rows = rows.unionByName(warnings.select("run_id", stray.alias("x")), allowMissingColumns=True)
-    per = rows.groupBy("run_id").agg(F.max("r").alias("r"), *_run_facts(), F.array_sort(F.collect_list("x")).alias("xs"))
-    results = per.filter(F.col("r").isNotNull() & (_run_outcome() == "result"))
-    out = results.select("r.*", "run_id", F.posexplode("xs").alias("line_ord", "x"))
-    return out.select("batch_id", "phrase_ord", "run_id", "line_ord", F.when(F.col("x.kind") == 0, F.col("x.key")).alias("view"),
-                      F.when(F.col("x.kind") == 1, F.col("x.key")).alias("path"), "x.reason")
+    line = F.struct(F.col("view").alias("view"), F.coalesce("view_error", F.lit(NOT_COLLECTED)).alias("reason"))
+    per = views.groupBy("run_id").agg(F.max(F.struct("batch_id", "phrase_ord")).alias("r"), *_run_facts(),
+                                      F.array_sort(F.collect_list(F.when(~F.col("outcome").isin(*_STORED), line))).alias("lines"))
+    results = per.filter(_run_outcome() == "result").select("r.*", "run_id", "lines")
+    none = F.lit(None).cast("string")
+    told = results.select("batch_id", "phrase_ord", "run_id", F.posexplode("lines").alias("line_ord", "x"))
+    told = told.select("batch_id", "phrase_ord", "run_id", "line_ord", "x.view", none.alias("path"), "x.reason")
+    if warnings is None:
+        return told
+    place = F.size("lines") + F.row_number().over(Window.partitionBy("run_id").orderBy("path")) - 1
+    stray = warnings.select("run_id", "path").join(results, "run_id").select(
+        "batch_id", "phrase_ord", "run_id", place.alias("line_ord"), none.alias("view"), "path", F.lit("a file landed outside the run's folders").alias("reason"))
+    return told.unionByName(stray)
