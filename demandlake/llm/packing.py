@@ -31,7 +31,12 @@ BATCH = 512
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): each text's ids and END_ID, cut into pieces of ``capacity`` ids."""
+    """(doc_id, piece, start, length, ids_crc32): each text's ids and END_ID, cut into pieces of ``capacity`` ids.
+
+    Null and empty texts are one piece, END_ID alone.  Null ids and repeated rows
+    stay, each with pieces of its own.  Very long texts: any number of pieces.  Empty
+    table: no rows.  Other columns are ignored, whatever their names.
+    """
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +129,9 @@ def pack(pieces: DataFrame, capacity: int, order: list[str]) -> DataFrame:
     """``pieces`` (each ``length`` 1 to ``capacity``) with ``sequence_id`` and ``offset``, best fit, longest first.
 
     ``order`` names columns that tell the pieces apart; rows equal in all of them
-    are interchangeable.  Empty table: no rows.
+    (repeated rows, pieces of equal ids) are interchangeable, each has a place of its
+    own.  Nulls in ``order`` are values like others.  Empty table: no rows.  ``pieces``
+    is what ``token_pieces`` returns, or has such columns; its own columns are kept.
     """
     pieces = written(pieces, "pack-pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -223,6 +223,10 @@ def without_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, id_c
     text hash where several rows have that id (or where no row has one).
 
     The rows that go are told by id and text; they are fewer than those that stay.
+    Null and empty texts have fingerprint 0, so they are copies of each other.  Rows
+    without an id go where their component has one with an id, else one stays.  Of
+    rows that repeat as a whole one stays.  Empty table: no rows.  All columns of
+    ``docs`` are kept as they are.
     """
     found = written(simhash_components(docs, shingle, radius, id_col, text_col), "simhash-found")
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("text_hash").alias("stays"))
