@@ -52,14 +52,22 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources by weight: a document comes as often as the mix takes it (0 to 2 times)."""
+    """The mix of the sources by weight: a document comes as often as the mix takes it (0 to 2 times).
+
+    Repeated rows share their fate, each counted on its own; documents of equal hash
+    (ties) go together.  Null ids and null sources are values like others.
+    """
     docs = docs.select(COLUMNS)
     mixed = mix(docs, F.size(words_of(F.col("text"))), [F.col("doc_id"), F.xxhash64("text")], MIX_WEIGHTS, MIX_SHARE, MIX_MOST)
     return mixed.select(*COLUMNS, F.explode(F.array_repeat(F.lit(True), F.col("copies"))).alias("_")).drop("_")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 4096 ids with their sequence and place.  A null text is empty: one end id."""
+    """Pieces of at most 4096 ids with their sequence and place.  A null text is empty: one end id.
+
+    Repeated rows (what the mix took twice) have pieces and places of their own;
+    pieces of equal id, number and content are interchangeable.
+    """
     pieces = token_pieces(docs, vocabulary("word_bpe_49k.json"), CAPACITY)
     return pack(pieces, CAPACITY, ["doc_id", "piece", "ids_crc32"])
 
@@ -72,7 +80,8 @@ STAGES = [
     ("best-fit packing", packed),
 ]
 
-#: Hashing, parsing and packing have no SQL form; tests/llm compares run() with a brute-force version.
+#: Hashing, parsing and packing have no SQL form; tests/llm compares the first three stages row by row with
+#: brute force, the mix with its targets and the packing with its capacity.
 ORACLE_SQL = None
 
 
