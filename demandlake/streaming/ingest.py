@@ -132,6 +132,13 @@ def export_log(spark: SparkSession, out_dir: str) -> DataFrame:
     return stored_exports(spark, out_dir).select(*LOG)
 
 
+def fetch_attempts(log: DataFrame) -> DataFrame:
+    """the landed files of each run and view as attempts for ``operators.landing.attempt_outcomes``:
+    a first empty dynamics export waits for a second fetch, a second one is a failure."""
+    failed = F.coalesce("error_code", F.when(F.col("verdict") != "empty", F.col("check_code")))
+    return log.select(*KEYS, F.struct("batch_id", "modificationTime", "path").alias("seq"), "row_count", failed.alias("error_code"))
+
+
 def newest(log: DataFrame) -> DataFrame:
     """The newest landed file of each run and view, and ``n_writes``."""
     order = F.struct("batch_id", "modificationTime", "path")

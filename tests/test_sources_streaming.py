@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import exports_df
+from demandlake.operators import landing as L
 from demandlake.plans.ingest import ingest_exports
 from demandlake.sources import files as SRC
 from demandlake.sources import sinks as SINK
@@ -101,6 +102,8 @@ def test_stream_of_landed_files(spark, tmp_path):
     assert {r["run_id"]: (r["verdict"], r["trusted"]) for r in log().collect()} == {"a": ("ok", True), "b": ("gap", False), "c": ("empty", False)}
     pending = {r["run_id"] for r in STREAM.next_wave(runs, log()).filter("view = 'dynamics'").collect()}
     assert pending == {"b", "c", "d"}
+    outcomes = lambda: {r["run_id"]: r["outcome"] for r in L.attempt_outcomes(STREAM.fetch_attempts(log()), STREAM.KEYS).collect()}
+    assert outcomes() == {"a": "stored", "b": "failed", "c": "pending"}
     # Two versions in one wave, the older one with the later name; and a broken file.
     _file(root, "a", "9", range(1, 3))
     _file(root, "a", "2", range(1, 7))
@@ -193,8 +196,6 @@ def test_stored_manifests_follow_the_stream(spark, tmp_path):
 
 
 def test_snapshots_of_a_folder(spark, tmp_path):
-    from demandlake.operators import landing as L
-
     root, snaps = tmp_path / "landing", str(tmp_path / "snapshots")
 
     def snap(n):
