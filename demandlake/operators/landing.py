@@ -127,6 +127,32 @@ def download_verdict(ticks: DataFrame) -> DataFrame:
     )
 
 
+def download_outcomes(downloads: DataFrame, sightings: DataFrame) -> DataFrame:
+    """F6 + A9 + J5 over recorded sightings: what each download of a (run, view) came to.
+
+    ``sightings(run_id, view, tick, path, length, inside)`` are the files that were
+    there at each look, tick 0 being the look before the download began;
+    ``downloads(run_id, view)`` all that were begun.  Only files that weren't there
+    at tick 0 count, told by normalised path.  The first tick with a verdict decides
+    (see ``download_verdict``); none up to the last look is a timeout.
+
+    verdict: ``ok`` (with ``path``, and ``warning`` where a file landed elsewhere at
+    that very tick), ``too_many``, ``escaped`` or ``timeout``; ``decided_at`` is the tick.
+    """
+    keys = ["run_id", "view"]
+    seen = sightings.withColumn("norm_path", normalise_path(F.col("path")))
+    before = seen.filter("tick = 0").select(*keys, "norm_path")
+    new = seen.filter("tick > 0").join(before, [*keys, "norm_path"], "left_anti").dropDuplicates([*keys, "tick", "norm_path"])
+    ready = new.filter(F.col("inside") & accepted(F.col("path"), F.col("length"))).groupBy(*keys, "tick").agg(F.max("path").alias("path"))
+    ticks = download_verdict(new).filter("verdict <> 'waiting'")
+    first = ticks.groupBy(*keys).agg(F.min_by(F.struct("tick", "verdict", "warning", "error_code"), "tick").alias("d"))
+    decided = first.select(*keys, "d.*").join(ready, [*keys, "tick"], "left")
+    out = downloads.select(*keys).distinct().join(decided, keys, "left")
+    return out.select(
+        *keys, F.coalesce("verdict", F.lit("timeout")).alias("verdict"), F.col("tick").alias("decided_at"), F.when(F.col("verdict") == "ok", F.col("path")).alias("path"),
+        F.coalesce("warning", F.lit(False)).alias("warning"), F.when(F.col("verdict").isNull(), F.lit(DOWNLOAD_TIMEOUT)).otherwise(F.col("error_code")).alias("error_code"))
+
+
 def untrusted_empty(exports: DataFrame) -> DataFrame:
     """an empty dynamics export cannot be trusted; empty top/regions reports can."""
     flag = (F.col("view") == "dynamics") & (F.col("row_count") == 0)

@@ -750,6 +750,13 @@ def attempt_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("run_id", "view", "outcome", F.col("decided_at.event_id").alias("decided_at"), "n_empty", "error_code")
 
 
+def download_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """The download of each user's day, decided at the first look that tells."""
+    seen = derive.download_sightings(table(spark, sf, "events"))
+    got = L.download_outcomes(seen.select("run_id", "view"), seen)
+    return got.select("run_id", "verdict", "decided_at", F.element_at(F.split("path", "/"), -1).alias("file"), "warning", "error_code")
+
+
 def run_key_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """W3 where numbers are taken: a run for each event, named by its type (two types share
     a name); of that name, the numbers of all even order keys are taken."""
@@ -856,6 +863,7 @@ QUERIES = {
     "long_file_profiles": long_file_profiles,
     "series_checks_long": series_checks_long,
     "attempt_outcomes": attempt_outcomes,
+    "download_outcomes": download_outcomes,
     "run_key_gaps": run_key_gaps,
     "landing_changes": landing_changes,
     "stream_too_large": stream_too_large,

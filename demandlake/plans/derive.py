@@ -7,7 +7,7 @@ here are mirrored in the DuckDB oracle SQL; keep both in step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandlake.constants import MONTHS_NOMINATIVE
@@ -465,3 +465,25 @@ def order_file_lines(orders: DataFrame, long_cell: int) -> DataFrame:
     lines = heads.unionByName(records).select("o_orderpriority", "ord", F.posexplode(F.split("record", "\n", -1)).alias("sub", "line"))
     cp1251 = F.translate("line", CP1251_REAL, CP1251_LATIN)
     return lines.select(F.lit("orders").alias("run_id"), F.col("o_orderpriority").alias("view"), F.struct("ord", "sub").alias("ord"), cp1251.alias("line"))
+
+
+# ------------------------------------------------------------------ downloads
+LAST_TICK = 3
+
+
+def download_sightings(events: DataFrame) -> DataFrame:
+    """events -> (run_id, view, tick, path, length, inside): a user's events of one day are the
+    files that appear one by one during a download, the first before it, up to the last look.
+
+    An error's file lands elsewhere, a view's has no .csv name yet, and every 4th is
+    empty at its first look.
+    """
+    kind, n = F.col("event_type"), F.col("n")
+    order = Window.partitionBy("user_id", "day").orderBy("ts", "event_id")
+    files = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("n", F.row_number().over(order) - 1).filter(n <= LAST_TICK)
+    root = F.when(kind == "error", F.lit("/home/user/Downloads/")).otherwise(F.lit("/data/out/./.downloads-a/"))
+    path = F.concat(root, F.col("event_id").cast("string"), F.when(kind == "view", ".crdownload").when(F.col("event_id") % 2 == 0, ".csv").otherwise(".CSV"))
+    seen = files.select("event_id", F.concat_ws("/", F.col("user_id").cast("string"), "day").alias("run_id"), F.lit("dynamics").alias("view"), "n", path.alias("path"),
+                        F.explode(F.sequence(n, F.lit(LAST_TICK))).alias("tick"))
+    length = F.when((F.col("event_id") % 4 == 0) & (F.col("tick") == n), 0).otherwise(100).cast("long")
+    return seen.select("run_id", "view", "tick", "path", length.alias("length"), (~F.startswith("path", F.lit("/home/"))).alias("inside"))

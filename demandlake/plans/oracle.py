@@ -885,3 +885,23 @@ s AS (
   FROM v)
 SELECT 'run-' || CAST(k AS VARCHAR) AS run_id, CAST(view_ord AS INTEGER) AS view_ord, view, state, state <> 'done' AS pending FROM s
 """
+
+ORACLE["download_outcomes"] = """
+WITH f AS (
+  SELECT *, CAST(user_id AS VARCHAR) || '/' || strftime(ts, '%Y-%m-%d') AS run_id,
+         row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) - 1 AS n FROM events),
+s AS (SELECT run_id, event_id, event_type, n, unnest(range(n, 4)) AS tick FROM f WHERE n <= 3),
+t AS (
+  SELECT run_id, tick, count(*) FILTER (event_type NOT IN ('error', 'view')) AS csv, count(*) FILTER (event_type = 'error') AS escaped,
+         count(*) FILTER (event_type NOT IN ('error', 'view') AND NOT (event_id % 4 = 0 AND tick = n)) AS ready,
+         max(event_id) FILTER (event_type NOT IN ('error', 'view')) AS e
+  FROM s WHERE n > 0 GROUP BY run_id, tick),
+v AS (
+  SELECT *, CASE WHEN csv = 1 AND ready = 1 THEN 'ok' WHEN csv > 1 THEN 'too_many' WHEN escaped > 0 THEN 'escaped' END AS verdict FROM t),
+d AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY tick) AS k FROM v WHERE verdict IS NOT NULL)
+SELECT r.run_id, coalesce(d.verdict, 'timeout') AS verdict, CAST(d.tick AS INTEGER) AS decided_at,
+       CASE WHEN d.verdict = 'ok' THEN CAST(d.e AS VARCHAR) || CASE WHEN d.e % 2 = 0 THEN '.csv' ELSE '.CSV' END END AS file,
+       coalesce(d.verdict = 'ok' AND d.escaped > 0, false) AS warning,
+       CASE coalesce(d.verdict, 'timeout') WHEN 'ok' THEN NULL WHEN 'escaped' THEN 'DOWNLOAD_ESCAPED' ELSE 'DOWNLOAD_TIMEOUT' END AS error_code
+FROM (SELECT DISTINCT run_id FROM f) r LEFT JOIN d ON r.run_id = d.run_id AND d.k = 1
+"""

@@ -245,3 +245,19 @@ def test_attempts_fold_in_their_order(spark):
     df = spark.createDataFrame(rows, "run_id string, view string, seq int, row_count long, error_code string").orderBy("row_count")
     got = {r["run_id"]: (r["outcome"], r["decided_at"], r["n_empty"], r["error_code"]) for r in attempt_outcomes(df, ["run_id", "view"]).collect()}
     assert got == {k: brute(steps, v) for k, v, steps in cases}
+
+
+def test_downloads_are_decided_at_the_first_look_that_tells(spark):
+    inside, out = "/d/a.csv", "/home/a.csv"
+    looks = {
+        "ok": [[], ["/d/x.tmp"], [inside]], "grows": [[], [(inside, 0)], [inside]], "old": [[inside], [inside], [inside]], "two": [[], [], [inside, "/d/b.csv"]],
+        "late two": [[], [inside], [inside, "/d/b.csv"]], "escaped": [[], [out], [out, inside]], "both": [[], [inside, out]], "old escape": [[out], [out], [out, inside]],
+        "same": [[], [inside, "/d/./a.csv"]], "never": [[], [(inside, 0)], [(inside, 0)]],
+    }
+    rows = [(k, "dynamics", t, *((f, 9) if isinstance(f, str) else f)) for k, ticks in looks.items() for t, files in enumerate(ticks) for f in files]
+    df = spark.createDataFrame(rows, "run_id string, view string, tick int, path string, length long").withColumn("inside", F.col("path").startswith("/d/"))
+    begun = spark.createDataFrame([(k, "dynamics") for k in looks], "run_id string, view string")
+    got = {r["run_id"]: (r["verdict"], r["decided_at"], r["warning"], r["error_code"]) for r in L.download_outcomes(begun, df).collect()}
+    late, gone = "DOWNLOAD_TIMEOUT", "DOWNLOAD_ESCAPED"
+    assert got == {"ok": ("ok", 2, False, None), "grows": ("ok", 2, False, None), "old": ("timeout", None, False, late), "two": ("too_many", 2, False, late), "late two": ("ok", 1, False, None),
+                   "escaped": ("escaped", 1, False, gone), "both": ("ok", 1, True, None), "old escape": ("ok", 2, False, None), "same": ("ok", 1, False, None), "never": ("timeout", None, False, late)}
