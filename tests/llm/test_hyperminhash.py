@@ -69,7 +69,7 @@ def test_equals_brute_force(docs, rows):
     assert result(near_duplicates(docs, 5, 80)) == brute([(r[0], r[1]) for r in rows], 80)
 
 
-@pytest.mark.parametrize("tile,held", [(2048, 1 << 20), (4, 400)])
+@pytest.mark.parametrize("tile,held", [(2048, 1 << 20), (4, 1500)])
 def test_split_groups_and_rounds_lose_no_link(spark, monkeypatch, tile, held):
     monkeypatch.setattr(hyperminhash, "TILE", tile)
     monkeypatch.setattr(hyperminhash, "HELD", held)

@@ -59,9 +59,9 @@ def random_vectors(n, d, seed=3):
 
 
 def test_equals_eigenvectors_of_the_covariance(spark):
-    vectors = random_vectors(300, 24)
+    vectors = random_vectors(300, 18)
     vectors += [(1000 + i, vectors[7][1]) for i in range(150)]  # a third are copies: in the fit list once
-    vectors += [(2000, None), (2001, []), (2002, [None] * 24), (2003, [math.nan] * 24), (2004, [math.inf] + [0.0] * 23), (2005, [1.0] * 7), (None, vectors[3][1]), (None, vectors[3][1])]
+    vectors += [(2000, None), (2001, []), (2002, [None] * 18), (2003, [math.nan] * 18), (2004, [math.inf] + [0.0] * 17), (2005, [1.0] * 7), (None, vectors[3][1]), (None, vectors[3][1])]
     got = compare(spark, vectors)
     assert not {r["vec_id"] for r in got} & set(range(2000, 2006))
     assert sum(r["vec_id"] is None for r in got) == 32
