@@ -499,7 +499,7 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ sinks: S8, S9, S10, S11, S13
-from demandlake.session import fresh_dir, spread  # noqa: E402
+from demandlake.session import dealt, fresh_dir, spread  # noqa: E402
 from demandlake.sources import files as SRC  # noqa: E402
 from demandlake.sources import sinks as SINK  # noqa: E402
 
@@ -691,11 +691,12 @@ RANGE_BYTES = 256 << 10
 
 def long_cells(spark: SparkSession, sf: str) -> DataFrame:
     """S6 in one row: every 500th order as an export of three records, of which one has a cell of some 400,000 characters."""
-    records = derive.order_records(table(spark, sf, "orders").filter("o_orderkey % 500 = 0"), LONG_CELL)
+    records = derive.order_records(dealt(table(spark, sf, "orders").filter("o_orderkey % 500 = 0")), LONG_CELL)
     small = F.lit("1;x;2;3")
     text = F.concat_ws("\n", F.lit(derive.LONG_HEADER), small, "record", small)
     parsed = parse_exports(records.select(F.col("o_orderkey").cast("string").alias("file_name"), F.encode(text, "UTF-8").alias("content")))
-    rows = parsed.select("file_name", "delimiter", F.posexplode("rows").alias("row_ord", "cells"))
+    # An inner generator would have the parse copied into a filter below it.
+    rows = parsed.select("file_name", "delimiter", F.posexplode_outer("rows").alias("row_ord", "cells")).filter(F.col("row_ord").isNotNull())
     return rows.select("file_name", "delimiter", "row_ord", F.get("cells", 0).alias("number"), F.length(F.get("cells", 1)).alias("n_chars"),
                        F.md5(F.get("cells", F.lit(1))).alias("note_md5"), F.get("cells", 3).alias("day"))
 

@@ -59,6 +59,15 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over the session's shuffle partitions, for work whose cost isn't in bytes.
+
+    Making folders and files, or parsing long texts, takes time by the row; adaptive
+    execution, which goes by bytes, would merge such rows into one task.  It leaves a
+    number of partitions alone that is given."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt over as many partitions as the session's ``SPREAD`` says, if it says so."""
     n = df.sparkSession.conf.get(SPREAD, None)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from demandlake import messages
 from demandlake.messages import sentence
 from demandlake.operators.manifest import run_status
+from demandlake.session import dealt
 
 #: A longer signature of column types is named by its hash.
 SHAPE_CHARS = 120
@@ -102,7 +103,7 @@ def manifest_documents(manifests: DataFrame) -> DataFrame:
 
 def write_manifests(manifests: DataFrame, path: str) -> None:
     """One document file for each run, in its ``run_id=`` folder (UTF-8, Cyrillic unescaped)."""
-    manifest_documents(manifests).write.mode("overwrite").partitionBy("run_id").text(path)
+    dealt(manifest_documents(manifests), "run_id").write.mode("overwrite").partitionBy("run_id").text(path)
 
 
 def raw_name(view: Column, keep_raw: Column) -> Column:

@@ -35,8 +35,8 @@ def admitted_files(spark: SparkSession, landing_dir: str, limit: int, max_files:
     """The stream of landed files: those of at most ``limit`` bytes with their content, larger
     ones without it (null).
 
-    Two branches over the same folder, each with its own filter on the length; the
-    reader applies it before it opens a file, so no content above the limit is ever
+    Two branches over one source (a folder is listed once for both), each with its own
+    filter on the length; the reader applies it before it opens a file, so no content above the limit is ever
     loaded, and a file that can't be held in a row doesn't stop the stream.  A file
     that vanishes between listing and reading is passed over.
     """
@@ -46,8 +46,8 @@ def admitted_files(spark: SparkSession, landing_dir: str, limit: int, max_files:
     )
     if max_files:
         stream = stream.option("maxFilesPerTrigger", max_files)
-    held = stream.load(landing_dir).filter(F.col("length") <= limit)
-    large = stream.load(landing_dir).filter(F.col("length") > limit)
+    files = stream.load(landing_dir)
+    held, large = files.filter(F.col("length") <= limit), files.filter(F.col("length") > limit)
     listed = [f.name for f in LANDING_SCHEMA.fields if f.name != "content"]
     return held.select(*listed, "content").unionByName(large.select(*listed, F.lit(None).cast("binary").alias("content")))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from demandlake.operators.manifest import dataset_file, reconcile, view_ord
 from demandlake.operators.typing import typed_cells
-from demandlake.session import fresh_dir
+from demandlake.session import dealt, fresh_dir
 from demandlake.sources.files import MANIFEST_SCHEMA, load_manifests, path_part
 from demandlake.sources.sinks import manifest_documents
 
@@ -32,7 +32,7 @@ def run_folder(run_id: str) -> str:
 
 def _write(documents: DataFrame, path: str) -> None:
     """One document a run; the folders of other runs stay as they are."""
-    documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").text(path)
+    dealt(documents, "run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").text(path)
 
 
 def write_documents(manifests: DataFrame, path: str) -> None:
@@ -106,7 +106,7 @@ def write_datasets(stored: DataFrame, path: str) -> None:
     newest = F.row_number().over(Window.partitionBy("run_id", "view").orderBy(F.desc("modificationTime"), F.desc("path")))
     sound = stored.filter(F.col("trusted") & F.col("granularity").isNotNull()).withColumn("_n", newest).filter("_n = 1")
     cells = typed_cells(sound.withColumn("file", dataset_file(F.col("view"), F.col("granularity"))), ["run_id", "file"])
-    (cells.repartition("run_id", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    (dealt(cells, "run_id", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy("run_id", "file").parquet(path))
 
 
