@@ -9,6 +9,8 @@ decides.  A few counted base rules go before.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,6 @@ from demandlake.llm.scratch import written
 from demandlake.llm.words import BLANKS, words_of
 
 BUCKETS = 1 << 16
-#: Trusted documents that are used: those of the smallest id hashes.
-TRUSTED_DOCS = 20_000
 #: One trusted document in so many is held out: the target is fitted on the others, the level on these.
 HELD_OUT = 4
 #: N-grams of the raw multinomial that are added to the target as its prior, for each of its own:
@@ -27,6 +27,8 @@ HELD_OUT = 4
 PRIOR_SHARE = 0.1
 #: Quantile of the held-out documents' mean log ratios that scores count from.
 LEVEL = 0.05
+#: Values of which a rank is read off at once; more are told apart by so many ranges first.
+AT_ONCE, RANGES = 10_000, 1_024
 #: A document that stays further below the level is rejected.
 THRESHOLD = -0.12
 SYMBOLS = "#*$%&|<>"
@@ -82,10 +84,10 @@ def base_counts(text: Column, words: Column) -> dict[str, Column]:
     }
 
 
-def trusted_sample(labels: DataFrame) -> DataFrame:
-    """Ids of at most TRUSTED_DOCS trusted documents (quality 1, not toxic): a bounded table."""
+def trusted_docs(labels: DataFrame) -> DataFrame:
+    """Ids of all trusted documents (quality 1, not toxic)."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    return good.select(F.col("doc_id").cast("long").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(TRUSTED_DOCS)
+    return good.select(F.col("doc_id").cast("long").alias("_id")).distinct()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -99,7 +101,7 @@ def log_ratios(docs: DataFrame, fitted: DataFrame, id_col: str = "doc_id", text_
     multinomial, so a bucket of which little is known has a ratio near that of
     one without any target count; without target counts all ratios are 0.
     """
-    marked = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(fitted.withColumn("_t", F.lit(1))), F.col("_doc") == F.col("_id"), "left")
+    marked = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).join(fitted.withColumn("_t", F.lit(1)), F.col("_doc") == F.col("_id"), "left")
     grams = marked.select(F.coalesce(F.col("_t"), F.lit(0)).alias("t"), F.explode(ngram_buckets(words_of(F.col("_text")))).alias("bucket"))
     counts = written(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target")), "quality-counts")
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
@@ -116,11 +118,39 @@ def mean_ratio(words: Column, table: Column) -> Column:
     return let(ngram_buckets(words), mean)
 
 
+def quantile(values: DataFrame, q: float) -> float | None:
+    """The exact quantile of the column ``m``, between its two ranks as ``percentile`` has it; None without values.
+
+    ``percentile`` gathers all distinct values in one task.  Here the range of each
+    rank is narrowed by counts of RANGES parts of it until at most AT_ONCE values are left.
+    """
+    whole = values.agg(F.min("m").alias("low"), F.max("m").alias("high"), F.count("m").alias("n")).first()
+
+    def ranked(k: int) -> float:
+        part, rows = whole, values
+        while part.low < part.high and part.n > AT_ONCE:
+            place = F.least(F.floor((F.col("m") - part.low) / (part.high - part.low) * RANGES), F.lit(RANGES - 1))
+            parts = rows.groupBy(place.alias("place")).agg(F.min("m").alias("low"), F.max("m").alias("high"), F.count("m").alias("n")).collect()
+            for part in sorted(parts):
+                if k < part.n:
+                    break
+                k -= part.n
+            rows = values.where(F.col("m").between(part.low, part.high))
+        return part.low if part.low == part.high else sorted(r.m for r in rows.collect())[k]
+
+    if not whole.n:
+        return None
+    at = (whole.n - 1) * q
+    low, high = math.floor(at), math.ceil(at)
+    first = ranked(low)
+    return first if low == high else (high - at) * first + (at - low) * ranked(high)
+
+
 def trusted_level(docs: DataFrame, held: DataFrame, table: Column, id_col: str, text_col: str) -> float | None:
     """Quantile LEVEL of the mean log ratios of held-out documents of MIN_WORDS words or more; None if there are none."""
-    own = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(held), F.col("_doc") == F.col("_id"), "left_semi")
+    own = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).join(held, F.col("_doc") == F.col("_id"), "left_semi")
     words = own.select(words_of(F.col("_text")).alias("_words")).where(F.size("_words") >= MIN_WORDS)
-    return words.select(mean_ratio(F.col("_words"), table).alias("m")).agg(F.percentile("m", F.lit(LEVEL))).first()[0]
+    return quantile(written(words.select(mean_ratio(F.col("_words"), table).alias("m")), "quality-means"), LEVEL)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,7 +164,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     all scores are 0, so only the base rules decide.  Repeated rows are judged
     alike.  Empty table: no rows.
     """
-    trusted = written(trusted_sample(labels), "quality-trusted")
+    trusted = written(trusted_docs(labels), "quality-trusted")
     ratios = log_ratios(docs, trusted.where(~held_out(F.col("_id"))), id_col, text_col)
     # BUCKETS numbers, whatever the size of the corpus; the text form is folded into one array constant.
     table = literal_list([f"{r.ratio:.6f}" for r in sorted(ratios.collect())]).cast("array<double>")

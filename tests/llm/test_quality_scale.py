@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from demandlake.llm.quality import quality_rules
+from demandlake.llm.quality import quality_rules, quantile, trusted_docs
 
 
 @pytest.mark.parametrize("n_trusted", [50, 500, 20_000])
@@ -17,3 +17,17 @@ def test_junk_goes_whatever_the_number_of_trusted_documents(spark, n_trusted):
     got = Counter((r["doc_id"] < 0, r["kept"]) for r in quality_rules(docs, labels).select("doc_id", "kept").collect())
     assert got[True, True] <= 10, got  # of 200 junk texts
     assert got[False, False] <= 0.01 * len(clean), got
+
+
+def test_all_trusted_documents_are_used(spark):
+    labels = spark.range(20_500).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert trusted_docs(labels).count() == 20_500
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 10_001, 30_000])
+def test_quantile_is_the_percentile(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice([0.0, rng.gauss(0, 1), rng.gauss(0, 1) ** 9]),) for _ in range(n)]
+    values = spark.createDataFrame(rows, "m double")
+    want = values.selectExpr("percentile(m, 0.05)").first()[0]
+    assert quantile(values, 0.05) == (None if want is None else pytest.approx(want, rel=1e-12))
