@@ -237,7 +237,7 @@ def validate_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ P4, S12, W3, P8, P9, P10, S11
 from demandlake.functions.text import slugify as _slugify  # noqa: E402
-from demandlake.session import spread  # noqa: E402
+from demandlake.session import dealt, spread  # noqa: E402
 
 
 def slugify_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,7 +293,8 @@ def dataset_name(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ manifests
 def _runs(spark, sf, region=False):
-    return derive.customer_runs(table(spark, sf, "customer"), table(spark, sf, "nation") if region else None)
+    # Each run is some writes of the log, and the sort before their first aggregate holds a task's share of these.
+    return derive.customer_runs(dealt(table(spark, sf, "customer")), table(spark, sf, "nation") if region else None)
 
 
 def _log(spark, sf):

@@ -49,3 +49,10 @@ def test_stream_lists_its_folder_by_one_source(spark, tmp_path):
     plan = files._jdf.queryExecution().analyzed()
     sources = {x.split("StreamingRelation ")[1].split(", [")[0] + x.split(", [")[-1] for x in plan.toString().splitlines() if "StreamingRelation " in x}
     assert len(sources) == 1
+
+
+def test_the_log_is_aggregated_in_many_tasks(spark, tmp_path):
+    spark.range(0, 200, 1, 1).select(F.col("id").alias("c_custkey"), F.lit("x").alias("c_name"), F.lit(0).alias("c_nationkey")).write.parquet(str(tmp_path / "customer.parquet"))
+    log = catalog._log(spark, str(tmp_path))
+    assert log.rdd.getNumPartitions() > 1
+    assert catalog.merge_exports_query(spark, str(tmp_path)).count() == log.select("run_id", "view").distinct().count()
