@@ -391,7 +391,7 @@ def damaged_exports(rows: DataFrame, key: str) -> DataFrame:
         .when(F.contains(header, F.lit("\t")), F.concat(header, F.lit("\n"), F.replace(days, F.lit(";"), F.lit("\t")))).otherwise(F.concat(header, F.lit("\n"), days))
     )
     content = F.concat(F.encode(text, "UTF-8"), F.when(kind == "undecodable", F.unhex(F.lit("98"))).otherwise(F.unhex(F.lit(""))))
-    return rows.select(
+    return dealt(rows).select(
         F.concat(F.lit("run-"), k.cast("string")).alias("run_id"), F.lit("dynamics").alias("view"), F.lit("daily").alias("granularity"),
         F.when(kind == "before_window", F.date_add(day, 1)).otherwise(day).alias("date_from"),
         F.date_add(day, F.when(kind == "after_window", 1).otherwise(10)).alias("date_to"),

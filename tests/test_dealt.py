@@ -56,3 +56,20 @@ def test_the_log_is_aggregated_in_many_tasks(spark, tmp_path):
     log = catalog._log(spark, str(tmp_path))
     assert log.rdd.getNumPartitions() > 1
     assert catalog.merge_exports_query(spark, str(tmp_path)).count() == log.select("run_id", "view").distinct().count()
+
+
+def test_damaged_exports_are_rendered_and_parsed_in_many_tasks(spark):
+    ex = derive.damaged_exports(spark.range(0, 100, 1, 1).withColumnRenamed("id", "key"), "key")
+    assert ex.rdd.getNumPartitions() > 1
+    assert ex.select("run_id").distinct().count() == 100
+
+
+def test_run_keys_make_each_base_once_for_numbering(spark):
+    from demandlake.operators.requests import run_keys
+
+    asked = spark.createDataFrame([(1, "чай"), (2, "чай"), (3, "кофе")], "ord long, phrase string").withColumn("now", F.to_timestamp(F.lit("2026-08-21 10:00:00")))
+    got = run_keys(asked, "ord")
+    assert [r["run_key"].split("-", 1)[1] for r in got.orderBy("ord").collect()] == ["чай", "чай-2", "кофе"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # One projection of the slug, for the result: the numbering reads the bases from a table.
+    assert sum("regexp_replace" in line for line in plan.splitlines()) == 1
