@@ -31,6 +31,9 @@ LEVEL = 0.05
 AT_ONCE, RANGES = 10_000, 1_024
 #: A document that stays further below the level is rejected.
 THRESHOLD = -0.12
+#: Trusted ids are broadcast as bitmaps of MAP_SIZE bits (what bitmap_construct_agg makes), MAP_BITS for each id; with
+#: more ids than MOST_MAPS (16 MB) hold, more texts are shuffled to be compared with the ids themselves.
+MAP_SIZE, MAP_BITS, MOST_MAPS = 32_768, 8, 4_096
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
@@ -94,15 +97,35 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit(1)), F.lit(HELD_OUT)) == 0
 
 
-def log_ratios(docs: DataFrame, fitted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(bucket, ratio) for every bucket: log of target over raw probability.
+def perhaps_trusted(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_doc, _text, _may) of every document; ``_may`` is true for all whose id is in ``trusted`` and for some others.
+
+    The ids are hashed to bits, some MAP_BITS for each, in bitmaps small enough to
+    broadcast; about one in MAP_BITS other documents meets a bit that is set.
+    """
+    maps = min(max(math.ceil(trusted.count() * MAP_BITS / MAP_SIZE), 1), MOST_MAPS)
+    place = lambda c: F.pmod(F.xxhash64(c, F.lit(2)), F.lit(maps * MAP_SIZE))
+    own = lambda p: F.floor(p / MAP_SIZE).cast("int")
+    bits = trusted.select(place("_id").alias("place")).groupBy(own(F.col("place")).alias("_map")).agg(F.bitmap_construct_agg(F.col("place") % MAP_SIZE).alias("_bits"))
+    thin = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).withColumn("_place", place("_doc"))
+    found = thin.join(F.broadcast(written(bits, "quality-bits")), own(F.col("_place")) == F.col("_map"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_place") % MAP_SIZE / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    may = F.col("_doc").isNotNull() & (F.getbit(byte, (F.col("_place") % 8).cast("int")) == 1)
+    return found.select("_doc", "_text", F.coalesce(may, F.lit(False)).alias("_may"))
+
+
+def log_ratios(marked: DataFrame, fitted: DataFrame) -> DataFrame:
+    """(bucket, ratio) for every bucket: log of target over raw probability; ``marked`` is of ``perhaps_trusted``.
 
     Raw counts cover all documents.  The target is smoothed towards the raw
     multinomial, so a bucket of which little is known has a ratio near that of
     one without any target count; without target counts all ratios are 0.
+    Only texts that may be in ``fitted`` are shuffled to meet it.
     """
-    marked = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).join(fitted.withColumn("_t", F.lit(1)), F.col("_doc") == F.col("_id"), "left")
-    grams = marked.select(F.coalesce(F.col("_t"), F.lit(0)).alias("t"), F.explode(ngram_buckets(words_of(F.col("_text")))).alias("bucket"))
+    asked = F.col("_may") & ~held_out(F.col("_doc"))
+    own = marked.where(asked).join(fitted.withColumn("_t", F.lit(1)).hint("shuffle_hash"), F.col("_doc") == F.col("_id"), "left")
+    texts = own.select("_text", F.coalesce(F.col("_t"), F.lit(0)).alias("t")).unionAll(marked.where(~asked).select("_text", F.lit(0).alias("t")))
+    grams = texts.select("t", F.explode(ngram_buckets(words_of(F.col("_text")))).alias("bucket"))
     counts = written(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target")), "quality-counts")
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     raw, target = float(total.raw or 0) + BUCKETS, float(total.target or 0)
@@ -146,9 +169,10 @@ def quantile(values: DataFrame, q: float) -> float | None:
     return first if low == high else (high - at) * first + (at - low) * ranked(high)
 
 
-def trusted_level(docs: DataFrame, held: DataFrame, table: Column, id_col: str, text_col: str) -> float | None:
+def trusted_level(marked: DataFrame, held: DataFrame, table: Column) -> float | None:
     """Quantile LEVEL of the mean log ratios of held-out documents of MIN_WORDS words or more; None if there are none."""
-    own = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text")).join(held, F.col("_doc") == F.col("_id"), "left_semi")
+    asked = marked.where(F.col("_may") & held_out(F.col("_doc")))
+    own = asked.join(held.hint("shuffle_hash"), F.col("_doc") == F.col("_id"), "left_semi")
     words = own.select(words_of(F.col("_text")).alias("_words")).where(F.size("_words") >= MIN_WORDS)
     return quantile(written(words.select(mean_ratio(F.col("_words"), table).alias("m")), "quality-means"), LEVEL)
 
@@ -165,10 +189,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     alike.  Empty table: no rows.
     """
     trusted = written(trusted_docs(labels), "quality-trusted")
-    ratios = log_ratios(docs, trusted.where(~held_out(F.col("_id"))), id_col, text_col)
+    marked = perhaps_trusted(docs, trusted, id_col, text_col)
+    ratios = log_ratios(marked, trusted.where(~held_out(F.col("_id"))))
     # BUCKETS numbers, whatever the size of the corpus; the text form is folded into one array constant.
     table = literal_list([f"{r.ratio:.6f}" for r in sorted(ratios.collect())]).cast("array<double>")
-    level = trusted_level(docs, trusted.where(held_out(F.col("_id"))), table, id_col, text_col)
+    level = trusted_level(marked, trusted.where(held_out(F.col("_id"))), table)
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     out = docs.drop(*added).withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_words", words_of(F.col(text_col)))
     out = out.withColumns(base_counts(F.col("_text"), F.col("_words")))
