@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ END_ID = 0
 SEGMENT_IDS = 1 << 20
 #: Ids that a task codes at once.
 BATCH_IDS = id_coder.LANES * id_coder.BLOCK_IDS
-TEXTS = 512
+#: Bytes of text that a task tokenizes at once; a longer text still is one.
+TEXT_BYTES = 1 << 24
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 _DOCS = "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long"
 
@@ -34,15 +36,31 @@ def _blocks(ids: np.ndarray) -> list[np.ndarray]:
     return [ids[k : k + id_coder.BLOCK_IDS] for k in range(0, len(ids), id_coder.BLOCK_IDS)]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows (id, text) in slices of some TEXT_BYTES."""
+    held, size = [], 0
+    for b in batches:
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(b.column(1)).to_numpy(), dtype=np.int64)])
+        at = 0
+        while at < b.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + TEXT_BYTES - size, side="right")) - 1)
+            held.append(b.slice(at, to - at))
+            size += int(ends[to] - ends[at])
+            at = to
+            if size >= TEXT_BYTES or at < b.num_rows:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _segments(path: str):
     end = END_ID.to_bytes(4, "little")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         tok = tokenizer(path, keep_blanks=True)
-        for b in batches:
-            for at in range(0, b.num_rows, TEXTS):
-                part = b.slice(at, TEXTS)
-                yield from zip(part.column(0).to_pylist(), tok.ids([x or "" for x in part.column(1).to_pylist()]))
+        for b in _slices(batches):
+            yield from zip(b.column(0).to_pylist(), tok.ids(b.column(1)))
 
     def coded(segments: list[tuple], part: int, seq: int) -> pa.RecordBatch:
         blocks = [_blocks(np.frombuffer(b"".join(raws), "<u4")) for _, raws in segments]
