@@ -26,8 +26,10 @@ import pyarrow.compute as pc
 KEPT = 500_000
 #: Pre-tokens tokenized as one text.
 JOINED = 5_000
-#: Byte-level chunks kept (some 40 bytes each), and those tokenized as one text.
-CHUNKS_KEPT, CHUNKS_JOINED = 1_500_000, 500
+#: Byte-level chunks kept (some 40 bytes each) and their bytes, and chunks tokenized as one text.
+CHUNKS_KEPT, CHUNK_BYTES, CHUNKS_JOINED = 1_500_000, 1 << 26, 500
+#: Longer chunks (texts without blanks) are the first to be forgotten.
+LONG = 32
 
 # --- fixed values: the pre-token pattern of the vocabularies ------------------
 #: Letters whose classes, composition and lower case are beyond doubt.
@@ -65,10 +67,9 @@ class ChunkTokenizer:
         self.edge = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.edge[[i for t, i in vocab.items() if (t.startswith("Ġ") if keep_blanks else t.endswith("</w>"))]] = True
         # Byte-level: the chunks met, without their first blank, their ids one after the other
-        # and where these begin; in how many slices each was met; chunks at the start of a text.
+        # and where these begin; in how many slices each was met.
         self.chunks = pa.array([], pa.string())
         self.flat, self.begins, self.met = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, np.int32)
-        self.firsts: dict[str, np.ndarray] = {}
 
     def _cut(self, chunks: list[str]) -> list[list[str]]:
         """Pre-tokens of each plain chunk; of another none."""
@@ -145,16 +146,17 @@ class ChunkTokenizer:
             lists = pa.concat_arrays([lists, pa.array(cut, lists.type)])
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
         words = lists.flatten()
-        coded = words.dictionary_encode()
-        firsts = words.take(pa.array(ends[:-1])).to_pylist()
-        for t, ids in zip(new := list(set(firsts).difference(self.firsts)), self._encode(new)):
-            self.firsts[t] = ids
-        number = self._numbers(coded.dictionary)[coded.indices.to_numpy()]
-        # The ids of this slice's first chunks lie behind those of the others.
-        place = {t: len(self.met) + k for k, t in enumerate(set(firsts))}
-        number[ends[:-1]] = [place[t] for t in firsts]
-        flat = np.concatenate([self.flat, *(self.firsts[t] for t in place)])
-        sizes = np.concatenate([np.diff(self.begins), [len(self.firsts[t]) for t in place]])
+        # A text's first chunk has no blank; these are not kept, their ids lie behind the store's.
+        first = np.zeros(len(words), dtype=bool)
+        first[ends[:-1]] = True
+        firsts = words.filter(pa.array(first)).dictionary_encode()
+        own = self._encode(firsts.dictionary.to_pylist())
+        rest = words.filter(pa.array(~first)).dictionary_encode()
+        number = np.empty(len(words), dtype=np.int64)
+        number[~first] = self._numbers(rest.dictionary)[rest.indices.to_numpy()]
+        number[first] = len(self.met) + firsts.indices.to_numpy().astype(np.int64)
+        flat = np.concatenate([self.flat, *own])
+        sizes = np.concatenate([np.diff(self.begins), [len(x) for x in own]])
         begins = np.cumsum(sizes) - sizes
         size = sizes[number]
         stops = np.concatenate([[0], np.cumsum(size)])
@@ -162,10 +164,8 @@ class ChunkTokenizer:
         at += np.arange(len(at))
         raw, cuts = flat[at].tobytes(), (4 * stops[ends]).tolist()
         found = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-        if len(self.met) > CHUNKS_KEPT:
+        if len(self.met) > CHUNKS_KEPT or self.chunks.nbytes > CHUNK_BYTES:
             self._forget()
-        if len(self.firsts) > KEPT:
-            self.firsts = {}
         if not odd.any():
             return found
         order = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
@@ -206,9 +206,10 @@ class ChunkTokenizer:
         return out + found, sizes + [len(x) for x in found]
 
     def _forget(self) -> None:
-        """Of the chunks met more than once, those met most stay: half a store at most."""
-        keep = np.argsort(-self.met, kind="stable")[: CHUNKS_KEPT // 2]
-        keep = keep[self.met[keep] > 1]
+        """Of the chunks met more than once and not LONG, those met most stay: half a store at most."""
+        short = pc.binary_length(self.chunks).to_numpy() <= LONG
+        keep = np.argsort(-self.met, kind="stable")
+        keep = keep[short[keep] & (self.met[keep] > 1)][: CHUNKS_KEPT // 2]
         sizes = np.diff(self.begins)[keep]
         begins = np.concatenate([[0], np.cumsum(sizes)])
         self.flat = self.flat[np.repeat(self.begins[keep] - begins[:-1], sizes) + np.arange(begins[-1])]

@@ -19,7 +19,6 @@ def texts(rng, n):
 def test_arrow_slices_give_the_ids_of_the_whole_text(monkeypatch):
     monkeypatch.setattr(tokens, "CHUNKS_JOINED", 3)
     monkeypatch.setattr(tokens, "CHUNKS_KEPT", 20)
-    monkeypatch.setattr(tokens, "KEPT", 10)
     own, whole, rng = tokens.ChunkTokenizer(BYTE, True), Tokenizer.from_file(BYTE), random.Random(4)
     for _ in range(60):
         some = texts(rng, 20)
@@ -35,7 +34,18 @@ def test_chunks_met_before_are_not_tokenized_again(monkeypatch):
     first = own.ids(pa.array(["one two, three", "one three"]))
     assert len(asked) == 2  # "one" at the start of a text, and the others together
     asked.clear()
-    assert own.ids(pa.array(["one three", "one two, three"])) == first[::-1] and not asked
+    assert own.ids(pa.array(["one three", "one two, three"])) == first[::-1] and asked == ["one"]
+
+
+def test_long_chunks_are_not_kept(monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 2_000)
+    own, whole = tokens.ChunkTokenizer(BYTE, True), Tokenizer.from_file(BYTE)
+    for k in range(5):
+        some = ["本" * 500 + str(k), f"a {'b' * 900}{k} the", f"c {'b' * 900}{k} the"]
+        for _ in range(2):
+            got = [np.frombuffer(x, "<u4").tolist() for x in own.ids(pa.array(some))]
+            assert got == [e.ids for e in whole.encode_batch(some, add_special_tokens=False)]
+    assert own.chunks.nbytes < 3_000 and max(map(len, own.chunks.to_pylist())) < 1_000
 
 
 def test_slices_keep_rows_and_order(monkeypatch):
