@@ -10,6 +10,7 @@ from demandlake.constants import CSV_FORMAT, GRANULARITIES, INVALID_REQUEST, RES
 from demandlake.functions.hof import let
 from demandlake.functions.text import decode_bytes, file_name, split_lines, strip
 from demandlake.operators.landing import accepted, is_csv
+from demandlake.sources.small_files import mounted, read_files, small_files
 
 #: binaryFile reads a file whole into one row; above this Spark cannot hold it.
 BINARY_FILE_LIMIT = 2**31 - 1
@@ -151,8 +152,13 @@ def parse_manifests(documents: DataFrame, document: str = "document") -> DataFra
 def load_manifests(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """Every file below ``path`` (or several paths) whose name fits ``glob`` is one manifest: path, run_id
     (of a run_id= folder) and the fields of ``parse_manifests``."""
-    files = (
-        spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-        .select(unescaped(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("document"))
-    )
-    return parse_manifests(files.withColumn("run_id", path_part(F.col("path"), "run_id")))
+    if isinstance(path, str) and not set(glob + path) & set("{}[]\\") and (folder := mounted(spark, path)):
+        return parse_documents(read_files(spark, folder, glob))
+    files = small_files(spark).read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return parse_documents(files.select(unescaped(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content")))
+
+
+def parse_documents(files: DataFrame) -> DataFrame:
+    """S10 over ``files`` (path, content): path, run_id (of a run_id= folder) and the fields of ``parse_manifests``."""
+    documents = files.select("path", F.col("content").cast("string").alias("document"), path_part(F.col("path"), "run_id").alias("run_id"))
+    return parse_manifests(documents)

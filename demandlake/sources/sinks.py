@@ -17,6 +17,7 @@ from demandlake import messages
 from demandlake.messages import sentence
 from demandlake.operators.manifest import run_status
 from demandlake.session import dealt
+from demandlake.sources.small_files import mounted, write_lines
 
 #: A longer signature of column types is named by its hash.
 SHAPE_CHARS = 120
@@ -103,7 +104,17 @@ def manifest_documents(manifests: DataFrame) -> DataFrame:
 
 def write_manifests(manifests: DataFrame, path: str) -> None:
     """One document file for each run, in its ``run_id=`` folder (UTF-8, Cyrillic unescaped)."""
-    dealt(manifest_documents(manifests), "run_id").write.mode("overwrite").partitionBy("run_id").text(path)
+    write_documents(manifest_documents(manifests), path, "overwrite")
+
+
+def write_documents(documents: DataFrame, path: str, mode: str) -> None:
+    """``documents`` (run_id, document) as files; mode "overwrite" puts them in place of the whole folder, "partitions" of the folders of their runs."""
+    documents = dealt(documents, "run_id")
+    if folder := mounted(documents.sparkSession, path):
+        write_lines(documents.sortWithinPartitions("run_id"), folder, ["run_id"], "txt", mode, "UTF-8", blank_lines=True)
+        return
+    writer = documents.write.mode("overwrite").option("partitionOverwriteMode", "static" if mode == "overwrite" else "dynamic")
+    writer.partitionBy("run_id").text(path)
 
 
 def raw_name(view: Column, keep_raw: Column) -> Column:
