@@ -15,6 +15,7 @@ from demandlake.functions.dates import week_monday
 from demandlake.functions.text import CP1251_LATIN, CP1251_REAL, encode_text
 from demandlake.operators.manifest import dataset_file
 from demandlake.session import dealt, spread
+from demandlake.sources.small_files import mounted, write_lines
 
 NBSP, NNBSP, THIN, FIGURE = "\u00a0", "\u202f", "\u2009", "\u2007"
 
@@ -412,6 +413,9 @@ def landed_lines(exports: DataFrame) -> DataFrame:
 def land(lines: DataFrame, root: str) -> None:
     """Writes one file ``<root>/run_id=/view=/*.csv`` for each run and view, its lines (see ``landed_lines``) in order."""
     ordered = dealt(lines, "run_id", "view").sortWithinPartitions("run_id", "view", "ord")
+    if folder := mounted(lines.sparkSession, root):
+        write_lines(ordered.select("run_id", "view", "line"), folder, ["run_id", "view"], "csv", "append", "ISO-8859-1", blank_lines=False)
+        return
     # The lines are the format already: no quoting, a separator that cannot occur, a byte for each character.
     (ordered.select("run_id", "view", "line").write.mode("append").partitionBy("run_id", "view")
      .option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")

@@ -189,7 +189,8 @@ def _settle(staging: str, folder: str, levels: int, replace: bool, old: str) ->
 
 # ------------------------------------------------------------------ listing and reading
 def read_files(spark: SparkSession, folder: str, glob: str, content: bool = True) -> DataFrame:
-    """(path, content): all files below ``folder`` with a byte whose names fit ``glob``, hidden ones apart; listed when the result is computed.
+    """(path, modified, length, content): all files below ``folder`` with a byte whose names fit ``glob``,
+    hidden ones apart; listed when the result is computed, ``modified`` in milliseconds.
 
     Every task lists the upper folders, and goes on below with its share of their entries."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -231,26 +232,84 @@ def read_files(spark: SparkSession, folder: str, glob: str, content: bool = True
                 yield from (x for x in level if mine(x) and not x.is_dir())
                 tops = [x.path for x in level if x.is_dir()]
 
-        schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
+        schema = pa.schema([("path", pa.string()), ("modified", pa.int64()), ("length", pa.int64()), ("content", pa.binary())])
         for batch in batches:
             for part in batch.column(0).to_pylist():
-                paths, contents, size = [], [], 0
+                rows, size = [], 0
                 for x in share(part):
-                    if not fnmatch.fnmatchcase(x.name, glob) or x.stat().st_size == 0:
+                    if not fnmatch.fnmatchcase(x.name, glob) or (stat := x.stat()).st_size == 0:
                         continue
                     data = None
                     if content:
                         with open(x.path, "rb") as f:
                             data = f.read()
                         size += len(data)
-                    paths.append(f"file://{x.path}")
-                    contents.append(data)
-                    if len(paths) == at_a_time or size > most:
-                        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], schema=schema)
-                        paths, contents, size = [], [], 0
-                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], schema=schema)
-
-    return spark.range(0, parts, 1, parts).mapInArrow(read, "path string, content binary")
+                    rows.append((f"file://{x.path}", stat.st_mtime_ns // 1_000_000, stat.st_size, data))
+                    if len(rows) == at_a_time or size > most:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return spark.range(0, parts, 1, parts).mapInArrow(read, "path string, modified long, length long, content binary")
+
+
+def with_content(files: DataFrame, limit: int) -> DataFrame:
+    """``files`` (path, modificationTime, length) with ``content``: null above ``limit`` bytes, which are never read; a file that is gone is passed over."""
+    most, at_a_time = BYTES_A_BATCH, FILES_A_BATCH
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            paths, lengths = batch.column("path").to_pylist(), batch.column("length").to_pylist()
+            rows, contents, size = [], [], 0
+            for i, (path, length) in enumerate(zip(paths, lengths)):
+                data = None
+                if length <= limit:
+                    try:
+                        with open(path.removeprefix("file:"), "rb") as f:
+                            data = f.read()
+                    except FileNotFoundError:
+                        continue
+                    size += length
+                rows.append(i)
+                contents.append(data)
+                if size > most or len(rows) == at_a_time:
+                    yield pa.RecordBatch.from_arrays([*batch.take(pa.array(rows, pa.int64())).columns, pa.array(contents, pa.binary())], names=[*batch.schema.names, "content"])
+                    rows, contents, size = [], [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(rows, pa.int64())).columns, pa.array(contents, pa.binary())], names=[*batch.schema.names, "content"])
+
+    files = files.select("path", "modificationTime", "length")
+    return files.mapInArrow(read, "path string, modificationTime timestamp, length long, content binary")
+
+
+def note_arrivals(spark: SparkSession, folder: str, glob: str, lists: str, most: int | None = None) -> None:
+    """Lists the files below ``folder`` that no list in ``lists`` (a mounted folder of Parquet files) has yet, in new lists of (path,
+    modificationTime, length) there: of at most ``most`` files each, oldest first, which the lists' own times follow."""
+    os.makedirs(lists, exist_ok=True)
+    found = read_files(spark, folder, glob, content=False).select(
+        F.concat(F.lit("file:"), F.substring("path", len("file://") + 1, 1 << 30)).alias("path"), F.timestamp_millis("modified").alias("modificationTime"), "length")
+    earlier = [x.path for x in os.scandir(lists) if x.name.endswith(".parquet")]
+    if earlier:
+        found = found.join(spark.read.schema(found.schema).parquet(f"file://{lists}").select("path"), "path", "left_anti").select(*found.columns)
+    new = f"{lists}/.new-{uuid.uuid4()}"
+    try:
+        if most:
+            found.sort("modificationTime", "path").write.option("maxRecordsPerFile", most).parquet(f"file://{new}")
+        else:
+            found.write.parquet(f"file://{new}")
+        if spark.read.schema(found.schema).parquet(f"file://{new}").isEmpty():
+            return
+        at = max((os.stat(x).st_mtime_ns for x in earlier), default=0) // 1_000_000
+        order = lambda name: [int(x) for x in re.match(r"part-(\d+)-.*[.-]c(\d+)\.", name).groups()]
+        for name in sorted((x for x in os.listdir(new) if x.endswith(".parquet")), key=order):
+            at = max(at + 1, os.stat(f"{new}/{name}").st_mtime_ns // 1_000_000)
+            os.utime(f"{new}/{name}", ns=(at * 1_000_000, at * 1_000_000))
+            os.rename(f"{new}/{name}", f"{lists}/{name}")
+    finally:
+        shutil.rmtree(new, ignore_errors=True)
 
 
 def read_folders(keys: DataFrame, folder: str, glob: str) -> DataFrame:

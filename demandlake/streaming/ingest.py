@@ -1,8 +1,10 @@
 """Incremental ingest of landed files (T1-T4) with Structured Streaming.
 
-Files land as ``<root>/run_id=<run>/view=<view>/<anything>.csv`` and are read by
-a ``binaryFile`` stream; a file of the same run and view that lands later
-supersedes the earlier one (by micro-batch, then modification time, then path).
+Files land as ``<root>/run_id=<run>/view=<view>/<anything>.csv``.  A stream reads
+lists of what has newly landed, which tasks make, or, where the landing folder isn't
+mounted, a ``binaryFile`` source, whose driver holds the names of all files.  A file
+of the same run and view that lands later supersedes the earlier one (by micro-batch,
+then modification time, then path).
 Each micro-batch is parsed once, by the batch plan, and written as one table of
 exports under ``batch_id=<n>``: rows, types and verdict of each, and the bytes of
 those that aren't trusted.  Re-running a batch overwrites that partition only, so
@@ -14,6 +16,8 @@ late files, and a short tail is never padded (T4).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +28,9 @@ from demandlake.functions.text import file_name
 from demandlake.operators.manifest import all_views, view_ord
 from demandlake.operators.typing import typed_cells
 from demandlake.plans.ingest import ingest_exports
+from demandlake.session import dealt
 from demandlake.sources.files import BINARY_FILE_LIMIT, CSV_GLOB, LANDING_SCHEMA, path_part
+from demandlake.sources.small_files import mounted, note_arrivals, small_files, with_content
 from demandlake.streaming.manifests import upsert_manifests, write_datasets, write_first_manifests
 
 KEYS = ["run_id", "view"]
@@ -41,7 +47,7 @@ def admitted_files(spark: SparkSession, landing_dir: str, limit: int, max_files:
     that vanishes between listing and reading is passed over.
     """
     stream = (
-        spark.readStream.format("binaryFile").schema(LANDING_SCHEMA).option("recursiveFileLookup", "true")
+        small_files(spark).readStream.format("binaryFile").schema(LANDING_SCHEMA).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", CSV_GLOB).option("ignoreMissingFiles", "true")
     )
     if max_files:
@@ -52,6 +58,21 @@ def admitted_files(spark: SparkSession, landing_dir: str, limit: int, max_files:
     return held.select(*listed, "content").unionByName(large.select(*listed, F.lit(None).cast("binary").alias("content")))
 
 
+def _lists(spark: SparkSession, landing_dir: str, checkpoint_dir: str) -> str | None:
+    """Where the lists of landed files lie: None if a folder isn't mounted, or if the checkpoint is that of a stream without lists."""
+    own = mounted(spark, checkpoint_dir)
+    if not (own and mounted(spark, landing_dir)):
+        return None
+    return f"{own}/arrivals" if os.path.isdir(f"{own}/arrivals") or not os.path.isdir(f"{own}/offsets") else None
+
+
+def arrived_files(spark: SparkSession, landing_dir: str, lists: str, max_files: int | None = None) -> DataFrame:
+    """The stream of landed files without their content, by lists of them: each file is listed once, however often the stream starts."""
+    note_arrivals(spark, mounted(spark, landing_dir), CSV_GLOB, lists, max_files)
+    stream = spark.readStream.schema("path string, modificationTime timestamp, length long")
+    return (stream.option("maxFilesPerTrigger", 1) if max_files else stream).parquet(f"file://{lists}")
+
+
 def _as_too_large(ingested: DataFrame) -> DataFrame:
     """Files without content get the reason they weren't read."""
     unread = F.col("unread")
@@ -63,8 +84,9 @@ def _as_too_large(ingested: DataFrame) -> DataFrame:
     }).drop("unread")
 
 
-def _batch_writer(runs: DataFrame, out_dir: str, manifests: str | None, datasets: str | None):
+def _batch_writer(runs: DataFrame, out_dir: str, manifests: str | None, datasets: str | None, read=None):
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = read(batch) if read else batch
         keyed = batch.withColumns({k: path_part(F.col("path"), k) for k in KEYS}).withColumn("file_name", file_name(F.col("path")))
         keyed = keyed.withColumn("unread", F.col("content").isNull())
         # Requests are small beside the files' bytes; a file of no known run has no window and no granularity.
@@ -100,8 +122,12 @@ def run_ingest(spark: SparkSession, landing_dir: str, runs: DataFrame, out_dir:
     """
     if manifests:
         write_first_manifests(runs, manifests)
+    if lists := _lists(spark, landing_dir, checkpoint_dir):
+        files, read = arrived_files(spark, landing_dir, lists, max_files), lambda batch: with_content(dealt(batch, "path"), limit)
+    else:
+        files, read = admitted_files(spark, landing_dir, limit, max_files), None
     q = (
-        admitted_files(spark, landing_dir, limit, max_files).writeStream.foreachBatch(_batch_writer(runs, out_dir, manifests, datasets))
+        files.writeStream.foreachBatch(_batch_writer(runs, out_dir, manifests, datasets, read))
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
