@@ -503,6 +503,7 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
 from demandlake.session import dealt, fresh_dir, spread  # noqa: E402
 from demandlake.sources import files as SRC  # noqa: E402
 from demandlake.sources import sinks as SINK  # noqa: E402
+from demandlake.sources.small_files import small_files  # noqa: E402
 
 
 def typed_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -850,8 +851,8 @@ def resume_state(spark: SparkSession, sf: str) -> DataFrame:
     derive.land(lines, f"{base}/landing")
     drain()
     k = F.substring_index("run_id", "-", -1).cast("long")
-    left = spark.read.parquet(f"{base}/datasets").filter(k % 24 != 0)
-    left.write.partitionBy("run_id", "file").parquet(f"{base}/datasets-left")
+    left = small_files(spark).read.parquet(f"{base}/datasets").filter(k % 24 != 0)
+    MAN.write_cells(left, f"{base}/datasets-left")
     MAN.write_first_manifests(runs.filter(k % 36 == 0), f"{base}/manifests-left")
     docs = SRC.load_manifests(spark, f"{base}/manifests", "*.txt").filter(k % 36 != 0)
     MAN.write_documents(docs.drop("path"), f"{base}/manifests-left")

@@ -2,7 +2,7 @@
 
 A micro-batch rewrites the documents of the runs it touches and no others: their
 paths follow from the run, so neither the folder of all runs is listed nor the log
-of earlier batches read.  What a batch brings takes precedence over what the
+of earlier batches read.  On a mounted file system tasks open them, by the run.  What a batch brings takes precedence over what the
 document holds, and a batch that runs again writes the same documents again.
 """
 
@@ -16,23 +16,22 @@ from pyspark.sql import functions as F
 from demandlake.operators.manifest import dataset_file, reconcile, view_ord
 from demandlake.operators.typing import typed_cells
 from demandlake.session import dealt, fresh_dir
-from demandlake.sources.files import MANIFEST_SCHEMA, load_manifests, path_part
+from demandlake.sources import sinks
+from demandlake.sources.files import MANIFEST_SCHEMA, load_manifests, parse_documents, path_part
 from demandlake.sources.sinks import manifest_documents
+from demandlake.sources.small_files import folder_name, mounted, read_files, read_folders, small_files, write_parquet
 
-#: Characters that a partition folder's name holds in escaped form.
-ESCAPED = re.compile(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 #: Characters that have a meaning in a path that is read.
 GLOB = re.compile(r"[{}\[\]*?\\]")
 
 
 def run_folder(run_id: str) -> str:
-    name = ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", run_id)
-    return GLOB.sub(lambda m: "\\" + m[0], f"run_id={name}")
+    return GLOB.sub(lambda m: "\\" + m[0], folder_name("run_id", run_id))
 
 
 def _write(documents: DataFrame, path: str) -> None:
     """One document a run; the folders of other runs stay as they are."""
-    dealt(documents, "run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").text(path)
+    sinks.write_documents(documents, path, "partitions")
 
 
 def write_documents(manifests: DataFrame, path: str) -> None:
@@ -42,8 +41,13 @@ def write_documents(manifests: DataFrame, path: str) -> None:
 
 def _stored_runs(spark: SparkSession, path: str) -> DataFrame:
     """Runs that have a document, from the listing alone."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
-    return found.select(path_part(F.col("path"), "run_id").alias("run_id")).distinct()
+    return _listed(spark, path, "*.txt").select(path_part(F.col("path"), "run_id").alias("run_id")).distinct()
+
+
+def _listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    if folder := mounted(spark, path):
+        return read_files(spark, folder, glob, content=False).select("path")
+    return small_files(spark).read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -79,16 +83,19 @@ def upsert_manifests(runs: DataFrame, stored: DataFrame, path: str) -> None:
 
     ``stored`` are the batch's exports.  W4: a new entry replaces the view's old one;
     entries stay in view order.  W7: updated_at is the newest entry's time, if later.
-    The touched runs (at most the files of a micro-batch) are named to the driver,
-    which reads and replaces just their documents.
+    Just the documents of the touched runs (at most the files of a micro-batch) are
+    read and replaced; for a store that isn't mounted they are named to the driver.
     """
     spark = stored.sparkSession
     per = _entries(stored).groupBy("run_id").agg(F.collect_list("e").alias("new")).join(runs.select("run_id"), "run_id", "left_semi")  # at most four views
-    touched = [r.run_id for r in per.select("run_id").collect()]
-    if not touched:
-        return
-    before = load_manifests(spark, [f"{path}/{run_folder(r)}" for r in touched], "*.txt").filter("error_code IS NULL")
-    both = before.join(per, "run_id")
+    if folder := mounted(spark, path):
+        before = parse_documents(read_folders(dealt(per.select("run_id"), "run_id"), folder, "*.txt"))
+    else:
+        touched = [r.run_id for r in per.select("run_id").collect()]
+        if not touched:
+            return
+        before = load_manifests(spark, [f"{path}/{run_folder(r)}" for r in touched], "*.txt")
+    both = before.filter("error_code IS NULL").join(per, "run_id")
     views = F.transform("new", lambda e: e["view"])
     fresh = F.transform("new", lambda e: F.struct(*[e[f].alias(f) for f in ("view", "file", "raw_file", "row_count", "dtypes")]))
     place = lambda e: view_ord(e["view"])
@@ -106,13 +113,22 @@ def write_datasets(stored: DataFrame, path: str) -> None:
     newest = F.row_number().over(Window.partitionBy("run_id", "view").orderBy(F.desc("modificationTime"), F.desc("path")))
     sound = stored.filter(F.col("trusted") & F.col("granularity").isNotNull()).withColumn("_n", newest).filter("_n = 1")
     cells = typed_cells(sound.withColumn("file", dataset_file(F.col("view"), F.col("granularity"))), ["run_id", "file"])
-    (dealt(cells, "run_id", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    write_cells(cells, path)
+
+
+def write_cells(cells: DataFrame, path: str) -> None:
+    """A Parquet file for each run_id and file of ``cells``, in place of earlier ones."""
+    cells = dealt(cells, "run_id", "file")
+    if folder := mounted(cells.sparkSession, path):
+        write_parquet(cells.sortWithinPartitions("run_id", "file"), folder, ["run_id", "file"], "partitions")
+        return
+    (cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy("run_id", "file").parquet(path))
 
 
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
     """(run_id, file): the datasets that lie under ``path``, from the listing alone."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    found = _listed(spark, path, "*.parquet")
     return found.select(path_part(F.col("path"), "run_id").alias("run_id"), path_part(F.col("path"), "file").alias("file")).distinct()
 
 
