@@ -84,13 +84,14 @@ def quote_guess(sample: Column) -> Column:
 
 def _pattern_step(quotes: Column, delims: Column, spaces: Column, fallback: Column) -> Column:
     def body(qs):
-        def with_delim(d):
-            n_d = F.size(F.filter(delims, lambda x: x == d))
+        def with_delim(ds, d):
+            n_d = F.size(F.filter(ds, lambda x: x == d))
             n_sp = F.size(F.filter(spaces, lambda x: x != ""))
             return F.struct(d.alias("delim"), _first_max(qs, ('"', "'")).alias("quote"),
                             F.coalesce(n_d == n_sp, F.lit(False)).alias("skipinitialspace"))
 
-        return F.when(F.size(qs) > 0, let(_first_max(delims, SNIFF_DELIMITERS), with_delim)).otherwise(fallback)
+        found = let(delims, lambda ds: let(_first_max(ds, SNIFF_DELIMITERS), lambda d: with_delim(ds, d)))
+        return F.when(F.size(qs) > 0, found).otherwise(fallback)
 
     return let(quotes, body)
 

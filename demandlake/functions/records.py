@@ -44,24 +44,36 @@ def _sp(sis: Column) -> Column:
     return F.when(sis, F.lit(" *")).otherwise(F.lit(""))
 
 
-def _is_open(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
+def _marks(d: Column, q: Column, dq: Column, sis: Column) -> Column:
+    """What the lines of one dialect are looked through for, put together once for all of them."""
+    return F.struct(
+        _pat("(?s)", d, _sp(sis), q, _inner(q, dq), _close(q, dq)).alias("part"), F.concat(d, F.lit("\u0000")).alias("blank"),
+        F.concat(d, q).alias("start"), _pat(d, " *", q).alias("spaced"), F.concat(q, q).alias("pair"))
+
+
+def _is_open(record: Column, d: Column, sis: Column, marks: Column) -> Column:
     """True when the record ends inside an unterminated quoted field.
 
     Closed quoted parts are blanked out (a NUL stand-in keeps a literal tail
     from looking like a new field start); what remains opens a quote only if
     a field still starts with one."""
-    closed = F.regexp_replace(F.concat(d, record), _pat("(?s)", d, _sp(sis), q, _inner(q, dq), _close(q, dq)),
-                              F.concat(d, F.lit("\u0000")))
-    return F.regexp(closed, F.concat(d, _sp(sis), q))
+    closed = F.regexp_replace(F.concat(d, record), marks["part"], marks["blank"])
+    return let(closed, lambda c: F.when(sis, F.regexp(c, marks["spaced"])).otherwise(F.contains(c, marks["start"])))
 
 
-def line_effect(line: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
+def line_effect(line: Column, d: Column, q: Column, dq: Column, sis: Column, marks: Column | None = None) -> Column:
     """What a line does to the state 'inside quotes' (0 or 1): it sets it ('0', '1'),
     keeps it ('k') or swaps it ('s').  A line that begins inside reads as if it
-    started with the quote.  Effects compose associatively."""
-    ends = F.struct(_is_open(line, d, q, dq, sis).alias("fresh"), _is_open(F.concat(q, line), d, q, dq, sis).alias("inside"))
+    started with the quote.  Effects compose associatively.
+
+    Quotes that come in pairs only, none at the start of a field, are text outside
+    and doubled quotes inside: such a line keeps the state, and needs no pattern."""
+    if marks is None:
+        return let(_marks(d, q, dq, sis), lambda m: line_effect(line, d, q, dq, sis, m))
+    ends = F.struct(_is_open(line, d, sis, marks).alias("fresh"), _is_open(F.concat(q, line), d, sis, marks).alias("inside"))
     effect = let(ends, lambda e: F.when(e["fresh"] & e["inside"], "1").when(e["fresh"], "s").when(e["inside"], "k").otherwise("0"))
-    return F.when(F.contains(line, q), effect).otherwise("k")
+    paired = dq & ~sis & ~F.startswith(line, q) & ~F.contains(line, marks["start"]) & ~F.contains(F.replace(line, marks["pair"], F.lit("")), q)
+    return F.when(~F.contains(line, q) | paired, "k").otherwise(effect)
 
 
 def _join_records(lines: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
@@ -70,7 +82,7 @@ def _join_records(lines: Column, d: Column, q: Column, dq: Column, sis: Column)
     The effects of the lines (see ``line_effect``), one character each, give the
     states at all ends in one pass, and each run of lines is joined once.
     """
-    effect = F.transform(lines, lambda x: line_effect(x, d, q, dq, sis))
+    effect = let(_marks(d, q, dq, sis), lambda m: F.transform(lines, lambda x: line_effect(x, d, q, dq, sis, m)))
 
     def runs(after):
         starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (F.get(after, i - 1) == "0"))
@@ -89,11 +101,17 @@ def _join_records(lines: Column, d: Column, q: Column, dq: Column, sis: Column)
     return let(F.split(F.substring(after, F.lit(2), F.length(after)), ""), runs)
 
 
-def _unquote(field: Column, q: Column, dq: Column) -> Column:
-    parts = F.regexp_extract_all(field, _pat("(?s)^", q, "(", _inner(q, dq), ")(?:", q, "(.*))?\\z"), F.lit(1))
-    tails = F.regexp_extract_all(field, _pat("(?s)^", q, "(", _inner(q, dq), ")(?:", q, "(.*))?\\z"), F.lit(2))
-    inner = F.get(parts, 0)
-    inner = F.when(dq, F.replace(inner, F.concat(q, q), q)).otherwise(inner)
+def _field_patterns(d: Column, q: Column, dq: Column, sis: Column) -> Column:
+    """The patterns of a field after its delimiter and of its quoted part, put together once for all records."""
+    return F.struct(
+        _pat("(?s)", d, _sp(sis), "(", q, _inner(q, dq), "(?:", _close(q, dq), "|\\z)[^", d, "]*|[^", d, "]*)").alias("field"),
+        _pat("(?s)^", q, "(", _inner(q, dq), ")(?:", q, "(.*))?\\z").alias("quoted"))
+
+
+def _unquote(field: Column, q: Column, dq: Column, pattern: Column) -> Column:
+    parts = F.regexp_extract_all(field, pattern, F.lit(1))
+    tails = F.regexp_extract_all(field, pattern, F.lit(2))
+    inner = F.when(dq, F.replace(F.get(parts, 0), F.concat(q, q), q)).otherwise(F.get(parts, 0))
     return F.when(F.startswith(field, q), F.concat(inner, F.coalesce(F.get(tails, 0), F.lit("")))).otherwise(field)
 
 
@@ -102,9 +120,10 @@ def _split_plain(record: Column, d: Column) -> Column:
             .otherwise(F.split(record, "\t", -1)))
 
 
-def record_fields(record: Column, d: Column, q: Column, dq: Column, sis: Column) -> Column:
-    field = _pat("(?s)", d, _sp(sis), "(", q, _inner(q, dq), "(?:", _close(q, dq), "|\\z)[^", d, "]*|[^", d, "]*)")
-    quoted = F.transform(F.regexp_extract_all(F.concat(d, record), field, F.lit(1)), lambda f: _unquote(f, q, dq))
+def record_fields(record: Column, d: Column, q: Column, dq: Column, sis: Column, patterns: Column | None = None) -> Column:
+    if patterns is None:
+        return let(_field_patterns(d, q, dq, sis), lambda p: record_fields(record, d, q, dq, sis, p))
+    quoted = F.transform(F.regexp_extract_all(F.concat(d, record), patterns["field"], F.lit(1)), lambda f: _unquote(f, q, dq, patterns["quoted"]))
     return (
         F.when(record == "", F.array().cast("array<string>"))
         .when(~F.contains(record, q), _split_plain(record, d))
@@ -121,7 +140,8 @@ def parse_fields(lines: Column, delimiter: Column, quotechar: Column, doublequot
     def body(ls):
         records = F.when(F.exists(ls, lambda l: F.contains(l, quotechar)),
                          _join_records(ls, delimiter, quotechar, dq, sis)).otherwise(ls)
-        return F.transform(records, lambda r: record_fields(r, delimiter, quotechar, dq, sis))
+        return let(_field_patterns(delimiter, quotechar, dq, sis),
+                   lambda p: F.transform(records, lambda r: record_fields(r, delimiter, quotechar, dq, sis, p)))
 
     return let(lines, body)
 

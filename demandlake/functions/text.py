@@ -14,6 +14,8 @@ WS = r"[\p{IsWhite_Space}\x1c-\x1f]"
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # Boundaries of str.splitlines(): CRLF, LF, CR, VT, FF, FS, GS, RS, NEL, LS, PS.
 LINE_BREAK = r"(?:\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}])"
+# Of these, all but LF.
+OTHER_BREAK = r"[\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 # Of these, the ones that a reader of plain text lines leaves in a line.
 INNER_BREAK = r"[\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 
@@ -56,14 +58,17 @@ def remove_whitespace(col: Column) -> Column:
 
 def fold_newlines(col: Column) -> Column:
     """Universal-newline read: CRLF and lone CR become LF."""
-    return F.regexp_replace(col, r"\r\n?", "\n")
+    return let(col, lambda t: F.when(F.contains(t, F.lit("\r")), F.regexp_replace(t, r"\r\n?", "\n")).otherwise(t))
 
 
 def split_lines(col: Column) -> Column:
     """``str.splitlines()``: no trailing empty element, empty text -> []."""
     def split(t):
-        body = F.regexp_replace(t, LINE_BREAK + r"\z", "")
-        return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+        # A line break at the end lies in the last two characters.
+        body = F.concat(F.substring(t, F.lit(1), F.length(t) - 2), F.regexp_replace(F.right(t, F.lit(2)), LINE_BREAK + r"\z", ""))
+        # Most texts break by LF alone, which is found without a pattern.
+        lines = let(body, lambda b: F.when(b.rlike(OTHER_BREAK), F.split(b, LINE_BREAK, -1)).otherwise(F.split(b, "\n", -1)))
+        return F.when(t == "", F.array().cast("array<string>")).otherwise(lines)
 
     return let(col, split)
 
@@ -88,7 +93,8 @@ def decode_bytes(content: Column) -> tuple[Column, Column]:
     raw = content.cast("string")
     valid_utf8 = F.is_valid_utf8(raw)
     cp1251_ok = ~has_undefined_cp1251(content)
-    text = F.when(valid_utf8, F.regexp_replace(raw, "^" + BOM, "")).when(cp1251_ok, from_cp1251(content))
+    unmarked = F.when(F.startswith(raw, F.lit(BOM)), F.regexp_replace(raw, "^" + BOM, "")).otherwise(raw)
+    text = F.when(valid_utf8, unmarked).when(cp1251_ok, from_cp1251(content))
     encoding = F.when(valid_utf8, F.when(F.startswith(raw, F.lit(BOM)), "utf-8-sig").otherwise("utf-8")).when(
         cp1251_ok, "cp1251"
     )
