@@ -463,9 +463,11 @@ def order_records(orders: DataFrame, long_cell: int) -> DataFrame:
 
 
 def order_file_lines(orders: DataFrame, long_cell: int) -> DataFrame:
-    """One cp1251 export for each order priority, records in key order, as rows for ``land``."""
-    records = order_records(orders, long_cell).select("o_orderpriority", F.col("o_orderkey").alias("ord"), "record")
-    heads = records.select("o_orderpriority").distinct().select("o_orderpriority", F.lit(-1).alias("ord"), F.lit(LONG_HEADER).alias("record"))
+    """One cp1251 export for each order priority, records in key order, as rows for ``land``; lines of records with one key don't mix."""
+    place = lambda head, key, at: F.struct(F.lit(head).alias("head"), key.alias("key"), at.alias("at"))
+    records = order_records(orders, long_cell).select("o_orderpriority", place(1, F.col("o_orderkey"), F.monotonically_increasing_id()).alias("ord"), "record")
+    none = F.lit(0).cast("long")
+    heads = records.select("o_orderpriority").distinct().select("o_orderpriority", place(0, none, none).alias("ord"), F.lit(LONG_HEADER).alias("record"))
     lines = heads.unionByName(records).select("o_orderpriority", "ord", F.posexplode(F.split("record", "\n", -1)).alias("sub", "line"))
     cp1251 = F.translate("line", CP1251_REAL, CP1251_LATIN)
     return lines.select(F.lit("orders").alias("run_id"), F.col("o_orderpriority").alias("view"), F.struct("ord", "sub").alias("ord"), cp1251.alias("line"))

@@ -74,3 +74,16 @@ def test_ranges_hold_no_file(spark, tmp_path):
     assert [r["dtype"] for r in LONG.long_profiles(rows).orderBy("col_ord").collect()] == ["int64", "string", "float64"]
     typed = type_exports(parse_exports(SRC.landing_scan(spark, str(tmp_path)).select("file_name", "content")))
     assert [r["dtype"] for r in column_profile(typed, ["file_name"]).orderBy("col_ord").collect()] == ["int64", "string", "float64"]
+
+
+def test_records_of_one_key_keep_their_lines_together(spark, tmp_path):
+    """Rows of orders may repeat, and need not come in key order: each record stays whole, in the order of the keys."""
+    from pyspark.sql import functions as F
+
+    from demandlake.plans import catalog
+
+    keys = [9, 3, 3, 9, 1, 3]
+    rows = spark.createDataFrame([(k,) for k in keys], "o_orderkey long").coalesce(1)
+    rows.select("o_orderkey", F.lit("1-URGENT").alias("o_orderpriority"), F.lit(12.5).alias("o_totalprice"), F.lit("1996-01-02").cast("date").alias("o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+    got = catalog.long_file_ranges(spark, str(tmp_path)).orderBy("row_ord").collect()
+    assert [r["number"] for r in got] == [str(k) for k in sorted(keys)]
